@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamfold.operators import align, merge
+from streamfold.operators import align, enrich, merge, routing
 from streamfold.plans import sinks_spec as S
 from streamfold.sources import tables as tb
+from streamfold.sources import topics as tp
 
 ORDER = tb.ORDER
 
@@ -79,6 +80,91 @@ def q_merge_idle_ttl(spark, sf_dir):
                                 ts_col="_ts", ttl_seconds=3600)
 
 
+# ---------------------------------------------------------------- sources
+def _env_out(df: DataFrame) -> DataFrame:
+    return df.withColumnRenamed("_offset", "offset")
+
+
+def q_src_json_decode(spark, sf_dir):
+    """Decode a topic with a declared schema; bad records kept as
+    all-NULL rows with the raw text flagged (PERMISSIVE)."""
+    d = tp.decode_json(tb.topic_messages(spark, sf_dir, "trades", with_bad=True), handles=tb.TRADES_FIELDS)
+    return _env_out(d.select("symbol", "price", "volume", "timestamp", "_offset",
+                             F.col(tp.CORRUPT).isNotNull().alias("is_bad")))
+
+
+def q_src_meta_ts(spark, sf_dir):
+    """The broker time stamp kept as ``_kafka_ts``."""
+    d = tp.decode_json(tb.topic_messages(spark, sf_dir, "trades"), handles=tb.TRADES_FIELDS)
+    return _env_out(d.select("symbol", "price", "_offset", "_kafka_ts"))
+
+
+def q_src_skip_bad(spark, sf_dir):
+    """Bad records skipped."""
+    d = tp.decode_json(tb.topic_messages(spark, sf_dir, "quotes", with_bad=True), handles=tb.QUOTES_FIELDS)
+    return _env_out(tp.skip_bad(d).drop("_topic", "_key", "_partition", "_kafka_ts"))
+
+
+def q_src_drop_count_bad(spark, sf_dir):
+    """Per topic, messages read and parse errors."""
+    msgs = tb.topics_union(spark, sf_dir, with_bad=True)
+    counts = None
+    for t, fields in tb.TOPIC_FIELDS.items():
+        c = tp.count_bad(tp.decode_json(msgs.filter(F.col("topic") == t), handles=fields))
+        counts = c if counts is None else counts.unionByName(c)
+    return counts.withColumnRenamed("_topic", "topic")
+
+
+def q_decode_trades(spark, sf_dir):
+    """Trade feed envelopes -> ticks."""
+    d = tp.decode_trades(tb.trade_envelopes(spark, sf_dir))
+    return _env_out(d.select("symbol", "price", "volume", "timestamp", "_offset",
+                             F.col("_tick_idx").alias("tick_idx")))
+
+
+def q_decode_quotes(spark, sf_dir):
+    """Quote responses -> quote records (fetched_at left out: it is the
+    processing time)."""
+    d = tp.decode_quotes(tb.quote_responses(spark, sf_dir), with_fetched_at=False)
+    return _env_out(d.drop("_topic", "_key", "_partition", "_kafka_ts"))
+
+
+# Route spec of the stand-in consumer, {target table: topics}.
+ROUTES = {"ticks_wide": ["trades", "quotes", "trades"], "ticks_col": ["trades"], "clicks_col": ["clicks"]}
+
+
+def _routed(spark, sf_dir):
+    routes, n = routing.route_table(spark, ROUTES)
+    return routing.fan_out(tb.topics_union(spark, sf_dir), routes, n)
+
+
+def q_route_fanout(spark, sf_dir):
+    """One subscription, each message once per table its topic feeds."""
+    return _routed(spark, sf_dir).select("target_table", "topic", "offset", "key")
+
+
+def q_writes_by_table(spark, sf_dir):
+    """Rows written in total and per target table."""
+    return routing.write_counts(_routed(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- enrich
+def q_enrich_asof(spark, sf_dir):
+    """J1 + P4: each trade with the latest quote of its symbol."""
+    e = enrich.enrich_trades(tb.trades(spark, sf_dir), tb.quotes(spark, sf_dir), chunk_seconds=6 * 3600)
+    return _seq_out(e)
+
+
+def q_pct_change(spark, sf_dir):
+    """P4 over decoded quote responses (prev_close 0 gives NULL)."""
+    q = tp.decode_quotes(tb.quote_responses(spark, sf_dir), with_fetched_at=False)
+    e = enrich.asof_latest(tb.trades(spark, sf_dir), q, ["symbol"], "_ts", "_seq", ["prev_close"],
+                           prefix="quote_", chunk_seconds=6 * 3600,
+                           right_ts_col="_kafka_ts", right_seq_col="_offset")
+    e = e.withColumn("pct_change", enrich.pct_change("price", "quote_prev_close"))
+    return e.select("symbol", F.col("_seq").alias("seq"), "price", "quote_prev_close", "pct_change")
+
+
 QUERIES = {
     "align_mapped": q_align_mapped,
     "align_null_fill": q_align_null_fill,
@@ -88,4 +174,14 @@ QUERIES = {
     "upsert_last_row": q_upsert_last_row,
     "append_fanin": q_append_fanin,
     "merge_idle_ttl": q_merge_idle_ttl,
+    "src_json_decode": q_src_json_decode,
+    "src_meta_ts": q_src_meta_ts,
+    "src_skip_bad": q_src_skip_bad,
+    "src_drop_count_bad": q_src_drop_count_bad,
+    "decode_trades": q_decode_trades,
+    "decode_quotes": q_decode_quotes,
+    "route_fanout": q_route_fanout,
+    "writes_by_table": q_writes_by_table,
+    "enrich_asof": q_enrich_asof,
+    "pct_change": q_pct_change,
 }

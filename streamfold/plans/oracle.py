@@ -95,3 +95,76 @@ s AS (SELECT symbol, max(ts) AS start_ts FROM g WHERE gap IS NULL OR gap > CAST(
 SELECT u.symbol, {", ".join(f"arg_max(u.{c}, (u.ts, u.event_id)) FILTER (WHERE u.{c} IS NOT NULL) AS {c}" for c in DOC_VALUES)}
 FROM u JOIN s ON u.symbol = s.symbol AND u.ts >= s.start_ts
 GROUP BY u.symbol"""
+
+# ---------------------------------------------------------------- sources
+BAD = "(event_id % 50 = 0)"
+KAFKA_TS = "make_timestamp((epoch_us(ts) // 1000) * 1000)"
+
+SQL["src_json_decode"] = f"""
+SELECT CASE WHEN {BAD} THEN NULL ELSE symbol END AS symbol,
+       CASE WHEN {BAD} THEN NULL ELSE price END AS price,
+       CASE WHEN {BAD} THEN NULL ELSE volume END AS volume,
+       CASE WHEN {BAD} THEN NULL ELSE timestamp END AS timestamp,
+       event_id AS offset, {BAD} AS is_bad
+FROM ({TRADES})"""
+
+SQL["src_meta_ts"] = f"""
+SELECT CAST(user_id AS VARCHAR) AS symbol, value AS price, event_id AS offset, {KAFKA_TS} AS _kafka_ts
+FROM events WHERE event_type = 'purchase'"""
+
+SQL["src_skip_bad"] = f"""
+SELECT symbol, current, high, low, open, prev_close, timestamp, event_id AS offset
+FROM ({QUOTES}) WHERE NOT {BAD}"""
+
+SQL["src_drop_count_bad"] = f"""
+SELECT CASE event_type WHEN 'purchase' THEN 'trades' WHEN 'error' THEN 'quotes' ELSE 'clicks' END AS topic,
+       count(*) FILTER (WHERE NOT {BAD}) AS kafka_read, count(*) FILTER (WHERE {BAD}) AS parse_errors
+FROM events WHERE event_type IN ('purchase', 'error', 'click') GROUP BY 1"""
+
+SQL["decode_trades"] = f"""
+SELECT CAST(user_id AS VARCHAR) AS symbol, value AS price,
+       CASE WHEN {K} % 7 = 0 THEN 0.0 WHEN {K} % 11 = 0 THEN NULL ELSE CAST({K} AS DOUBLE) END AS volume,
+       {MS} AS timestamp, event_id AS offset, 0 AS tick_idx
+FROM events WHERE event_type = 'purchase'
+UNION ALL
+SELECT CAST(user_id AS VARCHAR), CASE WHEN {K} % 13 = 0 THEN NULL ELSE value + 1.0 END, 0.0,
+       {MS} + 1, event_id, 1
+FROM events WHERE event_type = 'purchase'"""
+
+QUOTE_RESP = f"""
+SELECT CAST(user_id AS VARCHAR) AS symbol, value AS current, value + 1.0 AS high, value - 1.0 AS low,
+       value + 0.5 AS open, CASE WHEN {K} % 19 = 0 THEN 0.0 ELSE value END AS prev_close,
+       {SECS} AS timestamp, event_id AS offset, {KAFKA_TS} AS kts
+FROM events WHERE event_type = 'error' AND {K} % 17 <> 0"""
+
+SQL["decode_quotes"] = f"""
+SELECT symbol, current, high, low, open, prev_close, timestamp, "offset" FROM ({QUOTE_RESP})"""
+
+ROUTES = "(VALUES ('trades', 'ticks_wide'), ('quotes', 'ticks_wide'), ('trades', 'ticks_col'), " \
+         "('clicks', 'clicks_col')) AS r(topic, target_table)"
+TOPIC_OF = "CASE event_type WHEN 'purchase' THEN 'trades' WHEN 'error' THEN 'quotes' WHEN 'click' THEN 'clicks' END"
+ROUTED = f"""
+SELECT r.target_table, e.topic, e.event_id AS offset, CAST(e.user_id AS VARCHAR) AS key
+FROM (SELECT *, {TOPIC_OF} AS topic FROM events) e JOIN {ROUTES} ON e.topic = r.topic"""
+
+SQL["route_fanout"] = ROUTED
+
+SQL["writes_by_table"] = f"""
+SELECT CASE WHEN grouping(target_table) = 1 THEN 'written' ELSE 'written:' || target_table END AS metric,
+       count(*) AS n
+FROM ({ROUTED}) GROUP BY ROLLUP (target_table)"""
+
+# ---------------------------------------------------------------- enrich
+SQL["enrich_asof"] = f"""
+SELECT t.symbol, t.price, t.volume, t.timestamp, q.current AS quote_current, q.high AS quote_high,
+       q.low AS quote_low, q.open AS quote_open, q.prev_close AS quote_prev_close,
+       CASE WHEN q.prev_close IS NULL OR q.prev_close = 0 THEN NULL
+            ELSE round((t.price - q.prev_close) / q.prev_close * 100, 4) END AS pct_change,
+       t.event_id AS seq
+FROM ({TRADES}) t ASOF JOIN ({QUOTES}) q ON t.symbol = q.symbol AND t.ts >= q.ts"""
+
+SQL["pct_change"] = f"""
+SELECT t.symbol, t.event_id AS seq, t.price, q.prev_close AS quote_prev_close,
+       CASE WHEN q.prev_close IS NULL OR q.prev_close = 0 THEN NULL
+            ELSE round((t.price - q.prev_close) / q.prev_close * 100, 4) END AS pct_change
+FROM ({TRADES}) t ASOF JOIN ({QUOTE_RESP}) q ON t.symbol = q.symbol AND t.ts >= q.kts"""
