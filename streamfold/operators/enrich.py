@@ -9,11 +9,14 @@ NULL instead of being filled from an older quote.
 Plan (no key is ever gathered whole into one task):
 
 1. Union both sides, tagged, with ``chunk = floor(time / chunk_seconds)``.
-2. Per (key, chunk) the last quote: a partial aggregation, so hot keys are
-   reduced map-side.
+2. Per (key, chunk) the last quote (aggregated over the quote side only,
+   partial so hot keys are reduced map-side) and the distinct chunks that
+   hold trades (a hash aggregate).
 3. A window over those chunk rows of a key (span / chunk rows, independent
-   of the row count) carries the last quote of all earlier chunks.
-4. The union is joined to that carry table on (key, chunk) and a running
+   of the row count) carries the last quote of all earlier chunks to each
+   trade chunk.
+4. The union is joined to that carry table on (key, chunk) (quote rows of
+   chunks without trades drop out: their quote is carried) and a running
    ``last(ignorenulls)`` window runs inside each (key, chunk); the join and
    the window share one hash partitioning, so the big side is shuffled
    once.  Result: ``coalesce(in-chunk quote, carried quote)``.
@@ -62,11 +65,17 @@ def asof_latest(left: DataFrame, right: DataFrame, key: list[str], ts_col: str,
         "_chunk", floor_div(F.unix_micros("_t"), int(chunk_seconds * 1_000_000)))
 
     order = F.struct("_t", "_kind", "_s")
-    chunk_last = (u.groupBy(*key, "_chunk")
-                  .agg(F.max_by("_q", F.when(F.col("_q").isNotNull(), order)).alias("_chunk_q")))
-    carry_w = Window.partitionBy(*key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = chunk_last.select(*key, "_chunk",
-                              F.last("_chunk_q", ignorenulls=True).over(carry_w).alias("_carry"))
+    # chunk rows: the chunks holding trades (a hash distinct) and, per chunk
+    # holding quotes, its last quote (aggregated over the quote side only)
+    t_chunks = u.filter(F.col("_kind") == 1).select(*key, "_chunk").distinct() \
+        .withColumn("_chunk_q", F.lit(None).cast(q_struct_type(right, right_cols))) \
+        .withColumn("_is_t", F.lit(True))
+    q_last = (u.filter(F.col("_kind") == 0).groupBy(*key, "_chunk")
+              .agg(F.max_by("_q", order).alias("_chunk_q")).withColumn("_is_t", F.lit(False)))
+    carry_w = Window.partitionBy(*key).orderBy("_chunk").rangeBetween(Window.unboundedPreceding, -1)
+    carry = (t_chunks.unionByName(q_last)
+             .withColumn("_carry", F.last("_chunk_q", ignorenulls=True).over(carry_w))
+             .filter("_is_t").select(*key, "_chunk", "_carry"))
 
     in_w = (Window.partitionBy(*key, "_chunk").orderBy("_t", "_kind", "_s")
             .rowsBetween(Window.unboundedPreceding, 0))

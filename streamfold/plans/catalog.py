@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamfold.operators import align, enrich, merge, routing
+from streamfold.operators import align, enrich, merge, metrics, routing, runs
 from streamfold.plans import sinks_spec as S
 from streamfold.sources import tables as tb
 from streamfold.sources import topics as tp
@@ -165,6 +165,66 @@ def q_pct_change(spark, sf_dir):
     return e.select("symbol", F.col("_seq").alias("seq"), "price", "quote_prev_close", "pct_change")
 
 
+# ---------------------------------------------------------------- runs/logs
+def q_filter_log_node(spark, sf_dir):
+    """P6 + O3: one node's logs, id ascending."""
+    return runs.filter_logs(tb.run_logs(spark, sf_dir), node_id="click")
+
+
+# Fixed value: the search text of the name-search query.
+SEARCH_TEXT = "R#00000012"
+
+
+def q_search_name(spark, sf_dir):
+    """Case-insensitive substring search over pipeline names."""
+    return runs.search_by_name(tb.parents(spark, sf_dir), SEARCH_TEXT).select("id", "name")
+
+
+def q_run_summary(spark, sf_dir):
+    """R1 + R2 + A8 + A9: per run and node: status, last log row, counts."""
+    return runs.run_summary(tb.log_runs(spark, sf_dir), tb.log_nodes(spark), tb.run_logs(spark, sf_dir))
+
+
+def q_latest_run_per_parent(spark, sf_dir):
+    """J2 + O2: each pipeline with node count and newest run."""
+    out = runs.latest_run_per_parent(tb.parents(spark, sf_dir), tb.runs(spark, sf_dir),
+                                     tb.parent_node_counts(spark, sf_dir))
+    return out.select("id", "name", "node_count", "last_run_id", "last_run_status", "last_run_at")
+
+
+def q_runs_top20(spark, sf_dir):
+    """O1: newest 20 runs of every pipeline."""
+    return runs.top_runs(tb.runs(spark, sf_dir), 20)
+
+
+def q_newest_running_run(spark, sf_dir):
+    """The newest run in status running, per pipeline."""
+    return runs.latest_run(tb.runs(spark, sf_dir), status="running")
+
+
+def q_job_health(spark, sf_dir):
+    """Health of the job behind each pipeline's newest run."""
+    return runs.job_health(tb.parents(spark, sf_dir), tb.runs(spark, sf_dir), tb.jobs(spark, sf_dir))
+
+
+def q_jobs_by_state(spark, sf_dir):
+    """A10: jobs and running jobs."""
+    return runs.jobs_by_state(tb.jobs(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- metrics
+def q_activity_counts(spark, sf_dir):
+    """A5 + T9: events per 60 s window and counter (event type)."""
+    e = tb.read_table(spark, sf_dir, "events")
+    return metrics.counter_totals(e, "ts", "event_type", interval="60 seconds")
+
+
+def q_latency_stats(spark, sf_dir):
+    """Latency samples (value, seconds) per 1 h window and bucket."""
+    e = tb.read_table(spark, sf_dir, "events")
+    return metrics.latency_summary(e, "ts", "event_type", "value", interval="1 hour")
+
+
 QUERIES = {
     "align_mapped": q_align_mapped,
     "align_null_fill": q_align_null_fill,
@@ -184,4 +244,14 @@ QUERIES = {
     "writes_by_table": q_writes_by_table,
     "enrich_asof": q_enrich_asof,
     "pct_change": q_pct_change,
+    "filter_log_node": q_filter_log_node,
+    "search_name": q_search_name,
+    "run_summary": q_run_summary,
+    "latest_run_per_parent": q_latest_run_per_parent,
+    "runs_top20": q_runs_top20,
+    "newest_running_run": q_newest_running_run,
+    "job_health": q_job_health,
+    "jobs_by_state": q_jobs_by_state,
+    "activity_counts": q_activity_counts,
+    "latency_stats": q_latency_stats,
 }

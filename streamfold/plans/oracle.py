@@ -168,3 +168,86 @@ SELECT t.symbol, t.event_id AS seq, t.price, q.prev_close AS quote_prev_close,
        CASE WHEN q.prev_close IS NULL OR q.prev_close = 0 THEN NULL
             ELSE round((t.price - q.prev_close) / q.prev_close * 100, 4) END AS pct_change
 FROM ({TRADES}) t ASOF JOIN ({QUOTE_RESP}) q ON t.symbol = q.symbol AND t.ts >= q.kts"""
+
+# ---------------------------------------------------------------- runs/logs
+LOGS = """SELECT event_id AS id, user_id AS run_id, event_type AS node_id, upper(event_type) AS node_label,
+       CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level,
+       CASE WHEN value >= 150 THEN '✓ ' ELSE '' END || event_type || ' #' || CAST(event_id AS VARCHAR) AS message,
+       ts AS timestamp FROM events"""
+RUNS = """SELECT o_orderkey AS id, o_custkey AS pipeline_id,
+       CASE o_orderstatus WHEN 'O' THEN 'running' WHEN 'F' THEN 'success' ELSE 'pending' END AS status,
+       CASE o_orderpriority WHEN '5-LOW' THEN NULL WHEN '4-NOT SPECIFIED' THEN 'submitted'
+            ELSE 'job-' || CAST(o_orderkey AS VARCHAR) END AS job_id,
+       o_orderdate AS started_at FROM orders"""
+JOBS = """SELECT 'job-' || CAST(o_orderkey AS VARCHAR) AS job_id,
+       CASE WHEN o_orderstatus = 'O' THEN 'RUNNING' ELSE 'FINISHED' END AS state
+       FROM orders WHERE o_orderstatus <> 'P'"""
+NODES = """(VALUES ('error', 'kafka'), ('click', 'kafka'), ('purchase', 'kafka'), ('view', 'mongodb'),
+        ('signup', 'clickhouse'), ('sink', 'scylladb')) AS n(node_id, node_type)"""
+
+SQL["filter_log_node"] = f"SELECT * FROM ({LOGS}) WHERE node_id = 'click'"
+
+SQL["search_name"] = "SELECT c_custkey AS id, c_name AS name FROM customer WHERE lower(c_name) LIKE '%r#00000012%'"
+
+SQL["run_summary"] = f"""
+WITH l AS ({LOGS}),
+a AS (SELECT run_id, node_id, count(*) AS log_count, count(*) FILTER (WHERE level = 'ERROR') AS error_count,
+             bool_or(starts_with(coalesce(message, ''), '✓')) AS any_ok,
+             arg_max(level, id) AS last_level, arg_max(message, id) AS last_message,
+             arg_max(timestamp, id) AS last_ts
+      FROM l GROUP BY run_id, node_id),
+r AS (SELECT DISTINCT run_id FROM l)
+SELECT r.run_id, n.node_id, upper(n.node_id) AS node_label, n.node_type,
+       CASE WHEN a.log_count IS NULL THEN 'pending' WHEN a.error_count > 0 THEN 'failed'
+            WHEN a.any_ok THEN 'success' ELSE 'running' END AS status,
+       a.last_level, a.last_message, a.last_ts AS timestamp,
+       coalesce(a.log_count, 0) AS log_count, coalesce(a.error_count, 0) AS error_count
+FROM r CROSS JOIN {NODES} LEFT JOIN a ON a.run_id = r.run_id AND a.node_id = n.node_id"""
+
+SQL["latest_run_per_parent"] = f"""
+WITH r AS ({RUNS}),
+lr AS (SELECT pipeline_id, arg_max(id, id) AS last_run_id, arg_max(status, id) AS last_run_status,
+              arg_max(started_at, id) AS last_run_at FROM r GROUP BY pipeline_id),
+nc AS (SELECT c.c_custkey AS pipeline_id, s.n AS node_count FROM customer c
+       JOIN (SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY s_nationkey) s ON c.c_nationkey = s.s_nationkey)
+SELECT c.c_custkey AS id, c.c_name AS name, coalesce(nc.node_count, 0) AS node_count,
+       lr.last_run_id, lr.last_run_status, lr.last_run_at
+FROM customer c LEFT JOIN nc ON nc.pipeline_id = c.c_custkey LEFT JOIN lr ON lr.pipeline_id = c.c_custkey"""
+
+SQL["runs_top20"] = f"""
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pipeline_id ORDER BY id DESC) AS rank FROM ({RUNS}))
+WHERE rank <= 20"""
+
+SQL["newest_running_run"] = f"""
+SELECT pipeline_id, id, status, job_id, started_at
+FROM (SELECT *, row_number() OVER (PARTITION BY pipeline_id ORDER BY id DESC) AS rn
+      FROM ({RUNS}) WHERE status = 'running') WHERE rn = 1"""
+
+SQL["job_health"] = f"""
+WITH r AS ({RUNS}),
+lr AS (SELECT pipeline_id, status AS run_status, job_id, id AS run_id
+       FROM (SELECT *, row_number() OVER (PARTITION BY pipeline_id ORDER BY id DESC) AS rn FROM r) WHERE rn = 1)
+SELECT c.c_custkey AS pipeline_id,
+       CASE WHEN lr.run_id IS NULL OR lr.job_id IS NULL OR lr.job_id = 'submitted' THEN NULL
+            WHEN j.job_id IS NULL THEN false ELSE j.state = 'RUNNING' END AS healthy,
+       CASE WHEN lr.run_id IS NULL THEN NULL
+            WHEN lr.job_id IS NULL OR lr.job_id = 'submitted' THEN lr.run_status
+            WHEN j.job_id IS NULL THEN 'UNREACHABLE' ELSE j.state END AS state,
+       CASE WHEN lr.run_id IS NULL OR lr.job_id IS NULL OR lr.job_id = 'submitted' THEN NULL
+            ELSE lr.job_id END AS job_id
+FROM customer c LEFT JOIN lr ON lr.pipeline_id = c.c_custkey LEFT JOIN ({JOBS}) j ON j.job_id = lr.job_id"""
+
+SQL["jobs_by_state"] = f"""
+SELECT count(*) AS n_jobs, count(*) FILTER (WHERE state = 'RUNNING') AS n_running FROM ({JOBS})"""
+
+# ---------------------------------------------------------------- metrics
+SQL["activity_counts"] = """
+SELECT date_trunc('minute', ts) AS window_start, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS window_end,
+       event_type AS name, count(*) AS total
+FROM events GROUP BY 1, 2, 3"""
+
+SQL["latency_stats"] = """
+SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+       event_type AS name, count(*) AS n, round(min(value * 1000), 1) AS min_ms,
+       round(avg(value * 1000), 1) AS avg_ms, round(max(value * 1000), 1) AS max_ms
+FROM events WHERE value IS NOT NULL GROUP BY 1, 2, 3"""

@@ -262,3 +262,16 @@ def parent_node_counts(spark, sf_dir) -> DataFrame:
          .agg(F.count("*").alias("node_count")))
     return c.join(s, c.c_nationkey == s.s_nationkey).select(
         F.col("c_custkey").alias("pipeline_id"), "node_count")
+
+
+def log_runs(spark, sf_dir) -> DataFrame:
+    """Runs that wrote logs (run_id) with their pipeline; the stand-in logs
+    all belong to pipeline 0."""
+    return (run_logs(spark, sf_dir).select("run_id").distinct()
+            .withColumn("pipeline_id", F.lit(0).cast("long")))
+
+
+def log_nodes(spark) -> DataFrame:
+    """The stand-in pipeline's nodes (from the spec, a handful of rows)."""
+    return spark.createDataFrame([(0, n, n.upper(), t) for n, t in LOG_NODES],
+                                 "pipeline_id long, node_id string, node_label string, node_type string")
