@@ -64,16 +64,24 @@ def node_status(log_count, error_count, any_ok):
             .otherwise("running"))
 
 
-def run_summary(runs: DataFrame, nodes: DataFrame, logs: DataFrame) -> DataFrame:
+# Broadcast bound for node lists built from a pipeline spec (rows).
+MAX_BROADCAST_NODES = 100_000
+
+
+def run_summary(runs: DataFrame, nodes: DataFrame, logs: DataFrame, nodes_rows: int | None = None) -> DataFrame:
     """R2: one row per (run, node of the run's pipeline), nodes without logs
     kept.  ``runs``: run_id, pipeline_id; ``nodes``: pipeline_id, node_id,
     node_label, node_type.
 
     The run x node rows come from an equi-join on pipeline_id (a run gets
     its own pipeline's nodes), then a left join on the per-node log
-    aggregates.
+    aggregates.  ``nodes_rows``: the node list's row count when it is known
+    from the spec; below ``MAX_BROADCAST_NODES`` the node list is broadcast
+    and the runs are never shuffled for this join.
     """
     per_node = node_log_summary(logs)
+    if nodes_rows is not None and nodes_rows <= MAX_BROADCAST_NODES:
+        nodes = F.broadcast(nodes)
     grid = runs.join(nodes, "pipeline_id")
     j = grid.join(per_node, ["run_id", "node_id"], "left")
     return j.select(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from streamfold.operators import align, enrich, merge, metrics, routing, runs
 from streamfold.plans import sinks_spec as S
+from streamfold.plans import spec as X
 from streamfold.sources import tables as tb
 from streamfold.sources import topics as tp
 
@@ -182,7 +183,8 @@ def q_search_name(spark, sf_dir):
 
 def q_run_summary(spark, sf_dir):
     """R1 + R2 + A8 + A9: per run and node: status, last log row, counts."""
-    return runs.run_summary(tb.log_runs(spark, sf_dir), tb.log_nodes(spark), tb.run_logs(spark, sf_dir))
+    return runs.run_summary(tb.log_runs(spark, sf_dir), tb.log_nodes(spark), tb.run_logs(spark, sf_dir),
+                            nodes_rows=len(tb.LOG_NODES))
 
 
 def q_latest_run_per_parent(spark, sf_dir):
@@ -225,6 +227,67 @@ def q_latency_stats(spark, sf_dir):
     return metrics.latency_summary(e, "ts", "event_type", "value", interval="1 hour")
 
 
+# ---------------------------------------------------------------- X1 / X2
+def stand_in_spec() -> dict:
+    """Three topics fanned into a document sink; a column-store sink is
+    downstream of the document sink, a wide-column sink takes the topics
+    directly, and one sink has no source at all."""
+    topic = lambda t: {"id": t, "node_type": X.KAFKA, "label": f"kafka-{t}",
+                       "properties": {"topic": t, "format": "json", "_handles": tb.TOPIC_FIELDS[t]}}
+    handles = [[f.name, f.type] for f in S.DOC_FIELDS]
+    wide = [[f.name, f.type] for f in S.WIDE_FIELDS]
+    return {
+        "nodes": [
+            topic("trades"), topic("quotes"), topic("clicks"),
+            {"id": "doc", "node_type": X.MONGODB, "label": "doc-merge",
+             "properties": {"primary_key": S.DOC_KEY, "_handles": handles, "field_mappings": S.DOC_MAPPING}},
+            {"id": "col", "node_type": X.CLICKHOUSE, "label": "col-analytics",
+             "properties": {"primary_key": S.DOC_KEY, "_handles": handles}},
+            {"id": "wide", "node_type": X.SCYLLADB, "label": "wide-merged",
+             "properties": {"primary_key": S.WIDE_KEY, "_handles": wide}},
+            {"id": "orphan", "node_type": X.SCYLLADB, "label": "no-source", "properties": {"_handles": wide}},
+        ],
+        "edges": [
+            {"source_id": "trades", "target_id": "doc"}, {"source_id": "quotes", "target_id": "doc"},
+            {"source_id": "clicks", "target_id": "doc"}, {"source_id": "doc", "target_id": "col"},
+            {"source_id": "trades", "target_id": "wide"}, {"source_id": "quotes", "target_id": "wide"},
+            {"source_id": "clicks", "target_id": "wide"},
+        ],
+    }
+
+
+def _spec_sinks(spark, sf_dir, **kw):
+    reader = lambda t: tb.topic_messages(spark, sf_dir, t)
+    return X.build(stand_in_spec(), reader, **kw)
+
+
+def q_declarative_spec(spark, sf_dir):
+    """The document sink of the stand-in spec (topics -> decode -> P1 -> A1)."""
+    return _spec_sinks(spark, sf_dir)["doc"]
+
+
+def q_spec_column_store(spark, sf_dir):
+    """X2 column-store sink traced through the document sink: raw topic
+    rows, P2-aligned and appended (inserted_at left out: processing time)."""
+    out = _spec_sinks(spark, sf_dir, with_inserted_at=False)["col"]
+    return out.withColumnRenamed("_topic", "topic").withColumnRenamed("_offset", "offset")
+
+
+def q_spec_wide_upsert(spark, sf_dir):
+    """X2 wide-column sink: P3 by name, last row wins in topic order."""
+    return _spec_sinks(spark, sf_dir)["wide"]
+
+
+# Fixed value: the user SQL of the X1 query.
+USER_SQL = ("SELECT symbol, count(*) AS n_trades, max(price) AS max_price, min(timestamp) AS first_ts "
+            "FROM trades GROUP BY symbol")
+
+
+def q_user_sql(spark, sf_dir):
+    """User SQL over the decoded topics registered as views."""
+    return X.run_user_sql(spark, USER_SQL, tb.decoded_sources(spark, sf_dir))
+
+
 QUERIES = {
     "align_mapped": q_align_mapped,
     "align_null_fill": q_align_null_fill,
@@ -254,4 +317,8 @@ QUERIES = {
     "jobs_by_state": q_jobs_by_state,
     "activity_counts": q_activity_counts,
     "latency_stats": q_latency_stats,
+    "declarative_spec": q_declarative_spec,
+    "spec_column_store": q_spec_column_store,
+    "spec_wide_upsert": q_spec_wide_upsert,
+    "user_sql": q_user_sql,
 }

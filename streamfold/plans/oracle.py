@@ -251,3 +251,51 @@ SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL
        event_type AS name, count(*) AS n, round(min(value * 1000), 1) AS min_ms,
        round(avg(value * 1000), 1) AS avg_ms, round(max(value * 1000), 1) AS max_ms
 FROM events WHERE value IS NOT NULL GROUP BY 1, 2, 3"""
+
+# ---------------------------------------------------------------- X1 / X2
+# topic-decoded rows are ordered by (broker ms, topic, partition, offset)
+def _kafka_order(alias=""):
+    p = f"{alias}." if alias else ""
+    return f"({p}epoch_us({p}ts) // 1000, {p}topic, {p}event_id)"
+
+
+DOC_TOPICS = f"""
+SELECT symbol, price, volume, CAST(NULL AS DOUBLE) AS quote_current, CAST(NULL AS DOUBLE) AS quote_prev_close,
+       CAST(NULL AS BIGINT) AS clicks_k, timestamp, ts, event_id, 'trades' AS topic FROM ({TRADES})
+UNION ALL
+SELECT symbol, NULL, NULL, current, prev_close, NULL, timestamp, ts, event_id, 'quotes' FROM ({QUOTES})
+UNION ALL
+SELECT symbol, NULL, NULL, NULL, NULL, k, timestamp, ts, event_id, 'clicks' FROM ({CLICKS})
+"""
+
+SQL["declarative_spec"] = f"""
+SELECT symbol, {", ".join(f"arg_max({c}, {_kafka_order()}) FILTER (WHERE {c} IS NOT NULL) AS {c}" for c in DOC_VALUES)}
+FROM ({DOC_TOPICS}) GROUP BY symbol"""
+
+SQL["spec_column_store"] = f"""
+SELECT symbol, price, volume, CAST(NULL AS DOUBLE) AS quote_current, CAST(NULL AS DOUBLE) AS quote_prev_close,
+       CAST(NULL AS BIGINT) AS clicks_k, timestamp, 'trades' AS topic, event_id AS offset FROM ({TRADES})
+UNION ALL
+SELECT symbol, NULL, NULL, NULL, NULL, NULL, timestamp, 'quotes', event_id FROM ({QUOTES})
+UNION ALL
+SELECT symbol, NULL, NULL, NULL, NULL, NULL, timestamp, 'clicks', event_id FROM ({CLICKS})"""
+
+WIDE_TOPICS = f"""
+SELECT symbol, price, volume, CAST(NULL AS DOUBLE) AS current, CAST(NULL AS DOUBLE) AS prev_close,
+       CAST(NULL AS BIGINT) AS k, timestamp, ts, event_id, 'trades' AS topic FROM ({TRADES})
+UNION ALL
+SELECT symbol, NULL, NULL, current, prev_close, NULL, timestamp, ts, event_id, 'quotes' FROM ({QUOTES})
+UNION ALL
+SELECT symbol, NULL, NULL, NULL, NULL, k, timestamp, ts, event_id, 'clicks' FROM ({CLICKS})
+"""
+
+SQL["spec_wide_upsert"] = f"""
+SELECT symbol, price, volume, current, prev_close, k, timestamp
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol
+             ORDER BY epoch_us(ts) // 1000 DESC, topic DESC, event_id DESC) AS rn
+      FROM ({WIDE_TOPICS}) WHERE symbol IS NOT NULL)
+WHERE rn = 1"""
+
+SQL["user_sql"] = f"""
+SELECT symbol, count(*) AS n_trades, max(price) AS max_price, min(timestamp) AS first_ts
+FROM ({TRADES}) GROUP BY symbol"""
