@@ -1,0 +1,84 @@
+import datetime as dt
+
+import pytest
+
+from streamfold.functions.schema import Field
+from streamfold.operators import merge
+from conftest import rows
+
+FIELDS = [Field("k"), Field("a", "DOUBLE"), Field("b", "STRING")]
+SCHEMA = "k string, a double, b string, ts timestamp, id long"
+T0 = dt.datetime(2024, 1, 1)
+
+
+def t(minutes):
+    return T0 + dt.timedelta(minutes=minutes)
+
+
+def _df(spark, data):
+    return spark.createDataFrame(data, SCHEMA)
+
+
+def test_latest_nonnull_vs_last_row(spark):
+    # a late NULL: A1 keeps the older value, A2 stores the NULL
+    df = _df(spark, [("x", 1.0, "p", t(0), 1), ("x", None, "q", t(1), 2)])
+    a1 = rows(merge.merge_latest_nonnull(df, FIELDS, ["k"], ["ts", "id"]))
+    a2 = rows(merge.upsert_last_row(df, FIELDS, ["k"], ["ts", "id"]))
+    assert a1 == [{"k": "x", "a": 1.0, "b": "q"}]
+    assert a2 == [{"k": "x", "a": None, "b": "q"}]
+
+
+def test_never_set_column_is_null(spark):
+    df = _df(spark, [("x", 1.0, None, t(0), 1), ("x", 2.0, None, t(1), 2)])
+    assert rows(merge.merge_latest_nonnull(df, FIELDS, ["k"], ["ts", "id"])) == [{"k": "x", "a": 2.0, "b": None}]
+
+
+def test_null_key_own_group_in_a1_rejected_in_a2(spark):
+    df = _df(spark, [(None, 1.0, "a", t(0), 1), (None, 2.0, None, t(1), 2), ("y", 3.0, "c", t(0), 3)])
+    a1 = rows(merge.merge_latest_nonnull(df, FIELDS, ["k"], ["ts", "id"]))
+    assert {"k": None, "a": 2.0, "b": "a"} in a1 and len(a1) == 2
+    a2 = rows(merge.upsert_last_row(df, FIELDS, ["k"], ["ts", "id"]))
+    assert a2 == [{"k": "y", "a": 3.0, "b": "c"}]
+    assert merge.null_key_rows(df, ["k"]).count() == 2
+
+
+def test_tie_break_on_id(spark):
+    df = _df(spark, [("x", 1.0, "first", t(0), 2), ("x", 5.0, "second", t(0), 1)])
+    assert rows(merge.merge_latest_nonnull(df, FIELDS, ["k"], ["ts", "id"])) == [{"k": "x", "a": 1.0, "b": "first"}]
+
+
+def test_idle_ttl_restarts_from_null(spark):
+    # key idle > 1 h, then a partial row: older values are gone
+    df = _df(spark, [("x", 1.0, "old", t(0), 1), ("x", 2.0, None, t(30), 2), ("x", None, "new", t(200), 3),
+                     ("y", 7.0, "keep", t(0), 4), ("y", None, None, t(59), 5), ("y", 8.0, None, t(118), 6)])
+    out = rows(merge.merge_idle_ttl(df, FIELDS, ["k"], ["ts", "id"], ts_col="ts", ttl_seconds=3600))
+    assert out == [{"k": "x", "a": None, "b": "new"}, {"k": "y", "a": 8.0, "b": "keep"}]
+
+
+def test_idle_ttl_exact_boundary_not_expired(spark):
+    df = _df(spark, [("x", 1.0, "a", t(0), 1), ("x", None, "b", t(60), 2)])
+    out = rows(merge.merge_idle_ttl(df, FIELDS, ["k"], ["ts", "id"], ts_col="ts", ttl_seconds=3600))
+    assert out == [{"k": "x", "a": 1.0, "b": "b"}]
+
+
+def test_empty_input(spark):
+    df = _df(spark, [])
+    assert merge.merge_latest_nonnull(df, FIELDS, ["k"], ["ts", "id"]).count() == 0
+    assert merge.upsert_last_row(df, FIELDS, ["k"], ["ts", "id"]).count() == 0
+
+
+def test_key_must_be_sink_field(spark):
+    df = _df(spark, [("x", 1.0, "a", t(0), 1)])
+    with pytest.raises(ValueError):
+        merge.merge_latest_nonnull(df, FIELDS, ["zz"], ["ts", "id"])
+
+
+def test_union_requires_sources():
+    with pytest.raises(ValueError):
+        merge.union_all([])
+
+
+def test_append_keeps_everything(spark):
+    a = _df(spark, [("x", 1.0, "a", t(0), 1)])
+    b = _df(spark, [("x", 1.0, "a", t(0), 1)])
+    assert merge.append_fanin([a, b]).count() == 2

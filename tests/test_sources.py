@@ -1,0 +1,73 @@
+import pytest
+
+from streamfold.sources import topics as tp
+from conftest import rows
+
+ENV = "topic string, key string, value string, partition int, offset long, timestamp timestamp, timestampType int"
+FIELDS = [("symbol", "STRING"), ("price", "DOUBLE"), ("n", "BIGINT")]
+
+
+def msgs(spark, values, topic="t"):
+    return spark.createDataFrame([(topic, "k", v, 0, i, None, 0) for i, v in enumerate(values)], ENV)
+
+
+def test_permissive_cases(spark):
+    vals = ['{"symbol":"A","price":1.5,"n":3}', "not json", "{}", "null", '{"symbol":"A","price":"x"}',
+            '{"symbol":"B","price":null}', '{"symbol":"C","extra":1}']
+    d = tp.decode_json(msgs(spark, vals), FIELDS)
+    out = {r["_offset"]: r for r in d.collect()}
+    assert out[0]["price"] == 1.5 and out[0][tp.CORRUPT] is None
+    assert out[1][tp.CORRUPT] == "not json"                       # malformed
+    assert out[2][tp.CORRUPT] is None and out[2]["symbol"] is None  # {} is valid, all NULL
+    assert out[3][tp.CORRUPT] == "null"                           # JSON null is bad
+    assert out[4][tp.CORRUPT] is not None                         # wrong type
+    assert out[5][tp.CORRUPT] is None and out[5]["price"] is None  # explicit null
+    assert out[6][tp.CORRUPT] is None and out[6]["n"] is None      # missing key -> NULL
+
+
+def test_skip_split_and_count(spark):
+    d = tp.decode_json(msgs(spark, ['{"symbol":"A"}', "bad", '{"symbol":"B"}']), FIELDS)
+    assert tp.skip_bad(d).count() == 2
+    good, bad = tp.split_bad(d)
+    assert good.count() == 2 and bad.count() == 1
+    assert rows(tp.count_bad(d)) == [{"_topic": "t", "kafka_read": 2, "parse_errors": 1}]
+
+
+def test_failfast_raises(spark):
+    with pytest.raises(Exception):
+        tp.decode_json(msgs(spark, ["bad"]), FIELDS, mode="FAILFAST").collect()
+
+
+def test_default_schema_without_declaration(spark):
+    d = tp.decode_json(msgs(spark, ['{"id":"1","payload":"x"}']))
+    assert d.columns[:2] == ["id", "payload"]
+
+
+def test_decode_trades_missing_vs_null(spark):
+    v = ['{"type":"trade","data":[{"s":"A","p":1.5,"v":2,"t":9},{"p":null},{}]}', '{"type":"ping"}',
+         '{"type":"trade"}', '{"type":"trade","data":[]}']
+    out = rows(tp.decode_trades(msgs(spark, v)).select("symbol", "price", "volume", "timestamp", "_tick_idx"),
+               order=lambda d: d["_tick_idx"])
+    assert out == [
+        {"symbol": "A", "price": 1.5, "volume": 2.0, "timestamp": 9, "_tick_idx": 0},
+        {"symbol": "", "price": None, "volume": 0.0, "timestamp": 0, "_tick_idx": 1},
+        {"symbol": "", "price": 0.0, "volume": 0.0, "timestamp": 0, "_tick_idx": 2},
+    ]
+
+
+def test_decode_quotes_drop_rules(spark):
+    v = ['{"c":1,"h":2,"l":0.5,"o":1,"pc":0.9,"t":100}', '{"c":null,"h":2,"l":0.5,"o":1,"pc":0.9,"t":1}',
+         '{"h":2,"l":0.5,"o":1,"pc":0.9,"t":1}', '{"c":1,"l":0.5,"o":1,"pc":0.9,"t":1}',
+         '{"c":1,"h":null,"l":0.5,"o":1,"pc":0.9,"t":5}', "null"]
+    out = rows(tp.decode_quotes(msgs(spark, v)).drop("_topic", "_partition", "_kafka_ts"),
+               order=lambda d: d["_offset"])
+    assert [r["_offset"] for r in out] == [0, 4]
+    assert out[0]["current"] == 1.0 and out[0]["timestamp"] == 100 and out[0]["symbol"] == "k"
+    assert out[1]["high"] is None and out[1]["fetched_at"] > 0
+
+
+def test_kafka_options():
+    o = tp.kafka_options(["a", "b"], "h:9092")
+    assert o["subscribe"] == "a,b" and o["startingOffsets"] == "earliest" and o["kafka.group.id"] == "xstream_a"
+    o = tp.kafka_options("a.*", "h:9092", pattern=True, max_offsets_per_trigger=500)
+    assert o["subscribePattern"] == "a.*" and o["maxOffsetsPerTrigger"] == "500"
