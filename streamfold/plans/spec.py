@@ -80,7 +80,7 @@ def decode_source(messages: DataFrame, node: dict, mode: str) -> DataFrame:
     ``drop`` (wide-column consumer; count with ``count_bad`` separately)."""
     if mode == "fail":
         return tp.decode_json(messages, node_fields(node), mode="FAILFAST")
-    return tp.skip_bad(tp.decode_json(messages, node_fields(node)))
+    return tp.decode_json(messages, node_fields(node), drop_bad=True)
 
 
 def _sink_sources(sink: dict, nodes: dict, edges: list[dict]) -> list[str]:
@@ -138,13 +138,13 @@ def build_sink(sink: dict, nodes: dict, edges: list[dict], topic_reader: Callabl
     raise ValueError(f"not a sink type: {kind}")
 
 
-def build(spec: dict, topic_reader: Callable[[str], DataFrame], **kw) -> dict[str, DataFrame]:
-    """All sinks of a spec: ``{sink node id: DataFrame}``."""
+def build(spec: dict, topic_reader: Callable[[str], DataFrame], only=None, **kw) -> dict[str, DataFrame]:
+    """The sinks of a spec (all, or the ids in ``only``): ``{sink id: DataFrame}``."""
     nodes = {n["id"]: n for n in spec["nodes"]}
     edges = spec.get("edges", [])
     out = {}
     for n in spec["nodes"]:
-        if n["node_type"] in SINK_TYPES:
+        if n["node_type"] in SINK_TYPES and (only is None or n["id"] in only):
             df = build_sink(n, nodes, edges, topic_reader, **kw)
             if df is not None:
                 out[n["id"]] = df

@@ -42,8 +42,20 @@ BAD_TEXT = "bad"
 BAD_EVERY = 50
 
 
+_HANDLES: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A lazy DataFrame over one driver table.  The handle is reused within
+    a session (no data is cached: it only saves listing the files and
+    analysing the relation again for every topic built on the table)."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (id(spark), path)
+    df = _HANDLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _HANDLES[key] = df
+    return df
 
 
 def _events(spark, sf_dir, event_type: str | None = None) -> DataFrame:

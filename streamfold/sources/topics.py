@@ -73,14 +73,25 @@ def _meta(meta_ts: bool = True) -> list[Column]:
     return cols
 
 
+def rows_where(cond: Column, *cols: Column) -> Column:
+    """Generator that emits ``struct(cols)`` once when ``cond`` holds, else
+    nothing.  A ``filter`` over a parsed column would be pushed below the
+    projection with the parse inlined into every predicate term (one JSON
+    parse per term); as a generator the parse stays in one projection where
+    subexpression elimination evaluates it once per message."""
+    return F.inline(F.when(cond, F.array(F.struct(*cols))))
+
+
 # ---------------------------------------------------------------- S1-S4
 def decode_json(messages: DataFrame, fields=None, mode: str = "PERMISSIVE",
-                meta_ts: bool = True, handles=None, ddl: str | None = None) -> DataFrame:
+                meta_ts: bool = True, handles=None, ddl: str | None = None,
+                drop_bad: bool = False) -> DataFrame:
     """Decode the ``value`` of every message against the declared schema.
 
     ``mode``: ``FAILFAST`` raises on the first bad message (S4a);
     ``PERMISSIVE`` keeps it with NULL fields and the raw text in
-    ``_corrupt_record`` (use ``skip_bad`` / ``split_bad`` on the result).
+    ``_corrupt_record`` (use ``skip_bad`` / ``split_bad`` on the result);
+    ``drop_bad=True`` drops bad messages in the same pass (S4b).
     """
     flds = as_fields(fields) if fields is not None else declared_fields(handles, ddl)
     schema = to_struct([Field(f.name, f.type) for f in flds])
@@ -91,12 +102,15 @@ def decode_json(messages: DataFrame, fields=None, mode: str = "PERMISSIVE",
     parsed = F.from_json(F.col("value").cast("string"), schema, opts)
     out = messages.select(parsed.alias("_m"), F.col("value").cast("string").alias("_text"), *_meta(meta_ts))
     cols = [F.col("_m")[f.name].alias(f.name) for f in flds]
-    if mode.upper() == "PERMISSIVE":
-        # a message that is not a JSON object at all (e.g. the text null)
-        # parses to a NULL struct: that is a bad record too
-        cols.append(F.when(F.col("_m").isNull(), F.col("_text"))
-                    .otherwise(F.col("_m")[CORRUPT]).alias(CORRUPT))
-    return out.select(*cols, *[c for c in META if c in out.columns])
+    meta = [F.col(c) for c in META if c in out.columns]
+    if mode.upper() != "PERMISSIVE":
+        return out.select(*cols, *meta)
+    # a message that is not a JSON object at all (e.g. the text null)
+    # parses to a NULL struct: that is a bad record too
+    corrupt = F.when(F.col("_m").isNull(), F.col("_text")).otherwise(F.col("_m")[CORRUPT])
+    if drop_bad:
+        return out.select(rows_where(corrupt.isNull(), *cols, *meta))
+    return out.select(*cols, corrupt.alias(CORRUPT), *meta)
 
 
 def skip_bad(decoded: DataFrame) -> DataFrame:
@@ -140,8 +154,9 @@ def decode_trades(messages: DataFrame) -> DataFrame:
     Ticks are parsed as string maps to tell the two apart.
     """
     parsed = messages.select(F.from_json(F.col("value").cast("string"), _TICK_SCHEMA).alias("_m"), *_meta())
-    trades = parsed.filter(F.col("_m.type") == "trade")
-    ticks = trades.select(F.posexplode("_m.data").alias("_tick_idx", "_t"), *META)
+    # explode only trade messages (no filter: see ``rows_where``)
+    data = F.when(F.col("_m.type") == "trade", F.col("_m.data"))
+    ticks = parsed.select(F.posexplode(data).alias("_tick_idx", "_t"), *META)
     t = F.col("_t")
     return ticks.select(_get_or(t, "s", "", "string").alias("symbol"),
                         _get_or(t, "p", 0.0, "double").alias("price"),
@@ -166,7 +181,7 @@ def decode_quotes(messages: DataFrame, with_fetched_at: bool = True) -> DataFram
     m = F.from_json(F.col("value").cast("string"), T.MapType(T.StringType(), T.StringType()))
     parsed = messages.select(m.alias("_m"), *_meta())
     mm = F.col("_m")
-    keep = mm["c"].isNotNull()
+    keep = mm.isNotNull() & mm["c"].isNotNull()
     for k, _ in QUOTE_KEYS[1:]:
         keep = keep & F.map_contains_key(mm, k)
     cols = [F.col("_key").alias("symbol")]
@@ -174,4 +189,4 @@ def decode_quotes(messages: DataFrame, with_fetched_at: bool = True) -> DataFram
         cols.append(mm[k].try_cast("bigint" if k == "t" else "double").alias(name))
     if with_fetched_at:
         cols.append(F.unix_seconds(F.current_timestamp()).alias("fetched_at"))
-    return parsed.filter(mm.isNotNull() & keep).select(*cols, *META)
+    return parsed.select(rows_where(keep, *cols, *[F.col(c) for c in META]))

@@ -19,7 +19,7 @@ from streamfold.operators import align, merge
 from streamfold.session import checkpoint_subdir
 from streamfold.sinks.stores import SnapshotTable, append_column_store
 from streamfold.sources.tables import ENVELOPE
-from streamfold.sources.topics import decode_json, skip_bad
+from streamfold.sources.topics import decode_json
 
 # Fixed values from the reference's deployment: checkpoint every 10 s;
 # the consumer flushes at 500 rows or 1 s.
@@ -36,8 +36,9 @@ def envelope_files_stream(spark: SparkSession, path: str, max_files_per_trigger:
 
 
 def decoded_stream(messages: DataFrame, fields, mode: str = "skip") -> DataFrame:
-    d = decode_json(messages, fields, mode="FAILFAST" if mode == "fail" else "PERMISSIVE")
-    return d if mode == "fail" else skip_bad(d)
+    if mode == "fail":
+        return decode_json(messages, fields, mode="FAILFAST")
+    return decode_json(messages, fields, drop_bad=True)
 
 
 def start_merge(merged: DataFrame, snapshot: SnapshotTable, name: str,
