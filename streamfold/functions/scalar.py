@@ -60,3 +60,13 @@ def floor_div(x, width: int) -> Column:
     """Exact integer floor division of a long, also for negatives."""
     x = _c(x)
     return ((x - F.pmod(x, F.lit(width))) / F.lit(width)).cast("long")
+
+
+def to_bytes(col) -> Column:
+    """String -> UTF-8 bytes (message key/value encoding)."""
+    return F.encode(_c(col), "UTF-8")
+
+
+def from_bytes(col) -> Column:
+    """UTF-8 bytes -> string (a Kafka key/value column is binary)."""
+    return F.decode(_c(col), "UTF-8")

@@ -51,3 +51,25 @@ def write_counts(routed: DataFrame, target_col: str = "target_table", name: str
     metric = F.when(F.col(target_col).isNull(), F.lit(name)).otherwise(
         F.concat(F.lit(name + ":"), F.col(target_col)))
     return g.select(metric.alias("metric"), "n")
+
+
+def refreshing_router(load_routes, writers: dict):
+    """A ``foreachBatch`` function that re-reads the route table for
+    every micro-batch, so route changes apply without a restart (subscribe
+    with a topic pattern so new topics arrive too).
+
+    ``load_routes()`` returns ``{target_table: [topic, ...]}`` (read from the
+    route file or table each time); ``writers[target](rows, batch_id)``
+    writes one target's rows.  The batch is persisted once for all targets.
+    """
+    def each(batch: DataFrame, batch_id: int):
+        routes = load_routes()
+        batch.persist()
+        try:
+            for target, topics in routes.items():
+                w = writers.get(target)
+                if w is not None:
+                    w(batch.filter(F.col("topic").isin(dedupe_first_seen(topics))), batch_id)
+        finally:
+            batch.unpersist()
+    return each

@@ -222,6 +222,15 @@ def q_activity_counts(spark, sf_dir):
     return metrics.counter_totals(e, "ts", "event_type", interval="60 seconds")
 
 
+def q_consumer_lag(spark, sf_dir):
+    """T10 + A6: per topic, lag from broker time (CreateTime only) to now,
+    n/min/avg/max in ms.  Values depend on the clock: rows-only check."""
+    lag = metrics.consumer_lag(tb.topics_union(spark, sf_dir))
+    ms = F.col("lag_s") * 1000
+    return lag.groupBy("topic").agg(F.count("*").alias("n"), F.round(F.min(ms), 1).alias("min_ms"),
+                                    F.round(F.avg(ms), 1).alias("avg_ms"), F.round(F.max(ms), 1).alias("max_ms"))
+
+
 def q_latency_stats(spark, sf_dir):
     """Latency samples (value, seconds) per 1 h window and bucket."""
     e = tb.read_table(spark, sf_dir, "events")
@@ -318,6 +327,7 @@ QUERIES = {
     "jobs_by_state": q_jobs_by_state,
     "activity_counts": q_activity_counts,
     "latency_stats": q_latency_stats,
+    "consumer_lag": q_consumer_lag,
     "declarative_spec": q_declarative_spec,
     "spec_column_store": q_spec_column_store,
     "spec_wide_upsert": q_spec_wide_upsert,

@@ -71,3 +71,10 @@ def test_kafka_options():
     assert o["subscribe"] == "a,b" and o["startingOffsets"] == "earliest" and o["kafka.group.id"] == "xstream_a"
     o = tp.kafka_options("a.*", "h:9092", pattern=True, max_offsets_per_trigger=500)
     assert o["subscribePattern"] == "a.*" and o["maxOffsetsPerTrigger"] == "500"
+
+
+def test_bytes_round_trip(spark):
+    from pyspark.sql import functions as F
+    from streamfold.functions.scalar import from_bytes, to_bytes
+    df = spark.createDataFrame([("ü-key",)], "s string")
+    assert df.select(from_bytes(to_bytes("s")).alias("x")).collect()[0]["x"] == "ü-key"
