@@ -215,7 +215,8 @@ SELECT c.c_custkey AS id, c.c_name AS name, coalesce(nc.node_count, 0) AS node_c
 FROM customer c LEFT JOIN nc ON nc.pipeline_id = c.c_custkey LEFT JOIN lr ON lr.pipeline_id = c.c_custkey"""
 
 SQL["runs_top20"] = f"""
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pipeline_id ORDER BY id DESC) AS rank FROM ({RUNS}))
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY pipeline_id ORDER BY id DESC) AS INTEGER) AS rank
+               FROM ({RUNS}))
 WHERE rank <= 20"""
 
 SQL["newest_running_run"] = f"""

@@ -44,6 +44,24 @@ BAD_EVERY = 50
 
 _HANDLES: dict = {}
 
+# Inputs smaller than this are not worth a shuffle to spread (bytes).
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def spread_if_underpartitioned(df: DataFrame) -> DataFrame:
+    """Round-robin an input over the cluster's cores when its scan has
+    fewer splits than cores (e.g. a single-row-group file) and it is big
+    enough to matter.  A large input has many more splits than cores and is
+    returned unchanged, so this never adds a shuffle at scale.  Spark sorts
+    before a round-robin repartition, so a retried task gets the same rows.
+    """
+    sc = df.sparkSession.sparkContext
+    cores = sc.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size >= SPREAD_MIN_BYTES else df
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A lazy DataFrame over one driver table.  The handle is reused within
@@ -58,8 +76,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def _events(spark, sf_dir, event_type: str | None = None) -> DataFrame:
+def _events(spark, sf_dir, event_type: str | None = None, spread: bool = False) -> DataFrame:
     e = read_table(spark, sf_dir, "events")
+    if spread:                  # JSON encode/decode is CPU-heavy per row
+        e = spread_if_underpartitioned(e)
     if event_type is not None:
         e = e.filter(F.col("event_type") == event_type)
     return e
@@ -145,7 +165,7 @@ def _envelope(df: DataFrame, topic: str, value, with_bad: bool) -> DataFrame:
 
 def topic_messages(spark, sf_dir, topic: str, with_bad: bool = False) -> DataFrame:
     """JSON messages of one stand-in topic, as a topic source would give."""
-    e = _events(spark, sf_dir, TOPIC_EVENT_TYPE[topic])
+    e = _events(spark, sf_dir, TOPIC_EVENT_TYPE[topic], spread=True)
     return _envelope(e, topic, F.to_json(F.struct(*_topic_columns(topic))), with_bad)
 
 
@@ -167,7 +187,7 @@ def trade_envelopes(spark, sf_dir) -> DataFrame:
     k % 13 == 0.  That exercises missing-key defaults against explicit
     nulls on table data.
     """
-    e = read_table(spark, sf_dir, "events").filter(F.col("event_type").isin("purchase", "view"))
+    e = _events(spark, sf_dir, spread=True).filter(F.col("event_type").isin("purchase", "view"))
     k = _k()
     sym = F.col("user_id").cast("string")
     ms = epoch_ms()
@@ -192,7 +212,7 @@ def quote_responses(spark, sf_dir) -> DataFrame:
     o = value + 0.5, pc = value, t = epoch seconds.  ``c`` is null when
     k % 17 == 0 (the poll is dropped) and ``pc`` is 0 when k % 19 == 0.
     """
-    e = _events(spark, sf_dir, TOPIC_EVENT_TYPE["quotes"])
+    e = _events(spark, sf_dir, TOPIC_EVENT_TYPE["quotes"], spread=True)
     k = _k()
     v = F.col("value")
     c = F.when(k % 17 == 0, F.lit(None).cast("double")).otherwise(v)
