@@ -107,13 +107,16 @@ def latest_run(runs: DataFrame, status: str | None = None) -> DataFrame:
 
 def latest_run_per_parent(parents: DataFrame, runs: DataFrame, node_counts: DataFrame) -> DataFrame:
     """J2 + O2: every pipeline with its node count and newest run (NULL when
-    it has none), by ``updated_at``/id descending.  ``node_counts``:
-    pipeline_id, node_count."""
+    it has none), listed by ``updated_at`` descending (id descending when
+    the pipelines carry no ``updated_at``).  ``node_counts``: pipeline_id,
+    node_count."""
     lr = latest_run(runs).select("pipeline_id", F.col("status").alias("last_run_status"),
                                  F.col("started_at").alias("last_run_at"), F.col("id").alias("last_run_id"))
     p = parents.join(node_counts, parents.id == node_counts.pipeline_id, "left").drop("pipeline_id")
     out = p.join(lr, p.id == lr.pipeline_id, "left").drop("pipeline_id")
-    return out.withColumn("node_count", F.coalesce("node_count", F.lit(0)).cast("long"))
+    out = out.withColumn("node_count", F.coalesce("node_count", F.lit(0)).cast("long"))
+    recency = "updated_at" if "updated_at" in parents.columns else "id"
+    return out.orderBy(F.col(recency).desc(), F.col("id").desc())
 
 
 def top_runs(runs: DataFrame, k: int = 20, salt_buckets: int = 16) -> DataFrame:
