@@ -153,7 +153,7 @@ def q_writes_by_table(spark, sf_dir):
 # ---------------------------------------------------------------- enrich
 def q_enrich_asof(spark, sf_dir):
     """J1 + P4: each trade with the latest quote of its symbol."""
-    e = enrich.enrich_trades(tb.trades(spark, sf_dir), tb.quotes(spark, sf_dir), chunk_seconds=6 * 3600)
+    e = enrich.enrich_trades(tb.trades(spark, sf_dir), tb.quotes(spark, sf_dir))
     return _seq_out(e)
 
 
@@ -161,8 +161,7 @@ def q_pct_change(spark, sf_dir):
     """P4 over decoded quote responses (prev_close 0 gives NULL)."""
     q = tp.decode_quotes(tb.quote_responses(spark, sf_dir), with_fetched_at=False)
     e = enrich.asof_latest(tb.trades(spark, sf_dir), q, ["symbol"], "_ts", "_seq", ["prev_close"],
-                           prefix="quote_", chunk_seconds=6 * 3600,
-                           right_ts_col="_kafka_ts", right_seq_col="_offset")
+                           prefix="quote_", right_ts_col="_kafka_ts", right_seq_col="_offset")
     e = e.withColumn("pct_change", enrich.pct_change("price", "quote_prev_close"))
     return e.select("symbol", F.col("_seq").alias("seq"), "price", "quote_prev_close", "pct_change")
 

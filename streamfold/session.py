@@ -47,15 +47,14 @@ def shared_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster this setting must point at shared storage and is read as
     is.  Only when it is unset (local runs, tests) is a scratch folder made
-    and registered, so ``DataFrame.checkpoint()`` works there too.
+    and registered with ``setCheckpointDir`` (the setting itself is static
+    and cannot change on a running session).
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="streamfold-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        sc.setCheckpointDir(d)
     return d
 
 

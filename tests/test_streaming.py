@@ -167,3 +167,31 @@ def test_idle_merge_stream_merges_latest_nonnull(spark):
     finally:
         q.stop()
     assert got == [("x", 1.0, "b"), ("y", 5.0, None)]
+
+
+def test_spec_as_streams_equals_batch(spark):
+    from streamfold.plans import catalog
+    d = tempfile.mkdtemp(prefix="sf-spec-")
+    _write_envelopes(spark, tb.topics_union(spark, SF), f"{d}/in", 4)
+    stream = jobs.envelope_files_stream(spark, f"{d}/in", max_files_per_trigger=2)
+    qs = jobs.start_spec(spark, catalog.stand_in_spec(), lambda t: stream.filter(F.col("topic") == t),
+                         f"{d}/out", name="spec_test", trigger="1 second", checkpoint_root=f"{d}/ck")
+    try:
+        for q in qs.values():
+            q.processAllAvailable()
+    finally:
+        for q in qs.values():
+            q.stop()
+    batch = catalog._spec_sinks(spark, SF, with_inserted_at=False)
+    for sid in ("doc", "wide"):
+        got = sorted(tuple(r) for r in SnapshotTable(spark, f"{d}/out/{sid}", ["symbol"]).current().collect())
+        assert got == sorted(tuple(r) for r in batch[sid].collect()), sid
+    col = spark.read.parquet(f"{d}/out/col")
+    assert col.count() == batch["col"].count()
+
+
+def test_shared_checkpoint_dir_reads_session(spark):
+    from streamfold.session import checkpoint_subdir, shared_checkpoint_dir
+    d = shared_checkpoint_dir(spark)
+    assert d and d == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert checkpoint_subdir(spark, "x").startswith(d)
