@@ -108,13 +108,11 @@ def q_src_skip_bad(spark, sf_dir):
 
 
 def q_src_drop_count_bad(spark, sf_dir):
-    """Per topic, messages read and parse errors."""
-    msgs = tb.topics_union(spark, sf_dir, with_bad=True)
-    counts = None
-    for t, fields in tb.TOPIC_FIELDS.items():
-        c = tp.count_bad(tp.decode_json(msgs.filter(F.col("topic") == t), handles=fields))
-        counts = c if counts is None else counts.unionByName(c)
-    return counts.withColumnRenamed("_topic", "topic")
+    """Per topic, messages read and parse errors (each topic decoded
+    with its own schema, then one aggregation over all topics)."""
+    flags = [tp.decode_json(tb.topic_messages(spark, sf_dir, t, with_bad=True), handles=fields)
+             .select("_topic", tp.CORRUPT) for t, fields in tb.TOPIC_FIELDS.items()]
+    return tp.count_bad(merge.union_all(flags)).withColumnRenamed("_topic", "topic")
 
 
 def q_decode_trades(spark, sf_dir):

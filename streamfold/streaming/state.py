@@ -28,7 +28,11 @@ def use_rocksdb(spark) -> None:
 class LatestQuote(StatefulProcessor):
     """J1 on a stream: per key, the last quote seen (by arrival across
     micro-batches, by ``(time, kind, seq)`` inside one) is kept in a value
-    state; every trade leaves with the quote current at its position."""
+    state; every trade leaves with the quote current at its position.
+
+    A key's rows of one micro-batch are sorted together, so the group is
+    bounded by the trigger size (``maxOffsetsPerTrigger``), not by the
+    stream."""
 
     def __init__(self, quote_schema: T.StructType, left_cols: list[str], key_cols: list[str]):
         self.quote_schema, self.left_cols, self.key_cols = quote_schema, left_cols, key_cols
@@ -99,13 +103,23 @@ class IdleMerge(StatefulProcessor):
         self.state = handle.getValueState("merged", self.value_schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(self.order_cols, kind="stable")
+        # fold the key's rows chunk by chunk (no concat): per column keep the
+        # latest non-null value of this batch with its order key
+        best: dict = {}
+        for pdf in rows:
+            for c in self.cols:
+                nn = pdf[pdf[c].notna()]
+                if not len(nn):
+                    continue
+                top = nn.sort_values(self.order_cols, kind="stable").iloc[-1]
+                order = tuple(top[o] for o in self.order_cols)
+                if c not in best or order > best[c][0]:
+                    v = top[c]
+                    best[c] = (order, v.item() if hasattr(v, "item") else v)
         cur = list(self.state.get()) if self.state.exists() else [None] * len(self.cols)
         for i, c in enumerate(self.cols):
-            s = pdf[c].dropna()
-            if len(s):
-                v = s.iloc[-1]
-                cur[i] = v.item() if hasattr(v, "item") else v
+            if c in best:
+                cur[i] = best[c][1]
         self.state.update(tuple(cur))
         yield pd.DataFrame([[key[0], *cur]], columns=[self.key, *self.cols])
 
