@@ -285,6 +285,33 @@ def q_spec_wide_upsert(spark, sf_dir):
     return _spec_sinks(spark, sf_dir, only=["wide"])["wide"]
 
 
+def _sample_sources(spark, sf_dir):
+    return {"orders": tb.sample_orders(spark, sf_dir), "customers": tb.sample_customers(spark, sf_dir)}
+
+
+def q_seed_wide_merge(spark, sf_dir):
+    """The seeded sample workflow's wide-column sink: orders and customers
+    fanned in by name (P3) and upserted by the first field, order_id (A2).
+    A fan-in, not a join: customer rows have no order_id and are rejected,
+    so ``name`` stays NULL."""
+    from streamfold.functions.schema import fields_from_handles
+    fields = fields_from_handles(tb.SAMPLE_SINK_FIELDS)
+    u = merge.union_all([align.align_null_fill(df, fields, passthrough=ORDER)
+                         for df in _sample_sources(spark, sf_dir).values()])
+    return merge.upsert_last_row(u, fields, ["order_id"], ORDER)
+
+
+def q_seed_column_reports(spark, sf_dir):
+    """The sample workflow's column-store sink (downstream of the
+    wide-column sink, so fed by both topics): P2 against the created
+    table (key NOT NULL -> '' for customers), appended."""
+    from streamfold.functions.schema import fields_from_handles
+    fields = fields_from_handles(tb.SAMPLE_SINK_FIELDS)
+    dest = align.column_store_schema(fields, ["order_id"])
+    return merge.append_fanin([align.align_default_fill(df, dest, passthrough=("_seq",))
+                               for df in _sample_sources(spark, sf_dir).values()]).withColumnRenamed("_seq", "seq")
+
+
 # Fixed value: the user SQL of the X1 query.
 USER_SQL = ("SELECT symbol, count(*) AS n_trades, max(price) AS max_price, min(timestamp) AS first_ts "
             "FROM trades GROUP BY symbol")
@@ -329,4 +356,6 @@ QUERIES = {
     "spec_column_store": q_spec_column_store,
     "spec_wide_upsert": q_spec_wide_upsert,
     "user_sql": q_user_sql,
+    "seed_wide_merge": q_seed_wide_merge,
+    "seed_column_reports": q_seed_column_reports,
 }

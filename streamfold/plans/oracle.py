@@ -300,3 +300,16 @@ WHERE rn = 1"""
 SQL["user_sql"] = f"""
 SELECT symbol, count(*) AS n_trades, max(price) AS max_price, min(timestamp) AS first_ts
 FROM ({TRADES}) GROUP BY symbol"""
+
+# ---------------------------------------------------------------- seeded sample workflow
+SQL["seed_wide_merge"] = """
+SELECT order_id, amount, name FROM (
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_totalprice AS amount, CAST(NULL AS VARCHAR) AS name,
+         row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+  FROM orders) WHERE rn = 1"""
+
+SQL["seed_column_reports"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_totalprice AS amount, CAST(NULL AS VARCHAR) AS name,
+       o_orderkey AS seq FROM orders
+UNION ALL
+SELECT '' AS order_id, CAST(NULL AS DOUBLE) AS amount, c_name AS name, c_custkey AS seq FROM customer"""

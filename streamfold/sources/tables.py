@@ -309,3 +309,27 @@ def log_nodes(spark) -> DataFrame:
     """The stand-in pipeline's nodes (from the spec, a handful of rows)."""
     return spark.createDataFrame([(0, n, n.upper(), t) for n, t in LOG_NODES],
                                  "pipeline_id long, node_id string, node_label string, node_type string")
+
+
+# Declared fields of the seeded sample workflow (orders and
+# customers topics fanned into one wide-column sink and one column store).
+SAMPLE_ORDERS_FIELDS = [["order_id", "STRING"], ["amount", "DOUBLE"], ["customer_id", "STRING"]]
+SAMPLE_CUSTOMERS_FIELDS = [["customer_id", "STRING"], ["name", "STRING"], ["email", "STRING"]]
+SAMPLE_SINK_FIELDS = [["order_id", "STRING"], ["amount", "DOUBLE"], ["name", "STRING"]]
+
+
+def sample_orders(spark, sf_dir) -> DataFrame:
+    """Orders topic of the sample workflow, from ``orders``."""
+    o = read_table(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_totalprice").alias("amount"),
+                    F.col("o_custkey").cast("string").alias("customer_id"),
+                    F.col("o_orderdate").alias("_ts"), F.col("o_orderkey").alias("_seq"))
+
+
+def sample_customers(spark, sf_dir) -> DataFrame:
+    """Customers topic of the sample workflow, from ``customer`` (email
+    derived from the name)."""
+    c = read_table(spark, sf_dir, "customer")
+    return c.select(F.col("c_custkey").cast("string").alias("customer_id"), F.col("c_name").alias("name"),
+                    F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@example.com")).alias("email"),
+                    F.lit(None).cast("timestamp_ntz").alias("_ts"), F.col("c_custkey").alias("_seq"))

@@ -55,3 +55,20 @@ def test_build_single_source_orphan_and_same_topic(spark):
     assert [tuple(r) for r in out["w"].collect()] == [("x", None)]
     # column store: one view per topic, the first node's fields; appended
     assert sorted(r["v"] or 0 for r in out["c"].collect()) == [0, 1]
+
+
+def test_cli_batch_mode(spark, tmp_path):
+    import json
+
+    from streamfold.__main__ import main
+    from streamfold.plans import catalog
+    from streamfold.sources import tables as tb
+    sf = "/root/testdata/sf0.001"
+    tb.topics_union(spark, sf).write.parquet(str(tmp_path / "topics"))
+    (tmp_path / "spec.json").write_text(json.dumps(catalog.stand_in_spec()))
+    main(["batch", "--spec", str(tmp_path / "spec.json"), "--topics", str(tmp_path / "topics"),
+          "--out", str(tmp_path / "out")])
+    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out" / "doc")).collect())
+    exp = sorted(tuple(r) for r in catalog.q_declarative_spec(spark, sf).collect())
+    assert got == exp
+    assert spark.read.parquet(str(tmp_path / "out" / "col")).count() == tb.topics_union(spark, sf).count()
