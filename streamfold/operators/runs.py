@@ -21,11 +21,15 @@ from pyspark.sql.window import Window
 
 from streamfold.functions.scalar import contains_ci
 
-# Log level and message marker that decide a node's status.
+# Log level and message marker that decide a node's status;
+# the node statuses; the job state counted as running; the placeholder job
+# id of a run not yet confirmed; the state reported for an unknown job.
 ERROR_LEVEL = "ERROR"
 SUCCESS_MARK = "✓"
-# Fixed value: job state counted as running.
+PENDING, FAILED, SUCCESS, RUNNING_STATUS = "pending", "failed", "success", "running"
 RUNNING = "RUNNING"
+PLACEHOLDER_JOB_ID = "submitted"
+UNREACHABLE = "UNREACHABLE"
 
 
 def filter_logs(logs: DataFrame, run_id=None, node_id=None) -> DataFrame:
@@ -58,10 +62,10 @@ def node_log_summary(logs: DataFrame) -> DataFrame:
 def node_status(log_count, error_count, any_ok):
     """No logs -> pending; any ERROR -> failed; any message starting
     with the success marker -> success; else running."""
-    return (F.when(F.coalesce(log_count, F.lit(0)) == 0, "pending")
-            .when(error_count > 0, "failed")
-            .when(any_ok, "success")
-            .otherwise("running"))
+    return (F.when(F.coalesce(log_count, F.lit(0)) == 0, PENDING)
+            .when(error_count > 0, FAILED)
+            .when(any_ok, SUCCESS)
+            .otherwise(RUNNING_STATUS))
 
 
 # Broadcast bound for node lists built from a pipeline spec (rows).
@@ -145,14 +149,14 @@ def job_health(parents: DataFrame, runs: DataFrame, jobs: DataFrame) -> DataFram
     lr = latest_run(runs).select("pipeline_id", F.col("status").alias("_run_status"), "job_id")
     p = parents.select("id").join(lr, F.col("id") == F.col("pipeline_id"), "left")
     j = p.join(jobs.withColumnRenamed("job_id", "_jid"), F.col("job_id") == F.col("_jid"), "left")
-    no_job = F.col("job_id").isNull() | (F.col("job_id") == "submitted")
+    no_job = F.col("job_id").isNull() | (F.col("job_id") == PLACEHOLDER_JOB_ID)
     no_run = F.col("pipeline_id").isNull()
     healthy = (F.when(no_run | no_job, F.lit(None).cast("boolean"))
                .when(F.col("_jid").isNull(), F.lit(False))
                .otherwise(F.col("state") == RUNNING))
     state = (F.when(no_run, F.lit(None).cast("string"))
              .when(no_job, F.col("_run_status"))
-             .when(F.col("_jid").isNull(), F.lit("UNREACHABLE"))
+             .when(F.col("_jid").isNull(), F.lit(UNREACHABLE))
              .otherwise(F.col("state")))
     job_id = F.when(no_run | no_job, F.lit(None).cast("string")).otherwise(F.col("job_id"))
     return j.select(F.col("id").alias("pipeline_id"), healthy.alias("healthy"), state.alias("state"),

@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 from streamfold.functions.schema import Field, as_fields, declared_fields, to_struct
 
 KAFKA_ORDER = ("_kafka_ts", "_topic", "_partition", "_offset")
+# Default consumer group: this prefix plus the first topic name.
+GROUP_PREFIX = "streamfold_"
 CORRUPT = "_corrupt_record"
 META = ["_topic", "_key", "_partition", "_offset", "_kafka_ts"]
 
@@ -31,14 +33,14 @@ def kafka_options(topics, bootstrap: str, starting: str = "earliest", group_id:
     """Options for ``spark.read[Stream].format("kafka")``.
 
     Topics are subscribed from the earliest offset; the consumer group
-    defaults to ``xstream_<topic>`` like the reference.  ``pattern=True``
+    defaults to ``GROUP_PREFIX + <topic>``, one group per topic.  ``pattern=True``
     subscribes by regex, so new topics join without a restart (S6).
     """
     names = [topics] if isinstance(topics, str) else list(topics)
     opts = {"kafka.bootstrap.servers": bootstrap, "startingOffsets": starting,
             "failOnDataLoss": "false"}
     opts["subscribePattern" if pattern else "subscribe"] = ",".join(names)
-    opts["kafka.group.id"] = group_id or f"xstream_{names[0]}"
+    opts["kafka.group.id"] = group_id or f"{GROUP_PREFIX}{names[0]}"
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     return opts
@@ -133,6 +135,12 @@ def count_bad(decoded: DataFrame, by: str = "_topic") -> DataFrame:
 
 
 # ---------------------------------------------------------------- S7 / S8
+# The feed's trade message type, and each tick key with the
+# name it is published under, its type and the value used when it is missing.
+TRADE_TYPE = "trade"
+TICK_KEYS = [("s", "symbol", "string", ""), ("p", "price", "double", 0.0),
+             ("v", "volume", "double", 0.0), ("t", "timestamp", "bigint", 0)]
+
 _TICK_SCHEMA = T.StructType([
     T.StructField("type", T.StringType()),
     T.StructField("data", T.ArrayType(T.MapType(T.StringType(), T.StringType()))),
@@ -155,13 +163,10 @@ def decode_trades(messages: DataFrame) -> DataFrame:
     """
     parsed = messages.select(F.from_json(F.col("value").cast("string"), _TICK_SCHEMA).alias("_m"), *_meta())
     # explode only trade messages (no filter: see ``rows_where``)
-    data = F.when(F.col("_m.type") == "trade", F.col("_m.data"))
+    data = F.when(F.col("_m.type") == TRADE_TYPE, F.col("_m.data"))
     ticks = parsed.select(F.posexplode(data).alias("_tick_idx", "_t"), *META)
     t = F.col("_t")
-    return ticks.select(_get_or(t, "s", "", "string").alias("symbol"),
-                        _get_or(t, "p", 0.0, "double").alias("price"),
-                        _get_or(t, "v", 0.0, "double").alias("volume"),
-                        _get_or(t, "t", 0, "bigint").alias("timestamp"),
+    return ticks.select(*[_get_or(t, k, default, dtype).alias(name) for k, name, dtype, default in TICK_KEYS],
                         "_tick_idx", *META)
 
 

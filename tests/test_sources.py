@@ -68,7 +68,7 @@ def test_decode_quotes_drop_rules(spark):
 
 def test_kafka_options():
     o = tp.kafka_options(["a", "b"], "h:9092")
-    assert o["subscribe"] == "a,b" and o["startingOffsets"] == "earliest" and o["kafka.group.id"] == "xstream_a"
+    assert o["subscribe"] == "a,b" and o["startingOffsets"] == "earliest" and o["kafka.group.id"] == "streamfold_a"
     o = tp.kafka_options("a.*", "h:9092", pattern=True, max_offsets_per_trigger=500)
     assert o["subscribePattern"] == "a.*" and o["maxOffsetsPerTrigger"] == "500"
 
