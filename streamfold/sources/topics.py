@@ -47,9 +47,16 @@ def kafka_options(topics, bootstrap: str, starting: str = "earliest", group_id:
 
 
 def read_topic(spark: SparkSession, topics, bootstrap: str, stream: bool = True, **kw) -> DataFrame:
-    """Kafka topic(s) as an envelope DataFrame (needs the Kafka connector)."""
+    """Kafka topic(s) as an envelope DataFrame (needs the Kafka connector,
+    ``spark-sql-kafka``, on the classpath)."""
     r = spark.readStream if stream else spark.read
-    return r.format("kafka").options(**kafka_options(topics, bootstrap, **kw)).load()
+    try:
+        return r.format("kafka").options(**kafka_options(topics, bootstrap, **kw)).load()
+    except Exception as ex:  # noqa: BLE001
+        if "kafka" in str(ex).lower() and "data source" in str(ex).lower():
+            raise RuntimeError("the Kafka connector (spark-sql-kafka) is not on the classpath; "
+                               "use an envelope DataFrame from files instead") from ex
+        raise
 
 
 def read_json_lines(spark: SparkSession, path: str, topic: str, stream: bool = False) -> DataFrame:

@@ -78,3 +78,8 @@ def test_bytes_round_trip(spark):
     from streamfold.functions.scalar import from_bytes, to_bytes
     df = spark.createDataFrame([("ü-key",)], "s string")
     assert df.select(from_bytes(to_bytes("s")).alias("x")).collect()[0]["x"] == "ü-key"
+
+
+def test_read_topic_without_connector_explains(spark):
+    with pytest.raises(RuntimeError, match="Kafka connector"):
+        tp.read_topic(spark, "t", "localhost:1", stream=False)
