@@ -121,7 +121,8 @@ def build_sink(sink: dict, nodes: dict, edges: list[dict], topic_reader: Callabl
             if u.isStreaming:       # window functions are batch-only: state TTL instead
                 from streamfold.streaming.state import idle_merge_stream
                 vals = [f.name for f in fields if f.name not in key]
-                return idle_merge_stream(u, key[0], vals, list(order), ttl_seconds)
+                return idle_merge_stream(u, key, vals, list(order), ttl_seconds).select(
+                    *[f.name for f in fields])
             return merge.merge_idle_ttl(u, fields, key, order, ts_col=order[0], ttl_seconds=ttl_seconds)
         return merge.merge_latest_nonnull(u, fields, key, order)
 

@@ -95,8 +95,8 @@ class IdleMerge(StatefulProcessor):
     again from NULL.  Emits the key's merged row after every batch that
     touches it (update semantics)."""
 
-    def __init__(self, key: str, value_schema: T.StructType, order_cols: list[str], ttl_ms: int):
-        self.key, self.value_schema, self.order_cols, self.ttl_ms = key, value_schema, order_cols, ttl_ms
+    def __init__(self, key: list[str], value_schema: T.StructType, order_cols: list[str], ttl_ms: int):
+        self.key, self.value_schema, self.order_cols, self.ttl_ms = list(key), value_schema, order_cols, ttl_ms
         self.cols = [f.name for f in value_schema.fields]
 
     def init(self, handle) -> None:
@@ -121,19 +121,21 @@ class IdleMerge(StatefulProcessor):
             if c in best:
                 cur[i] = best[c][1]
         self.state.update(tuple(cur))
-        yield pd.DataFrame([[key[0], *cur]], columns=[self.key, *self.cols])
+        yield pd.DataFrame([[*key, *cur]], columns=[*self.key, *self.cols])
 
     def close(self) -> None:
         pass
 
 
-def idle_merge_stream(df: DataFrame, key: str, value_cols: list[str], order_cols: list[str],
+def idle_merge_stream(df: DataFrame, key, value_cols: list[str], order_cols: list[str],
                       ttl_seconds: int = 3600) -> DataFrame:
-    """Streaming A4 (processing-time TTL, refreshed on every write)."""
+    """Streaming A4 (processing-time TTL, refreshed on every write).
+    ``key``: one column name or a list (composite key)."""
+    key = [key] if isinstance(key, str) else list(key)
     fields = {f.name: f for f in df.schema.fields}
     vschema = T.StructType([T.StructField(c, fields[c].dataType) for c in value_cols])
-    out = T.StructType([T.StructField(key, fields[key].dataType)] + list(vschema.fields))
+    out = T.StructType([T.StructField(k, fields[k].dataType) for k in key] + list(vschema.fields))
     order = [f"o{i}" for i in range(len(order_cols))]
-    src = df.select(key, *value_cols, *[F.col(c).alias(o) for c, o in zip(order_cols, order)])
-    return src.groupBy(key).transformWithStateInPandas(
+    src = df.select(*key, *value_cols, *[F.col(c).alias(o) for c, o in zip(order_cols, order)])
+    return src.groupBy(*key).transformWithStateInPandas(
         IdleMerge(key, vschema, order, int(ttl_seconds * 1000)), out, "Update", "ProcessingTime")
