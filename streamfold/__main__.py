@@ -30,7 +30,8 @@ def main(argv=None) -> None:
     ap.add_argument("--bootstrap")
     ap.add_argument("--topics")
     ap.add_argument("--trigger", default="10 seconds")
-    ap.add_argument("--ttl", type=int, default=None, help="idle state TTL (s) for document sinks")
+    ap.add_argument("--ttl", type=int, default=3600,
+                    help="idle TTL (s) of document-sink state, as the reference's generated job sets; 0 = none")
     ap.add_argument("--max-offsets-per-trigger", type=int, default=None)
     a = ap.parse_args(argv)
     with open(a.spec) as f:
@@ -42,14 +43,14 @@ def main(argv=None) -> None:
         from streamfold.streaming.jobs import start_spec
         reader = lambda t: read_topic(spark, t, a.bootstrap, stream=True,
                                       max_offsets_per_trigger=a.max_offsets_per_trigger)
-        queries = start_spec(spark, spec, reader, a.out, trigger=a.trigger, ttl_seconds=a.ttl)
+        queries = start_spec(spark, spec, reader, a.out, trigger=a.trigger, ttl_seconds=a.ttl or None)
         for q in queries.values():
             q.awaitTermination()
         return
 
     envelopes = spark.read.parquet(a.topics)
     reader = lambda t: envelopes.filter(F.col("topic") == t)
-    for sid, df in X.build(spec, reader, ttl_seconds=a.ttl).items():
+    for sid, df in X.build(spec, reader, ttl_seconds=a.ttl or None).items():
         df.write.mode("overwrite").parquet(os.path.join(a.out, sid))
 
 

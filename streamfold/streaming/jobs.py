@@ -116,6 +116,9 @@ def start_spec(spark: SparkSession, spec: dict, topic_reader, out_dir: str, name
     from streamfold.functions.schema import primary_key
     from streamfold.plans import spec as X
 
+    if kw.get("ttl_seconds"):
+        from streamfold.streaming.state import use_rocksdb
+        use_rocksdb(spark)          # the TTL merge keeps its state in RocksDB
     sinks = X.build(spec, topic_reader, with_inserted_at=False, **kw)
     nodes = {n["id"]: n for n in spec["nodes"]}
     queries = {}

@@ -67,8 +67,32 @@ def test_cli_batch_mode(spark, tmp_path):
     tb.topics_union(spark, sf).write.parquet(str(tmp_path / "topics"))
     (tmp_path / "spec.json").write_text(json.dumps(catalog.stand_in_spec()))
     main(["batch", "--spec", str(tmp_path / "spec.json"), "--topics", str(tmp_path / "topics"),
-          "--out", str(tmp_path / "out")])
+          "--out", str(tmp_path / "out"), "--ttl", "0"])
     got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out" / "doc")).collect())
     exp = sorted(tuple(r) for r in catalog.q_declarative_spec(spark, sf).collect())
     assert got == exp
     assert spark.read.parquet(str(tmp_path / "out" / "col")).count() == tb.topics_union(spark, sf).count()
+
+
+def test_cli_batch_default_ttl_is_idle_merge(spark, tmp_path):
+    import json
+
+    from streamfold.__main__ import main
+    from streamfold.operators import merge
+    from streamfold.plans import catalog
+    from streamfold.plans import sinks_spec as S
+    from streamfold.sources import tables as tb
+    from streamfold.sources import topics as tp
+    sf = "/root/testdata/sf0.001"
+    tb.topics_union(spark, sf).write.parquet(str(tmp_path / "topics"))
+    (tmp_path / "spec.json").write_text(json.dumps(catalog.stand_in_spec()))
+    main(["batch", "--spec", str(tmp_path / "spec.json"), "--topics", str(tmp_path / "topics"),
+          "--out", str(tmp_path / "out")])
+    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out" / "doc")).collect())
+    env = spark.read.parquet(str(tmp_path / "topics"))
+    frames = [catalog.align.align_mapped(tp.decode_json(env.filter(env.topic == t), f, mode="FAILFAST"),
+                                         t, S.DOC_FIELDS, S.DOC_MAPPING, passthrough=tp.KAFKA_ORDER)
+              for t, f in tb.TOPIC_FIELDS.items()]
+    exp = merge.merge_idle_ttl(merge.union_all(frames), S.DOC_FIELDS, S.DOC_KEY, tp.KAFKA_ORDER,
+                               ts_col="_kafka_ts", ttl_seconds=3600)
+    assert got == sorted(tuple(r) for r in exp.collect())
