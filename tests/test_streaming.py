@@ -215,3 +215,32 @@ def test_merge_snapshot_increments_equal_full_merge(spark):
     exp2 = merge.upsert_last_row(wide, S.WIDE_FIELDS, S.WIDE_KEY, ["_ts", "_seq"])
     assert sorted(tuple(r) for r in a1.current().collect()) == sorted(tuple(r) for r in exp1.collect())
     assert sorted(tuple(r) for r in a2.current().collect()) == sorted(tuple(r) for r in exp2.collect())
+
+
+def test_spec_stream_with_ttl_single_batch(spark):
+    import time
+
+    from streamfold.plans import catalog
+    d = tempfile.mkdtemp(prefix="sf-spec-ttl-")
+    _write_envelopes(spark, tb.topics_union(spark, SF), f"{d}/in", 2)
+    stream = jobs.envelope_files_stream(spark, f"{d}/in", max_files_per_trigger=10)
+    spec = catalog.stand_in_spec()
+    spec["nodes"] = [n for n in spec["nodes"] if n["id"] not in ("col", "wide", "orphan")]
+    qs = jobs.start_spec(spark, spec, lambda t: stream.filter(F.col("topic") == t), f"{d}/out",
+                         name="spec_ttl", trigger="1 second", checkpoint_root=f"{d}/ck", ttl_seconds=3600)
+    snap = SnapshotTable(spark, f"{d}/out/doc", ["symbol"])
+    got = []
+    try:
+        deadline = time.time() + 150
+        while time.time() < deadline:
+            time.sleep(3)
+            cur = snap.current()
+            if cur is not None and cur.count() == 15:
+                got = sorted(tuple(r) for r in cur.collect())
+                break
+    finally:
+        for q in qs.values():
+            q.stop()
+    # one micro-batch, nothing idle for an hour: equals the batch merge
+    exp = sorted(tuple(r) for r in catalog._spec_sinks(spark, SF, only=["doc"])["doc"].collect())
+    assert got == exp
