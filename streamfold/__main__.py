@@ -50,8 +50,14 @@ def main(argv=None) -> None:
 
     envelopes = spark.read.parquet(a.topics)
     reader = lambda t: envelopes.filter(F.col("topic") == t)
-    for sid, df in X.build(spec, reader, ttl_seconds=a.ttl or None).items():
-        df.write.mode("overwrite").parquet(os.path.join(a.out, sid))
+    sinks, errors = X.build_with_errors(spec, reader, ttl_seconds=a.ttl or None)
+    for sid, df in sinks.items():
+        try:
+            df.write.mode("overwrite").parquet(os.path.join(a.out, sid))
+        except Exception as ex:  # noqa: BLE001  (a failing sink does not stop the others)
+            errors[sid] = f"{type(ex).__name__}: {ex}"
+    if errors:
+        raise SystemExit(f"sinks failed: {sorted(errors)}")
 
 
 if __name__ == "__main__":

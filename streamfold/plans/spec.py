@@ -143,16 +143,36 @@ def build_sink(sink: dict, nodes: dict, edges: list[dict], topic_reader: Callabl
     raise ValueError(f"not a sink type: {kind}")
 
 
-def build(spec: dict, topic_reader: Callable[[str], DataFrame], only=None, **kw) -> dict[str, DataFrame]:
-    """The sinks of a spec (all, or the ids in ``only``): ``{sink id: DataFrame}``."""
+def build_with_errors(spec: dict, topic_reader: Callable[[str], DataFrame], only=None,
+                      **kw) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """The sinks of a spec (all, or the ids in ``only``) and the sinks that
+    failed to build: ``({sink id: DataFrame}, {sink id: error})``.  A
+    failing sink does not stop the others, as a failing node does not stop
+    the reference's run."""
     nodes = {n["id"]: n for n in spec["nodes"]}
     edges = spec.get("edges", [])
-    out = {}
+    out, errors = {}, {}
     for n in spec["nodes"]:
         if n["node_type"] in SINK_TYPES and (only is None or n["id"] in only):
-            df = build_sink(n, nodes, edges, topic_reader, **kw)
+            try:
+                df = build_sink(n, nodes, edges, topic_reader, **kw)
+            except Exception as ex:  # noqa: BLE001
+                log.error("sink %s failed to build: %s", n["id"], ex)
+                errors[n["id"]] = f"{type(ex).__name__}: {ex}"
+                continue
             if df is not None:
                 out[n["id"]] = df
+    return out, errors
+
+
+def build(spec: dict, topic_reader: Callable[[str], DataFrame], only=None, strict: bool = True,
+          **kw) -> dict[str, DataFrame]:
+    """The sinks of a spec: ``{sink id: DataFrame}``.  ``strict=False``
+    logs and skips a sink that fails to build; by default the first failure
+    raises."""
+    out, errors = build_with_errors(spec, topic_reader, only=only, **kw)
+    if strict and errors:
+        raise ValueError(f"sinks failed to build: {errors}")
     return out
 
 

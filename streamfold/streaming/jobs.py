@@ -119,7 +119,7 @@ def start_spec(spark: SparkSession, spec: dict, topic_reader, out_dir: str, name
     if kw.get("ttl_seconds"):
         from streamfold.streaming.state import use_rocksdb
         use_rocksdb(spark)          # the TTL merge keeps its state in RocksDB
-    sinks = X.build(spec, topic_reader, with_inserted_at=False, **kw)
+    sinks = X.build(spec, topic_reader, with_inserted_at=False, strict=False, **kw)
     nodes = {n["id"]: n for n in spec["nodes"]}
     queries = {}
     for sid, df in sinks.items():

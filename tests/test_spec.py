@@ -96,3 +96,21 @@ def test_cli_batch_default_ttl_is_idle_merge(spark, tmp_path):
     exp = merge.merge_idle_ttl(merge.union_all(frames), S.DOC_FIELDS, S.DOC_KEY, tp.KAFKA_ORDER,
                                ts_col="_kafka_ts", ttl_seconds=3600)
     assert got == sorted(tuple(r) for r in exp.collect())
+
+
+def test_failing_sink_does_not_stop_others(spark):
+    import datetime as dt
+
+    import pytest
+    env = "topic string, key string, value string, partition int, offset long, timestamp timestamp, timestampType int"
+    msgs = spark.createDataFrame([("a", "x", '{"k":"x","v":1}', 0, 1, dt.datetime(2024, 1, 1), 0)], env)
+    h = [["k", "STRING"], ["v", "BIGINT"]]
+    spec = {"nodes": [
+        {"id": "s1", "node_type": K, "properties": {"topic": "a", "_handles": h}},
+        {"id": "bad", "node_type": X.MONGODB, "properties": {"_handles": h, "primary_key": ["nope"]}},
+        {"id": "ok", "node_type": X.SCYLLADB, "properties": {"_handles": h}}],
+        "edges": _edges(("s1", "bad"), ("s1", "ok"))}
+    out, errors = X.build_with_errors(spec, lambda t: msgs)
+    assert list(out) == ["ok"] and list(errors) == ["bad"]
+    with pytest.raises(ValueError):
+        X.build(spec, lambda t: msgs)
