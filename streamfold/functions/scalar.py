@@ -58,8 +58,9 @@ def contains_ci(col, needle: str | None) -> Column:
 
 def floor_div(x, width: int) -> Column:
     """Exact integer floor division of a long, also for negatives."""
-    x = _c(x)
-    return ((x - F.pmod(x, F.lit(width))) / F.lit(width)).cast("long")
+    x = _c(x).cast("long")
+    w = F.lit(width).cast("long")
+    return F.call_function("div", x - F.pmod(x, w), w)
 
 
 def to_bytes(col) -> Column:

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from streamfold.functions.scalar import floor_div
 from streamfold.functions.schema import as_fields
 
 
@@ -113,9 +114,7 @@ def merge_idle_ttl(df: DataFrame, sink_fields, key: list[str], order_cols, ts_co
     order = _order(order_cols)
     ttl_us = int(ttl_seconds * 1_000_000)
     us = F.unix_micros(F.col(ts_col).cast("timestamp"))
-    # exact integer floor division, also for times before the epoch
-    chunk = (us - F.pmod(us, F.lit(ttl_us))) / F.lit(ttl_us)
-    chunked = df.withColumn("_us", us).withColumn("_chunk", chunk.cast("long"))
+    chunked = df.withColumn("_us", us).withColumn("_chunk", floor_div(F.col("_us"), ttl_us))
 
     per_chunk = [F.min("_us").alias("_first"), F.max("_us").alias("_last")]
     for c in vals:

@@ -138,6 +138,17 @@ def top_runs(runs: DataFrame, k: int = 20, salt_buckets: int = 16) -> DataFrame:
     return first.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= k)
 
 
+# Prefix of join keys that stand for "cannot match" (no real id starts
+# with a NUL character).
+NO_MATCH_PREFIX = "\u0000"
+
+
+def unmatched_key_spread(key, matchable, unique):
+    """Join key for an outer join: ``key`` where the row may match, else a
+    unique value no other row has, so unmatched rows spread evenly."""
+    return F.when(matchable, key).otherwise(F.concat(F.lit(NO_MATCH_PREFIX), unique.cast("string")))
+
+
 def job_health(parents: DataFrame, runs: DataFrame, jobs: DataFrame) -> DataFrame:
     """Is the job behind each pipeline's newest run running?
 
@@ -148,8 +159,12 @@ def job_health(parents: DataFrame, runs: DataFrame, jobs: DataFrame) -> DataFram
     """
     lr = latest_run(runs).select("pipeline_id", F.col("status").alias("_run_status"), "job_id")
     p = parents.select("id").join(lr, F.col("id") == F.col("pipeline_id"), "left")
-    j = p.join(jobs.withColumnRenamed("job_id", "_jid"), F.col("job_id") == F.col("_jid"), "left")
     no_job = F.col("job_id").isNull() | (F.col("job_id") == PLACEHOLDER_JOB_ID)
+    # A pipeline without a job id can never match a job; give it a unique
+    # key that matches nothing, so such rows (possibly most of them) spread
+    # over the shuffle instead of all hashing NULL to one partition.
+    p = p.withColumn("_jkey", unmatched_key_spread(F.col("job_id"), ~no_job, F.col("id")))
+    j = p.join(jobs.withColumnRenamed("job_id", "_jid"), F.col("_jkey") == F.col("_jid"), "left")
     no_run = F.col("pipeline_id").isNull()
     healthy = (F.when(no_run | no_job, F.lit(None).cast("boolean"))
                .when(F.col("_jid").isNull(), F.lit(False))

@@ -181,8 +181,7 @@ def q_search_name(spark, sf_dir):
 
 def q_run_summary(spark, sf_dir):
     """R1 + R2 + A8 + A9: per run and node: status, last log row, counts."""
-    return runs.run_summary(tb.log_runs(spark, sf_dir), tb.log_nodes(spark), tb.run_logs(spark, sf_dir),
-                            nodes_rows=len(tb.LOG_NODES))
+    return runs.run_summary(tb.log_runs(spark, sf_dir), tb.log_nodes(spark, sf_dir), tb.run_logs(spark, sf_dir))
 
 
 def q_latest_run_per_parent(spark, sf_dir):

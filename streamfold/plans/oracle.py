@@ -196,13 +196,15 @@ a AS (SELECT run_id, node_id, count(*) AS log_count, count(*) FILTER (WHERE leve
              arg_max(level, id) AS last_level, arg_max(message, id) AS last_message,
              arg_max(timestamp, id) AS last_ts
       FROM l GROUP BY run_id, node_id),
-r AS (SELECT DISTINCT run_id FROM l)
+r AS (SELECT DISTINCT l.run_id, o.o_custkey AS pipeline_id FROM l JOIN orders o ON o.o_orderkey = l.run_id),
+pn AS (SELECT c.c_custkey AS pipeline_id, n.node_id, n.node_type FROM customer c CROSS JOIN {NODES})
 SELECT r.run_id, n.node_id, upper(n.node_id) AS node_label, n.node_type,
        CASE WHEN a.log_count IS NULL THEN 'pending' WHEN a.error_count > 0 THEN 'failed'
             WHEN a.any_ok THEN 'success' ELSE 'running' END AS status,
        a.last_level, a.last_message, a.last_ts AS timestamp,
        coalesce(a.log_count, 0) AS log_count, coalesce(a.error_count, 0) AS error_count
-FROM r CROSS JOIN {NODES} LEFT JOIN a ON a.run_id = r.run_id AND a.node_id = n.node_id"""
+FROM r JOIN pn n ON n.pipeline_id = r.pipeline_id
+LEFT JOIN a ON a.run_id = r.run_id AND a.node_id = n.node_id"""
 
 SQL["latest_run_per_parent"] = f"""
 WITH r AS ({RUNS}),

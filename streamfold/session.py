@@ -46,13 +46,17 @@ def shared_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named in ``spark.checkpoint.dir``.
 
     On a cluster this setting must point at shared storage and is read as
-    is.  Only when it is unset (local runs, tests) is a scratch folder made
-    and registered with ``setCheckpointDir`` (the setting itself is static
-    and cannot change on a running session).
+    is.  Only when it is unset on a local master (local runs, tests) is a
+    scratch folder made and registered with ``setCheckpointDir`` (the
+    setting itself is static and cannot change on a running session); on a
+    cluster an unset setting is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder (e.g. on HDFS or an "
+                               "object store) that every executor and the driver can reach")
         d = tempfile.mkdtemp(prefix="streamfold-ckpt-")
         sc.setCheckpointDir(d)
     return d

@@ -246,7 +246,7 @@ def run_logs(spark, sf_dir) -> DataFrame:
     )
 
 
-# The node list of the stand-in log pipeline (id, type); the
+# The node template of every stand-in pipeline (id, type); the
 # last node never logs, so it reports "pending".
 LOG_NODES = [("error", "kafka"), ("click", "kafka"), ("purchase", "kafka"),
              ("view", "mongodb"), ("signup", "clickhouse"), ("sink", "scylladb")]
@@ -299,16 +299,18 @@ def parent_node_counts(spark, sf_dir) -> DataFrame:
 
 
 def log_runs(spark, sf_dir) -> DataFrame:
-    """Runs that wrote logs (run_id) with their pipeline; the stand-in logs
-    all belong to pipeline 0."""
-    return (run_logs(spark, sf_dir).select("run_id").distinct()
-            .withColumn("pipeline_id", F.lit(0).cast("long")))
-
-
-def log_nodes(spark) -> DataFrame:
-    """The stand-in pipeline's nodes (from the spec, a handful of rows)."""
-    return spark.createDataFrame([(0, n, n.upper(), t) for n, t in LOG_NODES],
-                                 "pipeline_id long, node_id string, node_label string, node_type string")
+    """Runs that wrote logs, with their pipeline: the distinct run ids of
+    the logs, joined to the runs table for the pipeline id."""
+    ids = run_logs(spark, sf_dir).select("run_id").distinct()
+    return ids.join(runs(spark, sf_dir).select(F.col("id").alias("run_id"), "pipeline_id"), "run_id")
+
+
+def log_nodes(spark, sf_dir) -> DataFrame:
+    """The nodes of every pipeline: each pipeline of ``customer`` carries
+    the LOG_NODES template (a generator per pipeline row, no join)."""
+    tmpl = F.array(*[F.struct(F.lit(n).alias("node_id"), F.lit(n.upper()).alias("node_label"),
+                              F.lit(t).alias("node_type")) for n, t in LOG_NODES])
+    return parents(spark, sf_dir).select(F.col("id").alias("pipeline_id"), F.inline(tmpl))
 
 
 # Declared fields of the seeded sample workflow (orders and

@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+from pyspark.sql import functions as F
+
 from streamfold.operators import runs
 from conftest import rows
 
@@ -60,3 +62,17 @@ def test_filter_logs_sorted(spark):
     logs = spark.createDataFrame([(3, 1, "a", "A", "INFO", "x", D), (1, 1, "a", "A", "INFO", "y", D),
                                   (2, 2, "a", "A", "INFO", "z", D)], LOGS)
     assert [r["id"] for r in runs.filter_logs(logs, run_id=1, node_id="a").collect()] == [1, 3]
+
+
+def test_job_health_spreads_unmatched_keys(spark):
+    """Runs without a job id get distinct never-matching join keys, and the
+    result is unchanged: healthy NULL, state = run status."""
+    parents = spark.createDataFrame([(i, f"p{i}") for i in range(6)], "id long, name string")
+    rs = spark.createDataFrame([(10 + i, i, "running", None if i % 2 else "submitted", D) for i in range(6)], RUNS)
+    jobs = spark.createDataFrame([("job-1", "RUNNING")], "job_id string, state string")
+    out = rows(runs.job_health(parents, rs, jobs))
+    assert len(out) == 6
+    assert all(r["healthy"] is None and r["state"] == "running" and r["job_id"] is None for r in out)
+    keys = (parents.select("id").withColumn("job_id", F.lit(None).cast("string"))
+            .select(runs.unmatched_key_spread(F.col("job_id"), F.col("job_id").isNotNull(), F.col("id")).alias("k")))
+    assert keys.distinct().count() == 6
