@@ -46,10 +46,19 @@ def kafka_options(topics, bootstrap: str, starting: str = "earliest", group_id:
     return opts
 
 
+# Rows per micro-batch of a topic stream unless the caller sets its own:
+# reading from the earliest offset must not pull a whole backlog into one
+# batch, since stateful operators hold one key's rows of a batch together.
+DEFAULT_MAX_OFFSETS_PER_TRIGGER = 5_000_000
+
+
 def read_topic(spark: SparkSession, topics, bootstrap: str, stream: bool = True, **kw) -> DataFrame:
     """Kafka topic(s) as an envelope DataFrame (needs the Kafka connector,
-    ``spark-sql-kafka``, on the classpath)."""
+    ``spark-sql-kafka``, on the classpath).  A stream reads at most
+    ``DEFAULT_MAX_OFFSETS_PER_TRIGGER`` rows per micro-batch by default."""
     r = spark.readStream if stream else spark.read
+    if stream:
+        kw.setdefault("max_offsets_per_trigger", DEFAULT_MAX_OFFSETS_PER_TRIGGER)
     try:
         return r.format("kafka").options(**kafka_options(topics, bootstrap, **kw)).load()
     except Exception as ex:  # noqa: BLE001

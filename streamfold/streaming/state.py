@@ -31,8 +31,9 @@ class LatestQuote(StatefulProcessor):
     state; every trade leaves with the quote current at its position.
 
     A key's rows of one micro-batch are sorted together, so the group is
-    bounded by the trigger size (``maxOffsetsPerTrigger``), not by the
-    stream."""
+    bounded by the trigger size (``maxOffsetsPerTrigger``, set by default
+    in ``read_topic``), not by the stream.  The lookup is vectorised: each
+    trade indexes the quote table by its count of preceding quotes."""
 
     def __init__(self, quote_schema: T.StructType, left_cols: list[str], key_cols: list[str]):
         self.quote_schema, self.left_cols, self.key_cols = quote_schema, left_cols, key_cols
@@ -44,22 +45,24 @@ class LatestQuote(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         pdf = pd.concat(list(rows), ignore_index=True).sort_values(["o_t", "o_kind", "o_s"], kind="stable")
         is_q = (pdf["o_kind"] == 0).to_numpy()
-        gid = np.cumsum(is_q)                       # 0 = before any quote of this batch
-        qrows = pdf.loc[is_q, [f"q_{c}" for c in self.qcols]].to_numpy(dtype=object)
+        qnames = [f"q_{c}" for c in self.qcols]
+        # quote table: row 0 = the quote carried from earlier batches (if
+        # any), then this batch's quotes in order; a trade takes row gid,
+        # the number of quotes at or before it
         prior = self.state.get() if self.state.exists() else None
-        table = [tuple(prior) if prior is not None else None] + [tuple(r) for r in qrows]
-        trades = pdf.loc[~is_q]
-        hit = [table[g] for g in gid[~is_q]]
-        keep = np.array([h is not None for h in hit], dtype=bool)
-        if len(table) > 1:
-            self.state.update(tuple(table[-1]))
+        head = pd.DataFrame([list(prior) if prior is not None else [None] * len(qnames)], columns=qnames)
+        table = pd.concat([head, pdf.loc[is_q, qnames]], ignore_index=True)
+        gid = np.cumsum(is_q)[~is_q]
+        keep = gid > 0 if prior is None else np.ones(len(gid), dtype=bool)
+        if is_q.any():
+            last = table.iloc[-1]
+            self.state.update(tuple(v.item() if hasattr(v, "item") else v for v in last))
         if keep.any():
-            out = trades.loc[keep, [f"l_{c}" for c in self.left_cols]].copy()
+            out = pdf.loc[~is_q, [f"l_{c}" for c in self.left_cols]][keep].reset_index(drop=True)
             out.columns = self.left_cols
-            vals = [h for h in hit if h is not None]
-            for i, c in enumerate(self.qcols):
-                out[f"quote_{c}"] = [v[i] for v in vals]
-            yield out.reset_index(drop=True)
+            hit = table.iloc[gid[keep]].reset_index(drop=True)
+            hit.columns = [f"quote_{c}" for c in self.qcols]
+            yield pd.concat([out, hit], axis=1)
 
     def close(self) -> None:
         pass
