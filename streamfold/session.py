@@ -20,6 +20,30 @@ SCALE_CONF = {
 }
 
 
+# Cluster defaults, applied only where spark-submit leaves them unset:
+# shuffles start with many partitions and AQE coalesces them to about
+# 128 MB each, so a shuffle partition fits in executor memory whether the
+# input is 1 GB or 100 TB (the built-in default of 200 is far too few).
+CLUSTER_DEFAULTS = {
+    "spark.sql.shuffle.partitions": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+}
+
+
+def apply_cluster_defaults(spark: SparkSession) -> dict:
+    """Set ``CLUSTER_DEFAULTS`` on a non-local session where the
+    application's conf (spark-submit, builder) does not name them.  Both are
+    runtime SQL settings.  Returns what was set."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local"):
+        return {}
+    conf = sc.getConf()
+    out = {k: v for k, v in CLUSTER_DEFAULTS.items() if not conf.contains(k)}
+    for k, v in out.items():
+        spark.conf.set(k, v)
+    return out
+
+
 def get_session(master: str | None = None, app: str = "streamfold",
                 shuffle_partitions: int | None = None,
                 extra: dict | None = None) -> SparkSession:
@@ -39,6 +63,7 @@ def get_session(master: str | None = None, app: str = "streamfold",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    apply_cluster_defaults(spark)
     return spark
 
 

@@ -57,8 +57,8 @@ def read_topic(spark: SparkSession, topics, bootstrap: str, stream: bool = True,
     ``spark-sql-kafka``, on the classpath).  A stream reads at most
     ``DEFAULT_MAX_OFFSETS_PER_TRIGGER`` rows per micro-batch by default."""
     r = spark.readStream if stream else spark.read
-    if stream:
-        kw.setdefault("max_offsets_per_trigger", DEFAULT_MAX_OFFSETS_PER_TRIGGER)
+    if stream and not kw.get("max_offsets_per_trigger"):
+        kw["max_offsets_per_trigger"] = DEFAULT_MAX_OFFSETS_PER_TRIGGER
     try:
         return r.format("kafka").options(**kafka_options(topics, bootstrap, **kw)).load()
     except Exception as ex:  # noqa: BLE001

@@ -83,3 +83,20 @@ def test_bytes_round_trip(spark):
 def test_read_topic_without_connector_explains(spark):
     with pytest.raises(RuntimeError, match="Kafka connector"):
         tp.read_topic(spark, "t", "localhost:1", stream=False)
+
+
+def test_read_topic_caps_trigger_by_default(spark, monkeypatch):
+    seen = {}
+
+    def fake(topics, bootstrap, **kw):
+        seen.update(kw)
+        raise RuntimeError("stop")
+
+    monkeypatch.setattr(tp, "kafka_options", fake)
+    for kw in ({}, {"max_offsets_per_trigger": None}):
+        seen.clear()
+        try:
+            tp.read_topic(spark, "a", "h:9092", stream=True, **kw)
+        except RuntimeError:
+            pass
+        assert seen["max_offsets_per_trigger"] == tp.DEFAULT_MAX_OFFSETS_PER_TRIGGER

@@ -244,3 +244,8 @@ def test_spec_stream_with_ttl_single_batch(spark):
     # one micro-batch, nothing idle for an hour: equals the batch merge
     exp = sorted(tuple(r) for r in catalog._spec_sinks(spark, SF, only=["doc"])["doc"].collect())
     assert got == exp
+
+
+def test_cluster_defaults_skip_local(spark):
+    from streamfold.session import apply_cluster_defaults
+    assert apply_cluster_defaults(spark) == {}
