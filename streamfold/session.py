@@ -16,6 +16,11 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # PySpark 4 records the Python call site of every DataFrame/functions
+    # call (several JVM round trips each), which made building a query's
+    # plan cost as much as running it at sf0.1; errors still name the
+    # failing expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
