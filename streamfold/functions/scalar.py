@@ -56,10 +56,11 @@ def contains_ci(col, needle: str | None) -> Column:
     return F.lower(_c(col)).contains(needle.lower())
 
 
-def floor_div(x, width: int) -> Column:
-    """Exact integer floor division of a long, also for negatives."""
+def floor_div(x, width) -> Column:
+    """Exact integer floor division of a long, also for negatives
+    (``width``: a positive int or a long column)."""
     x = _c(x).cast("long")
-    w = F.lit(width).cast("long")
+    w = (width if isinstance(width, Column) else F.lit(width)).cast("long")
     return F.call_function("div", x - F.pmod(x, w), w)
 
 

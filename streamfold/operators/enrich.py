@@ -22,7 +22,11 @@ Plan (no key is ever gathered whole into one task):
    once.  Result: ``coalesce(in-chunk quote, carried quote)``.
 
 A (key, chunk) group holds only the rows of one key within one chunk, and
-the carry window holds span / chunk rows per key.  The default 300 s keeps
+the carry window holds span / chunk rows per key.  A key whose densest
+chunk holds more than ``hot_rows`` rows gets chunks narrower by a power of
+two (a broadcast lookup of those keys, at most rows / ``hot_rows`` of them),
+so its groups shrink back to about ``hot_rows`` when its rows are spread
+over the chunk, whatever share of the data the key holds.  The default 300 s keeps
 both small: a hot key's rows spread over its minutes, and a year of one key
 is about 105k carry rows, however many rows the key has.
 """
@@ -38,13 +42,37 @@ from pyspark.sql.window import Window
 from streamfold.functions.scalar import floor_div, pct_change
 
 
+# Rows of one key in one chunk above which that key's chunks are narrowed.
+HOT_CHUNK_ROWS = 1_000_000
+
+
+def hot_key_widths(u: DataFrame, key: list[str], chunk_us: int, hot_rows: int) -> DataFrame:
+    """Keys whose densest chunk holds more than ``hot_rows`` rows, with a
+    narrower chunk width ``chunk_us >> s`` (``2**s >= densest / hot_rows``).
+
+    Counted by a partial aggregation per (key, chunk), so a hot key is
+    reduced map-side.  Every listed key has more than ``hot_rows`` rows, so
+    the table has fewer than ``rows(u) / hot_rows`` rows: a size bound that
+    makes it safe to broadcast.
+    """
+    base = floor_div(F.unix_micros("_t"), chunk_us)
+    dense = (u.select(*key, base.alias("_c")).groupBy(*key, "_c").agg(F.count("*").alias("_n"))
+             .filter(F.col("_n") > hot_rows)            # only dense chunks go on
+             .groupBy(*key).agg(F.max("_n").alias("_n")))
+    shift = F.ceil(F.log2(F.col("_n") / F.lit(hot_rows))).cast("int")
+    width = F.greatest(F.lit(1).cast("long"), F.call_function("shiftright", F.lit(chunk_us).cast("long"), shift))
+    return dense.select(*key, width.alias("_width"))
+
+
 def asof_latest(left: DataFrame, right: DataFrame, key: list[str], ts_col: str, seq_col: str,
                 right_cols: list[str], prefix: str = "", chunk_seconds: int = 300,
-                right_ts_col: str | None = None, right_seq_col: str | None = None) -> DataFrame:
+                right_ts_col: str | None = None, right_seq_col: str | None = None,
+                hot_rows: int | None = HOT_CHUNK_ROWS) -> DataFrame:
     """Inner backward as-of join; returns left columns + prefixed right columns.
 
     Order on both sides is ``(ts_col, seq_col)``; at equal time the right
-    row comes first.  Rows with a NULL key never match.
+    row comes first.  Rows with a NULL key never match.  ``hot_rows``: keys
+    denser than this per chunk get narrower chunks (None: fixed width).
     """
     right_ts_col = right_ts_col or ts_col
     right_seq_col = right_seq_col or seq_col
@@ -63,8 +91,15 @@ def asof_latest(left: DataFrame, right: DataFrame, key: list[str], ts_col: str,
         F.col(ts_col).cast("timestamp").alias("_t"), F.lit(1).alias("_kind"),
         F.col(seq_col).cast("long").alias("_s"),
         F.lit(None).cast(q_struct_type(right, right_cols)).alias("_q"), l_struct.alias("_l"))
-    u = q.unionByName(t).withColumn(
-        "_chunk", floor_div(F.unix_micros("_t"), int(chunk_seconds * 1_000_000)))
+    chunk_us = int(chunk_seconds * 1_000_000)
+    u = q.unionByName(t)
+    if hot_rows is None:
+        width = F.lit(chunk_us).cast("long")
+    else:
+        # a broadcast lookup of the few dense keys: the big side is not shuffled for it
+        u = u.join(F.broadcast(hot_key_widths(u, key, chunk_us, hot_rows)), key, "left")
+        width = F.coalesce(F.col("_width"), F.lit(chunk_us).cast("long"))
+    u = u.withColumn("_chunk", floor_div(F.unix_micros("_t"), width))
 
     order = F.struct("_t", "_kind", "_s")
     # chunk rows: the chunks holding trades (a hash distinct) and, per chunk
@@ -101,9 +136,10 @@ QUOTE_FIELDS = ["current", "high", "low", "open", "prev_close"]
 
 
 def enrich_trades(trades: DataFrame, quotes: DataFrame, ts_col: str = "_ts", seq_col: str = "_seq",
-                  key: str = "symbol", chunk_seconds: int = 300) -> DataFrame:
+                  key: str = "symbol", chunk_seconds: int = 300,
+                  hot_rows: int | None = HOT_CHUNK_ROWS) -> DataFrame:
     """J1 + P4: trades with the latest quote of their symbol and the percent
     change against the quote's previous close."""
     e = asof_latest(trades, quotes, [key], ts_col, seq_col, QUOTE_FIELDS, prefix="quote_",
-                    chunk_seconds=chunk_seconds)
+                    chunk_seconds=chunk_seconds, hot_rows=hot_rows)
     return e.withColumn("pct_change", pct_change("price", "quote_prev_close"))

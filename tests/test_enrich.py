@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from streamfold.operators import enrich
 from conftest import rows
@@ -69,3 +70,30 @@ def test_matches_brute_force_across_chunks(spark):
             last = c.sort_values(["_ts", "_seq"]).iloc[-1]
             exp[trow._seq] = (last.current, None if pd.isna(last.high) else last.high)
     assert got == exp
+
+
+def test_hot_key_gets_narrow_chunks_and_same_result(spark):
+    """One symbol holds most rows, packed into one chunk: with a tiny
+    ``hot_rows`` its chunks are narrowed, and the result still equals the
+    fixed-width plan and brute force."""
+    rnd = random.Random(11)
+    tr, qu = [], []
+    for i in range(900):
+        hot = rnd.random() < 0.7
+        sym = "H" if hot else rnd.choice("AB")
+        ts = t(rnd.randrange(0, 60) if hot else rnd.randrange(0, 4000))
+        if rnd.random() < 0.3:
+            qu.append((sym, float(i), None if rnd.random() < 0.2 else 1.0, 1.0, 1.0, 2.0, ts, i))
+        else:
+            tr.append((sym, float(i), ts, i))
+    trades, quotes = spark.createDataFrame(tr, TS), spark.createDataFrame(qu, QS)
+    widths = {r["symbol"]: r["_width"] for r in enrich.hot_key_widths(
+        trades.select("symbol", F.col("_ts").cast("timestamp").alias("_t")), ["symbol"], 300_000_000, 20).collect()}
+    assert set(widths) == {"H"} and widths["H"] < 300_000_000
+    got = rows(enrich.enrich_trades(trades, quotes, hot_rows=20))
+    fixed = rows(enrich.enrich_trades(trades, quotes, hot_rows=None))
+    assert got == fixed and len(got) > 300
+    qp = pd.DataFrame(qu, columns=["symbol", "current", "high", "low", "open", "prev_close", "_ts", "_seq"])
+    for r in got[:200]:
+        c = qp[(qp.symbol == r["symbol"]) & (qp._ts <= r["_ts"])].sort_values(["_ts", "_seq"])
+        assert r["quote_current"] == c.iloc[-1].current
