@@ -227,6 +227,22 @@ def q_consumer_lag(spark, sf_dir):
                                     F.round(F.avg(ms), 1).alias("avg_ms"), F.round(F.max(ms), 1).alias("max_ms"))
 
 
+# Fixed value: the observation time of the reproducible consumer-lag query
+# (inside the data's span, so messages newer than it clamp to lag 0).
+LAG_OBSERVED_AT = "2024-01-15 00:00:00"
+
+
+def q_consumer_lag_at(spark, sf_dir):
+    """T10 + A6 observed at a fixed time instead of the clock, so the lag
+    arithmetic gets a value check: per topic n and min/avg/max lag in whole
+    ms (CreateTime only, never negative)."""
+    now = F.lit(LAG_OBSERVED_AT).cast("timestamp")
+    lag = metrics.consumer_lag(tb.topics_union(spark, sf_dir), now=now)
+    ms = F.round(F.col("lag_s") * 1000).cast("long")
+    return lag.groupBy("topic").agg(F.count("*").alias("n"), F.min(ms).alias("min_ms"),
+                                    F.round(F.avg(ms), 1).alias("avg_ms"), F.max(ms).alias("max_ms"))
+
+
 def q_latency_stats(spark, sf_dir):
     """Latency samples (value, seconds) per 1 h window and bucket."""
     e = tb.read_table(spark, sf_dir, "events")
@@ -351,6 +367,7 @@ QUERIES = {
     "activity_counts": q_activity_counts,
     "latency_stats": q_latency_stats,
     "consumer_lag": q_consumer_lag,
+    "consumer_lag_at": q_consumer_lag_at,
     "declarative_spec": q_declarative_spec,
     "spec_column_store": q_spec_column_store,
     "spec_wide_upsert": q_spec_wide_upsert,

@@ -255,6 +255,14 @@ SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL
        round(avg(value * 1000), 1) AS avg_ms, round(max(value * 1000), 1) AS max_ms
 FROM events WHERE value IS NOT NULL GROUP BY 1, 2, 3"""
 
+_LAG_MS = "greatest(0, epoch_us(TIMESTAMP '2024-01-15 00:00:00') // 1000 - epoch_us(ts) // 1000)"
+SQL["consumer_lag_at"] = f"""
+SELECT topic, count(*) AS n, min(ms) AS min_ms, round(avg(ms), 1) AS avg_ms, max(ms) AS max_ms FROM (
+  SELECT 'trades' AS topic, {_LAG_MS} AS ms FROM events WHERE event_type = 'purchase'
+  UNION ALL SELECT 'quotes', {_LAG_MS} FROM events WHERE event_type = 'error'
+  UNION ALL SELECT 'clicks', {_LAG_MS} FROM events WHERE event_type = 'click')
+GROUP BY topic"""
+
 # ---------------------------------------------------------------- X1 / X2
 # topic-decoded rows are ordered by (broker ms, topic, partition, offset)
 def _kafka_order(alias=""):
