@@ -40,10 +40,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from streamfold.functions.scalar import floor_div, pct_change
+from streamfold.session import estimated_bytes
 
 
 # Rows of one key in one chunk above which that key's chunks are narrowed.
 HOT_CHUNK_ROWS = 1_000_000
+# Estimated input size below which the density pass is skipped: even a key
+# holding all of such an input fits in one task.
+HOT_PASS_MIN_BYTES = 1 << 30
 
 
 def hot_key_widths(u: DataFrame, key: list[str], chunk_us: int, hot_rows: int) -> DataFrame:
@@ -67,12 +71,14 @@ def hot_key_widths(u: DataFrame, key: list[str], chunk_us: int, hot_rows: int) -
 def asof_latest(left: DataFrame, right: DataFrame, key: list[str], ts_col: str, seq_col: str,
                 right_cols: list[str], prefix: str = "", chunk_seconds: int = 300,
                 right_ts_col: str | None = None, right_seq_col: str | None = None,
-                hot_rows: int | None = HOT_CHUNK_ROWS) -> DataFrame:
+                hot_rows: int | None = HOT_CHUNK_ROWS, hot_min_bytes: int = HOT_PASS_MIN_BYTES) -> DataFrame:
     """Inner backward as-of join; returns left columns + prefixed right columns.
 
     Order on both sides is ``(ts_col, seq_col)``; at equal time the right
     row comes first.  Rows with a NULL key never match.  ``hot_rows``: keys
     denser than this per chunk get narrower chunks (None: fixed width).
+    The density pass runs when Catalyst estimates the input at
+    ``hot_min_bytes`` or more (or cannot estimate it); 0 = always.
     """
     right_ts_col = right_ts_col or ts_col
     right_seq_col = right_seq_col or seq_col
@@ -93,7 +99,8 @@ def asof_latest(left: DataFrame, right: DataFrame, key: list[str], ts_col: str,
         F.lit(None).cast(q_struct_type(right, right_cols)).alias("_q"), l_struct.alias("_l"))
     chunk_us = int(chunk_seconds * 1_000_000)
     u = q.unionByName(t)
-    if hot_rows is None:
+    size = estimated_bytes(u) if hot_min_bytes else None
+    if hot_rows is None or (size is not None and size < hot_min_bytes):
         width = F.lit(chunk_us).cast("long")
     else:
         # a broadcast lookup of the few dense keys: the big side is not shuffled for it
@@ -137,9 +144,9 @@ QUOTE_FIELDS = ["current", "high", "low", "open", "prev_close"]
 
 def enrich_trades(trades: DataFrame, quotes: DataFrame, ts_col: str = "_ts", seq_col: str = "_seq",
                   key: str = "symbol", chunk_seconds: int = 300,
-                  hot_rows: int | None = HOT_CHUNK_ROWS) -> DataFrame:
+                  hot_rows: int | None = HOT_CHUNK_ROWS, hot_min_bytes: int = HOT_PASS_MIN_BYTES) -> DataFrame:
     """J1 + P4: trades with the latest quote of their symbol and the percent
     change against the quote's previous close."""
     e = asof_latest(trades, quotes, [key], ts_col, seq_col, QUOTE_FIELDS, prefix="quote_",
-                    chunk_seconds=chunk_seconds, hot_rows=hot_rows)
+                    chunk_seconds=chunk_seconds, hot_rows=hot_rows, hot_min_bytes=hot_min_bytes)
     return e.withColumn("pct_change", pct_change("price", "quote_prev_close"))

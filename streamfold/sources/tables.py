@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from streamfold.session import estimated_bytes
+
 ORDER = ("_ts", "_seq")
 
 # The event types standing in for each topic.
@@ -59,10 +61,10 @@ def spread_if_underpartitioned(df: DataFrame) -> DataFrame:
         cores = df.sparkSession.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() >= cores:
             return df
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001  (no RDD/JVM access, e.g. Spark Connect)
         return df
-    return df.repartition(cores) if size >= SPREAD_MIN_BYTES else df
+    size = estimated_bytes(df)
+    return df.repartition(cores) if size is not None and size >= SPREAD_MIN_BYTES else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

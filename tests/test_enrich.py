@@ -90,10 +90,23 @@ def test_hot_key_gets_narrow_chunks_and_same_result(spark):
     widths = {r["symbol"]: r["_width"] for r in enrich.hot_key_widths(
         trades.select("symbol", F.col("_ts").cast("timestamp").alias("_t")), ["symbol"], 300_000_000, 20).collect()}
     assert set(widths) == {"H"} and widths["H"] < 300_000_000
-    got = rows(enrich.enrich_trades(trades, quotes, hot_rows=20))
+    got = rows(enrich.enrich_trades(trades, quotes, hot_rows=20, hot_min_bytes=0))
     fixed = rows(enrich.enrich_trades(trades, quotes, hot_rows=None))
     assert got == fixed and len(got) > 300
     qp = pd.DataFrame(qu, columns=["symbol", "current", "high", "low", "open", "prev_close", "_ts", "_seq"])
     for r in got[:200]:
         c = qp[(qp.symbol == r["symbol"]) & (qp._ts <= r["_ts"])].sort_values(["_ts", "_seq"])
         assert r["quote_current"] == c.iloc[-1].current
+
+
+
+def test_density_pass_only_for_large_inputs(spark):
+    """Parquet inputs with a known small size skip the pass; inputs of
+    unknown size (e.g. from Python rows) or ``hot_min_bytes=0`` run it."""
+    from streamfold.sources import tables as tb
+    sf = "/root/testdata/sf0.001"
+    trades, quotes = tb.trades(spark, sf), tb.quotes(spark, sf)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    small = plan(enrich.enrich_trades(trades, quotes))
+    forced = plan(enrich.enrich_trades(trades, quotes, hot_min_bytes=0))
+    assert "_width" not in small and "_width" in forced
