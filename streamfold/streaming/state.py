@@ -110,11 +110,13 @@ class IdleMerge(StatefulProcessor):
         # latest non-null value of this batch with its order key
         best: dict = {}
         for pdf in rows:
+            # one stable sort per chunk; per column the last non-null row
+            pdf = pdf.sort_values(self.order_cols, kind="stable").reset_index(drop=True)
             for c in self.cols:
-                nn = pdf[pdf[c].notna()]
-                if not len(nn):
+                i = pdf[c].last_valid_index()
+                if i is None:
                     continue
-                top = nn.sort_values(self.order_cols, kind="stable").iloc[-1]
+                top = pdf.iloc[i]
                 order = tuple(top[o] for o in self.order_cols)
                 if c not in best or order > best[c][0]:
                     v = top[c]
