@@ -62,3 +62,34 @@ def test_idle_ttl_property(spark, rows):
     out = merge.merge_idle_ttl(df, FIELDS, ["k"], ["ts", "id"], ts_col="ts", ttl_seconds=3600)
     got = {r["k"]: (r["a"], r["b"]) for r in out.collect()}
     assert got == _fold(data, keep_nulls=False, ttl=3600)
+
+
+asof_row = st.tuples(st.sampled_from(["x", "y", None]), st.booleans(), st.integers(0, 400),
+                     st.one_of(st.none(), st.integers(0, 9)))
+asof_rows = st.lists(asof_row, min_size=1, max_size=40)
+
+
+@SETTINGS
+@given(asof_rows, st.integers(1, 120), st.integers(1, 4))
+def test_asof_property(spark, rows, chunk_seconds, hot_rows):
+    """J1 with random chunk widths and the density pass forced: each trade
+    gets the quote of its key with the greatest (time, quote-first, id) at
+    or before it, as a whole row (a NULL field is not filled)."""
+    from streamfold.operators import enrich
+    trades, quotes = [], []
+    for i, (k, is_quote, sec, v) in enumerate(rows):
+        ts = T0 + dt.timedelta(seconds=sec)
+        (quotes if is_quote else trades).append((k, ts, i, v))
+    tdf = spark.createDataFrame(trades or [(None, T0, -1, None)], "k string, ts timestamp, id long, v long")
+    qdf = spark.createDataFrame(quotes or [(None, T0, -2, None)], "k string, ts timestamp, id long, v long")
+    got = {r["id"]: r["q_v"] for r in enrich.asof_latest(
+        tdf.select("k", "ts", "id"), qdf, ["k"], "ts", "id", ["v"], prefix="q_",
+        chunk_seconds=chunk_seconds, hot_rows=hot_rows, hot_min_bytes=0).collect()}
+    exp = {}
+    for k, ts, i, _ in trades:
+        if k is None:
+            continue
+        cands = [(qts, qi, qv) for qk, qts, qi, qv in quotes if qk == k and qts <= ts]
+        if cands:
+            exp[i] = max(cands, key=lambda c: (c[0], c[1]))[2]
+    assert got == exp
