@@ -49,3 +49,14 @@ def test_top_k_ranks_within_salted_groups_first(no_auto_broadcast):
     spark = no_auto_broadcast
     p = _plan(E.queries()["runs_top20"](spark, SF))
     assert "hashpartitioning(pipeline_id#" in p and "_salt" in p
+
+
+def test_registered_queries_stay_in_the_jvm(no_auto_broadcast):
+    """No Python evaluation in any registered (batch) query: every
+    expression runs in whole-stage codegen or built-in operators."""
+    spark = no_auto_broadcast
+    python_ops = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+                  "FlatMapCoGroupsInPandas", "PythonUDF")
+    for name, fn in E.queries().items():
+        p = _plan(fn(spark, SF))
+        assert not any(op in p for op in python_ops), name
