@@ -7,7 +7,9 @@
 query per sink (checkpoints under ``spark.checkpoint.dir``).  ``batch``
 reads parquet envelope dumps (``topic, key, value, partition, offset,
 timestamp, timestampType``) from ``--topics`` and writes each sink's
-result under ``--out``.
+result under ``--out``.  Lay the dumps out partitioned by topic
+(``topics/topic=<name>/``): each source filters on its topic, and Spark then
+reads only that topic's folder.
 """
 
 from __future__ import annotations
