@@ -35,15 +35,21 @@ CLUSTER_DEFAULTS = {
 }
 
 
+def cluster_defaults_for(master: str, is_set) -> dict:
+    """The ``CLUSTER_DEFAULTS`` to apply: none on a local master, else those
+    the application's conf does not name (``is_set(key)``)."""
+    if master.startswith("local"):
+        return {}
+    return {k: v for k, v in CLUSTER_DEFAULTS.items() if not is_set(k)}
+
+
 def apply_cluster_defaults(spark: SparkSession) -> dict:
     """Set ``CLUSTER_DEFAULTS`` on a non-local session where the
     application's conf (spark-submit, builder) does not name them.  Both are
     runtime SQL settings.  Returns what was set."""
     sc = spark.sparkContext
-    if sc.master.startswith("local"):
-        return {}
     conf = sc.getConf()
-    out = {k: v for k, v in CLUSTER_DEFAULTS.items() if not conf.contains(k)}
+    out = cluster_defaults_for(sc.master, conf.contains)
     for k, v in out.items():
         spark.conf.set(k, v)
     return out

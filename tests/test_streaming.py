@@ -247,5 +247,10 @@ def test_spec_stream_with_ttl_single_batch(spark):
 
 
 def test_cluster_defaults_skip_local(spark):
-    from streamfold.session import apply_cluster_defaults
+    from streamfold.session import CLUSTER_DEFAULTS, apply_cluster_defaults, cluster_defaults_for
     assert apply_cluster_defaults(spark) == {}
+    assert cluster_defaults_for("yarn", lambda k: False) == CLUSTER_DEFAULTS
+    user_set = {"spark.sql.shuffle.partitions"}
+    got = cluster_defaults_for("k8s://https://h:443", user_set.__contains__)
+    assert "spark.sql.shuffle.partitions" not in got and got
+    assert cluster_defaults_for("local[8]", lambda k: False) == {}
