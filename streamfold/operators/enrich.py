@@ -99,8 +99,11 @@ def asof_latest(left: DataFrame, right: DataFrame, key: list[str], ts_col: str,
         F.lit(None).cast(q_struct_type(right, right_cols)).alias("_q"), l_struct.alias("_l"))
     chunk_us = int(chunk_seconds * 1_000_000)
     u = q.unionByName(t)
-    size = estimated_bytes(u) if hot_min_bytes else None
-    if hot_rows is None or (size is not None and size < hot_min_bytes):
+    dense_pass = hot_rows is not None
+    if dense_pass and hot_min_bytes:
+        size = estimated_bytes(u)
+        dense_pass = size is None or size >= hot_min_bytes
+    if not dense_pass:
         width = F.lit(chunk_us).cast("long")
     else:
         # a broadcast lookup of the few dense keys: the big side is not shuffled for it
