@@ -32,6 +32,8 @@ SCALE_CONF = {
 CLUSTER_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8192",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # coalesce to the advisory size, not to the default parallelism
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
 }
 
 
