@@ -110,3 +110,25 @@ def test_density_pass_only_for_large_inputs(spark):
     small = plan(enrich.enrich_trades(trades, quotes))
     forced = plan(enrich.enrich_trades(trades, quotes, hot_min_bytes=0))
     assert "_width" not in small and "_width" in forced
+
+
+def test_single_hot_symbol_from_tables(spark):
+    """Every trade and quote of sf0.01 on one symbol, with one-day chunks:
+    narrowing that symbol's chunks shrinks its largest (key, chunk) group
+    and leaves the result unchanged."""
+    from streamfold.functions.scalar import floor_div
+    from streamfold.sources import tables as tb
+    sf = "/root/testdata/sf0.01"
+    hot = lambda df: df.withColumn("symbol", F.lit("HOT"))
+    trades, quotes = hot(tb.trades(spark, sf)), hot(tb.quotes(spark, sf))
+    day = 86_400
+    narrowed = enrich.enrich_trades(trades, quotes, chunk_seconds=day, hot_rows=50, hot_min_bytes=0)
+    fixed = enrich.enrich_trades(trades, quotes, chunk_seconds=day, hot_rows=None)
+    assert narrowed.exceptAll(fixed).count() == 0 and fixed.exceptAll(narrowed).count() == 0
+    both = trades.select("symbol", F.col("_ts").cast("timestamp").alias("_t")).unionByName(
+        quotes.select("symbol", F.col("_ts").cast("timestamp").alias("_t")))
+    width = enrich.hot_key_widths(both, ["symbol"], day * 1_000_000, 50).first()["_width"]
+    biggest = lambda w: (both.groupBy(floor_div(F.unix_micros("_t"), w).alias("c")).count()
+                         .agg(F.max("count")).first()[0])
+    # one-day chunks hold up to 155 rows here; the narrowed ones about hot_rows
+    assert biggest(day * 1_000_000) > 100 and biggest(width) <= 2 * 50
