@@ -26,7 +26,9 @@ the carry window holds span / chunk rows per key.  A key whose densest
 chunk holds more than ``hot_rows`` rows gets chunks narrower by a power of
 two (a broadcast lookup of those keys, at most rows / ``hot_rows`` of them),
 so its groups shrink back to about ``hot_rows`` when its rows are spread
-over the chunk, whatever share of the data the key holds.  The default 300 s keeps
+over the chunk, whatever share of the data the key holds.  Chunks are time
+ranges, so rows of one key that share a single microsecond stay in one
+group (narrowing stops at 1 us).  The default 300 s keeps
 both small: a hot key's rows spread over its minutes, and a year of one key
 is about 105k carry rows, however many rows the key has.
 """
