@@ -5,7 +5,7 @@ without role labels; some lines carry a speaker marker (``User:``,
 ``### Assistant``, ``Q:`` ...), many do not, and markers can mislead.  The
 hidden states are role x (first line of a turn, later line).  A line emits one
 feature code made of its marker class, its length class, a question mark at
-its end and whether it opens the transcript.  Parameters are counts from
+its end and whether it opens a block or the transcript.  Parameters are counts from
 labelled conversations, smoothed by one.  Viterbi finds the likeliest states;
 lines become turns, markers are removed and turns are rendered canonically.
 
@@ -53,7 +53,7 @@ MARKER = re.compile(r"\s*(?:#{1,4}\s*|<\|?|\[|\*\*)?(" + "|".join(sorted(_CLASS,
                     + r")(?:\|?>|\]|\*\*:?|:\*\*|\s*:)\s?|\s*#{1,4}\s*("
                     + "|".join(sorted(_CLASS, key=len, reverse=True)) + r")\s*$", re.IGNORECASE | re.ASCII)
 LENGTHS = (0, 20, 60, 120, 200)          # characters: bounds of the length classes
-N_CODES = 4 * (len(LENGTHS) + 1) * 2 * 2
+N_CODES = 4 * (len(LENGTHS) + 1) * 2 * 3
 
 
 def marker_of(line: str) -> tuple[int, int]:
@@ -62,11 +62,12 @@ def marker_of(line: str) -> tuple[int, int]:
     return (_CLASS[(m[1] or m[2]).lower()], m.end()) if m else (3, 0)
 
 
-def feature(line: str, opens: bool) -> int:
-    """The feature code of a line."""
+def feature(line: str, place: int) -> int:
+    """The feature code of a line; ``place`` is 2 for the first line of a
+    transcript, 1 for that of another block, else 0."""
     marker, skip = marker_of(line)
     size = int(np.searchsorted(LENGTHS, len(line) - skip, side="left"))
-    return ((marker * (len(LENGTHS) + 1) + size) * 2 + line.rstrip().endswith("?")) * 2 + opens
+    return ((marker * (len(LENGTHS) + 1) + size) * 2 + line.rstrip().endswith("?")) * 3 + place
 
 
 @dataclass
@@ -145,19 +146,19 @@ def lines_of(blocks: DataFrame, id_col: str = "conv_id", pos_col: str = "turn",
             .withColumn("part", F.floor(F.col("line_no") / BLOCK_LINES)))
 
 
-def _feature(line, opens):
-    def codes(line: pd.Series, opens: pd.Series) -> pd.Series:
-        return pd.Series([feature(x, bool(o)) for x, o in zip(line, opens)], dtype="int32")
+def _feature(line, place):
+    def codes(line: pd.Series, place: pd.Series) -> pd.Series:
+        return pd.Series([feature(x, int(p)) for x, p in zip(line, place)], dtype="int32")
 
-    return F.pandas_udf(codes, "int")(line, opens)
+    return F.pandas_udf(codes, "int")(line, place)
 
 
 def _coded(lines: DataFrame, first_pos: DataFrame) -> DataFrame:
-    """Lines with their feature code ``e``; the first line of the smallest
-    position opens the transcript."""
-    opens = (F.col("line_no") == 0) & (F.col("pos") == F.col("first"))
+    """Lines with their feature code ``e``; the blocks at the smallest
+    position open the transcript."""
+    place = F.when(F.col("line_no") > 0, 0).when(F.col("pos") > F.col("first"), 1).otherwise(2)
     return (lines.join(first_pos, lines["conv"].eqNullSafe(first_pos["conv0"]))
-            .withColumn("e", _feature("line", opens)).drop("conv0", "first"))
+            .withColumn("e", _feature("line", place)).drop("conv0", "first"))
 
 
 def _first(lines: DataFrame) -> DataFrame:
@@ -179,9 +180,9 @@ def fit(blocks: DataFrame, id_col: str = "conv_id", pos_col: str = "turn", text_
     lines = _coded(lines, _first(lines))
     number = {r: i for i, r in enumerate(ROLES)}
     n = len(STATES)
-    emit = np.ones((n, N_CODES))
+    seen = np.zeros((n, N_CODES))
     for r in lines.groupBy("_role", (F.col("line_no") == 0).alias("first"), "e").count().collect():  # bounded codes
-        emit[2 * number[r["_role"]] + (not r["first"]), r["e"]] += r["count"]
+        seen[2 * number[r["_role"]] + (not r["first"]), r["e"]] += r["count"]
     # turn ends and line ends per role
     step, start = np.ones((n, n)), np.ones(n)
     turns = lines.groupBy("conv", "pos", "tie", "_role").agg(F.count(F.lit(1)).alias("lines"))
@@ -204,9 +205,15 @@ def fit(blocks: DataFrame, id_col: str = "conv_id", pos_col: str = "turn", text_
     for r in opening.groupBy("_role").count().collect():
         start[2 * number[r["_role"]]] += r["count"]
     start[1::2] = 0
+    # marker and place together, length and question mark on their own
+    seen = seen.reshape(n, 4, len(LENGTHS) + 1, 2, 3)
+    emit = 0.0
+    for others in ((2, 3), (1, 3, 4), (1, 2, 4)):
+        part = seen.sum(axis=others, keepdims=True) + 1
+        emit = emit + np.log(part / part.sum(axis=(1, 2, 3, 4), keepdims=True))
     with np.errstate(divide="ignore"):
         return Model(np.log(start / start.sum()), np.log(step / step.sum(axis=1, keepdims=True)),
-                     np.log(emit / emit.sum(axis=1, keepdims=True)))
+                     emit.reshape(n, N_CODES))
 
 
 # ---------------------------------------------------------------- decoding

@@ -20,6 +20,7 @@ repeated results; other columns are not read.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,7 +37,8 @@ TRAIN_PER_LANG = 3000
 HELD_OUT = (3, 1)           # crc32(id as text) mod 3 = 1
 UNDETERMINED = "und"
 CODE_BITS = 21              # a code point; three fit one long
-PIECE = 1_000_000           # characters of a text whose n-grams are counted at once
+PIECE = 1_000_000           # characters of a text whose n-grams are packed at once
+_WHITE = re.compile(r"\s")
 
 _LETTER: list[np.ndarray] = []
 
@@ -51,25 +53,30 @@ def _letters() -> np.ndarray:
     return _LETTER[0]
 
 
+def _pieces(text: str):
+    """The text in pieces of ``PIECE`` characters and up to the next white
+    space, so that no word, and so no n-gram, is cut."""
+    a = 0
+    while a < len(text):
+        m = _WHITE.search(text, a + PIECE)
+        b = m.start() if m else len(text)
+        yield text[a:b]
+        a = b
+
+
 def ngrams(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The letter n-grams of a text as packed code points, ascending, and
-    their counts; a run of other characters is one blank."""
+    their counts; a run of other characters is one blank, and no n-gram goes
+    over a blank."""
     keys = []
     blank = np.int64(0x20)
-    for a in range(0, len(text), PIECE):
-        # n-grams over the border of two pieces start in the first one
-        cp = np.frombuffer(text[max(0, a - 1):a + PIECE + 2].lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        cp = np.where(_letters()[cp], cp, 0x20).astype(np.int64)
-        if a == 0:
-            cp = np.concatenate([[blank], cp])
-        if a + PIECE >= len(text):
-            cp = np.concatenate([cp, [blank]])
+    for piece in _pieces(text):
+        cp = np.frombuffer(piece.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        cp = np.concatenate([[blank], np.where(_letters()[cp], cp, 0x20).astype(np.int64), [blank]])
         cp = cp[np.concatenate([[True], (cp[1:] != blank) | (cp[:-1] != blank)])]
-        one = cp[cp != blank]
-        two = (cp[:-1] << CODE_BITS) | cp[1:]
-        three = ((cp[:-2] << 2 * CODE_BITS) | (cp[1:-1] << CODE_BITS) | cp[2:])[cp[1:-1] != blank] \
-            if len(cp) > 2 else np.zeros(0, np.int64)
-        keys.append(np.concatenate([one, two, three]))
+        one, two = cp[cp != blank], (cp[:-1] << CODE_BITS) | cp[1:]     # two: never blank and blank
+        three = (cp[:-2] << 2 * CODE_BITS) | (cp[1:-1] << CODE_BITS) | cp[2:]
+        keys.append(np.concatenate([one, two, three[cp[1:-1] != blank]]))
     if not keys:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.unique(np.concatenate(keys), return_counts=True)

@@ -44,8 +44,9 @@ from streamfold.llm.token_count import VOCAB, load
 WINDOW = 4096
 END_ID = 2
 SALTS = 32
-MAX_COMBINATIONS = 40_000
-PARTNERS = 24            # most frequent lengths tried as the second of three
+COMBINATIONS = 12        # kept for each length
+PARTNERS = 24            # lengths tried as the second of three
+TIMES = 8                # copies of the first and the second length, at most
 CACHE_WORDS = 400_000
 
 _IDS: dict[str, dict[str, bytes]] = {}
@@ -83,40 +84,41 @@ def tokenized(df: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame
 
 
 # ------------------------------------------------------------ plan (driver)
-def combinations(hist: np.ndarray, window: int, most: int = MAX_COMBINATIONS,
-                 partners: int = PARTNERS) -> list[tuple]:
+def combinations(hist: np.ndarray, window: int, each: int = COMBINATIONS, partners: int = PARTNERS) -> list[tuple]:
     """Combinations ((length, times), ...) of at most three different lengths
-    of the histogram that fill the window exactly."""
+    of the histogram that fill the window exactly: some copies of a length,
+    some of a partner, and one rest that closes the window.  For every length
+    the ``each`` that the histogram could repeat most often are kept, with
+    partners drawn in proportion to their counts (from a fixed seed)."""
     lengths = np.flatnonzero(hist)
-    common = lengths[np.argsort(-hist[lengths], kind="stable")][:partners].tolist()
-    there = set(lengths.tolist())
+    if not len(lengths):
+        return []
+    rng = np.random.default_rng(0)
+    weight = hist[lengths] / hist[lengths].sum()
     found: dict[tuple, None] = {}
-
-    def add(parts):
-        merged: dict[int, int] = {}
-        for n, k in parts:
-            merged[n] = merged.get(n, 0) + k
-        found.setdefault(tuple(sorted(merged.items(), reverse=True)))
-
-    # frequent lengths first, so that the bound drops the rarest
-    for n in lengths[np.argsort(-hist[lengths], kind="stable")].tolist():
-        top = window // n
-        for k in sorted({1, 2, 3, 4, top // 2, top - 1, top} & set(range(1, top + 1))):
-            rest = window - k * n
-            if rest == 0:
-                add([(n, k)])
-            elif rest in there:
-                add([(n, k), (rest, 1)])
-            for m in common:
-                for q in (1, 2, 3):
-                    if (left := rest - q * m) < 0:
-                        break
-                    if left == 0:
-                        add([(n, k), (m, q)])
-                    elif left in there:
-                        add([(n, k), (m, q), (left, 1)])
-            if len(found) >= most:
-                return list(found)
+    times = np.arange(1, TIMES + 1)
+    for n in lengths.tolist():
+        others = rng.choice(lengths, size=min(partners, len(lengths)), p=weight)
+        k, m, q = (x.ravel() for x in np.meshgrid(times, others, np.concatenate([[0], times]), indexing="ij"))
+        k = np.concatenate([k, [window // n]])
+        m, q = np.append(m, n), np.append(q, 0)
+        left = window - k * n - q * m
+        ok = (k > 0) & (left >= 0) & ((left == 0) | (hist[np.maximum(left, 0)] > 0))
+        k, m, q, left = k[ok], m[ok], q[ok], left[ok]
+        often = np.minimum(hist[n] / k, np.minimum(np.where(q > 0, hist[m] / np.maximum(q, 1), np.inf),
+                                                   np.where(left > 0, hist[left], np.inf)))
+        kept = 0
+        for j in np.argsort(-often, kind="stable"):
+            parts: dict[int, int] = {}
+            for size, count in ((n, int(k[j])), (int(m[j]), int(q[j])), (int(left[j]), 1)):
+                if size and count:
+                    parts[size] = parts.get(size, 0) + count
+            combo = tuple(sorted(parts.items(), reverse=True))
+            if all(hist[size] >= count for size, count in combo) and combo not in found:
+                found[combo] = None
+                kept += 1
+                if kept == each:
+                    break
     return list(found)
 
 

@@ -136,9 +136,9 @@ def over_pages(pages: DataFrame) -> DataFrame:
 SQL = rf"""
 WITH p AS (
   SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)) AS h,
-         {START} + (page_id * 37 % 365) * 86400 + page_id % 24 * 3600 AS at
+         {START} + (page_id * 37 % 365) * 86400 + page_id % 24 * 3600 AS ts
   FROM pages),
-c AS (SELECT page_id, CASE WHEN length(h) BETWEEN 1 AND 253 THEN h END AS host, at FROM p),
+c AS (SELECT page_id, CASE WHEN length(h) BETWEEN 1 AND 253 THEN h END AS host, ts FROM p),
 hosts AS (SELECT host, min(page_id) AS lo, max(page_id) AS hi FROM c WHERE host IS NOT NULL GROUP BY host),
 e AS (
   SELECT host AS domain, 3 AS s, {START} + (lo * 53 % 300) * 86400 AS since FROM hosts
@@ -151,7 +151,7 @@ iv AS (SELECT domain, s, since, lead(since) OVER (PARTITION BY domain ORDER BY s
 m AS (
   SELECT c.page_id, arg_max(struct_pack(d := iv.domain, s := iv.s, f := iv.since), length(iv.domain)) AS r
   FROM c JOIN iv ON (c.host = iv.domain OR c.host LIKE '%.' || iv.domain)
-   AND iv.since <= c.at AND (iv.until IS NULL OR c.at < iv.until)
+   AND iv.since <= c.ts AND (iv.until IS NULL OR c.ts < iv.until)
   WHERE iv.s <> 2 GROUP BY c.page_id)
 SELECT c.page_id, c.host, CASE r.s WHEN 3 THEN 'block' WHEN 1 THEN 'allow' ELSE 'none' END AS decision,
        r.d AS rule, r.f::BIGINT AS rule_since
