@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from streamfold.llm.common import scratch, text_or_empty, tokenizer_path
-from streamfold.llm.token_count import VOCAB, load
+from streamfold.llm.token_count import VOCAB, chunks, load
 
 WINDOW = 4096
 END_ID = 2
@@ -47,21 +47,19 @@ SALTS = 32
 COMBINATIONS = 12        # kept for each length
 PARTNERS = 24            # lengths tried as the second of three
 TIMES = 8                # copies of the first and the second length, at most
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
 
 _IDS: dict[str, dict[str, bytes]] = {}
 
 
-def encode_texts(texts: list[str], path: str, end_id: int = END_ID) -> list[bytes]:
+def encode_texts(texts, path: str, end_id: int = END_ID) -> list[bytes]:
     """Token ids of each text and the end id, as little-endian 32-bit."""
     tok, known = load(path), _IDS.setdefault(path, {})
     if len(known) > CACHE_WORDS:
         known.clear()
     split = [tok.pretokens(t) for t in texts]
-    new = sorted({w for words in split if words for w in words if w not in known})
-    for i in range(0, len(new), 10_000):
-        part = new[i:i + 10_000]
-        known.update((w, np.array(ids, dtype="<u4").tobytes()) for w, ids in zip(part, tok.encode_many(part)))
+    new = sorted(set().union(*(w for w in split if w)) - known.keys())
+    known.update((w, ids.astype("<u4").tobytes()) for w, ids in zip(new, tok.encode_words(new)))
     end = np.array([end_id], dtype="<u4").tobytes()
     return [(b"".join(map(known.__getitem__, words)) if words is not None
              else np.array(tok.encode(t), dtype="<u4").tobytes()) + end for t, words in zip(texts, split)]
@@ -73,12 +71,13 @@ def tokenized(df: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame
 
     def run(batches):
         for batch in batches:
-            for a in range(0, batch.num_rows, 1000):
-                part = batch.slice(a, 1000)
-                ids = encode_texts(part.column("text").to_pylist(), path)
+            a = 0
+            for texts in chunks(t.as_py() for t in batch.column("text")):
+                ids = encode_texts(texts, path)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(ids, pa.binary()),
+                    [batch.column("doc_id").slice(a, len(ids)), pa.array(ids, pa.binary()),
                      pa.array([len(x) // 4 for x in ids], pa.int64())], names=["doc_id", "ids", "n"])
+                a += len(ids)
 
     return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, ids binary, n long")
 

@@ -18,8 +18,8 @@ count one token each, as is the library's default; other columns are not read.
 from __future__ import annotations
 
 import re
-from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 from streamfold.llm.common import text_or_empty, tokenizer_path
 
 VOCAB = "word_bpe_49k.json"
-# Distinct merged pre-tokens a worker remembers before it starts afresh.
-CACHE_WORDS = 400_000
+# Distinct pre-tokens a worker remembers before it starts afresh.
+CACHE_WORDS = 1_000_000
+WORDS_PER_CALL = 200
+CHUNK_CHARS = 2_000_000
 
 # Letters, digits and white space below U+0180, after lower-casing.
 _LETTERS = "a-zªµºß-öø-ſ"
@@ -50,6 +52,9 @@ class WordTokenizer:
         self.lib = Tokenizer.from_file(path)
         self.lib.no_truncation()
         self.lib.no_padding()
+        vocab = self.lib.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.closes[[i for v, i in vocab.items() if v.endswith("</w>")]] = True
         added = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(re.escape(s) for s in sorted(added, key=len, reverse=True)) or "(?!)")
 
@@ -59,6 +64,23 @@ class WordTokenizer:
     def encode_many(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def encode_words(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of each pre-token.  Pre-tokens are put together with line
+        breaks, which the tokenizer drops, so one call encodes many; an id
+        whose string has the word end closes a pre-token."""
+        out = []
+        groups = [words[i:i + WORDS_PER_CALL] for i in range(0, len(words), WORDS_PER_CALL)]
+        for a in range(0, len(groups), 50):
+            some = groups[a:a + 50]
+            for part, e in zip(some, self.lib.encode_batch_fast(["\n".join(g) for g in some],
+                                                                add_special_tokens=False)):
+                ids = np.array(e.ids, dtype=np.uint32)
+                ends = np.flatnonzero(self.closes[ids]) + 1
+                if len(ends) != len(part) or ends[-1] != len(ids):
+                    raise ValueError("a word is not one pre-token")
+                out += np.split(ids, ends[:-1])
+        return out
+
     def pretokens(self, text: str) -> list[str] | None:
         """Pre-tokens of a text, or None where the pattern is not proved or a
         special string occurs."""
@@ -87,27 +109,34 @@ def load(path: str) -> WordTokenizer:
     return _LOADED[path]
 
 
-_MERGED: dict[str, dict[str, int]] = {}
-
-
-def count_texts(texts, tok: WordTokenizer, whole, merged: dict[str, int]) -> list[int]:
-    """Token counts of the texts; ``merged`` remembers other pre-tokens."""
-    out, todo, new = [], [], set()
-    for text in texts:
-        words = tok.pretokens(text)
-        if words is None:
-            todo.append(len(tok.encode(text)))
-            continue
-        counts = Counter(words)
-        rest = [(w, n) for w, n in counts.items() if w not in whole]
-        new.update(w for w, _ in rest if w not in merged)
-        todo.append((len(words) - sum(n for _, n in rest), rest))
-    new = sorted(new)
-    for i in range(0, len(new), 10_000):
-        part = new[i:i + 10_000]
-        merged.update(zip(part, map(len, tok.encode_many(part))))
-    for item in todo:
-        out.append(item if isinstance(item, int) else item[0] + sum(n * merged[w] for w, n in item[1]))
+_SIZES: dict[str, dict[str, int]] = {}
+
+
+def chunks(texts, limit: int = CHUNK_CHARS):
+    """Consecutive texts of about ``limit`` characters together."""
+    part, held = [], 0
+    for t in texts:
+        if part and held + len(t) > limit:
+            yield part
+            part, held = [], 0
+        part.append(t)
+        held += len(t)
+    if part:
+        yield part
+
+
+def count_texts(texts, tok: WordTokenizer, whole, size: dict[str, int]) -> list[int]:
+    """Token counts of the texts; ``size`` remembers pre-tokens.  Those that
+    are whole tokens count one; the rest are merged once."""
+    out = []
+    for part in chunks(texts):
+        if len(size) > CACHE_WORDS or not size:
+            size.clear()
+            size.update(dict.fromkeys(whole, 1))
+        split = [tok.pretokens(t) for t in part]
+        new = sorted(set().union(*(w for w in split if w)) - size.keys())
+        size.update(zip(new, map(len, tok.encode_words(new))))
+        out += [len(tok.encode(t)) if w is None else sum(map(size.__getitem__, w)) for t, w in zip(part, split)]
     return out
 
 
@@ -120,10 +149,8 @@ def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     @F.pandas_udf("long")
     def n_tokens(parts: pd.Series) -> pd.Series:
-        tok, merged = load(path), _MERGED.setdefault(path, {})
-        if len(merged) > CACHE_WORDS:
-            merged.clear()
-        return pd.Series(count_texts(parts, tok, whole.value, merged), dtype="int64")
+        size = _SIZES.setdefault(path, {})
+        return pd.Series(count_texts(parts, load(path), whole.value, size), dtype="int64")
 
     text = text_or_empty(text_col)
     return df.select(F.col(id_col).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"),
