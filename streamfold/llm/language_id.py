@@ -143,7 +143,8 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
     # the sample: rows whose hash falls below the share that the bound allows
     share = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.lit(1_000_000) * F.least(F.lit(1.0), per_lang / F.col("n"))
-    sample = labelled.join(sizes, "lang").filter(share).select("lang", "text")
+    # one row a language, far less than the model itself; so no text is shuffled
+    sample = labelled.join(F.broadcast(sizes), "lang").filter(share).select("lang", "text")
 
     def counted(batches):
         for batch in batches:
