@@ -196,8 +196,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     member = first.join(linked.withColumnRenamed("node", "fp"), "fp")
     least = member.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = member.join(least, "component").select("fp", "component_id")
-    by_fp = (first.join(named, "fp", "left")
-             .select("fp", F.coalesce("component_id", "first_id").alias("component_id")))
+    # written, so that the last join is one of two plain inputs, whose hot fingerprints Spark can split
+    by_fp = scratch(first.join(named, "fp", "left")
+                    .select("fp", F.coalesce("component_id", "first_id").alias("component_id")), "fp-components")
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
