@@ -20,8 +20,9 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections import defaultdict
-from itertools import count
+import re
+import unicodedata
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,25 +34,31 @@ from streamfold.llm.common import text_or_empty, tokenizer_path
 
 RANKS = "byte_bpe_50k.tiktoken"
 MAX_SQL_BYTES = 255          # the position takes the low 8 bits of a row's key, the last one stays free
-WORK_PER_QUERY = 8_000_000   # sum of squared pre-token lengths: bounds the rows of one recursion
-CHUNK_BYTES = 16_000_000
-CHUNK_TOKENS = 2_000_000
-CACHE_WORDS = 500_000
-
+WORK_PER_QUERY = 2_000_000   # sum of squared pre-token lengths: bounds the rows of one recursion
+CHUNK_BYTES = 4_000_000
+CHUNK_TOKENS = 200_000
+CACHE_WORDS = 1_000_000      # distinct pre-tokens a worker remembers before it starts afresh
+LATIN = 0x180                # below it, the pattern is written out for Python's own matcher
+
+# A row: key (word * 256 + position), token t, the next token n, the rank r of
+# that pair.  bp is the position of the word's best pair, m its merged token and
+# n2 the token after it; ranks are looked up again for the two changed rows.
 ENCODE_SQL = """
-WITH RECURSIVE cur(k, t, fin) AS (
-    SELECT k, t, false FROM start_rows
+WITH RECURSIVE cur(k, t, n, r, fin) AS (
+    SELECT k, t, n, m.rank, false FROM start_rows LEFT JOIN merges m ON m.pair = t::BIGINT * 65536 + n
   UNION ALL
-    (WITH live AS (SELECT k, t FROM cur WHERE NOT fin),
-          best AS (SELECT a.k // 256 AS w, min(m.rank::BIGINT * 256 + a.k % 256) AS b
-                   FROM live a JOIN live c ON c.k = a.k + 1
-                   JOIN merges m ON m.pair = a.t::BIGINT * 65536 + c.t
-                   GROUP BY 1)
-     SELECT CASE WHEN k % 256 > b % 256 THEN k - 1 ELSE k END,
-            CASE WHEN k % 256 = b % 256 THEN (b // 256)::INT ELSE t END,
-            b IS NULL
-     FROM live LEFT JOIN best ON w = k // 256
-     WHERE b IS NULL OR k % 256 <> b % 256 + 1)
+    (WITH live AS (SELECT k, t, n, r FROM cur WHERE NOT fin),
+          best AS (SELECT k // 256 AS w, min(r::BIGINT * 256 + k % 256) AS b FROM live WHERE r IS NOT NULL GROUP BY 1),
+          pair AS (SELECT w, b % 256 AS bp, (b // 256)::INT AS m, l.n AS n2
+                   FROM best JOIN live l ON l.k = w * 256 + b % 256 + 1),
+          moved AS (SELECT CASE WHEN k % 256 > bp THEN k - 1 ELSE k END AS k,
+                           CASE WHEN k % 256 = bp THEN m ELSE t END AS t,
+                           CASE WHEN k % 256 = bp THEN n2 WHEN k % 256 = bp - 1 THEN m ELSE n END AS n,
+                           r, coalesce(k % 256 IN (bp, bp - 1), false) AS changed, bp IS NULL AS fin
+                    FROM live LEFT JOIN pair ON w = k // 256
+                    WHERE bp IS NULL OR k % 256 <> bp + 1)
+     SELECT k, t, n, CASE WHEN changed THEN m.rank ELSE r END, fin
+     FROM moved LEFT JOIN merges m ON m.pair = CASE WHEN changed THEN t::BIGINT * 65536 + n END)
 )
 SELECT (k // 256)::INT AS w, t FROM cur WHERE fin ORDER BY k
 """
@@ -62,6 +69,30 @@ FROM token_rows JOIN vocab USING (t) GROUP BY d ORDER BY d
 """
 
 
+def latin_pattern(pattern: str) -> str | None:
+    """The pattern with its Unicode classes written out for code points below
+    ``LATIN``; None if it uses others than letters, numbers and white space."""
+    chars = list(map(chr, range(LATIN)))
+    kind = {r"\p{L}": [c for c in chars if unicodedata.category(c)[0] == "L"],
+            r"\p{N}": [c for c in chars if unicodedata.category(c)[0] == "N"],
+            r"\s": list("\t\n\x0b\x0c\r \x85\xa0")}
+    sets = {k: "".join(f"\\x{ord(c):02x}" if ord(c) < 256 else c for c in v) for k, v in kind.items()}
+    out = re.sub(r"\[\^((?:\\s|\\p\{[LN]\})+)\]",
+                 lambda m: "[^" + "".join(sets[x] for x in re.findall(r"\\s|\\p\{[LN]\}", m[1])) + "]", pattern)
+    for k, v in sets.items():
+        out = out.replace(k, f"[{v}]")
+    out = out.replace(r"\S", f"[^{sets[chr(92) + 's']}]")
+    return None if re.search(r"\\[pPswdWDb]", out) else out
+
+
+class Numbers(dict):
+    """Pre-tokens to numbers, in the order in which they were first asked."""
+
+    def __missing__(self, word):
+        self[word] = n = len(self)
+        return n
+
+
 class Bpe:
     """A rank file, its merge table and a DuckDB connection of this process."""
 
@@ -73,7 +104,10 @@ class Bpe:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         if max(self.ranks.values(), default=0) >= 65536:
             raise ValueError("token ids over 65535 do not fit the pair key")
-        self.split = regex.compile(pattern).findall
+        self.any_split = regex.compile(pattern).findall
+        latin = latin_pattern(pattern)
+        self.latin_split = re.compile(latin).findall if latin else self.any_split
+        self.beyond = re.compile(f"[^\0-{chr(LATIN - 1)}]").search
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
         pairs, merged = [], []
         for token, rank in self.ranks.items():
@@ -82,12 +116,22 @@ class Bpe:
                 if a is not None and b is not None:
                     pairs.append(a * 65536 + b)
                     merged.append(rank)
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
+        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB"})
         self.con.execute("SET temp_directory = ''")
         self._table("merges", pair=pa.array(pairs, pa.int64()), rank=pa.array(merged, pa.int32()))
         self._table("vocab", t=pa.array(self.ranks.values(), pa.int32()),
                     h=pa.array([b.hex() for b in self.ranks], pa.string()))
-        self.words: dict[str, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        # the ids of pre-token number i are flat[first[i]:first[i + 1]]
+        self.numbers = Numbers()
+        self.flat, self.first = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def split(self, text: str) -> list[str]:
+        if text.isascii() or not self.beyond(text):
+            return self.latin_split(text)
+        return self.any_split(text)
 
     def _table(self, name: str, **cols) -> None:
         self.con.register("given", pa.table(cols))
@@ -127,44 +171,48 @@ class Bpe:
         raw = np.frombuffer(b"".join(words), dtype=np.uint8)
         word = np.repeat(np.arange(len(words)), size)
         pos = np.arange(len(raw)) - np.repeat(np.cumsum(size) - size, size)
-        out = self._query("start_rows", {"k": word * 256 + pos, "t": self.byte_ids[raw]}, ENCODE_SQL)
+        t = self.byte_ids[raw]
+        after = np.append(t[1:], -1).astype(np.int32)
+        after[np.cumsum(size) - 1] = -1
+        out = self._query("start_rows", {"k": word * 256 + pos, "t": t, "n": after}, ENCODE_SQL)
         ids = out["t"].to_numpy().astype(np.int32)
         ends = np.searchsorted(out["w"].to_numpy(), np.arange(1, len(words)), side="left")
         return np.split(ids, ends)
 
-    def learn(self, words) -> None:
-        """Add the ids of new pre-tokens to ``self.words``."""
+    def _learn(self, words: list[str]) -> None:
+        """Add the ids of the next pre-tokens by number."""
+        ids: list = [None] * len(words)
         short = []
-        for w in words:
+        for i, w in enumerate(words):
             b = w.encode()
             if b in self.ranks:
-                self.words[w] = np.array([self.ranks[b]], dtype=np.int32)
+                ids[i] = np.array([self.ranks[b]], dtype=np.int32)
             elif len(b) > MAX_SQL_BYTES:
-                self.words[w] = self.merge_long(b)
+                ids[i] = self.merge_long(b)
             else:
-                short.append((w, b))
+                short.append((i, b))
         for i, j in _runs([len(b) ** 2 for _, b in short], WORK_PER_QUERY):
             part = short[i:j]
-            for (w, _), ids in zip(part, self.merge_words([b for _, b in part])):
-                self.words[w] = ids
+            for (at, _), merged in zip(part, self.merge_words([b for _, b in part])):
+                ids[at] = merged
+        if ids:
+            size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+            self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(size)])
+            self.flat = np.concatenate([self.flat, *ids])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        code_of = defaultdict(count().__next__)
-        coded = [np.fromiter(map(code_of.__getitem__, self.split(t)), dtype=np.int64) for t in texts]
-        self.learn([w for w in code_of if w not in self.words])
-        pieces = [self.words[w] for w in code_of]
-        if not pieces:
-            return [np.zeros(0, dtype=np.int32) for _ in texts]
-        size = np.array([len(p) for p in pieces])
-        flat, first = np.concatenate(pieces), np.cumsum(size) - size
+        if len(self.numbers) > CACHE_WORDS:
+            self._forget()
+        known = len(self.numbers)
+        number = self.numbers.__getitem__
+        coded = [np.fromiter(map(number, self.split(t)), dtype=np.int64) for t in texts]
+        self._learn(list(islice(self.numbers, known, None)))
         out = []
         for c in coded:
-            n = size[c]
-            at = np.repeat(first[c] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            out.append(flat[at])
+            n = self.first[c + 1] - self.first[c]
+            at = np.repeat(self.first[c] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            out.append(self.flat[at])
         return out
 
     def decode(self, flat: np.ndarray, sizes: np.ndarray) -> list[bytes]:
@@ -213,25 +261,30 @@ def _pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def _lists(ids: list[np.ndarray]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+
+
 def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: str = RANKS,
-           folder: str | None = None, pattern: str | None = None) -> DataFrame:
-    """Per row: ``doc_id`` and ``ids`` (array<int>)."""
+           folder: str | None = None, pattern: str | None = None, and_decode: bool = False) -> DataFrame:
+    """Per row: ``doc_id`` and ``ids`` (array<int>); with ``and_decode`` also
+    ``bytes``, decoded from the ids in the same task."""
     path, pat = tokenizer_path(ranks, folder), pattern or _pattern()
     d = df.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
-    schema = f"doc_id {d.schema['doc_id'].dataType.simpleString()}, ids array<int>"
+    schema = f"doc_id {d.schema['doc_id'].dataType.simpleString()}, ids array<int>" + ", bytes binary" * and_decode
 
     def run(batches):
         bpe = load(path, pat)
         for batch in batches:
             col = batch.column("text")
-            lengths = pc.binary_length(col).to_pylist()
-            for a, b in _runs(lengths, CHUNK_BYTES):
+            for a, b in _runs(pc.binary_length(col).to_pylist(), CHUNK_BYTES):
                 ids = bpe.encode(col.slice(a, b - a).to_pylist())
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                values = pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), pa.ListArray.from_arrays(pa.array(offsets), values)],
-                    names=["doc_id", "ids"])
+                out = {"doc_id": batch.column("doc_id").slice(a, b - a), "ids": _lists(ids)}
+                if and_decode:
+                    sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+                    out["bytes"] = pa.array(bpe.decode(np.concatenate(ids), sizes), pa.binary())
+                yield pa.RecordBatch.from_pydict(out)
 
     return d.mapInArrow(run, schema)
 
@@ -248,19 +301,19 @@ def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", ranks: s
         for batch in batches:
             col = batch.column("ids")
             sizes = pc.fill_null(pc.list_value_length(col), 0).to_numpy(zero_copy_only=False)
-            flat = pc.list_flatten(col).to_numpy(zero_copy_only=False)
-            if pc.list_flatten(col).null_count:
+            flat = pc.list_flatten(col)
+            if flat.null_count:
                 raise ValueError("a token id is null")
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), col, pa.array(bpe.decode(flat, sizes.astype(np.int64)), pa.binary())],
-                names=["doc_id", "ids", "bytes"])
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column("doc_id"), "ids": col,
+                "bytes": pa.array(bpe.decode(flat.to_numpy(), sizes.astype(np.int64)), pa.binary())})
 
     return d.mapInArrow(run, schema)
 
 
 def round_trip_digests(docs: DataFrame, **files) -> DataFrame:
     """Encode, decode the ids, and digest both."""
-    both = decode(encode(docs, **files), **files)
+    both = encode(docs, and_decode=True, **files)
     ids_text = F.array_join(F.col("ids").cast("array<string>"), " ")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(ids_text, 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))

@@ -109,6 +109,27 @@ def test_long_and_short_words_merge_alike(tiktok):
                 assert bpe.merge_words([b, b])[1].tolist() == expected
 
 
+def test_encode_then_decode_frames(odd):
+    both = byte_bpe.decode(byte_bpe.encode(odd))
+    texts = sorted((repr(r["doc_id"]), (r["text"] or "").encode()) for r in table(odd))
+    assert sorted((repr(r["doc_id"]), bytes(r["bytes"])) for r in table(both)) == texts
+
+
+def test_latin_pattern_splits_alike():
+    bpe = byte_bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    assert bpe.latin_split is not bpe.any_split
+    for c in map(chr, range(byte_bpe.LATIN)):
+        for text in (c, f"a{c}b", f"1{c}2", f"'{c}s", f"a {c} b", f"!{c}!", f" {c}", f"{c}  {c}\n ", c * 3):
+            assert bpe.latin_split(text) == bpe.any_split(text), repr(text)
+
+
+def test_forgetting_changes_nothing(monkeypatch, tiktok):
+    monkeypatch.setattr(byte_bpe, "CACHE_WORDS", 3)
+    bpe = byte_bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    for text in ("größer als été and more of it", "more of größer", ""):
+        assert [x.tolist() for x in bpe.encode([text, text])] == [tiktok.encode_ordinary(text)] * 2
+
+
 def test_decode_in_slices(monkeypatch, tiktok):
     monkeypatch.setattr(byte_bpe, "CHUNK_TOKENS", 7)
     bpe = byte_bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
