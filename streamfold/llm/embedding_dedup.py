@@ -44,7 +44,7 @@ def hyperplanes(dim: int, tables: int, bits: int, seed: int) -> np.ndarray:
 def codes_of(x: np.ndarray, tables: int, bits: int, seed: int) -> np.ndarray:
     """Per vector and table, the signs as one integer."""
     signs = (x @ hyperplanes(x.shape[1], tables, bits, seed) >= 0).reshape(len(x), tables, bits)
-    return signs @ (1 << np.arange(bits, dtype=np.int64))
+    return (signs @ (1 << np.arange(bits, dtype=np.int64))).astype(np.int32)
 
 
 def _matrix(col) -> np.ndarray:
@@ -82,6 +82,8 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
                     block: int = BLOCK) -> DataFrame:
     """Per row: ``vec_id``, ``n_links``, ``component_id`` and ``kept``."""
     spark = df.sparkSession
+    # vectors of floats travel as floats; cosines are taken in double precision
+    item = "float" if dict(df.dtypes)[vector_col] == "array<float>" else "double"
     d = df.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"),
                   F.col(label_col).alias("label"))
     bad = F.exists("v", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
@@ -90,7 +92,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     top = F.array_max(F.transform("v", F.abs))
     scale = F.pow(F.lit(2.0), -F.greatest(F.lit(-1000), F.least(F.lit(1000), F.floor(F.log2(top)))))
     d = d.withColumn("usable", usable).withColumn(
-        "v", F.when(usable, F.transform("v", lambda c: c * scale + F.lit(0.0))))
+        "v", F.when(usable, F.transform("v", lambda c: c * scale + F.lit(0.0))).cast(f"array<{item}>"))
     d = d.withColumn("class", F.when(F.col("usable"), F.md5(F.to_json(F.struct("label", "v")))))
     classes = scratch(d.filter("usable").groupBy("class", "label", "v")
                       .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"))
@@ -102,15 +104,15 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector_col: str = "em
             sizes = batch.column("v").value_lengths().to_numpy()
             for dim in np.unique(sizes):
                 part = batch.filter(pa.array(sizes == dim))
-                codes = codes_of(_matrix(part.column("v")), tables, bits, seed)
+                codes = codes_of(_matrix(part.column("v")).astype(np.float64), tables, bits, seed)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("class"), part.column("label"), part.column("v"), part.column("n"),
                      pa.ListArray.from_arrays(pa.array(np.arange(len(codes) + 1) * tables, pa.int32()),
                                               pa.array(codes.ravel()))],
                     names=["class", "label", "v", "n", "codes"])
 
-    signed = classes.mapInArrow(hashed, f"class string, label {kind['label']}, v array<double>, n long, "
-                                        "codes array<long>").withColumn("dim", F.size("v"))
+    signed = classes.mapInArrow(hashed, f"class string, label {kind['label']}, v array<{item}>, n long, "
+                                        "codes array<int>").withColumn("dim", F.size("v"))
     bucket = ["label", "dim", "table_no", "code"]
     flat = signed.select("label", "dim", F.posexplode("codes").alias("table_no", "code"))
     # buckets of one class hold no pair; the vectors of the others are dealt out
