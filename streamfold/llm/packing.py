@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from streamfold.llm.common import scratch, text_or_empty, tokenizer_path
-from streamfold.llm.token_count import VOCAB, chunks, load
+from streamfold.llm.token_count import VOCAB, chunks, load, memory
 
 WINDOW = 4096
 END_ID = 2
@@ -47,33 +47,21 @@ SALTS = 32
 COMBINATIONS = 12        # kept for each length
 PARTNERS = 24            # lengths tried as the second of three
 TIMES = 8                # copies of the first and the second length, at most
-CACHE_WORDS = 1_000_000
 
-_IDS: dict[str, dict[str, bytes]] = {}
-
-
-def encode_texts(texts, path: str, end_id: int = END_ID) -> list[bytes]:
-    """Token ids of each text and the end id, as little-endian 32-bit."""
-    tok, known = load(path), _IDS.setdefault(path, {})
-    if len(known) > CACHE_WORDS:
-        known.clear()
-    split = [tok.pretokens(t) for t in texts]
-    new = sorted(set().union(*(w for w in split if w)) - known.keys())
-    known.update((w, ids.astype("<u4").tobytes()) for w, ids in zip(new, tok.encode_words(new)))
+def tokenized(df: DataFrame, id_col: str, text_col: str, path: str, end_id: int = END_ID) -> DataFrame:
+    """Per row: ``doc_id``, ``ids`` (little-endian 32-bit, the end id last)
+    and ``n`` (tokens)."""
+    # bounded by the vocabulary
+    whole = df.sparkSession.sparkContext.broadcast(load(path).whole_tokens())
     end = np.array([end_id], dtype="<u4").tobytes()
-    return [(b"".join(map(known.__getitem__, words)) if words is not None
-             else np.array(tok.encode(t), dtype="<u4").tobytes()) + end for t, words in zip(texts, split)]
-
-
-def tokenized(df: DataFrame, id_col: str, text_col: str, path: str) -> DataFrame:
-    """Per row: ``doc_id``, ``ids`` (binary) and ``n`` (tokens)."""
     d = df.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
 
     def run(batches):
+        known = memory(path, whole.value)
         for batch in batches:
             a = 0
             for texts in chunks(t.as_py() for t in batch.column("text")):
-                ids = encode_texts(texts, path)
+                ids = [x.astype("<u4").tobytes() + end for x in known.encode(texts)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(a, len(ids)), pa.array(ids, pa.binary()),
                      pa.array([len(x) // 4 for x in ids], pa.int64())], names=["doc_id", "ids", "n"])

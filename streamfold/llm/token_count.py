@@ -18,6 +18,7 @@ count one token each, as is the library's default; other columns are not read.
 from __future__ import annotations
 
 import re
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 from streamfold.llm.common import text_or_empty, tokenizer_path
 
 VOCAB = "word_bpe_49k.json"
-# Distinct pre-tokens a worker remembers before it starts afresh.
-CACHE_WORDS = 1_000_000
+# Distinct parts of texts a worker remembers before it starts afresh.
+CACHE_PARTS = 1_000_000
 WORDS_PER_CALL = 200
 CHUNK_CHARS = 2_000_000
 
@@ -37,7 +38,7 @@ _LETTERS = "a-zªµºß-öø-ſ"
 _DIGITS = "0-9²³¹¼-¾"
 _SPACE = r"\t-\r \x85\xa0"
 PRETOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_SPACE}{_LETTERS}{_DIGITS}]+")
-UNPROVED = re.compile("[^\x00-ſ]|İ")
+UNPROVED = re.compile("[^\x00-ſ]|[\x1c-\x1fİ]")       # U+001C to U+001F divide words for str.split only
 
 
 class WordTokenizer:
@@ -81,12 +82,17 @@ class WordTokenizer:
                 out += np.split(ids, ends[:-1])
         return out
 
-    def pretokens(self, text: str) -> list[str] | None:
-        """Pre-tokens of a text, or None where the pattern is not proved or a
-        special string occurs."""
-        if self.special.search(text) or not text.isascii() and UNPROVED.search(text):
+    def parts(self, text: str) -> list[str] | None:
+        """The lower-case text between white space (no pre-token goes over
+        it), or None where the pattern is not proved or a special string
+        occurs."""
+        if UNPROVED.search(text) or self.special.search(text):
             return None
-        return PRETOKEN.findall(text.lower())
+        return text.lower().split()
+
+    def pretokens(self, text: str) -> list[str] | None:
+        parts = self.parts(text)
+        return parts if parts is None else [w for p in parts for w in PRETOKEN.findall(p)]
 
     def whole_tokens(self) -> dict[str, int]:
         """The vocabulary strings that, encoded alone, are one pre-token and
@@ -109,9 +115,6 @@ def load(path: str) -> WordTokenizer:
     return _LOADED[path]
 
 
-_SIZES: dict[str, dict[str, int]] = {}
-
-
 def chunks(texts, limit: int = CHUNK_CHARS):
     """Consecutive texts of about ``limit`` characters together."""
     part, held = [], 0
@@ -125,19 +128,74 @@ def chunks(texts, limit: int = CHUNK_CHARS):
         yield part
 
 
-def count_texts(texts, tok: WordTokenizer, whole, size: dict[str, int]) -> list[int]:
-    """Token counts of the texts; ``size`` remembers pre-tokens.  Those that
-    are whole tokens count one; the rest are merged once."""
-    out = []
-    for part in chunks(texts):
-        if len(size) > CACHE_WORDS or not size:
-            size.clear()
-            size.update(dict.fromkeys(whole, 1))
-        split = [tok.pretokens(t) for t in part]
-        new = sorted(set().union(*(w for w in split if w)) - size.keys())
-        size.update(zip(new, map(len, tok.encode_words(new))))
-        out += [len(tok.encode(t)) if w is None else sum(map(size.__getitem__, w)) for t, w in zip(part, split)]
-    return out
+class Numbers(dict):
+    """Parts of texts to numbers, in the order in which they were first asked."""
+
+    def __missing__(self, part):
+        self[part] = n = len(self)
+        return n
+
+
+class Memory:
+    """What a worker knows: the ids of part number i are
+    ``flat[first[i]:first[i + 1]]``.  Pre-tokens in ``whole`` (string to id)
+    are one token; the others are merged."""
+
+    def __init__(self, tok: WordTokenizer, whole: dict[str, int]):
+        self.tok, self.whole = tok, whole
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers = Numbers()
+        self.flat, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def _learn(self, parts: list[str]) -> None:
+        split = [PRETOKEN.findall(p) for p in parts]
+        words = sorted(set().union(*split))
+        ids = {w: np.array([self.whole[w]], dtype=np.uint32) for w in words if w in self.whole}
+        rest = [w for w in words if w not in ids]
+        ids.update(zip(rest, self.tok.encode_words(rest)))
+        found = [ids[ws[0]] if len(ws) == 1 else np.concatenate([ids[w] for w in ws]) for ws in split]
+        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(size)])
+        self.flat = np.concatenate([self.flat, *found])
+
+    def numbered(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Per text the numbers of its parts, None if the library must do it."""
+        if len(self.numbers) > CACHE_PARTS:
+            self._forget()
+        known, number = len(self.numbers), self.numbers.__getitem__
+        split = (self.tok.parts(t) for t in texts)
+        coded = [None if p is None else np.fromiter(map(number, p), dtype=np.int64, count=len(p)) for p in split]
+        self._learn(list(islice(self.numbers, known, None)))
+        return coded
+
+    def counts(self, texts: list[str]) -> list[int]:
+        """Tokens of each text."""
+        coded = self.numbered(texts)
+        return [len(self.tok.encode(t)) if c is None else int((self.first[c + 1] - self.first[c]).sum())
+                for t, c in zip(texts, coded)]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text."""
+        out = []
+        for t, c in zip(texts, self.numbered(texts)):
+            if c is None:
+                out.append(np.array(self.tok.encode(t), dtype=np.uint32))
+                continue
+            n = self.first[c + 1] - self.first[c]
+            out.append(self.flat[np.repeat(self.first[c] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
+        return out
+
+
+_MEMORY: dict[str, Memory] = {}
+
+
+def memory(path: str, whole: dict[str, int]) -> Memory:
+    """This process's memory for a tokenizer file."""
+    if path not in _MEMORY:
+        _MEMORY[path] = Memory(load(path), whole)
+    return _MEMORY[path]
 
 
 def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -145,12 +203,12 @@ def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Per row: ``doc_id``, ``n_bytes`` (UTF-8) and ``n_tokens``."""
     path = tokenizer_path(vocab, folder)
     # bounded by the vocabulary
-    whole = df.sparkSession.sparkContext.broadcast(frozenset(load(path).whole_tokens()))
+    whole = df.sparkSession.sparkContext.broadcast(load(path).whole_tokens())
 
     @F.pandas_udf("long")
     def n_tokens(parts: pd.Series) -> pd.Series:
-        size = _SIZES.setdefault(path, {})
-        return pd.Series(count_texts(parts, load(path), whole.value, size), dtype="int64")
+        known = memory(path, whole.value)
+        return pd.Series([n for group in chunks(parts) for n in known.counts(group)], dtype="int64")
 
     text = text_or_empty(text_col)
     return df.select(F.col(id_col).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"),

@@ -55,7 +55,7 @@ def test_pattern_is_proved_for_every_code_point(library):
         for text in (c, f"a{c}b", f"1{c}2", f"'{c}s", f"a {c} b", f"!{c}!", c * 3):
             mine = tok.pretokens(text)
             if mine is None:
-                assert c == "İ"
+                assert c == "İ" or "\x1c" <= c <= "\x1f"
                 continue
             norm = library.normalizer.normalize_str(text)
             theirs = [norm[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(norm)]
