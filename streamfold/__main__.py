@@ -43,15 +43,15 @@ def main(argv=None) -> None:
     if a.mode == "stream":
         from streamfold.sources.topics import read_topic
         from streamfold.streaming.jobs import start_spec
-        reader = lambda t: read_topic(spark, t, a.bootstrap, stream=True,
-                                      max_offsets_per_trigger=a.max_offsets_per_trigger)
+        reader = lambda t, **kw: read_topic(spark, t, a.bootstrap, stream=True,
+                                            max_offsets_per_trigger=a.max_offsets_per_trigger, **kw)
         queries = start_spec(spark, spec, reader, a.out, trigger=a.trigger, ttl_seconds=a.ttl or None)
         for q in queries.values():
             q.awaitTermination()
         return
 
     envelopes = spark.read.parquet(a.topics)
-    reader = lambda t: envelopes.filter(F.col("topic") == t)
+    reader = lambda t, **kw: envelopes.filter(F.col("topic") == t)
     sinks, errors = X.build_with_errors(spec, reader, ttl_seconds=a.ttl or None)
     for sid, df in sinks.items():
         try:

@@ -18,11 +18,6 @@ def pct_change(price, prev_close, digits: int = 4) -> Column:
         F.round(F.try_divide(p - pc, pc) * 100, digits))
 
 
-def guarded_div(num, den) -> Column:
-    """NULL when the divisor is NULL or zero."""
-    return F.try_divide(_c(num), _c(den))
-
-
 def non_negative(x) -> Column:
     """``max(0, x)``."""
     return F.greatest(F.lit(0).cast("double"), _c(x).cast("double"))
@@ -34,16 +29,6 @@ def lag_seconds(now, created) -> Column:
     return non_negative(diff)
 
 
-def ms_to_timestamp(ms) -> Column:
-    """Epoch milliseconds -> timestamp."""
-    return F.timestamp_millis(_c(ms))
-
-
-def s_to_timestamp(s) -> Column:
-    """Epoch seconds -> timestamp."""
-    return F.timestamp_seconds(_c(s))
-
-
 def to_json_all(*cols) -> Column:
     """JSON object text with NULL fields kept (as ``json.dumps`` writes)."""
     return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})

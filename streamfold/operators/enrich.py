@@ -6,31 +6,26 @@ time.  Inner semantics: a trade with no earlier quote gives no row.  The
 quote travels as one struct, so a NULL field of the newest quote stays
 NULL instead of being filled from an older quote.
 
-Plan (no key is ever gathered whole into one task):
+Plan, the same for every input (no key is ever gathered whole into one task):
 
-1. Union both sides, tagged, with ``chunk = floor(time / chunk_seconds)``.
+1. Union both sides, tagged, with ``chunk = floor(time / chunk_ms)``.
 2. Per (key, chunk) the last quote (aggregated over the quote side only,
    partial so hot keys are reduced map-side) and the distinct chunks that
    hold trades (a hash aggregate).
-3. A window over those chunk rows of a key (span / chunk rows, independent
-   of the row count) carries the last quote of all earlier chunks to each
-   trade chunk.
-4. The union is joined to that carry table on (key, chunk) (quote rows of
-   chunks without trades drop out: their quote is carried) and a running
+3. The last quote of all earlier chunks is carried to each trade chunk at two
+   levels: inside a span of ``SPAN_CHUNKS`` chunks by a window over the chunk
+   rows of (key, span), and from earlier spans by a window over the span rows
+   of a key.
+4. The union is joined to that carry table on (key, chunk) and a running
    ``last(ignorenulls)`` window runs inside each (key, chunk); the join and
-   the window share one hash partitioning, so the big side is shuffled
-   once.  Result: ``coalesce(in-chunk quote, carried quote)``.
-
-A (key, chunk) group holds only the rows of one key within one chunk, and
-the carry window holds span / chunk rows per key.  A key whose densest
-chunk holds more than ``hot_rows`` rows gets chunks narrower by a power of
-two (a broadcast lookup of those keys, at most rows / ``hot_rows`` of them),
-so its groups shrink back to about ``hot_rows`` when its rows are spread
-over the chunk, whatever share of the data the key holds.  Chunks are time
-ranges, so rows of one key that share a single microsecond stay in one
-group (narrowing stops at 1 us).  The default 300 s keeps
-both small: a hot key's rows spread over its minutes, and a year of one key
-is about 105k carry rows, however many rows the key has.
+   the window share one hash partitioning.  Result: ``coalesce(in-chunk
+   quote, carried quote)``.
+
+What a window holds: the rows of one key in ``chunk_ms`` (one second by
+default), ``SPAN_CHUNKS`` chunk rows, or one row per span of a key (about 7,700
+a year).  None grows with a key's share of the data otherwise; a key with
+more rows a second than a task can sort needs a smaller ``chunk_ms``, down to
+0.001.  Nothing is broadcast by force, and no statistics choose the plan.
 """
 
 from __future__ import annotations
@@ -42,45 +37,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from streamfold.functions.scalar import floor_div, pct_change
-from streamfold.session import estimated_bytes
 
-
-# Rows of one key in one chunk above which that key's chunks are narrowed.
-HOT_CHUNK_ROWS = 1_000_000
-# Estimated input size below which the density pass is skipped: even a key
-# holding all of such an input fits in one task.
-HOT_PASS_MIN_BYTES = 1 << 30
-
-
-def hot_key_widths(u: DataFrame, key: list[str], chunk_us: int, hot_rows: int) -> DataFrame:
-    """Keys whose densest chunk holds more than ``hot_rows`` rows, with a
-    narrower chunk width ``chunk_us >> s`` (``2**s >= densest / hot_rows``).
-
-    Counted by a partial aggregation per (key, chunk), so a hot key is
-    reduced map-side.  Every listed key has more than ``hot_rows`` rows, so
-    the table has fewer than ``rows(u) / hot_rows`` rows: a size bound that
-    makes it safe to broadcast.
-    """
-    base = floor_div(F.unix_micros("_t"), chunk_us)
-    dense = (u.select(*key, base.alias("_c")).groupBy(*key, "_c").agg(F.count("*").alias("_n"))
-             .filter(F.col("_n") > hot_rows)            # only dense chunks go on
-             .groupBy(*key).agg(F.max("_n").alias("_n")))
-    shift = F.ceil(F.log2(F.col("_n") / F.lit(hot_rows))).cast("int")
-    width = F.greatest(F.lit(1).cast("long"), F.call_function("shiftright", F.lit(chunk_us).cast("long"), shift))
-    return dense.select(*key, width.alias("_width"))
+CHUNK_MS = 1000
+# Chunks whose carried quotes one window handles.
+SPAN_CHUNKS = 4096
 
 
 def asof_latest(left: DataFrame, right: DataFrame, key: list[str], ts_col: str, seq_col: str,
-                right_cols: list[str], prefix: str = "", chunk_seconds: int = 300,
+                right_cols: list[str], prefix: str = "", chunk_ms: float = CHUNK_MS,
                 right_ts_col: str | None = None, right_seq_col: str | None = None,
-                hot_rows: int | None = HOT_CHUNK_ROWS, hot_min_bytes: int = HOT_PASS_MIN_BYTES) -> DataFrame:
+                span_chunks: int = SPAN_CHUNKS) -> DataFrame:
     """Inner backward as-of join; returns left columns + prefixed right columns.
 
     Order on both sides is ``(ts_col, seq_col)``; at equal time the right
-    row comes first.  Rows with a NULL key never match.  ``hot_rows``: keys
-    denser than this per chunk get narrower chunks (None: fixed width).
-    The density pass runs when Catalyst estimates the input at
-    ``hot_min_bytes`` or more (or cannot estimate it); 0 = always.
+    row comes first.  Rows with a NULL key never match.
     """
     right_ts_col = right_ts_col or ts_col
     right_seq_col = right_seq_col or seq_col
@@ -89,42 +59,38 @@ def asof_latest(left: DataFrame, right: DataFrame, key: list[str], ts_col: str,
 
     q_struct = F.struct(*[F.col(c) for c in right_cols])
     l_struct = F.struct(*[F.col(c) for c in left_cols])
+    q_type, l_type = l_struct_type(right, right_cols), l_struct_type(left, left_cols)
     q = not_null(right).select(
         *[F.col(k) for k in key],
         F.col(right_ts_col).cast("timestamp").alias("_t"), F.lit(0).alias("_kind"),
         F.col(right_seq_col).cast("long").alias("_s"),
-        q_struct.alias("_q"), F.lit(None).cast(l_struct_type(left, left_cols)).alias("_l"))
+        q_struct.alias("_q"), F.lit(None).cast(l_type).alias("_l"))
     t = not_null(left).select(
         *[F.col(k) for k in key],
         F.col(ts_col).cast("timestamp").alias("_t"), F.lit(1).alias("_kind"),
         F.col(seq_col).cast("long").alias("_s"),
-        F.lit(None).cast(q_struct_type(right, right_cols)).alias("_q"), l_struct.alias("_l"))
-    chunk_us = int(chunk_seconds * 1_000_000)
-    u = q.unionByName(t)
-    dense_pass = hot_rows is not None
-    if dense_pass and hot_min_bytes:
-        size = estimated_bytes(u)
-        dense_pass = size is None or size >= hot_min_bytes
-    if not dense_pass:
-        width = F.lit(chunk_us).cast("long")
-    else:
-        # a broadcast lookup of the few dense keys: the big side is not shuffled for it
-        u = u.join(F.broadcast(hot_key_widths(u, key, chunk_us, hot_rows)), key, "left")
-        width = F.coalesce(F.col("_width"), F.lit(chunk_us).cast("long"))
-    u = u.withColumn("_chunk", floor_div(F.unix_micros("_t"), width))
+        F.lit(None).cast(q_type).alias("_q"), l_struct.alias("_l"))
+    width = F.lit(max(1, int(chunk_ms * 1000))).cast("long")
+    u = q.unionByName(t).withColumn("_chunk", floor_div(F.unix_micros("_t"), width))
 
+    # chunk rows: the chunks holding trades and, per chunk holding quotes, its last quote
     order = F.struct("_t", "_kind", "_s")
-    # chunk rows: the chunks holding trades (a hash distinct) and, per chunk
-    # holding quotes, its last quote (aggregated over the quote side only)
-    t_chunks = u.filter(F.col("_kind") == 1).select(*key, "_chunk").distinct() \
-        .withColumn("_chunk_q", F.lit(None).cast(q_struct_type(right, right_cols))) \
-        .withColumn("_is_t", F.lit(True))
+    span = floor_div(F.col("_chunk"), F.lit(span_chunks))
+    t_chunks = (u.filter(F.col("_kind") == 1).select(*key, "_chunk").distinct()
+                .withColumn("_chunk_q", F.lit(None).cast(q_type)).withColumn("_is_t", F.lit(True)))
     q_last = (u.filter(F.col("_kind") == 0).groupBy(*key, "_chunk")
               .agg(F.max_by("_q", order).alias("_chunk_q")).withColumn("_is_t", F.lit(False)))
-    carry_w = Window.partitionBy(*key).orderBy("_chunk").rangeBetween(Window.unboundedPreceding, -1)
-    carry = (t_chunks.unionByName(q_last)
-             .withColumn("_carry", F.last("_chunk_q", ignorenulls=True).over(carry_w))
-             .filter("_is_t").select(*key, "_chunk", "_carry"))
+    chunks = t_chunks.unionByName(q_last).withColumn("_span", span)
+    before = lambda w: w.rangeBetween(Window.unboundedPreceding, -1)
+    inside = before(Window.partitionBy(*key, "_span").orderBy("_chunk"))
+    across = before(Window.partitionBy(*key).orderBy("_span"))
+    spans = (chunks.groupBy(*key, "_span")
+             .agg(F.max_by("_chunk_q", F.when(F.col("_chunk_q").isNotNull(), F.col("_chunk"))).alias("_span_q"))
+             .withColumn("_from_span", F.last("_span_q", ignorenulls=True).over(across))
+             .select(*key, "_span", "_from_span"))
+    carry = (chunks.withColumn("_in_span", F.last("_chunk_q", ignorenulls=True).over(inside))
+             .filter("_is_t").join(spans, [*key, "_span"])
+             .select(*key, "_chunk", F.coalesce("_in_span", "_from_span").alias("_carry")))
 
     in_w = (Window.partitionBy(*key, "_chunk").orderBy("_t", "_kind", "_s")
             .rowsBetween(Window.unboundedPreceding, 0))
@@ -139,19 +105,14 @@ def l_struct_type(df: DataFrame, cols: list[str]):
     return df.select(F.struct(*[F.col(c) for c in cols]).alias("x")).schema["x"].dataType
 
 
-q_struct_type = l_struct_type
-
-
 # Quote fields attached to each trade, and their names in the
 # enriched record.
 QUOTE_FIELDS = ["current", "high", "low", "open", "prev_close"]
 
 
 def enrich_trades(trades: DataFrame, quotes: DataFrame, ts_col: str = "_ts", seq_col: str = "_seq",
-                  key: str = "symbol", chunk_seconds: int = 300,
-                  hot_rows: int | None = HOT_CHUNK_ROWS, hot_min_bytes: int = HOT_PASS_MIN_BYTES) -> DataFrame:
+                  key: str = "symbol", **options) -> DataFrame:
     """J1 + P4: trades with the latest quote of their symbol and the percent
     change against the quote's previous close."""
-    e = asof_latest(trades, quotes, [key], ts_col, seq_col, QUOTE_FIELDS, prefix="quote_",
-                    chunk_seconds=chunk_seconds, hot_rows=hot_rows, hot_min_bytes=hot_min_bytes)
+    e = asof_latest(trades, quotes, [key], ts_col, seq_col, QUOTE_FIELDS, prefix="quote_", **options)
     return e.withColumn("pct_change", pct_change("price", "quote_prev_close"))

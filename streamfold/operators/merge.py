@@ -23,9 +23,14 @@ from streamfold.functions.scalar import floor_div
 from streamfold.functions.schema import as_fields
 
 
+# Chunk of the rows without a time: before every real one.
+NO_TIME_CHUNK = -(1 << 62)
+
+
 def _order(order_cols) -> Column:
-    cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    return cols[0] if len(cols) == 1 else F.struct(*cols)
+    """The order as one struct: never NULL itself, so a row whose order column
+    is NULL still counts, before all others."""
+    return F.struct(*[F.col(c) if isinstance(c, str) else c for c in order_cols])
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -58,7 +63,8 @@ def merge_latest_nonnull(df: DataFrame, sink_fields, key: list[str], order_cols)
     order = _order(order_cols)
     aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c)
             for c in _value_cols(sink_fields, key)]
-    out = df.groupBy(*key).agg(*aggs)
+    # a sink of keys alone: one row per key
+    out = df.groupBy(*key).agg(*aggs) if aggs else df.select(*key).distinct()
     return out.select(*[f.name for f in as_fields(sink_fields)])
 
 
@@ -71,6 +77,8 @@ def upsert_last_row(df: DataFrame, sink_fields, key: list[str], order_cols) -> D
     _check_key(sink_fields, key)
     vals = _value_cols(sink_fields, key)
     ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    if not vals:
+        return df.filter(ok).select(*[f.name for f in as_fields(sink_fields)]).distinct()
     out = (df.filter(ok)
            .groupBy(*key)
            .agg(F.max_by(F.struct(*vals), _order(order_cols)).alias("_row")))
@@ -95,7 +103,9 @@ def merge_idle_ttl(df: DataFrame, sink_fields, key: list[str], order_cols, ts_co
     from NULL (batch model of a state TTL refreshed on every write).
 
     The key's rows split into sessions wherever consecutive rows are more
-    than ``ttl_seconds`` apart; the result is A1 over the last session.
+    than ``ttl_seconds`` apart; the result is A1 over the last session.  A row
+    without a time is older than any other: it counts only for a key that has
+    no row with a time.
 
     Plan, chosen so no key is ever gathered into one task:
 
@@ -114,7 +124,8 @@ def merge_idle_ttl(df: DataFrame, sink_fields, key: list[str], order_cols, ts_co
     order = _order(order_cols)
     ttl_us = int(ttl_seconds * 1_000_000)
     us = F.unix_micros(F.col(ts_col).cast("timestamp"))
-    chunked = df.withColumn("_us", us).withColumn("_chunk", floor_div(F.col("_us"), ttl_us))
+    chunked = df.withColumn("_us", us).withColumn(
+        "_chunk", F.coalesce(floor_div(F.col("_us"), ttl_us), F.lit(NO_TIME_CHUNK)))
 
     per_chunk = [F.min("_us").alias("_first"), F.max("_us").alias("_last")]
     for c in vals:
@@ -130,5 +141,6 @@ def merge_idle_ttl(df: DataFrame, sink_fields, key: list[str], order_cols, ts_co
     last_start = F.max(F.when(F.col("_start"), F.col("_chunk"))).over(Window.partitionBy(*key))
     session = starts.withColumn("_last_start", last_start).filter(F.col("_chunk") >= F.col("_last_start"))
 
-    out = session.groupBy(*key).agg(*[F.max_by(F.col(c), F.col(f"_o_{c}")).alias(c) for c in vals])
+    aggs = [F.max_by(F.col(c), F.col(f"_o_{c}")).alias(c) for c in vals]
+    out = session.groupBy(*key).agg(*aggs) if aggs else session.select(*key).distinct()
     return out.select(*[f.name for f in as_fields(sink_fields)])

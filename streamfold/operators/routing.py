@@ -2,9 +2,7 @@
 
 One subscription reads several topics; a route table maps each topic to
 the tables it feeds (one topic may feed many).  The route table comes from
-a declarative spec, so its size is the number of configured routes; it is
-broadcast only below ``MAX_BROADCAST_ROUTES`` rows, else a normal shuffle
-join is planned.
+a declarative spec; Spark chooses the join by its size.
 """
 
 from __future__ import annotations
@@ -12,10 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Broadcast bound for a route table built from a spec (rows).
-MAX_BROADCAST_ROUTES = 100_000
-
-
 def dedupe_first_seen(items) -> list:
     """Drop repeats, keep first-seen order (driver-side spec step)."""
     seen, out = set(), []
@@ -26,30 +20,35 @@ def dedupe_first_seen(items) -> list:
     return out
 
 
-def route_table(spark: SparkSession, routes: dict[str, list[str]]) -> tuple[DataFrame, int]:
-    """``{target_table: [topic, ...]}`` -> (DataFrame(topic, target_table), rows)."""
+def route_table(spark: SparkSession, routes: dict[str, list[str]]) -> DataFrame:
+    """``{target_table: [topic, ...]}`` -> DataFrame(topic, target_table)."""
     rows = []
     for target, topics in routes.items():
         for t in dedupe_first_seen(topics):
             rows.append((t, target))
-    df = spark.createDataFrame(rows, "topic string, target_table string")
-    return df, len(rows)
+    return spark.createDataFrame(rows, "topic string, target_table string")
+
+
+def fan_out(messages: DataFrame, routes: DataFrame, topic_col: str = "topic") -> DataFrame:
+    """Every message once per table its topic feeds."""
+    return messages.join(routes.withColumnRenamed("topic", topic_col), topic_col)
+
 
+def project_target(rows: DataFrame, target_fields, passthrough: tuple[str, ...] = ()) -> DataFrame:
+    """What one target table of a fan-out receives: the decoded rows by
+    the target's own columns, absent ones NULL (P3)."""
+    from streamfold.operators.align import align_null_fill
 
-def fan_out(messages: DataFrame, routes: DataFrame, n_routes: int, topic_col: str = "topic") -> DataFrame:
-    """Every message once per table its topic feeds (J3 broadcast lookup)."""
-    r = routes.withColumnRenamed("topic", topic_col)
-    if n_routes <= MAX_BROADCAST_ROUTES:
-        r = F.broadcast(r)
-    return messages.join(r, topic_col)
+    return align_null_fill(rows, target_fields, passthrough=passthrough)
 
 
 def write_counts(routed: DataFrame, target_col: str = "target_table", name: str = "written") -> DataFrame:
     """Total rows written plus one counter per target table
     (``written`` and ``written:<table>``), via ``rollup``."""
-    g = routed.rollup(target_col).agg(F.count("*").alias("n"))
-    metric = F.when(F.col(target_col).isNull(), F.lit(name)).otherwise(
-        F.concat(F.lit(name + ":"), F.col(target_col)))
+    g = routed.rollup(target_col).agg(F.count("*").alias("n"), F.grouping(target_col).alias("_total"))
+    # a NULL target is a group of its own, not the total
+    metric = F.when(F.col("_total") == 1, F.lit(name)).otherwise(
+        F.concat(F.lit(name + ":"), F.coalesce(F.col(target_col), F.lit("NULL"))))
     return g.select(metric.alias("metric"), "n")
 
 
@@ -60,16 +59,20 @@ def refreshing_router(load_routes, writers: dict):
 
     ``load_routes()`` returns ``{target_table: [topic, ...]}`` (read from the
     route file or table each time); ``writers[target](rows, batch_id)``
-    writes one target's rows.  The batch is persisted once for all targets.
+    writes one target's rows; ``writers`` may be a function of the target
+    that makes the writer of a new table.  A routed target without a writer
+    fails the batch, so none of its rows is passed over.  The batch is
+    persisted once for all targets.
     """
     def each(batch: DataFrame, batch_id: int):
         routes = load_routes()
+        to = {t: writers(t) if callable(writers) else writers.get(t) for t in routes}
+        if missing := sorted(t for t, w in to.items() if w is None):
+            raise ValueError(f"no writer for routed targets {missing}")
         batch.persist()
         try:
             for target, topics in routes.items():
-                w = writers.get(target)
-                if w is not None:
-                    w(batch.filter(F.col("topic").isin(dedupe_first_seen(topics))), batch_id)
+                to[target](batch.filter(F.col("topic").isin(dedupe_first_seen(topics))), batch_id)
         finally:
             batch.unpersist()
     return each

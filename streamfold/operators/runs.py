@@ -68,24 +68,16 @@ def node_status(log_count, error_count, any_ok):
             .otherwise(RUNNING_STATUS))
 
 
-# Broadcast bound for node lists built from a pipeline spec (rows).
-MAX_BROADCAST_NODES = 100_000
-
-
-def run_summary(runs: DataFrame, nodes: DataFrame, logs: DataFrame, nodes_rows: int | None = None) -> DataFrame:
+def run_summary(runs: DataFrame, nodes: DataFrame, logs: DataFrame) -> DataFrame:
     """R2: one row per (run, node of the run's pipeline), nodes without logs
     kept.  ``runs``: run_id, pipeline_id; ``nodes``: pipeline_id, node_id,
     node_label, node_type.
 
     The run x node rows come from an equi-join on pipeline_id (a run gets
-    its own pipeline's nodes), then a left join on the per-node log
-    aggregates.  ``nodes_rows``: the node list's row count when it is known
-    from the spec; below ``MAX_BROADCAST_NODES`` the node list is broadcast
-    and the runs are never shuffled for this join.
+    its own pipeline's nodes; Spark broadcasts a small node list by itself),
+    then a left join on the per-node log aggregates.
     """
     per_node = node_log_summary(logs)
-    if nodes_rows is not None and nodes_rows <= MAX_BROADCAST_NODES:
-        nodes = F.broadcast(nodes)
     grid = runs.join(nodes, "pipeline_id")
     j = grid.join(per_node, ["run_id", "node_id"], "left")
     return j.select(
@@ -152,14 +144,14 @@ def unmatched_key_spread(key, matchable, unique):
 def job_health(parents: DataFrame, runs: DataFrame, jobs: DataFrame) -> DataFrame:
     """Is the job behind each pipeline's newest run running?
 
-    No run -> healthy NULL, state NULL.  No job id or the placeholder
+    No run -> healthy NULL, state NULL.  No (or an empty) job id or the placeholder
     ``submitted`` -> healthy NULL, state = run status.  Job unknown to the
     job manager -> healthy false, state UNREACHABLE.  Else healthy =
     state = RUNNING.
     """
     lr = latest_run(runs).select("pipeline_id", F.col("status").alias("_run_status"), "job_id")
     p = parents.select("id").join(lr, F.col("id") == F.col("pipeline_id"), "left")
-    no_job = F.col("job_id").isNull() | (F.col("job_id") == PLACEHOLDER_JOB_ID)
+    no_job = F.col("job_id").isNull() | F.col("job_id").isin("", PLACEHOLDER_JOB_ID)
     # A pipeline without a job id can never match a job; give it a unique
     # key that matches nothing, so such rows (possibly most of them) spread
     # over the shuffle instead of all hashing NULL to one partition.

@@ -7,14 +7,19 @@ DuckDB oracle in ``streamfold.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamfold.operators import align, enrich, merge, metrics, routing, runs
 from streamfold.plans import sinks_spec as S
 from streamfold.plans import spec as X
+from streamfold.session import checkpoint_subdir
+from streamfold.sinks import stores
 from streamfold.sources import tables as tb
 from streamfold.sources import topics as tp
+from streamfold.streaming import jobs
 
 ORDER = tb.ORDER
 
@@ -134,8 +139,7 @@ ROUTES = {"ticks_wide": ["trades", "quotes", "trades"], "ticks_col": ["trades"],
 
 
 def _routed(spark, sf_dir):
-    routes, n = routing.route_table(spark, ROUTES)
-    return routing.fan_out(tb.topics_union(spark, sf_dir), routes, n)
+    return routing.fan_out(tb.topics_union(spark, sf_dir), routing.route_table(spark, ROUTES))
 
 
 def q_route_fanout(spark, sf_dir):
@@ -188,7 +192,8 @@ def q_latest_run_per_parent(spark, sf_dir):
     """J2 + O2: each pipeline with node count and newest run."""
     out = runs.latest_run_per_parent(tb.parents(spark, sf_dir), tb.runs(spark, sf_dir),
                                      tb.parent_node_counts(spark, sf_dir))
-    return out.select("id", "name", "node_count", "last_run_id", "last_run_status", "last_run_at")
+    return out.select("id", "name", "created_at", "updated_at", "node_count", "last_run_id", "last_run_status",
+                      "last_run_at")
 
 
 def q_runs_top20(spark, sf_dir):
@@ -219,12 +224,15 @@ def q_activity_counts(spark, sf_dir):
 
 
 def q_consumer_lag(spark, sf_dir):
-    """T10 + A6: per topic, lag from broker time (CreateTime only) to now,
-    n/min/avg/max in ms.  Values depend on the clock: rows-only check."""
+    """T10 + A6: per topic, lag from broker time (CreateTime only) to now: n,
+    and whether every lag is at least 0 and min <= avg <= max (the figures
+    themselves depend on the clock; ``consumer_lag_at`` has them)."""
     lag = metrics.consumer_lag(tb.topics_union(spark, sf_dir))
     ms = F.col("lag_s") * 1000
-    return lag.groupBy("topic").agg(F.count("*").alias("n"), F.round(F.min(ms), 1).alias("min_ms"),
-                                    F.round(F.avg(ms), 1).alias("avg_ms"), F.round(F.max(ms), 1).alias("max_ms"))
+    return (lag.groupBy("topic").agg(F.count("*").alias("n"), F.min(ms).alias("lo"), F.avg(ms).alias("mid"),
+                                     F.max(ms).alias("hi"))
+            .select("topic", "n", (F.col("lo") >= 0).alias("never_negative"),
+                    ((F.col("lo") <= F.col("mid")) & (F.col("mid") <= F.col("hi"))).alias("in_order")))
 
 
 # Fixed value: the observation time of the reproducible consumer-lag query
@@ -243,6 +251,40 @@ def q_consumer_lag_at(spark, sf_dir):
                                     F.round(F.avg(ms), 1).alias("avg_ms"), F.max(ms).alias("max_ms"))
 
 
+def q_windowed_counts(spark, sf_dir):
+    """T9 + T1: tumbling 1 h counts per name, by the code of the stream."""
+    return jobs.windowed_counts(tb.read_table(spark, sf_dir, "events"), "ts", "event_type", interval="1 hour")
+
+
+def q_src_failfast(spark, sf_dir):
+    """A clean topic decoded so that a bad record would fail the job."""
+    d = tp.decode_json(tb.topic_messages(spark, sf_dir, "trades"), handles=tb.TRADES_FIELDS, mode="FAILFAST")
+    return _env_out(d.select("symbol", "price", "volume", "timestamp", "_offset"))
+
+
+def q_topic_output(spark, sf_dir):
+    """K4: clicks as keyed JSON messages."""
+    return stores.topic_rows(tb.clicks(spark, sf_dir).select("symbol", "k", "timestamp"), "symbol")
+
+
+def q_route_projected(spark, sf_dir):
+    """Trades as the table ``ticks_wide`` receives them, by its own columns."""
+    return _seq_out(routing.project_target(tb.trades(spark, sf_dir), S.WIDE_FIELDS, passthrough=ORDER))
+
+
+def q_store_increments(spark, sf_dir):
+    """K1: the aligned rows of one query in two batches, then those of a query
+    with a new checkpoint (its batches start again at 0), folded by A1."""
+    rows = _aligned_doc(spark, sf_dir)
+    path = f"{checkpoint_subdir(spark, 'stores')}/doc-{uuid.uuid4().hex}"
+    sink = stores.KeyedFolder(spark, path, S.DOC_KEY,
+                              fold=lambda d: merge.merge_latest_nonnull(d, S.DOC_FIELDS, S.DOC_KEY, ORDER))
+    part = F.pmod(F.col("_seq"), F.lit(3))
+    for k, (owner, batch) in enumerate((("first", 0), ("first", 1), ("second", 0))):
+        sink.write(rows.filter(part == k), batch, owner)
+    return sink.current()
+
+
 def q_latency_stats(spark, sf_dir):
     """Latency samples (value, seconds) per 1 h window and bucket."""
     e = tb.read_table(spark, sf_dir, "events")
@@ -367,6 +409,11 @@ QUERIES = {
     "activity_counts": q_activity_counts,
     "latency_stats": q_latency_stats,
     "consumer_lag": q_consumer_lag,
+    "windowed_counts": q_windowed_counts,
+    "src_failfast": q_src_failfast,
+    "topic_output": q_topic_output,
+    "route_projected": q_route_projected,
+    "store_increments": q_store_increments,
     "consumer_lag_at": q_consumer_lag_at,
     "declarative_spec": q_declarative_spec,
     "spec_column_store": q_spec_column_store,

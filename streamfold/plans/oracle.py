@@ -210,10 +210,11 @@ SQL["latest_run_per_parent"] = f"""
 WITH r AS ({RUNS}),
 lr AS (SELECT pipeline_id, arg_max(id, id) AS last_run_id, arg_max(status, id) AS last_run_status,
               arg_max(started_at, id) AS last_run_at FROM r GROUP BY pipeline_id),
-nc AS (SELECT c.c_custkey AS pipeline_id, s.n AS node_count FROM customer c
-       JOIN (SELECT s_nationkey, count(*) AS n FROM supplier GROUP BY s_nationkey) s ON c.c_nationkey = s.s_nationkey)
-SELECT c.c_custkey AS id, c.c_name AS name, coalesce(nc.node_count, 0) AS node_count,
-       lr.last_run_id, lr.last_run_status, lr.last_run_at
+nc AS (SELECT c.c_custkey AS pipeline_id, count(*) AS node_count FROM customer c CROSS JOIN {NODES} GROUP BY 1)
+SELECT c.c_custkey AS id, c.c_name AS name,
+       TIMESTAMP '2024-01-01' + to_days(CAST(c.c_custkey % 300 AS INTEGER)) AS created_at,
+       TIMESTAMP '2024-12-01' + to_days(CAST(c.c_custkey * 7 % 60 AS INTEGER)) AS updated_at,
+       coalesce(nc.node_count, 0) AS node_count, lr.last_run_id, lr.last_run_status, lr.last_run_at
 FROM customer c LEFT JOIN nc ON nc.pipeline_id = c.c_custkey LEFT JOIN lr ON lr.pipeline_id = c.c_custkey"""
 
 SQL["runs_top20"] = f"""
@@ -258,11 +259,37 @@ FROM events WHERE value IS NOT NULL GROUP BY 1, 2, 3"""
 _LAG_MS = "greatest(0, epoch_us(TIMESTAMP '2024-01-15 00:00:00') // 1000 - epoch_us(ts) // 1000)"
 SQL["consumer_lag_at"] = f"""
 SELECT topic, count(*) AS n, min(ms) AS min_ms, round(avg(ms), 1) AS avg_ms, max(ms) AS max_ms FROM (
-  SELECT 'trades' AS topic, {_LAG_MS} AS ms FROM events WHERE event_type = 'purchase'
-  UNION ALL SELECT 'quotes', {_LAG_MS} FROM events WHERE event_type = 'error'
-  UNION ALL SELECT 'clicks', {_LAG_MS} FROM events WHERE event_type = 'click')
+  SELECT 'trades' AS topic, {_LAG_MS} AS ms FROM events WHERE event_type = 'purchase' AND event_id % 7 <> 0
+  UNION ALL SELECT 'quotes', {_LAG_MS} FROM events WHERE event_type = 'error' AND event_id % 7 <> 0
+  UNION ALL SELECT 'clicks', {_LAG_MS} FROM events WHERE event_type = 'click' AND event_id % 7 <> 0)
 GROUP BY topic"""
 
+SQL["consumer_lag"] = """
+SELECT CASE event_type WHEN 'purchase' THEN 'trades' WHEN 'error' THEN 'quotes' ELSE 'clicks' END AS topic,
+       count(*) AS n, true AS never_negative, true AS in_order
+FROM events WHERE event_type IN ('purchase', 'error', 'click') AND event_id % 7 <> 0 GROUP BY 1"""
+
+SQL["windowed_counts"] = """
+SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
+       event_type AS name, count(*) AS total
+FROM events GROUP BY 1, 2, 3"""
+
+SQL["src_failfast"] = f"""
+SELECT symbol, price, volume, timestamp, event_id AS offset FROM ({TRADES})"""
+
+SQL["topic_output"] = """
+SELECT CAST(user_id AS VARCHAR) AS key,
+       '{"symbol":"' || user_id || '","k":' || coalesce(json_extract_string(props, '$.k'), 'null')
+       || ',"timestamp":' || (epoch_us(ts) // 1000) || '}' AS value
+FROM events WHERE event_type = 'click'"""
+
+SQL["route_projected"] = f"""
+SELECT symbol, price, volume, CAST(NULL AS DOUBLE) AS current, CAST(NULL AS DOUBLE) AS prev_close,
+       CAST(NULL AS BIGINT) AS k, timestamp, event_id AS seq
+FROM ({TRADES})"""
+
+SQL["store_increments"] = SQL["merge_latest_nonnull"]
+
 # ---------------------------------------------------------------- X1 / X2
 # topic-decoded rows are ordered by (broker ms, topic, partition, offset)
 def _kafka_order(alias=""):

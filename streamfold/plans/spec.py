@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 
 from streamfold.functions.schema import declared_fields, primary_key
 from streamfold.operators import align, merge
-from streamfold.operators.routing import dedupe_first_seen
 from streamfold.sources import topics as tp
 
 log = logging.getLogger(__name__)
@@ -41,8 +40,39 @@ SINK_TYPES = (MONGODB, SCYLLADB, CLICKHOUSE)
 
 
 def node_fields(node: dict):
+    """Declared fields: the node's own column list (``ddl``, or the columns of
+    a CREATE TABLE in ``sql``), then the handles, then the default."""
     props = node.get("properties") or {}
-    return declared_fields(props.get("_handles"), props.get("ddl"))
+    return declared_fields(props.get("_handles"), props.get("ddl") or column_list(node_sql(node)))
+
+
+def node_sql(node: dict) -> str:
+    """The SQL text a node carries, or nothing."""
+    props = node.get("properties") or {}
+    return str(node.get("sql") or props.get("sql") or "").strip()
+
+
+def column_list(text: str) -> str | None:
+    """The column list of a CREATE TABLE text, as Spark's own DDL parser reads
+    it; None for other text.  Text that declares a table but cannot be read
+    raises."""
+    if not text.upper().startswith("CREATE"):
+        return None
+    start, end = text.find("("), text.rfind(")")
+    if start < 0 or end < start:
+        raise ValueError(f"no column list in {text[:60]!r}")
+    return text[start + 1:end]
+
+
+def run_node_sql(spark: SparkSession, spec: dict, topic_reader: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
+    """X1 inside X2: run the SQL text of every node that has some and is no
+    declaration, with the decoded topic sources as views named by topic.
+    Returns {node id: result}."""
+    nodes = spec["nodes"]
+    views = {node_topic(n): decode_source(read_node(topic_reader, n), n, "drop")
+             for n in nodes if n["node_type"] == KAFKA}
+    results = {n["id"]: run_user_sql(spark, node_sql(n), views) for n in nodes if node_sql(n)}
+    return {k: v for k, v in results.items() if v is not None}
 
 
 def node_topic(node: dict) -> str:
@@ -50,28 +80,37 @@ def node_topic(node: dict) -> str:
     return props.get("topic") or str(node.get("label", node["id"])).lower().replace(" ", "_")
 
 
-def upstream_sources(node_id: str, nodes: dict, edges: list[dict]) -> list[str]:
-    """Topic source ids feeding ``node_id``, direct or traced through
-    intermediate nodes; deduplicated, first-seen order (U2)."""
-    def trace(start):
-        seen, found, stack = set(), [], [start]
-        while stack:
-            nid = stack.pop()
-            if nid in seen or nid not in nodes:
-                continue
-            seen.add(nid)
-            if nodes[nid]["node_type"] == KAFKA:
-                found.append(nid)
-            else:
-                stack.extend(e["source_id"] for e in edges if e["target_id"] == nid)
-        return found
-
-    out = []
+def feeders(edges: list[dict]) -> dict[str, list[str]]:
+    """Adjacency of the graph against its edges: node id to the ids that feed
+    it, in the order of the edges."""
+    into: dict[str, list[str]] = {}
     for e in edges:
-        if e["target_id"] == node_id and e["source_id"] in nodes:
-            uid = e["source_id"]
-            out.extend([uid] if nodes[uid]["node_type"] == KAFKA else trace(uid))
-    return dedupe_first_seen(out)
+        into.setdefault(e["target_id"], []).append(e["source_id"])
+    return into
+
+
+def upstream_sources(node_id: str, nodes: dict, edges: list[dict]) -> list[str]:
+    """Topic sources that feed ``node_id``, through any other nodes; a topic
+    ends its path.  Each once, in the order in which a walk that follows the
+    edges in their order first meets it (U2)."""
+    into = feeders(edges)
+    met: dict[str, None] = {}
+
+    def walk(at: str) -> None:
+        for nid in into.get(at, ()):
+            if nid in nodes and nid not in met:
+                met[nid] = None
+                if nodes[nid]["node_type"] != KAFKA:
+                    walk(nid)
+
+    walk(node_id)
+    return [nid for nid in met if nodes[nid]["node_type"] == KAFKA]
+
+
+def read_node(topic_reader: Callable[..., DataFrame], node: dict) -> DataFrame:
+    """A topic node's messages.  The reader gets the topic and, where the node
+    names one, its consumer group as ``group_id``."""
+    return topic_reader(node_topic(node), **tp.node_reader_options(node))
 
 
 def decode_source(messages: DataFrame, node: dict, mode: str) -> DataFrame:
@@ -98,8 +137,10 @@ def _sink_sources(sink: dict, nodes: dict, edges: list[dict]) -> list[str]:
 
 def build_sink(sink: dict, nodes: dict, edges: list[dict], topic_reader: Callable[[str], DataFrame],
                order=tp.KAFKA_ORDER, ttl_seconds: int | None = None,
-               with_inserted_at: bool = True) -> DataFrame | None:
-    """One sink node's result, or None when no source feeds it."""
+               with_inserted_at: bool = True, reduce_wide: bool = True) -> DataFrame | None:
+    """One sink node's result, or None when no source feeds it.  With
+    ``reduce_wide=False`` a wide-column sink's aligned rows are returned
+    unfolded, with their order columns (streams fold them per micro-batch)."""
     src_ids = _sink_sources(sink, nodes, edges)
     if not src_ids:
         log.warning("sink %s has no upstream topic source; nothing flows in", sink["id"])
@@ -112,7 +153,7 @@ def build_sink(sink: dict, nodes: dict, edges: list[dict], topic_reader: Callabl
 
     if kind == MONGODB:
         mapping = props.get("field_mappings") or {}
-        frames = [align.align_mapped(decode_source(topic_reader(node_topic(nodes[s])), nodes[s], "fail"),
+        frames = [align.align_mapped(decode_source(read_node(topic_reader, nodes[s]), nodes[s], "fail"),
                                      s, fields, mapping, passthrough=keep) for s in src_ids]
         u = merge.union_all(frames)
         if len(frames) == 1:
@@ -127,13 +168,14 @@ def build_sink(sink: dict, nodes: dict, edges: list[dict], topic_reader: Callabl
         return merge.merge_latest_nonnull(u, fields, key, order)
 
     if kind == SCYLLADB:
-        frames = [align.align_null_fill(decode_source(topic_reader(node_topic(nodes[s])), nodes[s], "drop"),
+        frames = [align.align_null_fill(decode_source(read_node(topic_reader, nodes[s]), nodes[s], "drop"),
                                         fields, passthrough=keep) for s in src_ids]
-        return merge.upsert_last_row(merge.union_all(frames), fields, key, order)
+        u = merge.union_all(frames)
+        return merge.upsert_last_row(u, fields, key, order) if reduce_wide else u
 
     if kind == CLICKHOUSE:
         dest = props.get("dest_schema") or align.column_store_schema(fields, key)
-        frames = [align.align_default_fill(decode_source(topic_reader(node_topic(nodes[s])), nodes[s], "skip"),
+        frames = [align.align_default_fill(decode_source(read_node(topic_reader, nodes[s]), nodes[s], "skip"),
                                            dest, passthrough=("_topic", "_offset")) for s in src_ids]
         out = merge.append_fanin(frames)
         if with_inserted_at:

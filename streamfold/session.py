@@ -104,13 +104,3 @@ def checkpoint_subdir(spark: SparkSession, name: str) -> str:
     """A named folder under the shared checkpoint dir (streaming queries,
     snapshot tables)."""
     return os.path.join(shared_checkpoint_dir(spark), name)
-
-
-def estimated_bytes(df) -> int | None:
-    """Catalyst's size estimate of a DataFrame's optimized plan (from file
-    sizes; no job runs), or None where it is not available (e.g. Spark
-    Connect)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001
-        return None

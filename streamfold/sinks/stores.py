@@ -1,24 +1,24 @@
 """Sinks (K1-K4).
 
-With a store connector on the classpath, write from ``foreachBatch`` with
+With a store connector on the classpath, hand ``start_spec`` a writer that uses
 the store's own upsert (document and wide-column stores) or append (column
-store).  Without one, the offline forms below keep the same semantics on
-files under the shared checkpoint folder:
-
-* ``SnapshotTable`` (K1, K2): a keyed table rewritten per micro-batch into
-  a new version folder: rows of the batch replace the rows of the same key.
-  Versions are named by batch id, so a replayed batch rewrites the same
-  version: exactly-once on top of the stream's checkpoint.
-* ``MergeSnapshot`` (K1, K2 for batch increments): the snapshot keeps the
-  order key of each value, so folding a new increment into the previous
-  version equals merging everything seen (A1 per column, A2 per row).
-* ``append_column_store`` (K3): append, sorted by key within files, with
-  an ``inserted_at`` time stamp.
-* ``topic_rows`` / ``write_topic`` (K4): keyed JSON messages for a topic.
+store).  Without one, the forms below keep the same semantics on files:
+
+* ``KeyedFolder`` (K1, K2): a small stand-in for a keyed store, for tests and
+  offline runs.  Every batch adds one increment; reading folds them.
+* ``append_column_store`` (K3): append, sorted by key within files, with an
+  ``inserted_at`` time stamp.
+* ``topic_rows`` / ``write_topic`` / ``start_topic`` (K4): keyed JSON messages.
+
+A commit is named by (query, batch).  The query is the id that Spark keeps in
+the checkpoint, so a replayed batch is written once, and a query with a new
+checkpoint, whose batch numbers start again at 0, adds to the folder and
+neither skips nor overwrites what another query has stored.
 """
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,62 +26,88 @@ from pyspark.sql import functions as F
 
 from streamfold.functions.scalar import to_json_all
 
+COMMIT = "_commit"
+
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-class SnapshotTable:
-    """Keyed snapshot: ``upsert(batch, batch_id)`` replaces rows by key."""
+def query_id(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id of the streaming query that owns a checkpoint folder, or None
+    for a folder no query has used."""
+    fs, p = _fs(spark, f"{checkpoint.rstrip('/')}/metadata")
+    if not fs.exists(p):
+        return None
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"])["id"]
 
-    def __init__(self, spark: SparkSession, path: str, key: list[str]):
-        self.spark, self.path, self.key = spark, path.rstrip("/"), list(key)
 
-    def _versions(self) -> list[int]:
-        fs, p = _fs(self.spark, self.path)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-                out.append(int(name[2:]))
-        return sorted(out)
+def any_null(key: list[str]):
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
+
+
+class KeyedFolder:
+    """Increments of rows, folded per key when read.
+
+    ``fold(rows)`` turns all stored rows into the current table (e.g. A1 or A2
+    over their order columns); by default the row of the last commit replaces
+    the one before it.  A NULL key is a group like any other; with
+    ``reject_null_keys`` such rows go to ``rejects()`` instead."""
+
+    def __init__(self, spark: SparkSession, path: str, key: list[str], fold=None, reject_null_keys: bool = False):
+        self.spark, self.path, self.key = spark, path.rstrip("/"), list(key)
+        self.fold, self.reject_null_keys = fold, reject_null_keys
+
+    def commits(self, kind: str = "rows") -> list[tuple[int, str, int]]:
+        """(number, query, batch) of every complete commit, in one listing."""
+        fs, p = _fs(self.spark, f"{self.path}/{kind}/*/_SUCCESS")
+        names = [st.getPath().getParent().getName() for st in fs.globStatus(p) or []]
+        parts = [n.split("~") for n in names]
+        return sorted((int(n), owner, int(batch)) for n, owner, batch in parts)
+
+    def write(self, rows: DataFrame, batch_id: int, owner: str) -> None:
+        done = self.commits()
+        if any((o, b) == (owner, batch_id) for _, o, b in done):
+            return                              # a replay of a stored batch
+        number = done[-1][0] + 1 if done else 0
+        name = f"{number:012d}~{owner}~{batch_id}"
+        if self.reject_null_keys:
+            rows.filter(any_null(self.key)).write.mode("overwrite").parquet(f"{self.path}/rejects/{name}")
+            rows = rows.filter(~any_null(self.key))
+        rows.withColumn(COMMIT, F.lit(number)).write.mode("overwrite").parquet(f"{self.path}/rows/{name}")
+
+    def _read(self, kind: str) -> DataFrame | None:
+        found = [f"{self.path}/{kind}/{n:012d}~{o}~{b}" for n, o, b in self.commits(kind)]
+        return self.spark.read.parquet(*found) if found else None
 
     def current(self) -> DataFrame | None:
-        v = self._versions()
-        return self.spark.read.parquet(f"{self.path}/v={v[-1]}") if v else None
-
-    def upsert(self, batch: DataFrame, batch_id: int) -> None:
-        versions = self._versions()
-        if batch_id in versions:            # replayed batch: already committed
-            return
-        ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.key])
-        batch = batch.filter(ok)            # stores reject NULL keys
-        prev = [v for v in versions if v < batch_id]
-        if prev:
-            old = self.spark.read.parquet(f"{self.path}/v={prev[-1]}")
-            merged = old.join(batch.select(*self.key), self.key, "left_anti").unionByName(batch)
-        else:
-            merged = batch
-        merged.repartition(*[F.col(k) for k in self.key]).write.mode("overwrite").parquet(
-            f"{self.path}/v={batch_id}")
+        rows = self._read("rows")
+        if rows is None:
+            return None
+        if self.fold is not None:
+            return self.fold(rows)
+        names = [c for c in rows.columns if c != COMMIT]
+        row = F.max_by(F.struct(*names), F.col(COMMIT)).alias("_row")
+        return rows.groupBy(*self.key).agg(row).select("_row.*")
+
+    def rejects(self) -> DataFrame | None:
+        """The rows turned away for a NULL key; count them to alert."""
+        return self._read("rejects")
 
 
 def append_column_store(df: DataFrame, path: str, key: list[str], inserted_at: bool = True,
-                        batch_id: int | None = None) -> None:
+                        batch_id: int | None = None, owner: str = "batch") -> None:
     """K3: append rows sorted by key within each file.  With ``batch_id``
-    (from ``foreachBatch``) the rows go to their own folder, overwritten on
-    replay, so a retried batch is not appended twice."""
+    (from ``foreachBatch``) the rows go to the folder of their query and
+    batch, overwritten on replay, so a retried batch is not appended twice."""
     if inserted_at:
         df = df.withColumn("inserted_at", F.current_timestamp())
     out = df.sortWithinPartitions(*key)
     if batch_id is None:
         out.write.mode("append").parquet(path)
     else:
-        out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+        out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/query={owner}/batch={batch_id}")
 
 
 def topic_rows(df: DataFrame, key_col: str) -> DataFrame:
@@ -102,52 +128,7 @@ def write_topic(df: DataFrame, key_col: str, bootstrap: str, topic: str) -> None
     topic_rows(df, key_col).write.format("kafka").options(**kafka_sink_options(bootstrap, topic)).save()
 
 
-class MergeSnapshot(SnapshotTable):
-    """K1/K2 for batch increments (no streaming state).
-
-    The snapshot keeps the order key of every value it holds: per column for
-    ``latest_nonnull`` (A1), per row for ``last_row`` (A2).  Both folds are
-    associative, so merging a new increment into the previous version gives
-    the same result as merging all rows ever seen; each increment costs one
-    aggregation over (previous version + increment).
-    """
-
-    def __init__(self, spark: SparkSession, path: str, fields, key: list[str], order_cols,
-                 rule: str = "latest_nonnull"):
-        from streamfold.functions.schema import as_fields
-        super().__init__(spark, path, key)
-        self.names = [f.name for f in as_fields(fields)]
-        self.vals = [c for c in self.names if c not in set(key)]
-        self.order_cols, self.rule = list(order_cols), rule
-
-    def _fold(self, df: DataFrame) -> DataFrame:
-        if self.rule == "latest_nonnull":
-            aggs = []
-            for c in self.vals:
-                aggs += [F.max_by(c, f"_o_{c}").alias(c), F.max(f"_o_{c}").alias(f"_o_{c}")]
-            return df.groupBy(*self.key).agg(*aggs)
-        return (df.groupBy(*self.key)
-                .agg(F.max_by(F.struct(*self.vals), "_o").alias("_r"), F.max("_o").alias("_o"))
-                .select(*self.key, *[F.col("_r")[c].alias(c) for c in self.vals], "_o"))
-
-    def _with_orders(self, rows: DataFrame) -> DataFrame:
-        order = F.struct(*[F.col(c) for c in self.order_cols])
-        if self.rule == "latest_nonnull":
-            return rows.select(*self.key, *[F.col(c) for c in self.vals],
-                               *[F.when(F.col(c).isNotNull(), order).alias(f"_o_{c}") for c in self.vals])
-        ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.key])
-        return rows.filter(ok).select(*self.key, *[F.col(c) for c in self.vals], order.alias("_o"))
-
-    def merge(self, rows: DataFrame, batch_id: int) -> None:
-        versions = self._versions()
-        if batch_id in versions:            # replayed increment: already committed
-            return
-        new = self._with_orders(rows)
-        prev = [v for v in versions if v < batch_id]
-        if prev:
-            new = self.spark.read.parquet(f"{self.path}/v={prev[-1]}").unionByName(new)
-        self._fold(new).write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
-
-    def current(self) -> DataFrame | None:
-        snap = super().current()
-        return None if snap is None else snap.select(*self.names)
+def start_topic(rows: DataFrame, key_col: str, bootstrap: str, topic: str, checkpoint: str, name: str):
+    """K4 on a stream: every row as a keyed JSON message."""
+    return (topic_rows(rows, key_col).writeStream.format("kafka").options(**kafka_sink_options(bootstrap, topic))
+            .option("checkpointLocation", checkpoint).queryName(name).start())

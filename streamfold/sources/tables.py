@@ -18,14 +18,10 @@ Every decoded source carries the merge order as ``_ts`` (event time) and
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from streamfold.session import estimated_bytes
-
 ORDER = ("_ts", "_seq")
 
 # The event types standing in for each topic.
@@ -42,51 +38,19 @@ TOPIC_FIELDS = {"trades": TRADES_FIELDS, "quotes": QUOTES_FIELDS, "clicks": CLIC
 # its event id is a multiple of BAD_EVERY.
 BAD_TEXT = "bad"
 BAD_EVERY = 50
+# Fixed value: every such message carries the broker's append time instead of
+# the producer's create time.
+APPEND_TIME_EVERY = 7
 
 
-_HANDLES: dict = {}
-
-# Inputs smaller than this are not worth a shuffle to spread (bytes).
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def spread_if_underpartitioned(df: DataFrame) -> DataFrame:
-    """Round-robin an input over the cluster's cores when its scan has
-    fewer splits than cores (e.g. a single-row-group file) and it is big
-    enough to matter.  A large input has many more splits than cores and is
-    returned unchanged, so this never adds a shuffle at scale.  Spark sorts
-    before a round-robin repartition, so a retried task gets the same rows.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= cores:
-            return df
-    except Exception:  # noqa: BLE001  (no RDD/JVM access, e.g. Spark Connect)
-        return df
-    size = estimated_bytes(df)
-    return df.repartition(cores) if size is not None and size >= SPREAD_MIN_BYTES else df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A lazy DataFrame over one driver table, listed anew each time."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A lazy DataFrame over one driver table.  The handle is reused within
-    a session (no data is cached: it only saves listing the files and
-    analysing the relation again for every topic built on the table)."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (id(spark), path)
-    df = _HANDLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _HANDLES[key] = df
-    return df
-
-
-def _events(spark, sf_dir, event_type: str | None = None, spread: bool = False) -> DataFrame:
+def _events(spark, sf_dir, event_type: str | None = None) -> DataFrame:
     e = read_table(spark, sf_dir, "events")
-    if spread:                  # JSON encode/decode is CPU-heavy per row
-        e = spread_if_underpartitioned(e)
-    if event_type is not None:
-        e = e.filter(F.col("event_type") == event_type)
-    return e
+    return e if event_type is None else e.filter(F.col("event_type") == event_type)
 
 
 def _k():
@@ -163,13 +127,13 @@ def _envelope(df: DataFrame, topic: str, value, with_bad: bool) -> DataFrame:
         F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"),
         F.timestamp_millis(epoch_ms()).alias("timestamp"),
-        F.lit(0).alias("timestampType"),
+        F.when(F.col("event_id") % APPEND_TIME_EVERY == 0, 1).otherwise(0).alias("timestampType"),
     )
 
 
 def topic_messages(spark, sf_dir, topic: str, with_bad: bool = False) -> DataFrame:
     """JSON messages of one stand-in topic, as a topic source would give."""
-    e = _events(spark, sf_dir, TOPIC_EVENT_TYPE[topic], spread=True)
+    e = _events(spark, sf_dir, TOPIC_EVENT_TYPE[topic])
     return _envelope(e, topic, F.to_json(F.struct(*_topic_columns(topic))), with_bad)
 
 
@@ -191,7 +155,7 @@ def trade_envelopes(spark, sf_dir) -> DataFrame:
     k % 13 == 0.  That exercises missing-key defaults against explicit
     nulls on table data.
     """
-    e = _events(spark, sf_dir, spread=True).filter(F.col("event_type").isin("purchase", "view"))
+    e = _events(spark, sf_dir).filter(F.col("event_type").isin("purchase", "view"))
     k = _k()
     sym = F.col("user_id").cast("string")
     ms = epoch_ms()
@@ -216,7 +180,7 @@ def quote_responses(spark, sf_dir) -> DataFrame:
     o = value + 0.5, pc = value, t = epoch seconds.  ``c`` is null when
     k % 17 == 0 (the poll is dropped) and ``pc`` is 0 when k % 19 == 0.
     """
-    e = _events(spark, sf_dir, TOPIC_EVENT_TYPE["quotes"], spread=True)
+    e = _events(spark, sf_dir, TOPIC_EVENT_TYPE["quotes"])
     k = _k()
     v = F.col("value")
     c = F.when(k % 17 == 0, F.lit(None).cast("double")).otherwise(v)
@@ -281,23 +245,18 @@ def jobs(spark, sf_dir) -> DataFrame:
 
 
 def parents(spark, sf_dir) -> DataFrame:
-    """Pipelines from ``customer``: id, name."""
+    """Pipelines from ``customer``: id, name, and dates of making and of the
+    last change derived from the key."""
     c = read_table(spark, sf_dir, "customer")
-    return c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
-                    F.col("c_nationkey").alias("nation"))
+    made = F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(cast(c_custkey % 300 as int))")
+    return c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), made.alias("created_at"),
+                    F.expr("timestamp_ntz'2024-12-01' + make_dt_interval(cast(c_custkey * 7 % 60 as int))")
+                    .alias("updated_at"))
 
 
 def parent_node_counts(spark, sf_dir) -> DataFrame:
-    """Node count per pipeline: the suppliers of the pipeline's nation.
-
-    Suppliers are counted per nation first and the counts joined to the
-    pipelines, so no customer x supplier pairs are formed.
-    """
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    s = (read_table(spark, sf_dir, "supplier").groupBy("s_nationkey")
-         .agg(F.count("*").alias("node_count")))
-    return c.join(s, c.c_nationkey == s.s_nationkey).select(
-        F.col("c_custkey").alias("pipeline_id"), "node_count")
+    """Node count per pipeline, from the list of its nodes."""
+    return log_nodes(spark, sf_dir).groupBy("pipeline_id").agg(F.count("*").alias("node_count"))
 
 
 def log_runs(spark, sf_dir) -> DataFrame:

@@ -21,44 +21,55 @@ from pyspark.sql import types as T
 from streamfold.functions.schema import Field, as_fields, declared_fields, to_struct
 
 KAFKA_ORDER = ("_kafka_ts", "_topic", "_partition", "_offset")
-# Default consumer group: this prefix plus the first topic name.
-GROUP_PREFIX = "streamfold_"
 CORRUPT = "_corrupt_record"
 META = ["_topic", "_key", "_partition", "_offset", "_kafka_ts"]
 
 
 # ---------------------------------------------------------------- S1 reader
 def kafka_options(topics, bootstrap: str, starting: str = "earliest", group_id: str | None = None,
-                  pattern: bool = False, max_offsets_per_trigger: int | None = None) -> dict:
+                  pattern: bool = False, max_offsets_per_trigger: int | None = None,
+                  fail_on_data_loss: bool = True) -> dict:
     """Options for ``spark.read[Stream].format("kafka")``.
 
-    Topics are subscribed from the earliest offset; the consumer group
-    defaults to ``GROUP_PREFIX + <topic>``, one group per topic.  ``pattern=True``
-    subscribes by regex, so new topics join without a restart (S6).
+    Topics are subscribed from the earliest offset.  No consumer group is set
+    unless ``group_id`` names one: Spark then makes one per query, so two sinks
+    over one topic each read all of it.  ``pattern=True`` subscribes by regex
+    (several are alternatives), so new topics join without a restart (S6).
+    Offsets that have expired raise unless ``fail_on_data_loss=False``.
     """
     names = [topics] if isinstance(topics, str) else list(topics)
     opts = {"kafka.bootstrap.servers": bootstrap, "startingOffsets": starting,
-            "failOnDataLoss": "false"}
-    opts["subscribePattern" if pattern else "subscribe"] = ",".join(names)
-    opts["kafka.group.id"] = group_id or f"{GROUP_PREFIX}{names[0]}"
+            "failOnDataLoss": str(bool(fail_on_data_loss)).lower()}
+    if pattern:
+        opts["subscribePattern"] = "|".join(names)
+    else:
+        opts["subscribe"] = ",".join(names)
+    if group_id:
+        opts["kafka.group.id"] = group_id
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     return opts
 
 
-# Rows per micro-batch of a topic stream unless the caller sets its own:
-# reading from the earliest offset must not pull a whole backlog into one
-# batch, since stateful operators hold one key's rows of a batch together.
-DEFAULT_MAX_OFFSETS_PER_TRIGGER = 5_000_000
+# Fixed value: the message formats a topic node may declare.
+FORMATS = ("json",)
+
+
+def node_reader_options(node: dict) -> dict:
+    """What a topic node's properties say about reading it: its consumer group
+    and its format (only JSON is read; another format raises)."""
+    props = node.get("properties") or {}
+    fmt = str(props.get("format") or "json").lower()
+    if fmt not in FORMATS:
+        raise ValueError(f"topic node {node.get('id')}: format {fmt!r} is not supported")
+    return {"group_id": props["group_id"]} if props.get("group_id") else {}
 
 
 def read_topic(spark: SparkSession, topics, bootstrap: str, stream: bool = True, **kw) -> DataFrame:
     """Kafka topic(s) as an envelope DataFrame (needs the Kafka connector,
-    ``spark-sql-kafka``, on the classpath).  A stream reads at most
-    ``DEFAULT_MAX_OFFSETS_PER_TRIGGER`` rows per micro-batch by default."""
+    ``spark-sql-kafka``, on the classpath).  Set ``max_offsets_per_trigger``
+    to bound a micro-batch."""
     r = spark.readStream if stream else spark.read
-    if stream and not kw.get("max_offsets_per_trigger"):
-        kw["max_offsets_per_trigger"] = DEFAULT_MAX_OFFSETS_PER_TRIGGER
     try:
         return r.format("kafka").options(**kafka_options(topics, bootstrap, **kw)).load()
     except Exception as ex:  # noqa: BLE001
@@ -122,7 +133,10 @@ def decode_json(messages: DataFrame, fields=None, mode: str = "PERMISSIVE",
     cols = [F.col("_m")[f.name].alias(f.name) for f in flds]
     meta = [F.col(c) for c in META if c in out.columns]
     if mode.upper() != "PERMISSIVE":
-        return out.select(*cols, *meta)
+        # the parse is the condition of a generator, so that no choice of
+        # columns prunes it: every bad message fails the job
+        return out.select(rows_where(F.col("_m").isNotNull() | F.col("_text").isNull()
+                                     | F.raise_error(F.lit("not a JSON object")).isNull(), *cols, *meta))
     # a message that is not a JSON object at all (e.g. the text null)
     # parses to a NULL struct: that is a bad record too
     corrupt = F.when(F.col("_m").isNull(), F.col("_text")).otherwise(F.col("_m")[CORRUPT])

@@ -3,7 +3,7 @@
 The operators are plain DataFrame transformations, so the same code runs
 on a streaming DataFrame; this module only adds sources, triggers,
 checkpoints and sinks.  Every query checkpoints under the shared folder
-(``spark.checkpoint.dir``), and every sink is idempotent per batch id, so a
+(``spark.checkpoint.dir``), and every sink is idempotent per query and batch, so a
 restarted query replays from its checkpoint without losing or doubling
 rows (the reference's failed flush drops rows; this does not).
 """
@@ -17,15 +17,14 @@ from pyspark.sql import functions as F
 
 from streamfold.operators import align, merge
 from streamfold.session import checkpoint_subdir
-from streamfold.sinks.stores import SnapshotTable, append_column_store
+from streamfold.sinks.stores import (KeyedFolder, any_null, append_column_store, query_id, start_topic,
+                                     topic_rows)
 from streamfold.sources.tables import ENVELOPE
-from streamfold.sources.topics import decode_json
+from streamfold.sources.topics import KAFKA_ORDER, decode_json
 
-# Fixed values from the reference's deployment: checkpoint every 10 s;
-# the consumer flushes at 500 rows or 1 s.
+# Checkpoint every 10 s; the consumer flushes every second.
 CHECKPOINT_INTERVAL = "10 seconds"
 FLUSH_INTERVAL = "1 second"
-FLUSH_ROWS = 500
 
 
 def envelope_files_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
@@ -41,30 +40,61 @@ def decoded_stream(messages: DataFrame, fields, mode: str = "skip") -> DataFrame
     return decode_json(messages, fields, drop_bad=True)
 
 
-def start_merge(merged: DataFrame, snapshot: SnapshotTable, name: str,
-                trigger: str = CHECKPOINT_INTERVAL, checkpoint: str | None = None):
-    """T8 + K1/K2: a keyed merge (A1 or A2 over a stream) in update mode;
-    each micro-batch's changed rows replace the snapshot rows of their key.
-    Spark's state holds the full merged row, so the snapshot only needs
-    replace-by-key."""
+def _started(rows: DataFrame, each, name: str, mode: str, trigger: str, checkpoint: str):
+    return (rows.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", checkpoint)
+            .trigger(processingTime=trigger).queryName(name).start())
+
+
+def _owner(spark: SparkSession, checkpoint: str):
+    """The id of the query that runs on a checkpoint, read once it runs."""
+    known = []
+
+    def get() -> str:
+        if not known:
+            known.append(query_id(spark, checkpoint))
+        return known[0]
+
+    return get
+
+
+def start_merge(merged: DataFrame, sink: KeyedFolder | None, name: str, trigger: str = CHECKPOINT_INTERVAL,
+                checkpoint: str | None = None, writer=None, reduce_batch=None, mode: str = "update",
+                share_folder: bool = False):
+    """T8 + K1/K2: the changed rows of every micro-batch to a keyed store:
+    ``writer(batch, batch_id)`` if given, else ``sink``.
+
+    ``reduce_batch(batch)`` folds a micro-batch per key before it is written,
+    for rules whose state the store itself holds (A2: no stream state).  A
+    folder that another query has written to is refused unless
+    ``share_folder``; shared, both queries' rows stay."""
     spark = merged.sparkSession
     ck = checkpoint or checkpoint_subdir(spark, os.path.join("streams", name))
-    return (merged.writeStream.outputMode("update")
-            .foreachBatch(lambda b, batch_id: snapshot.upsert(b, batch_id))
-            .option("checkpointLocation", ck).trigger(processingTime=trigger)
-            .queryName(name).start())
+    if writer is None and sink.commits() and query_id(spark, ck) is None and not share_folder:
+        raise ValueError(f"{sink.path} holds rows of another query; pass share_folder=True to add to them, "
+                         "or start from that query's checkpoint")
+    owner = _owner(spark, ck)
+
+    def each(batch: DataFrame, batch_id: int):
+        rows = reduce_batch(batch) if reduce_batch else batch
+        if writer is not None:
+            writer(rows, batch_id)
+        else:
+            sink.write(rows, batch_id, owner())
+
+    return _started(merged, each, name, mode, trigger, ck)
 
 
 def start_append(rows: DataFrame, path: str, key: list[str], name: str,
-                 trigger: str = FLUSH_INTERVAL, checkpoint: str | None = None):
+                 trigger: str = FLUSH_INTERVAL, checkpoint: str | None = None, writer=None):
     """K3 + T5: append the aligned rows, sorted by key within files, one
-    folder per batch id (a replay overwrites its own folder)."""
+    folder per query and batch (a replay overwrites its own folder), or hand
+    them to ``writer(batch, batch_id)``.  For the reference's flush at 500
+    rows, read with ``max_offsets_per_trigger``."""
     spark = rows.sparkSession
     ck = checkpoint or checkpoint_subdir(spark, os.path.join("streams", name))
-    return (rows.writeStream.outputMode("append")
-            .foreachBatch(lambda b, batch_id: append_column_store(b, path, key, batch_id=batch_id))
-            .option("checkpointLocation", ck).trigger(processingTime=trigger)
-            .queryName(name).start())
+    owner = _owner(spark, ck)
+    each = writer or (lambda b, i: append_column_store(b, path, key, batch_id=i, owner=owner()))
+    return _started(rows, each, name, "append", trigger, ck)
 
 
 def start_fanout(rows: DataFrame, writers: dict, name: str, trigger: str = FLUSH_INTERVAL,
@@ -105,13 +135,18 @@ def windowed_counts(events: DataFrame, ts_col: str, name_col: str, interval: str
 
 
 def start_spec(spark: SparkSession, spec: dict, topic_reader, out_dir: str, name: str = "spec",
-               trigger: str = CHECKPOINT_INTERVAL, checkpoint_root: str | None = None, **kw) -> dict:
+               trigger: str = CHECKPOINT_INTERVAL, checkpoint_root: str | None = None,
+               writers: dict | None = None, share_folder: bool = False, **kw) -> dict:
     """X2 on streams: one streaming query per sink of the spec.
 
     ``topic_reader(topic)`` returns a streaming envelope DataFrame (e.g.
-    ``read_topic``).  Document and wide-column sinks run as update-mode
-    merges into a keyed snapshot under ``out_dir/<sink>``; column-store
-    sinks append.  Returns ``{sink id: StreamingQuery}``.
+    ``read_topic``).  ``writers[node_type](batch, batch_id, node)`` writes a
+    micro-batch to that kind of store; ``store_options(node)`` gives what the
+    node says about it.  Without a writer the rows go to files under
+    ``out_dir/<sink>``.  A document sink's rows are merged in stream state; a
+    wide-column sink's micro-batch is reduced to the last row of each key and
+    upserted, the store being the state; column-store sinks append.  Returns
+    ``{sink id: StreamingQuery}``.
     """
     from streamfold.functions.schema import primary_key
     from streamfold.plans import spec as X
@@ -119,18 +154,80 @@ def start_spec(spark: SparkSession, spec: dict, topic_reader, out_dir: str, name
     if kw.get("ttl_seconds"):
         from streamfold.streaming.state import use_rocksdb
         use_rocksdb(spark)          # the TTL merge keeps its state in RocksDB
-    sinks = X.build(spec, topic_reader, with_inserted_at=False, strict=False, **kw)
+    order = kw.get("order", KAFKA_ORDER)
+    sinks = X.build(spec, topic_reader, with_inserted_at=False, strict=False, reduce_wide=False, **kw)
     nodes = {n["id"]: n for n in spec["nodes"]}
     queries = {}
     for sid, df in sinks.items():
         node = nodes[sid]
-        key = primary_key((node.get("properties") or {}).get("primary_key"), X.node_fields(node))
+        fields = X.node_fields(node)
+        key = primary_key((node.get("properties") or {}).get("primary_key"), fields)
         qname = f"{name}_{sid}"
         path = os.path.join(out_dir, sid)
         ck = (os.path.join(checkpoint_root, qname) if checkpoint_root
               else checkpoint_subdir(spark, os.path.join("streams", qname)))
+        store = (writers or {}).get(node["node_type"])
+        writer = (lambda b, i, f=store, n=node: f(b, i, n)) if store else None
+        common = {"trigger": trigger, "checkpoint": ck, "writer": writer}
         if node["node_type"] == X.CLICKHOUSE:
-            queries[sid] = start_append(df, path, key, qname, trigger=trigger, checkpoint=ck)
+            queries[sid] = start_append(df, path, key, qname, **common)
+        elif node["node_type"] == X.SCYLLADB:
+            fold = lambda d, f=fields, k=key: merge.upsert_last_row(d, f, k, order)
+            if writer:
+                queries[sid] = start_merge(df, None, qname, mode="append", reduce_batch=fold, **common)
+            else:       # files have no upsert: keep the last rows with their order, fold on reading
+                sink = KeyedFolder(spark, path, key, fold=fold, reject_null_keys=True)
+                last = lambda d, f=fields, k=key: last_rows(d, f, k, order)
+                queries[sid] = start_merge(df, sink, qname, mode="append", reduce_batch=last,
+                                           share_folder=share_folder, **common)
         else:
-            queries[sid] = start_merge(df, SnapshotTable(spark, path, key), qname, trigger=trigger, checkpoint=ck)
+            sink = None if writer else KeyedFolder(spark, path, key)
+            queries[sid] = start_merge(df, sink, qname, share_folder=share_folder, **common)
     return queries
+
+
+def last_rows(batch: DataFrame, fields, key: list[str], order) -> DataFrame:
+    """The last row of each key with its order columns, and every row whose
+    key is NULL (the sink rejects and counts those)."""
+    from streamfold.functions.schema import as_fields
+
+    cols = list(dict.fromkeys([*[f.name for f in as_fields(fields)], *order]))
+    last = (batch.filter(~any_null(key)).groupBy(*key)
+            .agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_row")).select("_row.*"))
+    return last.unionByName(batch.filter(any_null(key)).select(*cols))
+
+
+# Node properties that say where a store is and what to write.
+STORE_PROPERTIES = ("uri", "host", "port", "database", "collection", "keyspace", "table", "primary_key")
+
+
+def store_options(node: dict) -> dict:
+    """Connector options a sink node names."""
+    props = node.get("properties") or {}
+    return {k: props[k] for k in STORE_PROPERTIES if props.get(k) not in (None, "")}
+
+
+def start_enrichment(trades: DataFrame, quotes: DataFrame, name: str, checkpoint: str | None = None,
+                     trigger: str = FLUSH_INTERVAL, writer=None, bootstrap: str | None = None,
+                     topic: str = "enriched"):
+    """The enrichment job: trade and quote messages (envelopes) are decoded
+    (S7, S8), each trade takes the latest quote of its symbol (J1) and its
+    percent change (P4), and leaves as a keyed message (K4) for
+    ``writer(messages, batch_id)`` or a Kafka topic."""
+    from streamfold.functions.scalar import pct_change
+    from streamfold.operators.enrich import QUOTE_FIELDS
+    from streamfold.sources.topics import decode_quotes, decode_trades
+    from streamfold.streaming.state import enrich_stream, use_rocksdb
+
+    spark = trades.sparkSession
+    use_rocksdb(spark)
+    ck = checkpoint or checkpoint_subdir(spark, os.path.join("streams", name))
+    seq = (F.col("_offset") * 1000 + F.col("_tick_idx")).alias("seq")
+    t = decode_trades(trades).select("symbol", "price", "volume", "timestamp", F.col("_kafka_ts").alias("at"), seq)
+    q = decode_quotes(quotes, with_fetched_at=False).select(
+        "symbol", *QUOTE_FIELDS, F.col("_kafka_ts").alias("at"), F.col("_offset").alias("seq"))
+    out = (enrich_stream(t, q, "symbol", "at", "seq", QUOTE_FIELDS)
+           .withColumn("pct_change", pct_change("price", "quote_prev_close")).drop("at", "seq"))
+    if writer is None:
+        return start_topic(out, "symbol", bootstrap, topic, ck, name)
+    return _started(out, lambda b, i: writer(topic_rows(b, "symbol"), i), name, "append", trigger, ck)

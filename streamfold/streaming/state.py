@@ -31,8 +31,8 @@ class LatestQuote(StatefulProcessor):
     state; every trade leaves with the quote current at its position.
 
     A key's rows of one micro-batch are sorted together, so the group is
-    bounded by the trigger size (``maxOffsetsPerTrigger``, set by default
-    in ``read_topic``), not by the stream.  The lookup is vectorised: each
+    bounded by the trigger size (``max_offsets_per_trigger`` of
+    ``read_topic``), not by the stream.  The lookup is vectorised: each
     trade indexes the quote table by its count of preceding quotes."""
 
     def __init__(self, quote_schema: T.StructType, left_cols: list[str], key_cols: list[str]):
@@ -92,41 +92,61 @@ def enrich_stream(trades: DataFrame, quotes: DataFrame, key: str, ts_col: str, s
         LatestQuote(qschema, left_cols, ["k_key"]), out_schema, "Append", "None")
 
 
-class IdleMerge(StatefulProcessor):
-    """A4 on a stream: per key the latest non-null value of every column,
-    in a value state with a TTL; a key idle longer than the TTL starts
-    again from NULL.  Emits the key's merged row after every batch that
-    touches it (update semantics)."""
+def _rank(order: tuple) -> tuple:
+    """Order keys as comparable pairs, NULL before everything."""
+    return tuple((v is not None, v if v is not None else 0) for v in order)
+
+
+def _plain(v):
+    """A pandas scalar as a Python value, its missing values as None."""
+    if v is None or v is pd.NaT or (isinstance(v, float) and np.isnan(v)):
+        return None
+    return v.item() if hasattr(v, "item") else v
+
 
-    def __init__(self, key: list[str], value_schema: T.StructType, order_cols: list[str], ttl_ms: int):
-        self.key, self.value_schema, self.order_cols, self.ttl_ms = list(key), value_schema, order_cols, ttl_ms
+class IdleMerge(StatefulProcessor):
+    """A4 on a stream: per key the latest non-null value of every column with
+    its order key, in a value state with a TTL; a key idle longer than the
+    TTL starts again from NULL.  A row with an older order does not replace a
+    newer value, in whatever batch it arrives.  Emits the key's merged row
+    after every batch that touches it (update semantics)."""
+
+    def __init__(self, key: list[str], value_schema: T.StructType, order_fields: list[T.StructField], ttl_ms: int):
+        self.key, self.ttl_ms = list(key), ttl_ms
         self.cols = [f.name for f in value_schema.fields]
+        self.orders = [f.name for f in order_fields]
+        # column i, then its order keys
+        self.schema = T.StructType([x for i, f in enumerate(value_schema.fields) for x in
+                                    [T.StructField(f"v{i}", f.dataType),
+                                     *[T.StructField(f"v{i}_{o.name}", o.dataType) for o in order_fields]]])
 
     def init(self, handle) -> None:
-        self.state = handle.getValueState("merged", self.value_schema, self.ttl_ms)
+        self.state = handle.getValueState("merged", self.schema, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
-        # fold the key's rows chunk by chunk (no concat): per column keep the
-        # latest non-null value of this batch with its order key
+        width = 1 + len(self.orders)
         best: dict = {}
+        if self.state.exists():
+            held = list(self.state.get())
+            for i, c in enumerate(self.cols):
+                value, *order = held[i * width:(i + 1) * width]
+                if value is not None:
+                    best[c] = (_rank(tuple(order)), value, tuple(order))
+        # fold the key's rows chunk by chunk (no concat): one stable sort per
+        # chunk; per column the last non-null row
         for pdf in rows:
-            # one stable sort per chunk; per column the last non-null row
-            pdf = pdf.sort_values(self.order_cols, kind="stable").reset_index(drop=True)
+            pdf = pdf.sort_values(self.orders, kind="stable", na_position="first").reset_index(drop=True)
             for c in self.cols:
                 i = pdf[c].last_valid_index()
                 if i is None:
                     continue
-                top = pdf.iloc[i]
-                order = tuple(top[o] for o in self.order_cols)
-                if c not in best or order > best[c][0]:
-                    v = top[c]
-                    best[c] = (order, v.item() if hasattr(v, "item") else v)
-        cur = list(self.state.get()) if self.state.exists() else [None] * len(self.cols)
-        for i, c in enumerate(self.cols):
-            if c in best:
-                cur[i] = best[c][1]
-        self.state.update(tuple(cur))
-        yield pd.DataFrame([[*key, *cur]], columns=[*self.key, *self.cols])
+                order = tuple(_plain(pdf[o].iloc[i]) for o in self.orders)
+                if c not in best or _rank(order) >= best[c][0]:
+                    best[c] = (_rank(order), _plain(pdf[c].iloc[i]), order)
+        none = (None, None, (None,) * len(self.orders))
+        found = [best.get(c, none) for c in self.cols]
+        self.state.update(tuple(x for _, value, order in found for x in (value, *order)))
+        yield pd.DataFrame([[*key, *[value for _, value, _ in found]]], columns=[*self.key, *self.cols])
 
     def close(self) -> None:
         pass
@@ -135,12 +155,20 @@ class IdleMerge(StatefulProcessor):
 def idle_merge_stream(df: DataFrame, key, value_cols: list[str], order_cols: list[str],
                       ttl_seconds: int = 3600) -> DataFrame:
     """Streaming A4 (processing-time TTL, refreshed on every write).
-    ``key``: one column name or a list (composite key)."""
+    ``key``: one column name or a list (composite key).  Order columns that
+    are time stamps go by their microseconds."""
     key = [key] if isinstance(key, str) else list(key)
     fields = {f.name: f for f in df.schema.fields}
     vschema = T.StructType([T.StructField(c, fields[c].dataType) for c in value_cols])
     out = T.StructType([T.StructField(k, fields[k].dataType) for k in key] + list(vschema.fields))
-    order = [f"o{i}" for i in range(len(order_cols))]
-    src = df.select(*key, *value_cols, *[F.col(c).alias(o) for c, o in zip(order_cols, order)])
+
+    def comparable(c):
+        kind = fields[c].dataType
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            return F.unix_micros(F.col(c).cast("timestamp"))
+        return F.col(c).cast("string" if isinstance(kind, T.StringType) else "long")
+
+    src = df.select(*key, *value_cols, *[comparable(c).alias(f"o{i}") for i, c in enumerate(order_cols)])
+    orders = [src.schema[f"o{i}"] for i in range(len(order_cols))]
     return src.groupBy(*key).transformWithStateInPandas(
-        IdleMerge(key, vschema, order, int(ttl_seconds * 1000)), out, "Update", "ProcessingTime")
+        IdleMerge(key, vschema, orders, int(ttl_seconds * 1000)), out, "Update", "ProcessingTime")

@@ -20,7 +20,7 @@ def test_trade_before_first_quote_and_null_field(spark):
     trades = spark.createDataFrame([("A", 10.0, t(0), 1), ("A", 11.0, t(20), 3), ("A", 12.0, t(40), 5)], TS)
     quotes = spark.createDataFrame([("A", 9.0, 9.5, 8.5, 9.0, 8.0, t(10), 2),
                                     ("A", 9.9, None, 8.8, 9.1, 10.0, t(30), 4)], QS)
-    out = rows(enrich.enrich_trades(trades, quotes, chunk_seconds=15), order=lambda d: d["_seq"])
+    out = rows(enrich.enrich_trades(trades, quotes, chunk_ms=15_000), order=lambda d: d["_seq"])
     assert [r["_seq"] for r in out] == [3, 5]          # first trade had no quote yet
     assert out[0]["quote_high"] == 9.5 and out[0]["pct_change"] == 37.5
     assert out[1]["quote_high"] is None                # newest quote's NULL, not the older 9.5
@@ -59,7 +59,7 @@ def test_matches_brute_force_across_chunks(spark):
             tr.append((sym, float(i), ts, i))
     trades, quotes = spark.createDataFrame(tr, TS), spark.createDataFrame(qu, QS)
     got = {r["_seq"]: (r["quote_current"], r["quote_high"]) for r in
-           enrich.enrich_trades(trades, quotes, chunk_seconds=97).collect()}
+           enrich.enrich_trades(trades, quotes, chunk_ms=97_000, span_chunks=5).collect()}
     # brute force: pandas merge_asof per symbol, quote first at equal time
     tp = pd.DataFrame(tr, columns=["symbol", "price", "_ts", "_seq"])
     qp = pd.DataFrame(qu, columns=["symbol", "current", "high", "low", "open", "prev_close", "_ts", "_seq"])
@@ -72,63 +72,39 @@ def test_matches_brute_force_across_chunks(spark):
     assert got == exp
 
 
-def test_hot_key_gets_narrow_chunks_and_same_result(spark):
-    """One symbol holds most rows, packed into one chunk: with a tiny
-    ``hot_rows`` its chunks are narrowed, and the result still equals the
-    fixed-width plan and brute force."""
+def test_burst_of_a_hot_key_is_split(spark):
+    """A symbol with most rows, nearly all within a second: narrow chunks and
+    short spans give the same rows as one chunk for everything, and brute
+    force; no window holds more than a few rows."""
     rnd = random.Random(11)
     tr, qu = [], []
     for i in range(900):
         hot = rnd.random() < 0.7
         sym = "H" if hot else rnd.choice("AB")
-        ts = t(rnd.randrange(0, 60) if hot else rnd.randrange(0, 4000))
+        ts = T0 + dt.timedelta(milliseconds=rnd.randrange(0, 1000) if hot else rnd.randrange(0, 4_000_000))
         if rnd.random() < 0.3:
             qu.append((sym, float(i), None if rnd.random() < 0.2 else 1.0, 1.0, 1.0, 2.0, ts, i))
         else:
             tr.append((sym, float(i), ts, i))
     trades, quotes = spark.createDataFrame(tr, TS), spark.createDataFrame(qu, QS)
-    widths = {r["symbol"]: r["_width"] for r in enrich.hot_key_widths(
-        trades.select("symbol", F.col("_ts").cast("timestamp").alias("_t")), ["symbol"], 300_000_000, 20).collect()}
-    assert set(widths) == {"H"} and widths["H"] < 300_000_000
-    got = rows(enrich.enrich_trades(trades, quotes, hot_rows=20, hot_min_bytes=0))
-    fixed = rows(enrich.enrich_trades(trades, quotes, hot_rows=None))
-    assert got == fixed and len(got) > 300
+    got = rows(enrich.enrich_trades(trades, quotes, chunk_ms=10, span_chunks=16))
+    assert got == rows(enrich.enrich_trades(trades, quotes, chunk_ms=10 ** 8)) and len(got) > 300
     qp = pd.DataFrame(qu, columns=["symbol", "current", "high", "low", "open", "prev_close", "_ts", "_seq"])
     for r in got[:200]:
         c = qp[(qp.symbol == r["symbol"]) & (qp._ts <= r["_ts"])].sort_values(["_ts", "_seq"])
         assert r["quote_current"] == c.iloc[-1].current
-
-
-
-def test_density_pass_only_for_large_inputs(spark):
-    """Parquet inputs with a known small size skip the pass; inputs of
-    unknown size (e.g. from Python rows) or ``hot_min_bytes=0`` run it."""
-    from streamfold.sources import tables as tb
-    sf = "/root/testdata/sf0.001"
-    trades, quotes = tb.trades(spark, sf), tb.quotes(spark, sf)
-    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    small = plan(enrich.enrich_trades(trades, quotes))
-    forced = plan(enrich.enrich_trades(trades, quotes, hot_min_bytes=0))
-    assert "_width" not in small and "_width" in forced
+    groups = pd.concat([pd.DataFrame(tr)[[0, 2]], pd.DataFrame(qu)[[0, 6]].rename(columns={6: 2})])
+    groups["c"] = (groups[2] - T0) // dt.timedelta(milliseconds=10)
+    assert groups.groupby([0, "c"]).size().max() <= 20
 
 
 def test_single_hot_symbol_from_tables(spark):
-    """Every trade and quote of sf0.01 on one symbol, with one-day chunks:
-    narrowing that symbol's chunks shrinks its largest (key, chunk) group
-    and leaves the result unchanged."""
-    from streamfold.functions.scalar import floor_div
+    """Every trade and quote of sf0.01 on one symbol: chunk and span widths
+    change nothing."""
     from streamfold.sources import tables as tb
     sf = "/root/testdata/sf0.01"
     hot = lambda df: df.withColumn("symbol", F.lit("HOT"))
     trades, quotes = hot(tb.trades(spark, sf)), hot(tb.quotes(spark, sf))
-    day = 86_400
-    narrowed = enrich.enrich_trades(trades, quotes, chunk_seconds=day, hot_rows=50, hot_min_bytes=0)
-    fixed = enrich.enrich_trades(trades, quotes, chunk_seconds=day, hot_rows=None)
-    assert narrowed.exceptAll(fixed).count() == 0 and fixed.exceptAll(narrowed).count() == 0
-    both = trades.select("symbol", F.col("_ts").cast("timestamp").alias("_t")).unionByName(
-        quotes.select("symbol", F.col("_ts").cast("timestamp").alias("_t")))
-    width = enrich.hot_key_widths(both, ["symbol"], day * 1_000_000, 50).first()["_width"]
-    biggest = lambda w: (both.groupBy(floor_div(F.unix_micros("_t"), w).alias("c")).count()
-                         .agg(F.max("count")).first()[0])
-    # one-day chunks hold up to 155 rows here; the narrowed ones about hot_rows
-    assert biggest(day * 1_000_000) > 100 and biggest(width) <= 2 * 50
+    narrow = enrich.enrich_trades(trades, quotes)
+    wide = enrich.enrich_trades(trades, quotes, chunk_ms=86_400_000, span_chunks=2)
+    assert narrow.exceptAll(wide).count() == 0 and wide.exceptAll(narrow).count() == 0

@@ -82,3 +82,22 @@ def test_append_keeps_everything(spark):
     a = _df(spark, [("x", 1.0, "a", t(0), 1)])
     b = _df(spark, [("x", 1.0, "a", t(0), 1)])
     assert merge.append_fanin([a, b]).count() == 2
+
+
+def test_null_times_null_orders_and_keys_alone(spark):
+    """Rows without a time or order count before all others; a sink of keys
+    alone gives one row per key."""
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("a", 1, None, 1), ("a", None, None, 2), ("b", 1, None, 3), ("b", 2, t0, 4),
+                                (None, 7, None, 5)], "k string, v long, ts timestamp, id long")
+    fields = [("k", "STRING"), ("v", "BIGINT")]
+    key = lambda df: {r["k"]: r["v"] for r in df.collect()}
+    assert key(merge.merge_latest_nonnull(df, fields, ["k"], ["ts"])) == {"a": 1, "b": 2, None: 7}
+    assert key(merge.upsert_last_row(df.filter("id != 2"), fields, ["k"], ["ts"])) == {"a": 1, "b": 2}
+    assert key(merge.merge_idle_ttl(df, fields, ["k"], ["ts", "id"], ts_col="ts")) == {"a": 1, "b": 2, None: 7}
+    only = [("k", "STRING")]
+    for out in (merge.merge_latest_nonnull(df, only, ["k"], ["ts"]),
+                merge.merge_idle_ttl(df, only, ["k"], ["ts"], ts_col="ts")):
+        assert sorted(str(r["k"]) for r in out.collect()) == ["None", "a", "b"]
+    assert sorted(r["k"] for r in merge.upsert_last_row(df, only, ["k"], ["ts"]).collect()) == ["a", "b"]

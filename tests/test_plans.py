@@ -37,13 +37,12 @@ def test_keyed_merges_combine_map_side(no_auto_broadcast):
         assert "partial_max_by" in p, name
 
 
-def test_asof_window_is_per_key_and_chunk(no_auto_broadcast):
+def test_asof_windows_are_per_key_and_chunk_or_span(no_auto_broadcast):
     spark = no_auto_broadcast
     p = _plan(E.queries()["enrich_asof"](spark, SF))
-    assert "hashpartitioning(symbol" in p and "_chunk" in p
-    # the only window partitioned by the key alone is the carry window,
-    # which runs over per-chunk rows (after a partial aggregate)
-    assert "partial_max_by" in p
+    assert "hashpartitioning(symbol" in p and "_chunk" in p and "_span" in p
+    # the only window partitioned by the key alone runs over span rows, after partial aggregates
+    assert "partial_max_by" in p and "BroadcastExchange" not in p
 
 
 def test_top_k_ranks_within_salted_groups_first(no_auto_broadcast):

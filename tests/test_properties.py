@@ -71,8 +71,8 @@ asof_rows = st.lists(asof_row, min_size=1, max_size=40)
 
 @SETTINGS
 @given(asof_rows, st.integers(1, 120), st.integers(1, 4))
-def test_asof_property(spark, rows, chunk_seconds, hot_rows):
-    """J1 with random chunk widths and the density pass forced: each trade
+def test_asof_property(spark, rows, chunk_seconds, span_chunks):
+    """J1 with random chunk and span widths: each trade
     gets the quote of its key with the greatest (time, quote-first, id) at
     or before it, as a whole row (a NULL field is not filled)."""
     from streamfold.operators import enrich
@@ -84,7 +84,7 @@ def test_asof_property(spark, rows, chunk_seconds, hot_rows):
     qdf = spark.createDataFrame(quotes or [(None, T0, -2, None)], "k string, ts timestamp, id long, v long")
     got = {r["id"]: r["q_v"] for r in enrich.asof_latest(
         tdf.select("k", "ts", "id"), qdf, ["k"], "ts", "id", ["v"], prefix="q_",
-        chunk_seconds=chunk_seconds, hot_rows=hot_rows, hot_min_bytes=0).collect()}
+        chunk_ms=chunk_seconds * 1000, span_chunks=span_chunks).collect()}
     exp = {}
     for k, ts, i, _ in trades:
         if k is None:

@@ -18,7 +18,7 @@ def test_node_status_rules(spark):
     nodes = spark.createDataFrame([(0, "a", "A", "kafka"), (0, "b", "B", "kafka"), (0, "c", "C", "kafka"),
                                    (0, "d", "D", "sink")], "pipeline_id long, node_id string, node_label string, node_type string")
     rs = spark.createDataFrame([(1, 0)], "run_id long, pipeline_id long")
-    out = {r["node_id"]: r for r in runs.run_summary(rs, nodes, logs, nodes_rows=4).collect()}
+    out = {r["node_id"]: r for r in runs.run_summary(rs, nodes, logs).collect()}
     assert out["a"]["status"] == "failed" and out["a"]["error_count"] == 1 and out["a"]["last_message"] == "✓ boom"
     assert out["b"]["status"] == "success" and out["b"]["last_message"] == "later" and out["b"]["log_count"] == 2
     assert out["c"]["status"] == "running"
@@ -76,3 +76,17 @@ def test_job_health_spreads_unmatched_keys(spark):
     keys = (parents.select("id").withColumn("job_id", F.lit(None).cast("string"))
             .select(runs.unmatched_key_spread(F.col("job_id"), F.col("job_id").isNotNull(), F.col("id")).alias("k")))
     assert keys.distinct().count() == 6
+
+
+def test_empty_job_id_is_no_job(spark):
+    p = spark.createDataFrame([("p",)], "id string")
+    r = spark.createDataFrame([(1, "p", "DONE", "")], "id long, pipeline_id string, status string, job_id string")
+    j = spark.createDataFrame([], "job_id string, state string")
+    assert tuple(runs.job_health(p, r, j).first()) == ("p", None, "DONE", None)
+
+
+def test_null_target_is_not_the_total(spark):
+    from streamfold.operators import routing
+    df = spark.createDataFrame([("a",), (None,), (None,)], "target_table string")
+    got = {r["metric"]: r["n"] for r in routing.write_counts(df).collect()}
+    assert got == {"written": 3, "written:a": 1, "written:NULL": 2}

@@ -68,9 +68,28 @@ def test_decode_quotes_drop_rules(spark):
 
 def test_kafka_options():
     o = tp.kafka_options(["a", "b"], "h:9092")
-    assert o["subscribe"] == "a,b" and o["startingOffsets"] == "earliest" and o["kafka.group.id"] == "streamfold_a"
-    o = tp.kafka_options("a.*", "h:9092", pattern=True, max_offsets_per_trigger=500)
-    assert o["subscribePattern"] == "a.*" and o["maxOffsetsPerTrigger"] == "500"
+    assert o["subscribe"] == "a,b" and o["startingOffsets"] == "earliest" and o["failOnDataLoss"] == "true"
+    o = tp.kafka_options(["a.*", "b.*"], "h:9092", pattern=True, max_offsets_per_trigger=500, fail_on_data_loss=False)
+    assert o["subscribePattern"] == "a.*|b.*" and o["maxOffsetsPerTrigger"] == "500" and o["failOnDataLoss"] == "false"
+
+
+def test_two_sinks_on_one_topic_share_no_consumer_group():
+    """No group is set unless the node names one: Spark makes one per query."""
+    assert not any("kafka.group.id" in tp.kafka_options("t", "h:9092") for _ in ("doc", "wide"))
+    node = {"id": "n", "properties": {"group_id": "g", "format": "JSON"}}
+    assert tp.kafka_options("t", "h:9092", **tp.node_reader_options(node))["kafka.group.id"] == "g"
+    assert tp.node_reader_options({"id": "n"}) == {}
+    with pytest.raises(ValueError, match="avro"):
+        tp.node_reader_options({"id": "n", "properties": {"format": "avro"}})
+
+
+def test_failfast_without_a_parsed_column(spark):
+    """A bad record fails the job even if only envelope columns are used."""
+    for bad in ("bad", "null", "[1]"):
+        d = tp.decode_json(msgs(spark, ['{"a":1}', bad]), [("a", "INT")], mode="FAILFAST")
+        with pytest.raises(Exception):
+            d.select("_offset").collect()
+    assert tp.decode_json(msgs(spark, ['{"a":1}', "{}"]), [("a", "INT")], mode="FAILFAST").select("_offset").count() == 2
 
 
 def test_bytes_round_trip(spark):
@@ -83,20 +102,3 @@ def test_bytes_round_trip(spark):
 def test_read_topic_without_connector_explains(spark):
     with pytest.raises(RuntimeError, match="Kafka connector"):
         tp.read_topic(spark, "t", "localhost:1", stream=False)
-
-
-def test_read_topic_caps_trigger_by_default(spark, monkeypatch):
-    seen = {}
-
-    def fake(topics, bootstrap, **kw):
-        seen.update(kw)
-        raise RuntimeError("stop")
-
-    monkeypatch.setattr(tp, "kafka_options", fake)
-    for kw in ({}, {"max_offsets_per_trigger": None}):
-        seen.clear()
-        try:
-            tp.read_topic(spark, "a", "h:9092", stream=True, **kw)
-        except RuntimeError:
-            pass
-        assert seen["max_offsets_per_trigger"] == tp.DEFAULT_MAX_OFFSETS_PER_TRIGGER

@@ -1,3 +1,5 @@
+import pytest
+
 from streamfold.operators.routing import dedupe_first_seen
 from streamfold.plans import spec as X
 
@@ -114,3 +116,25 @@ def test_failing_sink_does_not_stop_others(spark):
     assert list(out) == ["ok"] and list(errors) == ["bad"]
     with pytest.raises(ValueError):
         X.build(spec, lambda t: msgs)
+
+
+def test_node_text_declares_fields_and_runs_sql(spark):
+    from streamfold.plans import spec as X
+    from streamfold.sources import tables as tb
+    node = {"id": "n", "node_type": X.KAFKA, "properties": {
+        "topic": "trades", "_handles": [["x", "INT"]], "sql": "CREATE TABLE t (symbol STRING, price DOUBLE)"}}
+    assert [(f.name, f.type) for f in X.node_fields(node)] == [("symbol", "STRING"), ("price", "DOUBLE")]
+    with pytest.raises(ValueError, match="column list"):
+        X.node_fields({"id": "n", "sql": "CREATE TABLE t"})
+    spec = {"nodes": [node, {"id": "q", "node_type": "transform", "sql": "SELECT count(*) AS n FROM trades"}], "edges": []}
+    msgs = tb.topic_messages(spark, "/root/testdata/sf0.001", "trades")
+    out = X.run_node_sql(spark, spec, lambda t: msgs)
+    assert set(out) == {"q"} and out["q"].first()["n"] == msgs.count()
+
+
+def test_upstream_sources_follow_edges_once():
+    from streamfold.plans import spec as X
+    nodes = {i: {"id": i, "node_type": X.KAFKA if i.startswith("k") else X.MONGODB} for i in ("k1", "k2", "k3", "m", "s")}
+    edges = [{"source_id": a, "target_id": b} for a, b in
+             (("k2", "s"), ("m", "s"), ("k1", "m"), ("k2", "m"), ("s", "m"), ("k3", "k1"), ("gone", "s"))]
+    assert X.upstream_sources("s", nodes, edges) == ["k2", "k1"]

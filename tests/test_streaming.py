@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from streamfold.operators import enrich, merge
 from streamfold.plans import sinks_spec as S
-from streamfold.sinks.stores import SnapshotTable, topic_rows
+from streamfold.sinks.stores import KeyedFolder, append_column_store, query_id, topic_rows
 from streamfold.sources import tables as tb
 from streamfold.sources import topics as tp
 from streamfold.streaming import jobs, state
@@ -25,7 +25,7 @@ def test_doc_merge_stream_equals_batch(spark):
     msgs = jobs.envelope_files_stream(spark, f"{d}/in", max_files_per_trigger=2)
     srcs = {t: jobs.decoded_stream(msgs.filter(F.col("topic") == t), f) for t, f in tb.TOPIC_FIELDS.items()}
     merged = jobs.doc_merge_stream(srcs, S.DOC_FIELDS, S.DOC_KEY, S.DOC_MAPPING, tp.KAFKA_ORDER)
-    snap = SnapshotTable(spark, f"{d}/snap", S.DOC_KEY)
+    snap = KeyedFolder(spark, f"{d}/snap", S.DOC_KEY)
     q = jobs.start_merge(merged, snap, "doc_merge_test", trigger="1 second", checkpoint=f"{d}/ck")
     try:
         q.processAllAvailable()
@@ -40,14 +40,100 @@ def test_doc_merge_stream_equals_batch(spark):
     assert len(got) == 15 and got == exp   # 15 users at sf0.001
 
 
-def test_snapshot_upsert_idempotent(spark):
+def test_folder_replays_nulls_and_rejects(spark):
     d = tempfile.mkdtemp(prefix="sf-snap-")
-    snap = SnapshotTable(spark, f"{d}/t", ["k"])
     b0 = spark.createDataFrame([("a", 1), ("b", 2), (None, 9)], "k string, v long")
-    snap.upsert(b0, 0)
-    snap.upsert(spark.createDataFrame([("a", 5)], "k string, v long"), 1)
-    snap.upsert(spark.createDataFrame([("a", 99)], "k string, v long"), 1)   # replay: ignored
-    assert sorted(tuple(r) for r in snap.current().collect()) == [("a", 5), ("b", 2)]
+    for reject in (False, True):
+        snap = KeyedFolder(spark, f"{d}/t{reject}", ["k"], reject_null_keys=reject)
+        snap.write(b0, 0, "q")
+        snap.write(spark.createDataFrame([("a", 5)], "k string, v long"), 1, "q")
+        snap.write(spark.createDataFrame([("a", 99)], "k string, v long"), 1, "q")   # replay: stored already
+        got = sorted((tuple(r) for r in snap.current().collect()), key=str)
+        assert got == sorted([("a", 5), ("b", 2)] + [(None, 9)] * (not reject), key=str)
+        assert (snap.rejects().count() if reject else snap.rejects()) == (1 if reject else None)
+
+
+def test_new_checkpoint_neither_skips_nor_overwrites(spark):
+    """Two queries, two checkpoints, one folder each for K1, K2 and K3: the
+    second one's batches start at 0 again, and every row of both is there."""
+    import pytest
+
+    d = tempfile.mkdtemp(prefix="sf-own-")
+    schema = "k string, v long"
+    for n, rows in (("1", [("a", 1), ("b", 2)]), ("2", [("b", 3), ("c", 4)])):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{d}/in{n}")
+
+    def run(n, share):
+        s = spark.readStream.schema(schema).parquet(f"{d}/in{n}")
+        qs = [jobs.start_merge(s, KeyedFolder(spark, f"{d}/keyed", ["k"]), f"own_m{n}", trigger="1 second",
+                               checkpoint=f"{d}/ckm{n}", mode="append", share_folder=share),
+              jobs.start_append(s, f"{d}/append", ["k"], f"own_a{n}", trigger="1 second", checkpoint=f"{d}/cka{n}")]
+        for q in qs:
+            q.processAllAvailable()
+            q.stop()
+
+    run("1", False)
+    with pytest.raises(ValueError, match="another query"):
+        run("2", False)
+    run("2", True)
+    folder = KeyedFolder(spark, f"{d}/keyed", ["k"])
+    assert sorted(tuple(r) for r in folder.current().collect()) == [("a", 1), ("b", 3), ("c", 4)]
+    assert len({o for _, o, _ in folder.commits()}) == 2 and {b for _, _, b in folder.commits()} == {0}
+    assert query_id(spark, f"{d}/ckm1") in {o for _, o, _ in folder.commits()}
+    out = spark.read.parquet(f"{d}/append")
+    assert sorted((r["k"], r["v"]) for r in out.collect()) == [("a", 1), ("b", 2), ("b", 3), ("c", 4)]
+    append_column_store(spark.createDataFrame([("z", 1)], schema), f"{d}/plain", ["k"])
+    assert spark.read.parquet(f"{d}/plain").count() == 1
+
+
+def test_spec_writers_get_every_node_type(spark):
+    """A recording writer per node type: what it got, folded, is the batch result."""
+    from streamfold.plans import catalog
+    from streamfold.plans import spec as X
+    d = tempfile.mkdtemp(prefix="sf-writers-")
+    _write_envelopes(spark, tb.topics_union(spark, SF), f"{d}/in", 3)
+    stream = jobs.envelope_files_stream(spark, f"{d}/in", max_files_per_trigger=3)
+    got = {}
+
+    def record(batch, batch_id, node):
+        got.setdefault(node["id"], []).extend(tuple(r) for r in batch.drop("inserted_at").collect())
+
+    qs = jobs.start_spec(spark, catalog.stand_in_spec(), lambda t: stream.filter(F.col("topic") == t), f"{d}/out",
+                         name="spec_w", trigger="1 second", checkpoint_root=f"{d}/ck",
+                         writers={k: record for k in X.SINK_TYPES})
+    for q in qs.values():
+        q.processAllAvailable()
+        q.stop()
+    batch = catalog._spec_sinks(spark, SF, with_inserted_at=False)
+    for sid in ("doc", "wide"):         # one micro-batch holds everything
+        assert sorted(got[sid], key=str) == sorted((tuple(r) for r in batch[sid].collect()), key=str), sid
+    assert len(got["col"]) == batch["col"].count()
+    assert not os.path.exists(f"{d}/out")
+    assert jobs.store_options({"properties": {"uri": "u", "collection": "c", "x": 1}}) == {"uri": "u", "collection": "c"}
+
+
+def test_enrichment_job(spark):
+    """S7 + S8 -> J1 -> P4 -> K4 as one streaming query."""
+    import json
+    d = tempfile.mkdtemp(prefix="sf-enr-job-")
+    schema = tb.ENVELOPE
+    at = "timestamp '2024-01-01 00:00:{:02d}'"
+    def env(topic, key, value, offset, sec):
+        return spark.sql(f"select '{topic}' topic, '{key}' key, '{value}' value, 0 partition, {offset}L offset, "
+                         f"{at.format(sec)} timestamp, 0 timestampType")
+    env("q", "A", '{"c":9,"h":1,"l":1,"o":1,"pc":8,"t":1}', 1, 1).write.parquet(f"{d}/q")
+    env("t", "x", '{"type":"trade","data":[{"s":"A","p":10,"v":1,"t":5},{"s":"B","p":1,"v":1,"t":5}]}', 1, 5) \
+        .write.parquet(f"{d}/t")
+    read = lambda p: spark.readStream.schema(schema).parquet(p)
+    got = []
+    q = jobs.start_enrichment(read(f"{d}/t"), read(f"{d}/q"), "enr_job", checkpoint=f"{d}/ck",
+                              writer=lambda b, i: got.extend(tuple(r) for r in b.collect()))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert [k for k, _ in got] == ["A"]
+    assert json.loads(got[0][1])["pct_change"] == 25.0
 
 
 def test_enrich_stream_equals_batch_across_batches(spark):
@@ -139,6 +225,10 @@ def test_route_refresh_between_batches(spark):
     each(msgs, 0)
     routes["b"] = ["quotes", "quotes"]        # picked up on the next batch
     each(msgs, 1)
+    import pytest
+    routes["new"] = ["clicks"]
+    with pytest.raises(ValueError, match="new"):       # no row is passed over in silence
+        each(msgs, 2)
     n_t, n_q = tb.trades(spark, SF).count(), tb.quotes(spark, SF).count()
     assert seen == [(0, n_t), (1, n_t), (1, -n_q)]
 
@@ -149,7 +239,7 @@ def test_idle_merge_stream_merges_latest_nonnull(spark):
     d = tempfile.mkdtemp(prefix="sf-ttl-")
     t0 = dt.datetime(2024, 1, 1)
     spark.createDataFrame([("x", 1.0, "a", t0, 1), ("x", None, "b", t0 + dt.timedelta(seconds=1), 2),
-                           ("y", 5.0, None, t0, 3)], "k string, a double, b string, ts timestamp, id long") \
+                           ("y", 5.0, None, t0, 3), ("x", 9.0, None, t0 - dt.timedelta(seconds=9), 4)], "k string, a double, b string, ts timestamp, id long") \
         .write.parquet(f"{d}/in")
     s = spark.readStream.schema("k string, a double, b string, ts timestamp, id long").parquet(f"{d}/in")
     out = state.idle_merge_stream(s, "k", ["a", "b"], ["ts", "id"], ttl_seconds=3600)
@@ -184,7 +274,8 @@ def test_spec_as_streams_equals_batch(spark):
             q.stop()
     batch = catalog._spec_sinks(spark, SF, with_inserted_at=False)
     for sid in ("doc", "wide"):
-        got = sorted(tuple(r) for r in SnapshotTable(spark, f"{d}/out/{sid}", ["symbol"]).current().collect())
+        fold = None if sid == "doc" else lambda x: merge.upsert_last_row(x, S.WIDE_FIELDS, S.WIDE_KEY, tp.KAFKA_ORDER)
+        got = sorted(tuple(r) for r in KeyedFolder(spark, f"{d}/out/{sid}", ["symbol"], fold=fold).current().collect())
         assert got == sorted(tuple(r) for r in batch[sid].collect()), sid
     col = spark.read.parquet(f"{d}/out/col")
     assert col.count() == batch["col"].count()
@@ -197,24 +288,20 @@ def test_shared_checkpoint_dir_reads_session(spark):
     assert checkpoint_subdir(spark, "x").startswith(d)
 
 
-def test_merge_snapshot_increments_equal_full_merge(spark):
+def test_increments_equal_full_merge(spark):
     from streamfold.plans import catalog
-    from streamfold.sinks.stores import MergeSnapshot
     d = tempfile.mkdtemp(prefix="sf-msnap-")
-    rows = catalog._aligned_doc(spark, SF)
-    wide = catalog._aligned_wide(spark, SF)
+    order = ["_ts", "_seq"]
     cuts = ["2024-01-10", "2024-01-20"]
     parts = [F.col("_ts") < cuts[0], (F.col("_ts") >= cuts[0]) & (F.col("_ts") < cuts[1]), F.col("_ts") >= cuts[1]]
-    a1 = MergeSnapshot(spark, f"{d}/a1", S.DOC_FIELDS, S.DOC_KEY, ["_ts", "_seq"])
-    a2 = MergeSnapshot(spark, f"{d}/a2", S.WIDE_FIELDS, S.WIDE_KEY, ["_ts", "_seq"], rule="last_row")
-    for i, p in enumerate(parts):
-        a1.merge(rows.filter(p), i)
-        a2.merge(wide.filter(p), i)
-    a1.merge(rows.filter(parts[0]), 0)        # replay of an old increment: ignored
-    exp1 = merge.merge_latest_nonnull(rows, S.DOC_FIELDS, S.DOC_KEY, ["_ts", "_seq"])
-    exp2 = merge.upsert_last_row(wide, S.WIDE_FIELDS, S.WIDE_KEY, ["_ts", "_seq"])
-    assert sorted(tuple(r) for r in a1.current().collect()) == sorted(tuple(r) for r in exp1.collect())
-    assert sorted(tuple(r) for r in a2.current().collect()) == sorted(tuple(r) for r in exp2.collect())
+    for name, rows, fold in (
+            ("a1", catalog._aligned_doc(spark, SF), lambda x: merge.merge_latest_nonnull(x, S.DOC_FIELDS, S.DOC_KEY, order)),
+            ("a2", catalog._aligned_wide(spark, SF), lambda x: merge.upsert_last_row(x, S.WIDE_FIELDS, S.WIDE_KEY, order))):
+        sink = KeyedFolder(spark, f"{d}/{name}", ["symbol"], fold=fold)
+        for i, p in enumerate(parts):
+            sink.write(rows.filter(p), i, "q")
+        sink.write(rows.filter(parts[0]), 0, "q")        # replay of an old increment
+        assert sorted(tuple(r) for r in sink.current().collect()) == sorted(tuple(r) for r in fold(rows).collect())
 
 
 def test_spec_stream_with_ttl_single_batch(spark):
@@ -228,7 +315,7 @@ def test_spec_stream_with_ttl_single_batch(spark):
     spec["nodes"] = [n for n in spec["nodes"] if n["id"] not in ("col", "wide", "orphan")]
     qs = jobs.start_spec(spark, spec, lambda t: stream.filter(F.col("topic") == t), f"{d}/out",
                          name="spec_ttl", trigger="1 second", checkpoint_root=f"{d}/ck", ttl_seconds=3600)
-    snap = SnapshotTable(spark, f"{d}/out/doc", ["symbol"])
+    snap = KeyedFolder(spark, f"{d}/out/doc", ["symbol"])
     got = []
     try:
         deadline = time.time() + 150
