@@ -29,7 +29,7 @@ from streamfold.llm.common import text_or_empty, tokenizer_path
 
 VOCAB = "word_bpe_49k.json"
 # Distinct parts of texts a worker remembers before it starts afresh.
-CACHE_PARTS = 1_000_000
+CACHE_PARTS = 1_500_000
 WORDS_PER_CALL = 200
 CHUNK_CHARS = 2_000_000
 
@@ -65,22 +65,20 @@ class WordTokenizer:
     def encode_many(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each pre-token.  Pre-tokens are put together with line
-        breaks, which the tokenizer drops, so one call encodes many; an id
-        whose string has the word end closes a pre-token."""
-        out = []
-        groups = [words[i:i + WORDS_PER_CALL] for i in range(0, len(words), WORDS_PER_CALL)]
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens, end to end, and how many each has.  Pre-tokens
+        are put together with line breaks, which the tokenizer drops, so one
+        call encodes many; an id whose string has the word end closes one."""
+        groups = ["\n".join(words[i:i + WORDS_PER_CALL]) for i in range(0, len(words), WORDS_PER_CALL)]
+        ids = [np.zeros(0, dtype=np.uint32)]
         for a in range(0, len(groups), 50):
-            some = groups[a:a + 50]
-            for part, e in zip(some, self.lib.encode_batch_fast(["\n".join(g) for g in some],
-                                                                add_special_tokens=False)):
-                ids = np.array(e.ids, dtype=np.uint32)
-                ends = np.flatnonzero(self.closes[ids]) + 1
-                if len(ends) != len(part) or ends[-1] != len(ids):
-                    raise ValueError("a word is not one pre-token")
-                out += np.split(ids, ends[:-1])
-        return out
+            ids += [np.array(e.ids, dtype=np.uint32)
+                    for e in self.lib.encode_batch_fast(groups[a:a + 50], add_special_tokens=False)]
+        flat = np.concatenate(ids)
+        size = np.diff(np.flatnonzero(self.closes[flat]), prepend=-1)
+        if len(size) != len(words) or size.sum() != len(flat):
+            raise ValueError("a word is not one pre-token")
+        return flat, size
 
     def parts(self, text: str) -> list[str] | None:
         """The lower-case text between white space (no pre-token goes over
@@ -136,6 +134,11 @@ class Numbers(dict):
         return n
 
 
+def _spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places first, first + 1, ... of every span, one after another."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
 class Memory:
     """What a worker knows: the ids of part number i are
     ``flat[first[i]:first[i + 1]]``.  Pre-tokens in ``whole`` (string to id)
@@ -150,15 +153,30 @@ class Memory:
         self.flat, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _learn(self, parts: list[str]) -> None:
+        """Add the ids of the next parts by number."""
         split = [PRETOKEN.findall(p) for p in parts]
-        words = sorted(set().union(*split))
-        ids = {w: np.array([self.whole[w]], dtype=np.uint32) for w in words if w in self.whole}
-        rest = [w for w in words if w not in ids]
-        ids.update(zip(rest, self.tok.encode_words(rest)))
-        found = [ids[ws[0]] if len(ws) == 1 else np.concatenate([ids[w] for w in ws]) for ws in split]
-        size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(size)])
-        self.flat = np.concatenate([self.flat, *found])
+        at = Numbers()
+        word = np.fromiter((at[w] for ws in split for w in ws), dtype=np.int64)
+        # where each pre-token's ids are: known as a part, a whole token, or merged now
+        old, known = len(self.first) - 1, len(self.flat)
+        first, size, single, rest = np.zeros(len(at), np.int64), np.ones(len(at), np.int64), [], []
+        for w, k in at.items():
+            if w in self.whole:
+                first[k] = known + len(single)
+                single.append(self.whole[w])
+            elif (i := self.numbers.get(w, old)) < old:
+                first[k], size[k] = self.first[i], self.first[i + 1] - self.first[i]
+            else:
+                rest.append(w)
+        merged, n = self.tok.encode_words(rest)
+        k = np.fromiter((at[w] for w in rest), dtype=np.int64, count=len(rest))
+        first[k], size[k] = known + len(single) + np.cumsum(n) - n, n
+        pool = np.concatenate([self.flat, np.array(single, dtype=np.uint32), merged])
+        new = pool[_spans(first[word], size[word])]
+        per_part = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+        ends = np.concatenate([[0], np.cumsum(size[word])])[np.cumsum(per_part)]
+        self.first = np.concatenate([self.first, self.first[-1] + ends])
+        self.flat = np.concatenate([self.flat, new])
 
     def numbered(self, texts: list[str]) -> list[np.ndarray | None]:
         """Per text the numbers of its parts, None if the library must do it."""
@@ -183,8 +201,7 @@ class Memory:
             if c is None:
                 out.append(np.array(self.tok.encode(t), dtype=np.uint32))
                 continue
-            n = self.first[c + 1] - self.first[c]
-            out.append(self.flat[np.repeat(self.first[c] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
+            out.append(self.flat[_spans(self.first[c], self.first[c + 1] - self.first[c])])
         return out
 
 
