@@ -39,7 +39,7 @@ KINDS = ("assign", "access", "hex", "guess")
 # Credential context of the method: a wider set of words and joints; the value
 # runs to white space, a quote, a bracket or a comma.
 CONTEXT = re.compile(r"""(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|api[_ -]?key)["']?"""
-                     r"""(?:\s{0,3}[:=]\s{0,3}|\s+is\s+)["'`]?([^\s"'`,;<>(){}\[\]]{4,128})""",
+                     r"""(?:\s{0,3}[:=]\s{0,3}|\s+is\s+)["'`]?([^\s"'`,;<>(){}\[\]]{4,})""",
                      re.IGNORECASE | re.ASCII)
 CONTEXT_WORDS = ("pass", "pwd", "pin", "secret", "token", "credential", "api")
 
