@@ -53,19 +53,22 @@ def tokenized(df: DataFrame, id_col: str, text_col: str, path: str, end_id: int
     and ``n`` (tokens)."""
     # bounded by the vocabulary
     whole = df.sparkSession.sparkContext.broadcast(load(path).whole_tokens())
-    end = np.array([end_id], dtype="<u4").tobytes()
     d = df.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
 
     def run(batches):
         known = memory(path, whole.value)
         for batch in batches:
             a = 0
-            for texts in chunks(t.as_py() for t in batch.column("text")):
-                ids = [x.astype("<u4").tobytes() + end for x in known.encode(texts)]
+            for texts in chunks(batch.column("text")):
+                ids, size = known.encode(texts)
+                ids = np.insert(ids, np.cumsum(size), end_id).astype("<u4")
+                ends = np.concatenate([[0], np.cumsum(size + 1)])
+                data = pa.Array.from_buffers(pa.large_binary(), len(texts),
+                                             [None, pa.py_buffer(4 * ends), pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, len(ids)), pa.array(ids, pa.binary()),
-                     pa.array([len(x) // 4 for x in ids], pa.int64())], names=["doc_id", "ids", "n"])
-                a += len(ids)
+                    [batch.column("doc_id").slice(a, len(texts)), data.cast(pa.binary()), pa.array(size + 1)],
+                    names=["doc_id", "ids", "n"])
+                a += len(texts)
 
     return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, ids binary, n long")
 

@@ -21,7 +21,8 @@ import re
 from itertools import islice
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +32,7 @@ VOCAB = "word_bpe_49k.json"
 # Distinct parts of texts a worker remembers before it starts afresh.
 CACHE_PARTS = 1_500_000
 WORDS_PER_CALL = 200
-CHUNK_CHARS = 2_000_000
+CHUNK_BYTES = 4_000_000
 
 # Letters, digits and white space below U+0180, after lower-casing.
 _LETTERS = "a-zªµºß-öø-ſ"
@@ -39,6 +40,7 @@ _DIGITS = "0-9²³¹¼-¾"
 _SPACE = r"\t-\r \x85\xa0"
 PRETOKEN = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^{_SPACE}{_LETTERS}{_DIGITS}]+")
 UNPROVED = re.compile("[^\x00-ſ]|[\x1c-\x1fİ]")       # U+001C to U+001F divide words for str.split only
+UNPROVED_RE2 = r"[^\x00-\x{17f}]|[\x1c-\x1f\x{130}]"
 
 
 class WordTokenizer:
@@ -57,7 +59,7 @@ class WordTokenizer:
         self.closes = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.closes[[i for v, i in vocab.items() if v.endswith("</w>")]] = True
         added = [t.content for t in self.lib.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(re.escape(s) for s in sorted(added, key=len, reverse=True)) or "(?!)")
+        self.special = re.compile("|".join(re.escape(s) for s in sorted(added, key=len, reverse=True)) or "$.")
 
     def encode(self, text: str) -> list[int]:
         return self.lib.encode(text, add_special_tokens=False).ids
@@ -113,17 +115,16 @@ def load(path: str) -> WordTokenizer:
     return _LOADED[path]
 
 
-def chunks(texts, limit: int = CHUNK_CHARS):
-    """Consecutive texts of about ``limit`` characters together."""
-    part, held = [], 0
-    for t in texts:
-        if part and held + len(t) > limit:
-            yield part
-            part, held = [], 0
-        part.append(t)
-        held += len(t)
-    if part:
-        yield part
+def chunks(col: pa.StringArray, limit: int = CHUNK_BYTES):
+    """Consecutive slices of about ``limit`` bytes of text together."""
+    start, held = 0, 0
+    for i, n in enumerate(pc.binary_length(col).to_pylist()):
+        if held and held + n > limit:
+            yield col.slice(start, i - start)
+            start, held = i, 0
+        held += n
+    if start < len(col):
+        yield col.slice(start)
 
 
 class Numbers(dict):
@@ -139,6 +140,13 @@ def _spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
+def _sums(values: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The sum of each run of ``size`` values."""
+    upto = np.concatenate([[0], np.cumsum(values)])
+    ends = np.cumsum(size)
+    return upto[ends] - upto[ends - size]
+
+
 class Memory:
     """What a worker knows: the ids of part number i are
     ``flat[first[i]:first[i + 1]]``.  Pre-tokens in ``whole`` (string to id)
@@ -178,31 +186,49 @@ class Memory:
         self.first = np.concatenate([self.first, self.first[-1] + ends])
         self.flat = np.concatenate([self.flat, new])
 
-    def numbered(self, texts: list[str]) -> list[np.ndarray | None]:
-        """Per text the numbers of its parts, None if the library must do it."""
+    def numbered(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the parts of texts that ``parts`` can take, end to
+        end, and how many each text has.  Arrow makes the same parts here (an
+        empty one at white space on an end, which has no token) and each
+        distinct one is looked up once a call."""
         if len(self.numbers) > CACHE_PARTS:
             self._forget()
-        known, number = len(self.numbers), self.numbers.__getitem__
-        split = (self.tok.parts(t) for t in texts)
-        coded = [None if p is None else np.fromiter(map(number, p), dtype=np.int64, count=len(p)) for p in split]
+        known = len(self.numbers)
+        split = pc.utf8_split_whitespace(pc.utf8_lower(texts))
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        number = np.fromiter(map(self.numbers.__getitem__, distinct), dtype=np.int64, count=len(distinct))
         self._learn(list(islice(self.numbers, known, None)))
-        return coded
-
-    def counts(self, texts: list[str]) -> list[int]:
+        return number[coded.indices.to_numpy()], pc.list_value_length(split).to_numpy().astype(np.int64)
+
+    def _by_library(self, texts: pa.StringArray) -> np.ndarray:
+        return pc.or_(pc.match_substring_regex(texts, UNPROVED_RE2),
+                      pc.match_substring_regex(texts, self.tok.special.pattern)).to_numpy(zero_copy_only=False)
+
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts, end to end, and how many each text has."""
+        odd = self._by_library(texts)
+        part, n_parts = self.numbered(texts.filter(pa.array(~odd)))
+        per_part = self.first[part + 1] - self.first[part]
+        ids = self.flat[_spans(self.first[part], per_part)]
+        size = np.zeros(len(texts), dtype=np.int64)
+        size[~odd] = _sums(per_part, n_parts)
+        if not odd.any():
+            return ids, size
+        pieces = iter(np.split(ids, np.cumsum(size[~odd])[:-1]))
+        lists = [np.array(self.tok.encode(texts[i].as_py()), dtype=np.uint32) if odd[i] else next(pieces)
+                 for i in range(len(texts))]
+        return np.concatenate(lists), np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+
+    def counts(self, texts: pa.StringArray) -> np.ndarray:
         """Tokens of each text."""
-        coded = self.numbered(texts)
-        return [len(self.tok.encode(t)) if c is None else int((self.first[c + 1] - self.first[c]).sum())
-                for t, c in zip(texts, coded)]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text."""
-        out = []
-        for t, c in zip(texts, self.numbered(texts)):
-            if c is None:
-                out.append(np.array(self.tok.encode(t), dtype=np.uint32))
-                continue
-            out.append(self.flat[_spans(self.first[c], self.first[c + 1] - self.first[c])])
-        return out
+        odd = self._by_library(texts)
+        part, n_parts = self.numbered(texts.filter(pa.array(~odd)))
+        size = np.zeros(len(texts), dtype=np.int64)
+        size[~odd] = _sums(self.first[part + 1] - self.first[part], n_parts)
+        for i in np.flatnonzero(odd):
+            size[i] = len(self.tok.encode(texts[int(i)].as_py()))
+        return size
 
 
 _MEMORY: dict[str, Memory] = {}
@@ -222,10 +248,10 @@ def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # bounded by the vocabulary
     whole = df.sparkSession.sparkContext.broadcast(load(path).whole_tokens())
 
-    @F.pandas_udf("long")
-    def n_tokens(parts: pd.Series) -> pd.Series:
+    @F.arrow_udf("long")
+    def n_tokens(texts: pa.Array) -> pa.Array:
         known = memory(path, whole.value)
-        return pd.Series([n for group in chunks(parts) for n in known.counts(group)], dtype="int64")
+        return pa.array(np.concatenate([np.zeros(0, np.int64), *map(known.counts, chunks(texts))]))
 
     text = text_or_empty(text_col)
     return df.select(F.col(id_col).alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"),

@@ -62,6 +62,32 @@ def test_pattern_is_proved_for_every_code_point(library):
             assert mine == theirs, (text, mine, theirs)
 
 
+def test_arrow_divides_every_proved_code_point_as_python():
+    import pyarrow as pa
+
+    tok = token_count.load(tokenizer_path("word_bpe_49k.json"))
+    mem = token_count.Memory(tok, {})
+    every = list(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    odd = mem._by_library(pa.array(every))
+    assert odd.tolist() == [bool(token_count.UNPROVED.search(c)) for c in every]
+    texts = [t for c, o in zip(every, odd) if not o for t in (c, f"A{c}B", f" {c} {c}", f"{c}\n")]
+    mem.numbered(pa.array(texts))
+    assert {p for p in mem.numbers if p} == {p for t in texts for p in t.lower().split()}
+
+
+def test_counts_and_ids_of_mixed_texts(library):
+    import pyarrow as pa
+
+    tok = token_count.load(tokenizer_path("word_bpe_49k.json"))
+    mem = token_count.Memory(tok, tok.whole_tokens())
+    texts = ["", "  a b\t", "日本 x", "plain words, again", "<|endoftext|> z", "İa", "\x1cq r", "ŉ ſ", "   ", "plain"]
+    for part in (texts, texts[2:3], texts[:1], []):
+        ids, size = mem.encode(pa.array(part, pa.string()))
+        expected = [library.encode(t, add_special_tokens=False).ids for t in part]
+        assert ids.tolist() == [i for e in expected for i in e]
+        assert size.tolist() == list(map(len, expected)) == mem.counts(pa.array(part, pa.string())).tolist()
+
+
 def test_text_outside_the_proved_range_goes_to_the_library():
     tok = token_count.load(tokenizer_path("word_bpe_49k.json"))
     for text in ("ƀ", "日本", "é", "İ", "Σ", "<|endoftext|>"):
@@ -327,3 +353,13 @@ def test_exact_groups(given, collide):
 def test_exact_dedup_plan_is_native(docs):
     plan = exact_dedup.mark(docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_a_very_long_secret_is_found_and_masked_whole():
+    ranks = secret_scan.word_ranks(tokenizer_path("word_bpe_49k.json"))
+    value = "x9$Lq!72vRz&kW" * 3 + "".join(chr(33 + i * i * 7 % 90) for i in range(5000)).translate(
+        str.maketrans("\"'`,;<>(){}[]", "abcdefghijklm"))
+    text = f"the password is {value} and more"
+    spans = secret_scan.scan(text, ranks)
+    assert ("guess", value) in [(secret_scan.KINDS[k], text[a:b]) for a, k, b, _ in spans]
+    assert secret_scan.mask(text, spans) == "the password is [SECRET] and more"
