@@ -8,10 +8,10 @@ NULL instead of being filled from an older quote.
 
 Plan, the same for every input (no key is ever gathered whole into one task):
 
-1. Union both sides, tagged, with ``chunk = floor(time / chunk_ms)``.
-2. Per (key, chunk) the last quote (aggregated over the quote side only,
-   partial so hot keys are reduced map-side) and the distinct chunks that
-   hold trades (a hash aggregate).
+1. Union both sides, tagged, with ``chunk = floor(time / chunk_ms)``, dealt
+   out by (key, chunk) once; every later step reads that exchange, so each
+   input is scanned and decoded once.
+2. Per (key, chunk) the last quote and whether the chunk holds a trade.
 3. The last quote of all earlier chunks is carried to each trade chunk at two
    levels: inside a span of ``SPAN_CHUNKS`` chunks by a window over the chunk
    rows of (key, span), and from earlier spans by a window over the span rows
@@ -71,23 +71,25 @@ def asof_latest(left: DataFrame, right: DataFrame, key: list[str], ts_col: str,
         F.col(seq_col).cast("long").alias("_s"),
         F.lit(None).cast(q_type).alias("_q"), l_struct.alias("_l"))
     width = F.lit(max(1, int(chunk_ms * 1000))).cast("long")
-    u = q.unionByName(t).withColumn("_chunk", floor_div(F.unix_micros("_t"), width))
-
-    # chunk rows: the chunks holding trades and, per chunk holding quotes, its last quote
-    order = F.struct("_t", "_kind", "_s")
-    span = floor_div(F.col("_chunk"), F.lit(span_chunks))
-    t_chunks = (u.filter(F.col("_kind") == 1).select(*key, "_chunk").distinct()
-                .withColumn("_chunk_q", F.lit(None).cast(q_type)).withColumn("_is_t", F.lit(True)))
-    q_last = (u.filter(F.col("_kind") == 0).groupBy(*key, "_chunk")
-              .agg(F.max_by("_q", order).alias("_chunk_q")).withColumn("_is_t", F.lit(False)))
-    chunks = t_chunks.unionByName(q_last).withColumn("_span", span)
+    # never null, so that no join adds a filter of its own below the exchange
+    number = lambda c, w: F.coalesce(floor_div(c, w), F.lit(0))
+    u = (q.unionByName(t).filter(F.col("_t").isNotNull())
+         .withColumn("_chunk", number(F.unix_micros("_t"), width)).repartition(*key, "_chunk"))
+
+    # chunk rows: is a trade in the chunk, and the last quote of the chunk; every branch uses all columns
+    # and filters none, so that all read the same exchange
+    order = F.when(F.col("_kind") == 0, F.struct("_t", "_s"))
+    chunks = (u.groupBy(*key, "_chunk")
+              .agg(F.max_by("_q", order).alias("_chunk_q"), F.max(F.col("_l").isNotNull()).alias("_is_t"))
+              .withColumn("_span", number(F.col("_chunk"), F.lit(span_chunks))))
     before = lambda w: w.rangeBetween(Window.unboundedPreceding, -1)
     inside = before(Window.partitionBy(*key, "_span").orderBy("_chunk"))
     across = before(Window.partitionBy(*key).orderBy("_span"))
     spans = (chunks.groupBy(*key, "_span")
-             .agg(F.max_by("_chunk_q", F.when(F.col("_chunk_q").isNotNull(), F.col("_chunk"))).alias("_span_q"))
+             .agg(F.max_by("_chunk_q", F.when(F.col("_chunk_q").isNotNull(), F.col("_chunk"))).alias("_span_q"),
+                  F.max("_is_t").alias("_any_t"))
              .withColumn("_from_span", F.last("_span_q", ignorenulls=True).over(across))
-             .select(*key, "_span", "_from_span"))
+             .filter("_any_t").select(*key, "_span", "_from_span"))
     carry = (chunks.withColumn("_in_span", F.last("_chunk_q", ignorenulls=True).over(inside))
              .filter("_is_t").join(spans, [*key, "_span"])
              .select(*key, "_chunk", F.coalesce("_in_span", "_from_span").alias("_carry")))
@@ -97,8 +99,8 @@ def asof_latest(left: DataFrame, right: DataFrame, key: list[str], ts_col: str,
     joined = u.join(carry, [*key, "_chunk"], "inner")
     got = joined.withColumn("_hit", F.coalesce(F.last("_q", ignorenulls=True).over(in_w), F.col("_carry")))
     out = got.filter((F.col("_kind") == 1) & F.col("_hit").isNotNull())
-    return out.select(*[F.col("_l")[c].alias(c) for c in left_cols],
-                      *[F.col("_hit")[c].alias(prefix + c) for c in right_cols])
+    # the left row whole, by a generator, so that a caller's narrower selection does not change the exchange
+    return out.select(F.inline(F.array("_l")), *[F.col("_hit")[c].alias(prefix + c) for c in right_cols])
 
 
 def l_struct_type(df: DataFrame, cols: list[str]):

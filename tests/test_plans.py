@@ -45,6 +45,16 @@ def test_asof_windows_are_per_key_and_chunk_or_span(no_auto_broadcast):
     assert "partial_max_by" in p and "BroadcastExchange" not in p
 
 
+def test_asof_scans_each_input_once(no_auto_broadcast):
+    """The chunk rows and the last join read the exchange of the union."""
+    spark = no_auto_broadcast
+    for name in ("enrich_asof", "pct_change"):
+        df = E.queries()[name](spark, SF)
+        df.collect()
+        final = _plan(df).split("== Initial Plan ==")[0]
+        assert final.count("FileScan parquet") == 2 and final.count("ReusedExchange") == 2, name
+
+
 def test_top_k_ranks_within_salted_groups_first(no_auto_broadcast):
     spark = no_auto_broadcast
     p = _plan(E.queries()["runs_top20"](spark, SF))
