@@ -29,10 +29,12 @@ from pyspark.sql import functions as F
 from streamfold.llm.common import text_or_empty, tokenizer_path
 
 VOCAB = "word_bpe_49k.json"
-# Distinct parts of texts a worker remembers before it starts afresh.
-CACHE_PARTS = 1_500_000
+# Distinct parts of texts a worker remembers; beyond, it goes back to the ones
+# it met first, among which the frequent ones are.
+CACHE_PARTS = 350_000
+KEEP_PARTS = 150_000
 WORDS_PER_CALL = 200
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 2_000_000
 
 # Letters, digits and white space below U+0180, after lower-casing.
 _LETTERS = "a-zªµºß-öø-ſ"
@@ -154,12 +156,15 @@ class Memory:
 
     def __init__(self, tok: WordTokenizer, whole: dict[str, int]):
         self.tok, self.whole = tok, whole
-        self._forget()
-
-    def _forget(self) -> None:
         self.numbers = Numbers()
         self.flat, self.first = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
+    def _forget(self) -> None:
+        kept = min(KEEP_PARTS, len(self.numbers))
+        self.numbers = Numbers(zip(islice(self.numbers, kept), range(kept)))
+        self.first = self.first[:kept + 1].copy()
+        self.flat = self.flat[:self.first[-1]].copy()
+
     def _learn(self, parts: list[str]) -> None:
         """Add the ids of the next parts by number."""
         split = [PRETOKEN.findall(p) for p in parts]
@@ -193,6 +198,7 @@ class Memory:
         distinct one is looked up once a call."""
         if len(self.numbers) > CACHE_PARTS:
             self._forget()
+            pa.default_memory_pool().release_unused()
         known = len(self.numbers)
         split = pc.utf8_split_whitespace(pc.utf8_lower(texts))
         coded = split.flatten().dictionary_encode()

@@ -88,6 +88,20 @@ def test_counts_and_ids_of_mixed_texts(library):
         assert size.tolist() == list(map(len, expected)) == mem.counts(pa.array(part, pa.string())).tolist()
 
 
+def test_a_full_memory_goes_back_to_its_first_parts(library, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(token_count, "CACHE_PARTS", 40)
+    monkeypatch.setattr(token_count, "KEEP_PARTS", 7)
+    tok = token_count.load(tokenizer_path("word_bpe_49k.json"))
+    mem = token_count.Memory(tok, tok.whole_tokens())
+    for i in range(12):
+        texts = [f"word{j} qzx{j * i}, again" for j in range(i, i + 15)]
+        ids, _ = mem.encode(pa.array(texts))
+        assert ids.tolist() == [k for t in texts for k in library.encode(t, add_special_tokens=False).ids]
+        assert len(mem.numbers) == len(mem.first) - 1 <= 40 + 31
+
+
 def test_text_outside_the_proved_range_goes_to_the_library():
     tok = token_count.load(tokenizer_path("word_bpe_49k.json"))
     for text in ("ƀ", "日本", "é", "İ", "Σ", "<|endoftext|>"):
