@@ -2,7 +2,9 @@
 
 Base kinds are the fixed patterns ``assign``, ``access`` and ``hex``.  The
 method's own kind, ``guess``, looks at every value that stands in a credential
-context (a credential word, then ``:``, ``=`` or ``is``).  A dynamic program
+context (a credential word, then ``:``, ``=`` or ``is``, with any white space
+around): in quotes the whole of what they hold, else up to white space or a
+delimiter.  A dynamic program
 splits the value into dictionary words, dates, repeats, keyboard walks and
 brute-force spans so that the guesses an attacker needs are fewest; a value
 that still costs at least ``MIN_GUESSES_LOG10`` is reported.  ``hunter2``,
@@ -36,10 +38,15 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")      # runs are whole, so 16+ characte
 HEX = re.compile(r"[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "guess")
 
-# Credential context of the method: a wider set of words and joints; the value
-# runs to white space, a quote, a bracket or a comma.
+# Credential context of the method: a wider set of words and joints.  A value
+# in quotes runs to the closing quote on its line, whatever is inside (a quote
+# after a backslash does not close, unless no other does); any other value runs
+# to white space, a quote, a bracket, a comma or a semicolon.
 CONTEXT = re.compile(r"""(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|credentials?|api[_ -]?key)["']?"""
-                     r"""(?:\s{0,3}[:=]\s{0,3}|\s+is\s+)["'`]?([^\s"'`,;<>(){}\[\]]{4,})""",
+                     r"""(?:\s*[:=]\s*|\s+is\s+)"""
+                     r"""(?:(?P<q>["'`])(?P<quoted>(?:\\.|(?!(?P=q))[^\\\r\n])++(?=(?P=q))"""
+                     r"""|(?:(?!(?P=q))[^\r\n])++(?=(?P=q)))"""
+                     r"""|["'`]?(?P<plain>[^\s"'`,;<>(){}\[\]]{4,}))""",
                      re.IGNORECASE | re.ASCII)
 CONTEXT_WORDS = ("pass", "pwd", "pin", "secret", "token", "credential", "api")
 
@@ -153,9 +160,10 @@ def scan(text: str, ranks: dict[str, int], min_cost: float = MIN_GUESSES_LOG10)
             if len(m[2]) >= ASSIGN_VALUE:
                 spans.append((m.start(), 0, m.end(), m.start(2)))
         for m in CONTEXT.finditer(text):
-            value = m[1].rstrip(".!?:")
+            name = "plain" if m["quoted"] is None else "quoted"
+            value, start = m[name].rstrip(".!?:") if name == "plain" else m[name], m.start(name)
             if len(value) >= 4 and guess_cost(value, ranks)[0] >= min_cost:
-                spans.append((m.start(1), 3, m.start(1) + len(value), m.start(1)))
+                spans.append((start, 3, start + len(value), start))
     if "AKIA" in text:
         spans += [(m.start(), 1, m.end(), m.start()) for m in ACCESS.finditer(text)]
     spans += [(m.start(), 2, m.end(), m.start()) for m in HEX.finditer(text)]

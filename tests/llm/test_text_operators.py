@@ -377,3 +377,35 @@ def test_a_very_long_secret_is_found_and_masked_whole():
     spans = secret_scan.scan(text, ranks)
     assert ("guess", value) in [(secret_scan.KINDS[k], text[a:b]) for a, k, b, _ in spans]
     assert secret_scan.mask(text, spans) == "the password is [SECRET] and more"
+
+
+QUOTED = [('password = "@@"', "x9;Lq!72vRz(T"), ('{"password": "@@", "user": "bob"}', "Vb7#kQ2!x,9$Lw@4zR"),
+          ("pwd='@@' # old", "k(Q8)2_v{N}w[3]\"X`z9<>"), ("the secret is `@@`.", "kQ82 vN'w-3;Xz9."),
+          ('token: "@@" x', 'q7\\"L,w9#Zt4'), ('token="@@"', "q7L,w9;#Zt4R\\"),
+          ("password =      @@ ok", "x9$Lq!72vRz"), ("password\t\t\t\t\t:\n\n\n\n  @@", "x9$Lq!72vRz")]
+
+
+@pytest.mark.parametrize("form,value", QUOTED)
+def test_quoted_and_aligned_values_are_found_whole(form, value):
+    ranks = secret_scan.word_ranks(tokenizer_path("word_bpe_49k.json"))
+    text = form.replace("@@", value)
+    found = secret_scan.scan(text, ranks)
+    assert ("guess", value) in [(secret_scan.KINDS[k], text[a:b]) for a, k, b, _ in found]
+    assert secret_scan.mask(text, found) == form.replace("@@", "[SECRET]")
+
+
+def test_quotes_without_an_end_and_weak_quoted_values():
+    ranks = secret_scan.word_ranks(tokenizer_path("word_bpe_49k.json"))
+    masked = lambda t: secret_scan.mask(t, secret_scan.scan(t, ranks))
+    assert masked('password: "x9$Lq!72vRz\nnext "line"') == 'password: "[SECRET]\nnext "line"'
+    for text in ('password: "" and "more"', 'password: "abc"', "pwd = 'hunter2'", "password:", 'token = "'):
+        assert masked(text) == text
+
+
+def test_quoted_values_in_the_query_and_in_redact(spark):
+    d = spark.createDataFrame([(i, f.replace("@@", v)) for i, (f, v) in enumerate(QUOTED)], "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in secret_scan.redact(d).collect()} == {
+        i: f.replace("@@", "[SECRET]") for i, (f, _) in enumerate(QUOTED)}
+    spans = {r["doc_id"]: r["spans"] for r in secret_scan.digests(d).collect()}
+    for i, (f, v) in enumerate(QUOTED):
+        assert f"guess:{f.index('@@')}:{f.index('@@') + len(v)}" in spans[i].split(",")
