@@ -6,9 +6,13 @@ context (a credential word, then ``:``, ``=`` or ``is``, with any white space
 around): in quotes the whole of what they hold, else up to white space or a
 delimiter.  A dynamic program
 splits the value into dictionary words, dates, repeats, keyboard walks and
-brute-force spans so that the guesses an attacker needs are fewest; a value
-that still costs at least ``MIN_GUESSES_LOG10`` is reported.  ``hunter2``,
-``2024-01-01`` or ``qwertyuiop`` stay below it, ``x9$Lq!72vRz`` does not.
+brute-force spans so that the guesses an attacker needs are fewest; a
+brute-force character costs the size of the alphabet that the value uses.  A
+value that still costs at least ``MIN_GUESSES_LOG10`` is reported.  ``hunter2``,
+``2024-01-01`` or ``qwertyuiop`` stay below it, ``x9$Lq!7v`` does not; nor,
+unless chance puts a word or a walk there, do random values of 6 characters of
+both cases and digits, of 7 of one case and digits, of 8 letters of one case, or
+of 10 digits.  Shorter values cost less however random they are.
 
 Dictionary words and their ranks come from the vocabulary file of a public
 tokenizer (merge order, most frequent first), so no list is kept here.
@@ -51,7 +55,10 @@ CONTEXT = re.compile(r"""(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|cr
 CONTEXT_WORDS = ("pass", "pwd", "pin", "secret", "token", "credential", "api")
 
 MIN_GUESSES_LOG10 = 10.0
-BRUTE_LOG10 = 1.0            # a brute-force character: ten guesses
+BRUTE_LOG10 = 1.0            # a brute-force character, if nothing is said of its alphabet: ten guesses
+# What a character can be, by the classes that a value uses.
+CLASSES = ((re.compile("[a-z]"), 26), (re.compile("[A-Z]"), 26), (re.compile("[0-9]"), 10),
+           (re.compile(r"[ -/:-@\[-`{-~]"), 32), (re.compile(r"[^ -~]"), 100))
 MAX_WORD = 24
 # The rows of a keyboard, walked in either direction.
 KEYBOARD = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz")
@@ -92,10 +99,19 @@ def _walks(low: str):
                     start = i
 
 
-def guess_cost(value: str, ranks: dict[str, int]) -> tuple[float, list[tuple[str, int, int]]]:
+def alphabet_log10(value: str) -> float:
+    """log10 of the characters that a brute-force search of the classes in
+    ``value`` tries at each place: 26 for one case, 36 with digits, 94 for all
+    of ASCII."""
+    return math.log10(sum(n for c, n in CLASSES if c.search(value)) or 1)
+
+
+def guess_cost(value: str, ranks: dict[str, int],
+               brute: float = BRUTE_LOG10) -> tuple[float, list[tuple[str, int, int]]]:
     """log10 of the guesses for a value, and the cheapest segmentation as
     (kind, start, end).  best[j] is the least cost of the first j characters;
-    every span that ends at j is tried."""
+    every span that ends at j is tried; a brute-force character costs
+    ``brute``."""
     n = len(value)
     # a lower-case letter for each character, so that spans keep their places
     low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
@@ -127,13 +143,13 @@ def guess_cost(value: str, ranks: dict[str, int]) -> tuple[float, list[tuple[str
             if i == n or value[i] != value[i - size]:
                 full = (i - start) // size
                 if full >= 2 and (size > 1 or full >= 3):
-                    base = size * BRUTE_LOG10 + math.log10(full)
+                    base = size * brute + math.log10(full)
                     span("repeat", start, start + full * size, base)
                 start = i - size + 1
     best = [(0.0, 0, "", 0)] + [(math.inf, 0, "", 0)] * n
     for j in range(1, n + 1):
         # a brute-force character, then each span; a new part costs its place in the order of parts
-        for cost, kind, i in [(BRUTE_LOG10, "brute", j - 1), *ends.get(j, [])]:
+        for cost, kind, i in [(brute, "brute", j - 1), *ends.get(j, [])]:
             before = best[i]
             parts = before[1] + (kind != "brute" or before[2] != "brute")
             total = before[0] + cost + (math.log10(parts) if parts > before[1] else 0)
@@ -162,7 +178,7 @@ def scan(text: str, ranks: dict[str, int], min_cost: float = MIN_GUESSES_LOG10)
         for m in CONTEXT.finditer(text):
             name = "plain" if m["quoted"] is None else "quoted"
             value, start = m[name].rstrip(".!?:") if name == "plain" else m[name], m.start(name)
-            if len(value) >= 4 and guess_cost(value, ranks)[0] >= min_cost:
+            if len(value) >= 4 and guess_cost(value, ranks, alphabet_log10(value))[0] >= min_cost:
                 spans.append((start, 3, start + len(value), start))
     if "AKIA" in text:
         spans += [(m.start(), 1, m.end(), m.start()) for m in ACCESS.finditer(text)]

@@ -409,3 +409,22 @@ def test_quoted_values_in_the_query_and_in_redact(spark):
     spans = {r["doc_id"]: r["spans"] for r in secret_scan.digests(d).collect()}
     for i, (f, v) in enumerate(QUOTED):
         assert f"guess:{f.index('@@')}:{f.index('@@') + len(v)}" in spans[i].split(",")
+
+
+def test_short_random_values_are_found_and_weak_ones_are_not(spark):
+    ranks = secret_scan.word_ranks(tokenizer_path("word_bpe_49k.json"))
+    strong = ("x9$Lq!7v", "P@7x!k2Q", "kQ8vNw3Xz", "w7#Rt9&Lp", "x9$L!q", "zq8xk3vj", "8365746295")
+    weak = ("password", "P4ssword", "hunter2", "2024-01-01", "qwertyuiop", "aaaaaaaaaaaa", "abcabcabcabc", "12345678",
+            "lkjhgfdsa", "welcome2023", "correcthorse", "x9$L", "8301946")
+    for v in strong + weak:
+        for form in ("pin: {} and", "pwd={}", 'passwd = "{}"'):
+            text = form.format(v)
+            guessed = [text[a:b] for a, k, b, _ in secret_scan.scan(text, ranks) if secret_scan.KINDS[k] == "guess"]
+            assert guessed == ([v] if v in strong else []), text
+    d = spark.createDataFrame([(i, f"pin: {v} and") for i, v in enumerate(strong)], "doc_id long, text string")
+    assert {r["text"] for r in secret_scan.redact(d).collect()} == {"pin: [SECRET] and"}
+
+
+def test_alphabet_of_a_value():
+    for value, size in (("abc", 26), ("ABC", 26), ("12", 10), ("a1", 36), ("aB1", 62), ("aB1$", 94), ("$ ", 32), ("", 1)):
+        assert secret_scan.alphabet_log10(value) == pytest.approx(np.log10(size))
