@@ -4,15 +4,15 @@ Base kinds are the fixed patterns ``assign``, ``access`` and ``hex``.  The
 method's own kind, ``guess``, looks at every value that stands in a credential
 context (a credential word, then ``:``, ``=`` or ``is``, with any white space
 around): in quotes the whole of what they hold, else up to white space or a
-delimiter.  A dynamic program
-splits the value into dictionary words, dates, repeats, keyboard walks and
-brute-force spans so that the guesses an attacker needs are fewest; a
-brute-force character costs the size of the alphabet that the value uses.  A
-value that still costs at least ``MIN_GUESSES_LOG10`` is reported.  ``hunter2``,
-``2024-01-01`` or ``qwertyuiop`` stay below it, ``x9$Lq!7v`` does not; nor,
-unless chance puts a word or a walk there, do random values of 6 characters of
-both cases and digits, of 7 of one case and digits, of 8 letters of one case, or
-of 10 digits.  Shorter values cost less however random they are.
+delimiter.  A dynamic program splits the value into dictionary words, dates,
+repeats, keyboard walks and brute-force spans so that the guesses an attacker
+needs are fewest (the least over all splits); a brute-force character costs the
+size of the alphabet that the value uses.  A value that still costs at least
+``MIN_GUESSES_LOG10`` is reported.  ``hunter2``, ``2024-01-01`` or
+``qwertyuiop`` stay below it, ``x9$Lq!7v`` does not; nor, unless chance puts a
+word or a walk there, do random values of 6 characters of both cases and digits,
+of 7 of one case and digits, of 8 letters of one case, or of 10 digits.  Shorter
+values cost less however random they are.
 
 Dictionary words and their ranks come from the vocabulary file of a public
 tokenizer (merge order, most frequent first), so no list is kept here.
@@ -106,12 +106,14 @@ def alphabet_log10(value: str) -> float:
     return math.log10(sum(n for c, n in CLASSES if c.search(value)) or 1)
 
 
-def guess_cost(value: str, ranks: dict[str, int],
-               brute: float = BRUTE_LOG10) -> tuple[float, list[tuple[str, int, int]]]:
+def guess_cost(value: str, ranks: dict[str, int], brute: float = BRUTE_LOG10,
+               limit: float = math.inf) -> tuple[float, list[tuple[str, int, int]]]:
     """log10 of the guesses for a value, and the cheapest segmentation as
-    (kind, start, end).  best[j] is the least cost of the first j characters;
-    every span that ends at j is tried; a brute-force character costs
-    ``brute``."""
+    (kind, start, end); a brute-force character costs ``brute``.  A new part
+    costs its place in the order of parts, so best[j] keeps, for the first j
+    characters, every state (parts, whether the last is brute force) that no
+    other is sure to beat.  If no segmentation costs less than ``limit``, the
+    result is infinity and no parts, and long values are soon given up."""
     n = len(value)
     # a lower-case letter for each character, so that spans keep their places
     low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
@@ -131,39 +133,84 @@ def guess_cost(value: str, ranks: dict[str, int],
                 ways = 1 if not upper else 2 if value[i:j] in (word.capitalize(), word.upper()) else 2 ** min(upper, 8)
                 span("word", i, j, math.log10(rank * ways * (4 if leet else 1) + 1))
     for i in range(n):
-        if m := DATE.match(value, i):
-            span("date", i, m.end(), DATE_LOG10 if m.end() - i > 4 else math.log10(200))
+        # a longer date may hold a shorter one
+        for j in range(i + 4, min(n, i + 10) + 1) if DATE.match(value, i) else ():
+            if DATE.fullmatch(value, i, j):
+                span("date", i, j, DATE_LOG10 if j - i > 4 else math.log10(200))
     for a, b in _walks(low):
         for i in range(a, b - 2):
             for j in range(i + 3, b + 1):
                 span("walk", i, j, math.log10(2 * 47 * (j - i)))
+    # maximal stretches that repeat with a period; every part of one of two
+    # copies and more (three of one character) is a repeat
+    runs: list[tuple[int, int, int]] = []
     for size in range(1, min(n // 2, 16) + 1):
         start = 0
         for i in range(size, n + 1):
             if i == n or value[i] != value[i - size]:
-                full = (i - start) // size
-                if full >= 2 and (size > 1 or full >= 3):
-                    base = size * brute + math.log10(full)
-                    span("repeat", start, start + full * size, base)
+                # a stretch that repeats with a part of the period costs less so
+                if i - start >= size * 2 and not any(size % s == 0 and a <= start and i <= e for s, a, e in runs):
+                    runs.append((size, start, i))
                 start = i - size + 1
-    best = [(0.0, 0, "", 0)] + [(math.inf, 0, "", 0)] * n
-    for j in range(1, n + 1):
-        # a brute-force character, then each span; a new part costs its place in the order of parts
-        for cost, kind, i in [(brute, "brute", j - 1), *ends.get(j, [])]:
-            before = best[i]
-            parts = before[1] + (kind != "brute" or before[2] != "brute")
-            total = before[0] + cost + (math.log10(parts) if parts > before[1] else 0)
-            if total < best[j][0]:
-                best[j] = (total, parts, kind, i)
+    opened: dict[int, list[tuple[int, int, int]]] = {}
+    for r in runs:
+        opened.setdefault(r[1], []).append(r)
+    # a state: cost, parts, kind of the last, its start, the state before it
+    best: list[list[tuple]] = [[(0.0, 0, "", 0, None)]]
+    least: dict[tuple[int, bool], tuple] = {}
+
+    def put(cost, kind, i, before):
+        more = kind != "brute" or before[2] != "brute"
+        parts = before[1] + more
+        total = before[0] + cost + (math.log10(parts) if more else 0)
+        key = parts, kind != "brute"
+        if total < limit and (key not in least or total < least[key][0]):
+            least[key] = (total, parts, kind, i, before)
+        return total
+
+    # runs at this place, each with the states in which a repeat of it can start, by place in the period
+    active: list[tuple[int, int, int, list[list[tuple]]]] = []
+    for j in range(n + 1):
+        if j:
+            least.clear()
+            for cost, kind, i in [(brute, "brute", j - 1), *ends.get(j, [])]:
+                for before in best[i]:
+                    put(cost, kind, i, before)
+            for size, _, _, starts in active:
+                fewest = 2 if size > 1 else 3
+                # the cost grows with j, so a start that reaches the limit is done with
+                starts[j % size] = [
+                    (i, before) for i, before in starts[j % size] if (copies := (j - i) // size) < fewest
+                    or put(size * brute + math.log10(copies), "repeat", i, before) < limit]
+            kept, low, low_brute, low_next = [], math.inf, math.inf, math.inf
+            for (parts, closed), state in sorted(least.items(), key=lambda x: x[0]):
+                # a state beats any other of no fewer parts and no less cost, but one that ends
+                # in brute force, and goes on without a new part, only with that part paid
+                if state[0] < (low if closed else min(low_brute, low_next)):
+                    kept.append(state)
+                    low = min(low, state[0])
+                    if closed:
+                        low_next = min(low_next, state[0] + math.log10(parts + 1))
+                    else:
+                        low_brute = min(low_brute, state[0])
+            best.append(kept)
+        active = [r for r in active if r[2] > j] + [(*r, [[] for _ in range(r[0])]) for r in opened.get(j, ())]
+        for size, a, _, starts in active:
+            # after a repeat that is one of this run too, the two are one
+            starts[j % size] += [(j, s) for s in best[j]
+                                 if s[2] != "repeat" or s[3] < a or (j - s[3]) % size or (j - s[3]) // size < 3]
+    if not best[n]:
+        return math.inf, []
+    state = last = min(best[n], key=lambda s: s[0])
     out, j = [], n
     while j:
-        _, _, kind, i = best[j]
+        _, _, kind, i, before = state
         if kind == "brute" and out and out[-1][0] == "brute" and out[-1][1] == j:
             out[-1] = ("brute", i, out[-1][2])
         else:
             out.append((kind, i, j))
-        j = i
-    return best[n][0], out[::-1]
+        state, j = before, i
+    return last[0], out[::-1]
 
 
 def scan(text: str, ranks: dict[str, int], min_cost: float = MIN_GUESSES_LOG10) -> list[tuple[int, int, int, int]]:
@@ -178,7 +225,7 @@ def scan(text: str, ranks: dict[str, int], min_cost: float = MIN_GUESSES_LOG10)
         for m in CONTEXT.finditer(text):
             name = "plain" if m["quoted"] is None else "quoted"
             value, start = m[name].rstrip(".!?:") if name == "plain" else m[name], m.start(name)
-            if len(value) >= 4 and guess_cost(value, ranks, alphabet_log10(value))[0] >= min_cost:
+            if len(value) >= 4 and guess_cost(value, ranks, alphabet_log10(value), min_cost)[0] >= min_cost:
                 spans.append((start, 3, start + len(value), start))
     if "AKIA" in text:
         spans += [(m.start(), 1, m.end(), m.start()) for m in ACCESS.finditer(text)]

@@ -428,3 +428,61 @@ def test_short_random_values_are_found_and_weak_ones_are_not(spark):
 def test_alphabet_of_a_value():
     for value, size in (("abc", 26), ("ABC", 26), ("12", 10), ("a1", 36), ("aB1", 62), ("aB1$", 94), ("$ ", 32), ("", 1)):
         assert secret_scan.alphabet_log10(value) == pytest.approx(np.log10(size))
+
+
+def test_guess_cost_equals_the_exhaustive_search():
+    """The least over all splits, each single part by its own definition."""
+    import math
+    ranks = {"cat": 3, "dog": 10, "catalog": 50, "log": 900, "gdo": 40_000, "ogc": 25_000, "ats": 7000, "aaa": 20}
+
+    def exhaustive(v, brute):
+        def parts(i, j):
+            t, low = v[i:j], v[i:j].lower()
+            leet = low.translate(secret_scan.LEET)
+            for word, ways in ((low, 1), (leet, 4)):
+                if len(t) >= 3 and word in ranks and (ways == 1 or low not in ranks):
+                    upper = sum(c.isupper() for c in t)
+                    case = 1 if not upper else 2 if t in (low.capitalize(), low.upper()) else 2 ** min(upper, 8)
+                    yield math.log10(ranks[word] * case * ways + 1)
+            if secret_scan.DATE.fullmatch(t):
+                yield secret_scan.DATE_LOG10 if len(t) > 4 else math.log10(200)
+            if len(t) >= 3 and any(low in r or low in r[::-1] for r in secret_scan.KEYBOARD):
+                yield math.log10(94 * len(t))
+            for size in range(1, len(t) // 2 + 1):
+                copies = len(t) // size
+                if t == t[:size] * copies and (size > 1 or copies > 2):
+                    yield size * brute + math.log10(copies)
+
+        best = {(0, 0, False): 0.0}
+        for i in range(len(v)):
+            for (at, n, last), cost in list(best.items()):
+                if at != i:
+                    continue
+                steps = [(i + 1, n + (not last), True, brute + (0 if last else math.log10(n + 1)))]
+                steps += [(j, n + 1, False, c + math.log10(n + 1)) for j in range(i + 1, len(v) + 1) for c in parts(i, j)]
+                for j, m, is_brute, c in steps:
+                    best[j, m, is_brute] = min(best.get((j, m, is_brute), math.inf), cost + c)
+        return min(c for (at, _, _), c in best.items() if at == len(v))
+
+    rng = np.random.default_rng(5)
+    pieces = ["cat", "dog", "catalog", "log", "gdo", "ats", "aaa", "c4t", "D0g", "x", "9$", "aa", "2019", "20240101", "1/2",
+              "qwe", "4321", "abab", "zzz", "12-12-19"]
+    values = ["catcatcatalog", "xcat9dogq2catlog", "aaaaab", "20240101", "2019cat2020", "aaacat", "zz11", "xyxyxyxz", "a" * 40,
+              "0101201919", *("".join(rng.choice(pieces, rng.integers(1, 9))) for _ in range(400))]
+    for v in values:
+        for brute in (secret_scan.BRUTE_LOG10, secret_scan.alphabet_log10(v)):
+            least = exhaustive(v, brute)
+            cost, parts = secret_scan.guess_cost(v, ranks, brute)
+            assert abs(cost - least) < 1e-9, (v, cost, least, parts)
+            assert [a[2] for a in parts] == [*[b[1] for b in parts[1:]], len(v)] and parts[0][1] == 0
+            for limit in (5.0, 10.0):
+                assert (secret_scan.guess_cost(v, ranks, brute, limit)[0] >= limit) == (cost >= limit)
+
+
+def test_long_values_are_decided_soon():
+    import time
+    ranks = secret_scan.word_ranks(tokenizer_path("word_bpe_49k.json"))
+    start = time.monotonic()
+    for v in ("=" * 20_000, "x9$" + "=" * 20_000, "ab" * 10_000, "x9abc" * 4000, "aab" * 7000 + "q", "9f8e7d" * 3000):
+        secret_scan.scan(f"password: {v} and", ranks)
+    assert time.monotonic() - start < 60
