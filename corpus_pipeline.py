@@ -12,8 +12,6 @@ last return the columns of ``documents``.
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from streamfold.llm import exact_dedup, language_id, packing, secret_scan, simhash
 from streamfold.llm.common import read_table, scratch
 
@@ -28,9 +26,7 @@ def stage_exact_dedup(spark, docs, sf_dir):
 
 def stage_simhash_dedup(spark, docs, sf_dir):
     """The document with the smallest id of each group stays."""
-    found = simhash.near_duplicates(docs)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return simhash.survivors(docs)
 
 
 def stage_secret_scan(spark, docs, sf_dir):

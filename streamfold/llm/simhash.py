@@ -62,19 +62,27 @@ def fingerprint(text: str, n: int = SHINGLE_WORDS, seed: int = SEED) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
+def text_hash(text_col: str = "text"):
+    return F.unhex(F.sha2(text_or_empty(text_col), 256))
+
+
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """Per row: ``doc_id`` and ``fp`` (the fingerprint as a signed long)."""
-    d = df.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
+                 shingle_words: int = SHINGLE_WORDS, hashed: bool = False) -> DataFrame:
+    """Per row: ``doc_id`` and ``fp`` (the fingerprint as a signed long), with
+    ``hashed`` between them ``h``, the hash of the text."""
+    more = [text_hash(text_col).alias("h")] if hashed else []
+    d = df.select(F.col(id_col).alias("doc_id"), *more, text_or_empty(text_col).alias("text"))
+    names = [c for c in d.columns if c != "text"]
 
     def run(batches):
         for batch in batches:
             fp = np.fromiter((fingerprint(t.as_py(), shingle_words) for t in batch.column("text")),
                              dtype=np.uint64, count=batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp.view(np.int64))],
-                                             names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), pa.array(fp.view(np.int64))],
+                                             names=[*names, "fp"])
 
-    return d.mapInArrow(run, f"doc_id {d.schema['doc_id'].dataType.simpleString()}, fp long")
+    kinds = [f"{c} {d.schema[c].dataType.simpleString()}" for c in names]
+    return d.mapInArrow(run, ", ".join([*kinds, "fp long"]))
 
 
 def _quarters(fp: np.ndarray) -> np.ndarray:
@@ -202,6 +210,38 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return fps.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+def survivors(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+              shingle_words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
+    """One row of each component, with all its columns: the one with the
+    smallest id, a null id last, then the smallest fingerprint, text hash and
+    other columns.  Rows are told apart by id and text, so neither a repeated
+    nor a null id takes or keeps another's row."""
+    # written, so that the hot fingerprints of the join below are in a plain input, which Spark can split
+    keys = scratch(fingerprints(df, id_col, text_col, shingle_words, hashed=True)
+                   .groupBy("doc_id", "h", "fp").agg(F.count(F.lit(1)).alias("n_rows")), "near-keys")
+    linked = scratch(components(links(scratch(keys.select("fp").distinct(), "distinct-fps"), radius))
+                     .withColumnRenamed("node", "fp"), "fp-components")
+    # a component is named by a fingerprint, which no other component has
+    best = (keys.join(linked, "fp", "left").groupBy(F.coalesce("component", "fp").alias("component"))
+            .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "h", "n_rows")).alias("r")))
+    kept = scratch(best.select(F.col("r.doc_id").alias("kept_id"), F.col("r.h").alias("kept_h"),
+                               F.col("r.n_rows").alias("n_rows")), "near-kept")
+    gone = (keys.join(kept, keys["doc_id"].eqNullSafe(kept["kept_id"]) & (keys["h"] == kept["kept_h"]), "left_anti")
+            .select(F.col("doc_id").alias("gone_id"), F.col("h").alias("gone_h")))
+    # bound to its table, so that no column of the input clashes
+    same = lambda i, h: df[id_col].eqNullSafe(i) & (text_hash(text_col) == h)
+    gone = scratch(gone, "near-gone")
+    left = df.join(gone, same(gone["gone_id"], gone["gone_h"]), "left_anti")
+    repeated = kept.filter(F.col("n_rows") > 1).select("kept_id", "kept_h")
+    if repeated.isEmpty():
+        return left
+    match = same(repeated["kept_id"], repeated["kept_h"])
+    row = F.min(F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(df.columns)])).alias("r")
+    one = df.join(repeated, match, "left_semi").groupBy(F.col(id_col).alias("i"), text_hash(text_col).alias("h")).agg(row)
+    return left.join(repeated, match, "left_anti").unionByName(
+        one.select(*[F.col(f"r.c{i}").alias(c) for i, c in enumerate(df.columns)]))
+
+
 def hex_digits(fp: str = "fp"):
     """A signed long as 16 lower-case hex digits of its unsigned value."""
     return F.lpad(F.lower(F.hex(F.col(fp))), 16, "0")

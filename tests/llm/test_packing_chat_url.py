@@ -1,4 +1,5 @@
 """Packing, chat formatting, URL filters and the pipeline."""
+import hashlib
 import struct
 import zlib
 from collections import defaultdict
@@ -304,3 +305,24 @@ def test_stages_keep_the_columns_and_take_odd_rows(spark, odd, empty):
 def test_stages_are_the_dealt_operators():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "exact_dedup", "simhash_dedup", "secret_scan", "packing"]
     assert language_id.UNDETERMINED == "und"
+
+
+def test_simhash_stage_keeps_one_row_of_each_group_for_odd_ids(spark):
+    base = " ".join(f"word{i} of{i % 7}" for i in range(400))
+    other = " ".join(f"thing{i} in{i % 5}" for i in range(400))
+    third = " ".join(f"place{i} at{i % 3}" for i in range(400))
+    near = lambda t: t + " more"
+    assert all((simhash.fingerprint(t) ^ simhash.fingerprint(near(t))).bit_count() <= 3 for t in (base, other, third))
+    # id 5 stands for a near copy and for a unique text; null ids and one id for near copies of a group
+    rows = [(1, base), (5, near(base)), (5, "a text of its own that no other is near to"),
+            (None, other), (None, near(other)), (7, third), (7, near(third)), (8, "said twice by one"), (8, "said twice by one"),
+            (None, "alone without an id"), (9, None), (9, "")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, h int, fp int, r int, kept_id int"
+    d = spark.createDataFrame([(i, t, None, "s", 1, 7, 7, 7, 7) for i, t in rows], schema).repartition(3)
+    out = corpus_pipeline.stage_simhash_dedup(spark, d, SF)
+    assert out.columns == d.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr)
+    by_hash = lambda t: min((t, near(t)), key=lambda x: (
+        (simhash.fingerprint(x) + 2**63) % 2**64, hashlib.sha256(x.encode()).digest()))
+    assert got == sorted([(1, base), (5, rows[2][1]), (None, by_hash(other)), (7, by_hash(third)), rows[7], rows[9], (9, None)],
+                         key=repr)
