@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from streamfold.llm import (byte_bpe, chat, embedding_dedup, exact_dedup, language_id, packing, secret_scan,
-                            simhash, token_count, url_filter)
+from streamfold.llm import (best_fit, byte_bpe, chat, embedding_dedup, exact_dedup, language_id, merkle, packing,
+                            secret_scan, simhash, token_count, url_filter, vector_codes)
 from streamfold.llm.common import read_table
 
 
@@ -55,9 +55,21 @@ def op10_packing(spark, sf_dir):
     return packing.pieces(_docs(spark, sf_dir))
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    return merkle.digests(_docs(spark, sf_dir))
+
+
+def op12_vector_codes(spark, sf_dir):
+    return vector_codes.digests(read_table(spark, sf_dir, "embeddings"))
+
+
+def op13_best_fit_packing(spark, sf_dir):
+    return best_fit.digests(_docs(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (op1_language_id, op2_url_filter, op3_secret_scan, op4_embedding_dedup,
                                    op5_byte_bpe, op6_token_count, op7_simhash, op8_exact_dedup, op9_chat_format,
-                                   op10_packing)}
+                                   op10_packing, op11_merkle_manifest, op12_vector_codes, op13_best_fit_packing)}
 
 SQL = {
     "op2_url_filter": url_filter.SQL,
@@ -66,4 +78,6 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """,
+    "op11_merkle_manifest": merkle.SQL,
+    "op12_vector_codes": vector_codes.SQL,
 }

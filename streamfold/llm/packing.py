@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from streamfold.llm.common import scratch, text_or_empty, tokenizer_path
+from streamfold.llm.common import scratch, ship, text_or_empty, tokenizer_path
 from streamfold.llm.token_count import VOCAB, chunks, load, memory
 
 WINDOW = 4096
@@ -51,6 +51,7 @@ TIMES = 8                # copies of the first and the second length, at most
 def tokenized(df: DataFrame, id_col: str, text_col: str, path: str, end_id: int = END_ID) -> DataFrame:
     """Per row: ``doc_id``, ``ids`` (little-endian 32-bit, the end id last)
     and ``n`` (tokens)."""
+    ship(df.sparkSession)
     # bounded by the vocabulary
     whole = df.sparkSession.sparkContext.broadcast(load(path).whole_tokens())
     d = df.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))

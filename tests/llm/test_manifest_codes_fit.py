@@ -1,0 +1,288 @@
+"""Merkle manifest, vector codes and best-fit packing against plain versions."""
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from streamfold.llm import best_fit, merkle, vector_codes
+from streamfold.llm.common import tokenizer_path
+from streamfold.llm.token_count import load
+
+DOCS = "doc_id long, source string, lang string, n_chars long, text string"
+
+
+# ------------------------------------------------------------------ manifest
+def sha(s):
+    return hashlib.sha256(s.encode()).hexdigest()
+
+
+def plain_manifest(rows):
+    def leaf(r):
+        return sha("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in r))
+
+    def tree(nodes):
+        at, steps = list(range(len(nodes))), [[] for _ in nodes]
+        while len(nodes) > 1:
+            for way, a in zip(steps, at):
+                run = a - a % 16
+                way.append((nodes[run:a], nodes[a + 1:run + 16]))
+            nodes, at = [sha("".join(nodes[i:i + 16])) for i in range(0, len(nodes), 16)], [a // 16 for a in at]
+        return nodes[0], steps
+
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[1], []).append(r)
+    ordered = [sorted(groups[s], key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+               for s in sorted(groups, key=lambda s: (s is not None, (s or "").encode()))]
+    trees = [tree([leaf(r) for r in g]) for g in ordered]
+    root, upper = tree([t[0] for t in trees])
+    out = []
+    for g, (sub, steps), above in zip(ordered, trees, upper):
+        for r, way in zip(g, steps):
+            way = way + above
+            fold = leaf(r)
+            if r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0 and r[4] is not None:
+                low = "".join(c.lower() if "A" <= c <= "Z" else c for c in r[4])
+                fold = leaf((*r[:4], low))
+            for left, right in way:
+                fold = sha("".join([*left, fold, *right]))
+            proof = sha("".join("".join(a + b) for a, b in way))
+            out.append((r[0], leaf(r), sub, root, proof, fold, fold == root))
+    return sorted(out, key=str)
+
+
+def manifest_of(spark, rows):
+    return sorted((tuple(r) for r in merkle.digests(spark.createDataFrame(rows, DOCS)).collect()), key=str)
+
+
+def test_manifest_equals_a_plain_one(spark):
+    rnd = random.Random(4)
+    rows = [(i, "hot", "en", i, f"Text {rnd.random()} É") for i in rnd.sample(range(10_000), 300)]     # three levels
+    rows += [(i, f"s{i % 19}", None, None, "lower" if i % 2 else "UPPER") for i in range(-20, 40)]
+    rows += [(i, None, "de", 1, None) for i in range(16)] + [(7, "one", "", 0, "")]
+    rows += [(None, "odd", "x", 2, "A"), (None, "odd", None, 2, "B"), (5, "odd", "x", 1, "A"), (5, "odd", "x", 1, "B")]
+    rows += [(9, "odd", "x", 1, "Same")] * 3 + [(8, "ünï", "x", 1, "x" * 200_000)]
+    rnd.shuffle(rows)
+    got = manifest_of(spark, rows)
+    assert got == plain_manifest(rows)
+    assert {r[-1] for r in got} == {True, False}
+
+
+@pytest.mark.parametrize("n", [1, 2, 16, 17])
+def test_manifest_of_few_rows(spark, n):
+    rows = [(i, "a", "en", 1, f"Doc {i}") for i in range(n)]
+    assert manifest_of(spark, rows) == plain_manifest(rows)
+
+
+def test_manifest_of_no_rows_and_other_columns(spark):
+    assert merkle.digests(spark.createDataFrame([], DOCS)).count() == 0
+    rows = [(i, "a", "en", 1, "T") for i in range(3)]
+    df = spark.createDataFrame(rows, DOCS)
+    for name in ("tree", "idx", "n", "h", "path", "root", "s0", "_tie"):
+        df = df.withColumn(name, F.lit("x"))
+    assert sorted((tuple(r) for r in merkle.digests(df).collect()), key=str) == plain_manifest(rows)
+
+
+def test_places_of_equal_rows_spread(spark):
+    """Rows that are all alike do not meet in one range."""
+    df = spark.createDataFrame([("a", 1)] * 4000, "tree string, v int").repartition(8)
+    out = merkle.placed(df, ["tree"], ["v"])
+    assert sorted(r["idx"] for r in out.collect()) == list(range(4000))
+    assert out.filter("n <> 4000").isEmpty()
+
+
+# -------------------------------------------------------------- vector codes
+EMB = "vec_id long, embedding array<double>, label int"
+
+
+def plain_codes(rows):
+    kept = sorted((r for r in rows if r[1] is not None and all(c is not None and np.isfinite(c) for c in r[1])),
+                  key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    x = np.floor(np.array([r[1] for r in kept]) * 256).astype(np.int64)
+    x = np.pad(x, ((0, 0), (0, -x.shape[1] % 16)))
+    parts = np.split(x, 16, axis=1)
+    books = [p[:64].copy() for p in parts]
+
+    def nearest(p, b):
+        return ((p[:, None, :] - b[None]) ** 2).sum(2).argmin(1)
+
+    for _ in range(2):
+        for p, b in zip(parts, books):
+            at = nearest(p, b)
+            for e in set(at.tolist()):
+                b[e] = p[at == e].sum(0) // (at == e).sum()
+    at = [nearest(p, b) for p, b in zip(parts, books)]
+    error = sum(((p - b[a]) ** 2).sum(1) for p, b, a in zip(parts, books, at))
+    of_label = {}
+    for r, e in zip(kept, error.tolist()):
+        of_label[r[2]] = of_label.get(r[2], 0) + e
+    book = sha(",".join(str(v) for b in books for v in b.ravel().tolist()))
+    return sorted(((r[0], "".join("%02x" % a[i] for a in at), int(error[i]), of_label[r[2]], book)
+                   for i, r in enumerate(kept)), key=str)
+
+
+def codes_of(spark, rows):
+    return sorted((tuple(r) for r in vector_codes.digests(spark.createDataFrame(rows, EMB)).collect()), key=str)
+
+
+def test_codes_equal_a_plain_one(spark):
+    rng = np.random.default_rng(2)
+    near = rng.normal(0, 1, (5, 32))
+    x = np.concatenate([near[rng.integers(0, 5, 700)] + rng.normal(0, .01, (700, 32)), rng.normal(0, 1, (300, 32)),
+                        np.repeat(near[:1], 200, axis=0)])
+    rows = [(int(i), v.tolist(), None if i % 7 == 0 else int(i % 4)) for i, v in zip(rng.permutation(len(x)), x)]
+    rows += [(5000, None, 1), (5001, [1.0, None] * 16, 1), (5002, [float("nan")] * 32, 1),
+             (5003, [float("inf")] * 32, 1), (3, near[1].tolist(), 2), (None, near[2].tolist(), 2)]
+    got = codes_of(spark, rows)
+    assert len(got) == 1202 and got == plain_codes(rows)
+
+
+def test_codes_of_few_short_and_odd_vectors(spark):
+    rows = [(i, [i / 10, 1.0, -i / 3], 1) for i in range(5)]          # fewer than 64 rows, 3 components
+    assert codes_of(spark, rows) == plain_codes(rows)
+    other = codes_of(spark, [*rows, (9, [1.0], 1)])
+    assert [r for r in other if r[0] != 9] == plain_codes(rows)
+    assert [r[1:3] for r in other if r[0] == 9] == [(None, None)]
+    assert codes_of(spark, []) == codes_of(spark, [(1, None, 1)]) == []
+    assert codes_of(spark, [(1, [], 1)])[0][:3] == (1, None, None)
+    assert codes_of(spark, [(1, [1e300] * 16, 1), (2, [-1e300] * 16, 1)])[0][2] == 0
+    df = spark.createDataFrame(rows, EMB).withColumn("vec", F.lit(1)).withColumn("code", F.lit(2))
+    assert sorted((tuple(r) for r in vector_codes.digests(df).collect()), key=str) == plain_codes(rows)
+
+
+@pytest.mark.parametrize("dim,scale", [(1, 3), (4, 200), (24, 200), (3, 1 << 24)])
+def test_cover_tree_is_one_and_assigns_exactly(dim, scale):
+    rng = np.random.default_rng(dim)
+    x = rng.integers(-scale, scale + 1, (3000, dim))
+    x[1000:1500] = x[7]
+    tree = vector_codes.CoverTree(x, leaf=16, children=8)
+    assert sorted(tree.order.tolist()) == list(range(3000))
+    for k, level in enumerate(tree.levels):
+        for i in range(len(level["start"])):
+            rows = tree.order[level["start"][i]:level["end"][i]]
+            assert ((x[rows] - x[level["center"][i]]) ** 2).sum(1).max() <= level["r2"][i]
+            if level["children"][i] >= 0:
+                below = tree.levels[k + 1]
+                part = slice(level["children"][i], level["children"][i] + level["n_children"][i])
+                assert below["start"][part][0] == level["start"][i] and below["end"][part][-1] == level["end"][i]
+                assert (below["start"][part][1:] == below["end"][part][:-1]).all()
+    book = np.concatenate([x[:40], x[:10], x[2000:2010]])           # with equal entries
+    labels = np.full(3000, -1)
+    count, total = tree.assign(x, book, labels)
+    plain = ((x[:, None, :] - book[None]) ** 2).sum(2).argmin(1)
+    assert (labels == plain).all() and (count == np.bincount(plain, minlength=len(book))).all()
+    assert all((total[e] == x[plain == e].sum(0)).all() for e in range(len(book)))
+
+
+def test_sure_balls_take_whole_subtrees():
+    """Close groups are assigned without a comparison for each point."""
+    x = np.concatenate([np.random.default_rng(0).integers(-3, 4, (5000, 4)) + c * 1000 for c in range(4)])
+    tree = vector_codes.CoverTree(x)
+    seen = []
+    whole = vector_codes.square_distances
+    try:
+        vector_codes.square_distances = lambda a, b: (seen.append(len(a)), whole(a, b))[1]
+        count, _ = tree.assign(x, np.array([[c * 1000] * 4 for c in range(4)]))
+    finally:
+        vector_codes.square_distances = whole
+    assert count.tolist() == [5000] * 4 and sum(seen) < 100
+
+
+# ------------------------------------------------------------------ best fit
+def plain_pieces(rows, window=4096):
+    tok = load(tokenizer_path(best_fit.VOCAB))
+    for doc_id, text in rows:
+        ids = [*tok.encode(text or ""), best_fit.END_ID]
+        for p in range(0, len(ids), window):
+            piece = np.array(ids[p:p + window], dtype="<u4")
+            yield doc_id, p // window, p, len(piece), zlib.crc32(piece.tobytes())
+
+
+def packed(df, **kw):
+    rows = [tuple(r) for r in best_fit.digests(df, **kw).collect()]
+    places = {}
+    for r in rows:
+        places.setdefault(r[5], []).append((r[6], r[3]))
+    for of_one in places.values():
+        end = 0
+        for offset, length in sorted(of_one):
+            assert offset == end
+            end += length
+        assert end <= kw.get("window", 4096)
+    return sorted((r[:5] for r in rows), key=str), len(places)
+
+
+def test_packing_holds_every_piece_without_gaps(spark):
+    rnd = random.Random(5)
+    rows = [(i, " ".join(rnd.choices(["data", "Spark", "ünïcode", "a", "42"], k=rnd.choice([1, 30, 300, 1500]))))
+            for i in range(150)]
+    rows += [(200, "word " * 20_000), (201, "word " * 4095), (202, None), (203, "")]
+    rows += [(None, "none"), (None, "none"), (7, "again"), (7, "again")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("length", F.lit("x")).withColumn("ids", F.lit(1))
+    got, sequences = packed(df)
+    exp = sorted(plain_pieces(rows), key=str)
+    assert got == exp
+    assert sequences <= best_fit.Plan(np.bincount([r[3] for r in exp], minlength=4097), rounds=0).sequences + 1
+    assert packed(df, window=64)[0] == sorted(plain_pieces(rows, 64), key=str)
+    ids = best_fit.pack(df).filter("doc_id = 200").orderBy("piece").collect()
+    assert b"".join(bytes(r["ids"]) for r in ids) == np.array(
+        [*load(tokenizer_path(best_fit.VOCAB)).encode("word " * 20_000), 1], "<u4").tobytes()
+
+
+def test_packing_of_no_rows(spark):
+    assert best_fit.digests(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_hot_length_is_ranked_in_many_groups(spark):
+    """Equal rows with null ids, one length: many groups of about the same size."""
+    df = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(3).cast("long").alias("length"))
+    out = best_fit.place(df, window=100, group_rows=500)
+    assert out.count() == 20_000
+    at = out.groupBy("sequence_id").agg(F.count("*").alias("n"), F.countDistinct("offset").alias("d"))
+    assert at.filter("n <> d").isEmpty() and at.count() == -(-20_000 // 33)
+    text = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in text
+
+
+def test_knapsack_finds_the_best_configuration():
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        price = np.zeros(31)
+        sizes = rng.choice(np.arange(1, 31), 5, replace=False)
+        price[sizes] = rng.random(5) * sizes
+        best, last = best_fit.knapsack(price)
+
+        def most(c):
+            return max((price[s] + most(c - s) for s in sizes if s <= c), default=0.0)
+
+        assert best[30] == pytest.approx(most(30))
+        config = best_fit.configuration(last, 30)
+        assert sum(n * k for n, k in config.items()) <= 30
+        assert sum(price[n] * k for n, k in config.items()) == pytest.approx(best[30])
+
+
+@pytest.mark.parametrize("low,high,slack", [(1, 4097, 1.06), (1, 600, 1.001), (2100, 4097, 1.0)])
+def test_plan_places_every_piece_once(low, high, slack):
+    hist = np.bincount(np.random.default_rng(3).integers(low, high, 20_000), minlength=4097)
+    plan = best_fit.Plan(hist)
+    length = np.repeat(np.arange(4097), hist)
+    rank = np.concatenate([np.arange(n) for n in hist])
+    seq, offset = best_fit.look_up(plan.table(), length, rank)
+    order = np.lexsort((offset, seq))
+    new = np.diff(seq[order], prepend=-1) != 0
+    ends = np.where(new, 0, np.roll(offset[order] + length[order], 1))
+    assert (offset[order] == ends).all() and (offset + length).max() <= 4096
+    # windows needed by tokens, and by pieces over half a window
+    least = max(-(-(hist * np.arange(4097)).sum() // 4096), hist[2049:].sum())
+    assert len(np.unique(seq)) == plan.sequences <= least * slack + 1
+    assert plan.by_program > 0 or low > 2048
+
+
+def test_program_beats_longest_first_where_that_is_wasteful():
+    """Halves, quarters and such: 2730 + 1366 fill a window, 1366 three times do not."""
+    hist = np.zeros(4097, dtype=np.int64)
+    hist[[1366, 2730, 1364, 1365]] = [4000, 1000, 1000, 2000]
+    assert best_fit.Plan(hist).sequences <= best_fit.Plan(hist, rounds=0).sequences
