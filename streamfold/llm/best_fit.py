@@ -8,9 +8,10 @@ left; nothing else is cut.  Only the histogram of piece lengths (at most
    which lengths share a window.  The program covers the histogram by
    configurations, in as few windows as possible.
 2. *Multiplicative weights.*  Each length has a weight that falls
-   exponentially with the share of its pieces that is covered.  A piece's
-   price is its length times its weight: equal weights are the optimal prices
-   where windows can be filled without a gap.
+   exponentially with the share of its pieces that is covered, and when a
+   configuration asks for more of them than are left.  A piece's price is its
+   length times its weight: equal weights are the optimal prices where windows
+   can be filled without a gap.
 3. *Knapsack pricing.*  Dynamic programming over the window's tokens gives the
    configuration of highest price for every capacity, and so, for each of the
    lengths least covered so far, the best configuration that holds it.
@@ -90,31 +91,33 @@ def solve(hist: np.ndarray, rounds: int = ROUNDS, columns: int = COLUMNS) -> dic
     length is used more often than the histogram has it."""
     total = hist.astype(float)
     left = total.copy()
-    have = np.maximum(total, 1)
     sizes = np.arange(len(hist))
-    # common lengths first: a rare one ends a configuration's use early
-    common = 1 - 0.01 / (1 + total)
+    # of equal fills, the one of the more common lengths
+    weight = 1 - 0.5 / len(hist) / (1 + total)
     plan: dict[tuple, float] = {}
     for _ in range(rounds):
         open_ = left >= 1
         if not open_.any():
             break
-        price = np.where(open_, sizes * common * np.exp(-FALL * (1 - left / have)), 0.0)
-        _, last = knapsack(price)
+        _, last = knapsack(np.where(open_, sizes * weight, 0.0))
         # the lengths with most tokens to cover, and the window as a whole
         wanted = np.argsort(-(left * sizes), kind="stable")[:columns]
         for n in [0, *wanted[left[wanted] >= 1].tolist()]:
             config = configuration(last, len(hist) - 1 - n)
             if n:
                 config[n] = config.get(n, 0) + 1
+            lengths = np.array(list(config))
+            counts = np.array(list(config.values()), dtype=float)
             # as often as pieces are left, and no length by more than a step
-            times = min((min(max(STEP * total[m], k), left[m]) / k for m, k in config.items()), default=0)
-            if times < 1:
-                continue
-            key = tuple(sorted(config.items(), reverse=True))
-            plan[key] = plan.get(key, 0.0) + times
-            for m, k in config.items():
-                left[m] -= k * times
+            uses = np.minimum(np.maximum(STEP * total[lengths], counts), left[lengths]) / counts
+            if len(uses) and uses.min() >= 1:
+                times = uses.min()
+                key = tuple(sorted(config.items(), reverse=True))
+                plan[key] = plan.get(key, 0.0) + times
+                left[lengths] -= counts * times
+                weight[lengths] *= np.exp(-FALL * counts * times / total[lengths])
+            else:               # more pieces of a length than there are
+                weight[lengths[uses < 1]] *= np.exp(-FALL * STEP)
     return plan
 
 
