@@ -28,6 +28,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streamfold.functions import declare as D
 from streamfold.functions.schema import declared_fields, primary_key
 from streamfold.operators import align, merge
 from streamfold.sources import topics as tp
@@ -39,29 +40,34 @@ KAFKA, MONGODB, SCYLLADB, CLICKHOUSE = "kafka", "mongodb", "scylladb", "clickhou
 SINK_TYPES = (MONGODB, SCYLLADB, CLICKHOUSE)
 
 
-def node_fields(node: dict):
-    """Declared fields: the node's own column list (``ddl``, or the columns of
-    a CREATE TABLE in ``sql``), then the handles, then the default."""
+def node_declaration(node: dict) -> D.Declaration | None:
+    """What the node's own text declares: ``ddl`` (a column list) or its SQL."""
     props = node.get("properties") or {}
-    return declared_fields(props.get("_handles"), props.get("ddl") or column_list(node_sql(node)))
+    if props.get("ddl"):
+        return D.declaration(f"CREATE TABLE t ({props['ddl']})")
+    return D.declaration(node_sql(node))
+
+
+def node_fields(node: dict):
+    """Declared fields: the node's own text, then the handles, then the
+    default.  Text that declares a table but cannot be read raises."""
+    d = node_declaration(node)
+    if d is not None and d.fields:
+        return d.fields
+    return declared_fields((node.get("properties") or {}).get("_handles"))
+
+
+def node_key(node: dict, fields) -> list[str]:
+    """A sink's key: its property, then the PRIMARY KEY of its text, then the
+    first field."""
+    d = node_declaration(node)
+    return primary_key((node.get("properties") or {}).get("primary_key") or (d.key if d else None), fields)
 
 
 def node_sql(node: dict) -> str:
     """The SQL text a node carries, or nothing."""
     props = node.get("properties") or {}
-    return str(node.get("sql") or props.get("sql") or "").strip()
-
-
-def column_list(text: str) -> str | None:
-    """The column list of a CREATE TABLE text, as Spark's own DDL parser reads
-    it; None for other text.  Text that declares a table but cannot be read
-    raises."""
-    if not text.upper().startswith("CREATE"):
-        return None
-    start, end = text.find("("), text.rfind(")")
-    if start < 0 or end < start:
-        raise ValueError(f"no column list in {text[:60]!r}")
-    return text[start + 1:end]
+    return str(node.get("sql") or node.get("flink_sql") or props.get("sql") or "").strip()
 
 
 def run_node_sql(spark: SparkSession, spec: dict, topic_reader: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
@@ -117,9 +123,8 @@ def decode_source(messages: DataFrame, node: dict, mode: str) -> DataFrame:
     """Decode one topic node's messages.  ``mode``: ``fail`` (document
     sink, the job fails on a bad record), ``skip`` (column store) or
     ``drop`` (wide-column consumer; count with ``count_bad`` separately)."""
-    if mode == "fail":
-        return tp.decode_json(messages, node_fields(node), mode="FAILFAST")
-    return tp.decode_json(messages, node_fields(node), drop_bad=True)
+    how = {"mode": "FAILFAST"} if mode == "fail" else {"drop_bad": True}
+    return D.with_declared(tp.decode_json(messages, node_fields(node), **how), node_declaration(node))
 
 
 def _sink_sources(sink: dict, nodes: dict, edges: list[dict]) -> list[str]:
@@ -147,7 +152,7 @@ def build_sink(sink: dict, nodes: dict, edges: list[dict], topic_reader: Callabl
         return None
     props = sink.get("properties") or {}
     fields = node_fields(sink)
-    key = primary_key(props.get("primary_key"), fields)
+    key = node_key(sink, fields)
     kind = sink["node_type"]
     keep = tuple(order) + ("_topic",) if "_topic" not in order else tuple(order)
 

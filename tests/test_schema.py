@@ -9,7 +9,7 @@ def test_handles_types_and_fallback():
     assert [(x.name, x.type) for x in f] == [("a", "STRING"), ("b", "DOUBLE"), ("c", "STRING"), ("d", "BIGINT")]
 
 
-def test_precedence_and_default():
+def test_precedence_and_default(spark):
     assert [x.name for x in declared_fields(None, None)] == ["id", "payload"]
     assert [x.name for x in declared_fields([["x", "INT"]], None)] == ["x"]
     f = declared_fields([["x", "INT"]], "symbol STRING, price DOUBLE, n BIGINT, ok BOOLEAN")
