@@ -24,9 +24,9 @@ sequences s, s+1, ... at one offset.  Its size depends on the configurations,
 not on the documents, and is what goes out by broadcast.
 
 A piece's rank within its length comes from a window over (length, salt).
-The number of salts of a length follows its count, so that a group holds
-about ``GROUP_ROWS`` rows whatever the length's share of the input; salts are
-hashes of the written row's own number, so equal rows spread as well.
+The number of salts of a length follows its count, so that all groups are of
+about the same size and at most ``WINDOW + GROUPS`` in number; salts are hashes
+of the written row's own number, so equal rows spread as well.
 
 Defined results: a null text counts as empty and is one piece, the end id; a
 null id keeps its tokens; repeated rows are packed each; an empty table gives
@@ -47,7 +47,8 @@ from streamfold.llm.token_count import VOCAB
 
 WINDOW = 4096
 END_ID = 1
-GROUP_ROWS = 1 << 18     # rows of one (length, salt), on average at most
+GROUPS = 1 << 18         # (length, salt) groups beside one for each length, at most
+GROUP_ROWS = 256         # rows of a group, at least, before a length is divided
 ROUNDS = 60              # knapsack solutions
 COLUMNS = 96             # configurations taken from each
 STEP = 0.25              # share of a length's pieces one configuration may cover at once
@@ -192,7 +193,7 @@ def cut(tokens: DataFrame, window: int = WINDOW) -> DataFrame:
                        F.substring("ids", F.col("piece") * (4 * window) + 1, F.lit(4 * window)).alias("ids"))
 
 
-def place(pieces: DataFrame, window: int = WINDOW, group_rows: int = GROUP_ROWS) -> DataFrame:
+def place(pieces: DataFrame, window: int = WINDOW, groups: int = GROUPS) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``, whatever columns they
     have beside ``length`` (1 to ``window``)."""
     spark = pieces.sparkSession
@@ -202,10 +203,11 @@ def place(pieces: DataFrame, window: int = WINDOW, group_rows: int = GROUP_ROWS)
     hist = np.zeros(window + 1, dtype=np.int64)
     for n, count in rows.groupBy("length").count().collect():        # at most window rows
         hist[n] = count
+    group_rows = max(GROUP_ROWS, -(-int(hist.sum()) // groups))
     salts = np.maximum(1, -(-hist // group_rows))
     salt = F.pmod(F.xxhash64("_row"), F.element_at(F.lit(salts.tolist()), F.col("length").cast("int") + 1))
     rows = rows.withColumn("_salt", salt)
-    # at most window + rows / group_rows rows
+    # at most window + groups rows
     held = np.array(sorted(tuple(r) for r in rows.groupBy("length", "_salt").count().collect()),
                     dtype=np.int64).reshape(-1, 3)
     upto = np.cumsum(held[:, 2]) - held[:, 2]

@@ -239,7 +239,7 @@ def test_packing_of_no_rows(spark):
 def test_hot_length_is_ranked_in_many_groups(spark):
     """Equal rows with null ids, one length: many groups of about the same size."""
     df = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(3).cast("long").alias("length"))
-    out = best_fit.place(df, window=100, group_rows=500)
+    out = best_fit.place(df, window=100, groups=40)
     assert out.count() == 20_000
     at = out.groupBy("sequence_id").agg(F.count("*").alias("n"), F.countDistinct("offset").alias("d"))
     assert at.filter("n <> d").isEmpty() and at.count() == -(-20_000 // 33)
