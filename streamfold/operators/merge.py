@@ -45,7 +45,7 @@ def _value_cols(fields, key):
     return [f.name for f in as_fields(fields) if f.name not in ks]
 
 
-def _check_key(fields, key):
+def check_key(fields, key):
     names = [f.name for f in as_fields(fields)]
     missing = [k for k in key if k not in names]
     if missing:
@@ -59,7 +59,7 @@ def merge_latest_nonnull(df: DataFrame, sink_fields, key: list[str], order_cols)
     ``max_by`` skips rows whose order is NULL, so masking the order where the
     value is NULL gives "latest non-null" in one pass.
     """
-    _check_key(sink_fields, key)
+    check_key(sink_fields, key)
     order = _order(order_cols)
     aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c)
             for c in _value_cols(sink_fields, key)]
@@ -68,13 +68,44 @@ def merge_latest_nonnull(df: DataFrame, sink_fields, key: list[str], order_cols)
     return out.select(*[f.name for f in as_fields(sink_fields)])
 
 
+def partial_nonnull(df: DataFrame, sink_fields, key: list[str], order_cols) -> DataFrame:
+    """What A1 needs of one batch: per key and column the latest non-null
+    value, and its order in ``_o_<column>``.  ``fold_nonnull`` over the
+    increments of any batches, in any order and repeated, is A1 over all their
+    rows."""
+    check_key(sink_fields, key)
+    order, aggs = _order(order_cols), []
+    for c in _value_cols(sink_fields, key):
+        o = F.when(F.col(c).isNotNull(), order)
+        aggs += [F.max_by(F.col(c), o).alias(c), F.max(o).alias(f"_o_{c}")]
+    return df.groupBy(*key).agg(*aggs) if aggs else df.select(*key).distinct()
+
+
+def fold_nonnull(parts: DataFrame, sink_fields, key: list[str]) -> DataFrame:
+    """A1 from the increments of ``partial_nonnull``."""
+    check_key(sink_fields, key)
+    aggs = [F.max_by(F.col(c), F.col(f"_o_{c}")).alias(c) for c in _value_cols(sink_fields, key)]
+    out = parts.groupBy(*key).agg(*aggs) if aggs else parts.select(*key).distinct()
+    return out.select(*[f.name for f in as_fields(sink_fields)])
+
+
+def last_rows(df: DataFrame, sink_fields, key: list[str], order_cols) -> DataFrame:
+    """What A2 needs of one batch: the last row of each key with its order
+    columns; rows with a NULL key are left out (``null_key_rows``).
+    ``upsert_last_row`` over the increments is A2 over all rows."""
+    cols = list(dict.fromkeys([*[f.name for f in as_fields(sink_fields)], *order_cols]))
+    ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    return (df.filter(ok).groupBy(*key)
+            .agg(F.max_by(F.struct(*cols), _order(order_cols)).alias("_row")).select("_row.*"))
+
+
 def upsert_last_row(df: DataFrame, sink_fields, key: list[str], order_cols) -> DataFrame:
     """A2: per key the whole last row wins, NULLs included.
 
     Rows with a NULL key component are not upserted (the store rejects
     them); route them with ``null_key_rows``.
     """
-    _check_key(sink_fields, key)
+    check_key(sink_fields, key)
     vals = _value_cols(sink_fields, key)
     ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
     if not vals:
@@ -119,7 +150,7 @@ def merge_idle_ttl(df: DataFrame, sink_fields, key: list[str], order_cols, ts_co
        finds the last session's first chunk.
     4. A second aggregation per key over the chunks of that session.
     """
-    _check_key(sink_fields, key)
+    check_key(sink_fields, key)
     vals = _value_cols(sink_fields, key)
     order = _order(order_cols)
     ttl_us = int(ttl_seconds * 1_000_000)

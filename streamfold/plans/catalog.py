@@ -273,16 +273,16 @@ def q_route_projected(spark, sf_dir):
 
 
 def q_store_increments(spark, sf_dir):
-    """K1: the aligned rows of one query in two batches, then those of a query
-    with a new checkpoint (its batches start again at 0), folded by A1."""
+    """K1: what micro-batches of a document sink leave in files (two of one
+    query, one of a query with a new checkpoint, whose numbers start again at
+    0), folded when read."""
     rows = _aligned_doc(spark, sf_dir)
     path = f"{checkpoint_subdir(spark, 'stores')}/doc-{uuid.uuid4().hex}"
-    sink = stores.KeyedFolder(spark, path, S.DOC_KEY,
-                              fold=lambda d: merge.merge_latest_nonnull(d, S.DOC_FIELDS, S.DOC_KEY, ORDER))
     part = F.pmod(F.col("_seq"), F.lit(3))
     for k, (owner, batch) in enumerate((("first", 0), ("first", 1), ("second", 0))):
-        sink.write(rows.filter(part == k), batch, owner)
-    return sink.current()
+        increment = merge.partial_nonnull(rows.filter(part == k), S.DOC_FIELDS, S.DOC_KEY, ORDER)
+        stores.append_batch(increment, path, batch, owner)
+    return merge.fold_nonnull(spark.read.parquet(path), S.DOC_FIELDS, S.DOC_KEY)
 
 
 def q_latency_stats(spark, sf_dir):

@@ -23,10 +23,13 @@ Spark plans the DAG; there is no scheduler or code generation here.
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streamfold.functions import declare as D
 from streamfold.functions.schema import declared_fields, primary_key
@@ -70,15 +73,101 @@ def node_sql(node: dict) -> str:
     return str(node.get("sql") or node.get("flink_sql") or props.get("sql") or "").strip()
 
 
+# ``INSERT INTO <sink> [(columns)] <query>``
+INSERT = re.compile(r"^INSERT\s+INTO\s+`?([\w.]+)`?\s*(\((?:[^()']*)\))?\s*((?:SELECT|WITH)\b.*)$", re.I | re.S)
+
+
+@dataclass
+class InsertJob:
+    """One INSERT INTO of a node's text: the query and the sink it fills."""
+
+    name: str
+    sink: dict
+    columns: list[str] | None
+    query: str
+
+
+def node_inserts(spec: dict, errors: dict | None = None) -> list[InsertJob]:
+    """The INSERT INTO statements of the nodes' text.  A sink goes by its id,
+    its label or its table name; an unknown one raises, or is noted in
+    ``errors``."""
+    names: dict[str, dict] = {}
+    for n in spec["nodes"]:
+        if n["node_type"] in SINK_TYPES:
+            table = (n.get("properties") or {}).get("table")
+            for name in (n["id"], n.get("label"), table, str(n.get("label", "")).lower().replace(" ", "_").replace("-", "_")):
+                if name:
+                    names.setdefault(str(name).lower(), n)
+    out = []
+    for n in spec["nodes"]:
+        for i, text in enumerate(D.split_top(node_sql(n), ";")):
+            if not (m := INSERT.match(text)):
+                continue
+            name = f"{n['id']}_sql{i}"
+            sink = names.get(m.group(1).lower())
+            if sink is None:
+                if errors is None:
+                    raise ValueError(f"{name}: no sink {m.group(1)!r}")
+                errors[name] = f"no sink {m.group(1)!r}"
+                continue
+            columns = [c.strip("` ") for c in D.split_top(m.group(2)[1:-1])] if m.group(2) else None
+            out.append(InsertJob(name, sink, columns, m.group(3)))
+    return out
+
+
+def topic_views(spec: dict, topic_reader: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
+    """The decoded topic sources by topic name."""
+    return {node_topic(n): decode_source(read_node(topic_reader, n), n, "drop")
+            for n in spec["nodes"] if n["node_type"] == KAFKA}
+
+
+def insert_rows(spark: SparkSession, job: InsertJob, spec: dict, topic_reader) -> DataFrame:
+    """The rows of an INSERT INTO, by position the sink's columns (or the
+    listed ones), aligned to the sink's fields by name."""
+    rows = run_user_sql(spark, job.query, topic_views(spec, topic_reader))
+    fields = node_fields(job.sink)
+    names = job.columns or [f.name for f in fields][:len(rows.columns)]
+    if len(names) != len(rows.columns) or not set(names) <= {f.name for f in fields}:
+        raise ValueError(f"{job.name}: {len(rows.columns)} columns for {names} of {job.sink['id']}")
+    rows = rows.toDF(*names)
+    if job.sink["node_type"] == CLICKHOUSE:
+        return align.align_default_fill(rows, dest_schema(job.sink, fields))
+    return align.align_null_fill(rows, fields)
+
+
+def is_aggregated(rows: DataFrame) -> bool:
+    """Whether a query groups its rows (its analysed plan has an Aggregate), so
+    that a stream of it updates rows it has given before."""
+    plan = rows._jdf.queryExecution().analyzed().toString()
+    return bool(re.search(r"^[ :+~-]*(Aggregate|Deduplicate)\b", plan, re.M))
+
+
 def run_node_sql(spark: SparkSession, spec: dict, topic_reader: Callable[[str], DataFrame]) -> dict[str, DataFrame]:
     """X1 inside X2: run the SQL text of every node that has some and is no
     declaration, with the decoded topic sources as views named by topic.
-    Returns {node id: result}."""
-    nodes = spec["nodes"]
-    views = {node_topic(n): decode_source(read_node(topic_reader, n), n, "drop")
-             for n in nodes if n["node_type"] == KAFKA}
-    results = {n["id"]: run_user_sql(spark, node_sql(n), views) for n in nodes if node_sql(n)}
-    return {k: v for k, v in results.items() if v is not None}
+    Returns {node id: result of its last query}, and {sink id: rows} for what
+    INSERT INTO statements bring a sink."""
+    results: dict[str, DataFrame] = {}
+    views = topic_views(spec, topic_reader)
+    for n in spec["nodes"]:
+        plain = [t for t in D.split_top(node_sql(n), ";") if not INSERT.match(t)]
+        result = run_user_sql(spark, ";".join(plain), views)
+        if result is not None:
+            results[n["id"]] = result
+    for job in node_inserts(spec):
+        rows = insert_rows(spark, job, spec, topic_reader)
+        sid = job.sink["id"]
+        results[sid] = results[sid].unionByName(rows) if sid in results else rows
+    return results
+
+
+def dest_schema(sink: dict, fields) -> T.StructType:
+    """A column-store sink's table: the schema its node carries (Spark's own
+    or its JSON form), else the one the sink would create."""
+    given = (sink.get("properties") or {}).get("dest_schema")
+    if given is None:
+        return align.column_store_schema(fields, node_key(sink, fields))
+    return given if isinstance(given, T.StructType) else T.StructType.fromJson(given)
 
 
 def node_topic(node: dict) -> str:
@@ -127,7 +216,11 @@ def decode_source(messages: DataFrame, node: dict, mode: str) -> DataFrame:
     return D.with_declared(tp.decode_json(messages, node_fields(node), **how), node_declaration(node))
 
 
-def _sink_sources(sink: dict, nodes: dict, edges: list[dict]) -> list[str]:
+def sink_ids(spec: dict) -> list[str]:
+    return [n["id"] for n in spec["nodes"] if n["node_type"] in SINK_TYPES]
+
+
+def sink_sources(sink: dict, nodes: dict, edges: list[dict]) -> list[str]:
     ids = upstream_sources(sink["id"], nodes, edges)
     if sink["node_type"] == MONGODB:
         return ids
@@ -146,7 +239,7 @@ def build_sink(sink: dict, nodes: dict, edges: list[dict], topic_reader: Callabl
     """One sink node's result, or None when no source feeds it.  With
     ``reduce_wide=False`` a wide-column sink's aligned rows are returned
     unfolded, with their order columns (streams fold them per micro-batch)."""
-    src_ids = _sink_sources(sink, nodes, edges)
+    src_ids = sink_sources(sink, nodes, edges)
     if not src_ids:
         log.warning("sink %s has no upstream topic source; nothing flows in", sink["id"])
         return None
@@ -179,7 +272,7 @@ def build_sink(sink: dict, nodes: dict, edges: list[dict], topic_reader: Callabl
         return merge.upsert_last_row(u, fields, key, order) if reduce_wide else u
 
     if kind == CLICKHOUSE:
-        dest = props.get("dest_schema") or align.column_store_schema(fields, key)
+        dest = dest_schema(sink, fields)
         frames = [align.align_default_fill(decode_source(read_node(topic_reader, nodes[s]), nodes[s], "skip"),
                                            dest, passthrough=("_topic", "_offset")) for s in src_ids]
         out = merge.append_fanin(frames)
@@ -227,16 +320,14 @@ def build(spec: dict, topic_reader: Callable[[str], DataFrame], only=None, stric
 def run_user_sql(spark: SparkSession, text: str, views: dict[str, DataFrame] | None = None) -> DataFrame | None:
     """Register ``views`` as temp views and run the user's SQL (Spark SQL
     dialect).  Text starting with CREATE is a declaration and runs nothing;
-    otherwise it is split on ';' (a ';' inside a string literal breaks it,
-    as in the reference) and every statement runs; the last result is
-    returned."""
+    otherwise it is split at each ';' outside quotes and every statement runs;
+    the last result is returned."""
     for name, df in (views or {}).items():
         df.createOrReplaceTempView(name)
     body = (text or "").strip()
     if not body or body.upper().startswith("CREATE"):
         return None
     result = None
-    for stmt in body.split(";"):
-        if stmt.strip():
-            result = spark.sql(stmt)
+    for stmt in D.split_top(body, ";"):
+        result = spark.sql(stmt)
     return result

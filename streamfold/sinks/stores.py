@@ -1,19 +1,21 @@
 """Sinks (K1-K4).
 
 With a store connector on the classpath, hand ``start_spec`` a writer that uses
-the store's own upsert (document and wide-column stores) or append (column
-store).  Without one, the forms below keep the same semantics on files:
-
-* ``KeyedFolder`` (K1, K2): a small stand-in for a keyed store, for tests and
-  offline runs.  Every batch adds one increment; reading folds them.
-* ``append_column_store`` (K3): append, sorted by key within files, with an
-  ``inserted_at`` time stamp.
-* ``topic_rows`` / ``write_topic`` / ``start_topic`` (K4): keyed JSON messages.
-
-A commit is named by (query, batch).  The query is the id that Spark keeps in
-the checkpoint, so a replayed batch is written once, and a query with a new
-checkpoint, whose batch numbers start again at 0, adds to the folder and
-neither skips nor overwrites what another query has stored.
+the store's own upsert (``sinks.guarded`` builds its statements) or append.
+Without one, every micro-batch becomes plain Parquet in a folder of its query
+and batch (``append_batch``), and reading folds them with the merges:
+
+* K1: ``merge.partial_nonnull`` per batch, ``merge.fold_nonnull`` on reading;
+* K2: ``merge.last_rows`` per batch, ``merge.upsert_last_row`` on reading;
+* K3: ``append_column_store``, sorted by key within files, with an
+  ``inserted_at`` time stamp;
+* merged rows without an order (a stream's update mode): ``newest_rows``.
+
+K4: ``topic_rows`` / ``write_topic`` / ``start_topic``, keyed JSON messages.
+
+A query is named by the id that Spark keeps in its checkpoint, so a replayed
+batch overwrites its own folder, and a query with a new checkpoint, whose batch
+numbers start again at 0, adds to what another query has stored.
 """
 
 from __future__ import annotations
@@ -26,9 +28,6 @@ from pyspark.sql import functions as F
 
 from streamfold.functions.scalar import to_json_all
 
-COMMIT = "_commit"
-
-
 def _fs(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
@@ -43,57 +42,45 @@ def query_id(spark: SparkSession, checkpoint: str) -> str | None:
     return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"])["id"]
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file of the driver's own, or None."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    return spark.read.text(path, wholetext=True).first()["value"]
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, put in place whole."""
+    fs, p = _fs(spark, path)
+    draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.new")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(p, False)
+    fs.rename(draft, p)
+
+
+def remove_file(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, False)
+
+
 def any_null(key: list[str]):
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
 
 
-class KeyedFolder:
-    """Increments of rows, folded per key when read.
-
-    ``fold(rows)`` turns all stored rows into the current table (e.g. A1 or A2
-    over their order columns); by default the row of the last commit replaces
-    the one before it.  A NULL key is a group like any other; with
-    ``reject_null_keys`` such rows go to ``rejects()`` instead."""
-
-    def __init__(self, spark: SparkSession, path: str, key: list[str], fold=None, reject_null_keys: bool = False):
-        self.spark, self.path, self.key = spark, path.rstrip("/"), list(key)
-        self.fold, self.reject_null_keys = fold, reject_null_keys
-
-    def commits(self, kind: str = "rows") -> list[tuple[int, str, int]]:
-        """(number, query, batch) of every complete commit, in one listing."""
-        fs, p = _fs(self.spark, f"{self.path}/{kind}/*/_SUCCESS")
-        names = [st.getPath().getParent().getName() for st in fs.globStatus(p) or []]
-        parts = [n.split("~") for n in names]
-        return sorted((int(n), owner, int(batch)) for n, owner, batch in parts)
-
-    def write(self, rows: DataFrame, batch_id: int, owner: str) -> None:
-        done = self.commits()
-        if any((o, b) == (owner, batch_id) for _, o, b in done):
-            return                              # a replay of a stored batch
-        number = done[-1][0] + 1 if done else 0
-        name = f"{number:012d}~{owner}~{batch_id}"
-        if self.reject_null_keys:
-            rows.filter(any_null(self.key)).write.mode("overwrite").parquet(f"{self.path}/rejects/{name}")
-            rows = rows.filter(~any_null(self.key))
-        rows.withColumn(COMMIT, F.lit(number)).write.mode("overwrite").parquet(f"{self.path}/rows/{name}")
-
-    def _read(self, kind: str) -> DataFrame | None:
-        found = [f"{self.path}/{kind}/{n:012d}~{o}~{b}" for n, o, b in self.commits(kind)]
-        return self.spark.read.parquet(*found) if found else None
-
-    def current(self) -> DataFrame | None:
-        rows = self._read("rows")
-        if rows is None:
-            return None
-        if self.fold is not None:
-            return self.fold(rows)
-        names = [c for c in rows.columns if c != COMMIT]
-        row = F.max_by(F.struct(*names), F.col(COMMIT)).alias("_row")
-        return rows.groupBy(*self.key).agg(row).select("_row.*")
-
-    def rejects(self) -> DataFrame | None:
-        """The rows turned away for a NULL key; count them to alert."""
-        return self._read("rejects")
+def append_batch(df: DataFrame, path: str, batch_id: int, owner: str) -> None:
+    """One micro-batch to the folder of its query and batch."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/query={owner}/batch={batch_id}")
+
+
+def newest_rows(stored: DataFrame, key: list[str]) -> DataFrame:
+    """The row of each key that was written last, of batches stored with
+    their time in ``_at``."""
+    names = [c for c in stored.columns if c not in ("_at", "query", "batch")]
+    row = F.max_by(F.struct(*names), F.struct("_at", "batch")).alias("_row")
+    return stored.groupBy(*key).agg(row).select("_row.*")
 
 
 def append_column_store(df: DataFrame, path: str, key: list[str], inserted_at: bool = True,
@@ -107,7 +94,7 @@ def append_column_store(df: DataFrame, path: str, key: list[str], inserted_at: b
     if batch_id is None:
         out.write.mode("append").parquet(path)
     else:
-        out.write.mode("overwrite").parquet(f"{path.rstrip('/')}/query={owner}/batch={batch_id}")
+        append_batch(out, path, batch_id, owner)
 
 
 def topic_rows(df: DataFrame, key_col: str) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from streamfold.functions.scalar import lag_seconds
 from streamfold.functions.schema import Field, as_fields, declared_fields, to_struct
 
 KAFKA_ORDER = ("_kafka_ts", "_topic", "_partition", "_offset")
@@ -28,7 +29,8 @@ META = ["_topic", "_key", "_partition", "_offset", "_kafka_ts"]
 # ---------------------------------------------------------------- S1 reader
 def kafka_options(topics, bootstrap: str, starting: str = "earliest", group_id: str | None = None,
                   pattern: bool = False, max_offsets_per_trigger: int | None = None,
-                  fail_on_data_loss: bool = True) -> dict:
+                  fail_on_data_loss: bool = True, min_offsets_per_trigger: int | None = None,
+                  max_trigger_delay: str | None = None) -> dict:
     """Options for ``spark.read[Stream].format("kafka")``.
 
     Topics are subscribed from the earliest offset.  No consumer group is set
@@ -36,6 +38,9 @@ def kafka_options(topics, bootstrap: str, starting: str = "earliest", group_id:
     over one topic each read all of it.  ``pattern=True`` subscribes by regex
     (several are alternatives), so new topics join without a restart (S6).
     Offsets that have expired raise unless ``fail_on_data_loss=False``.
+    T5: ``min_offsets_per_trigger`` and ``max_trigger_delay`` start a micro-batch
+    at so many messages or after that time, whichever comes first (the reference
+    flushes at 500 rows or 1 s).
     """
     names = [topics] if isinstance(topics, str) else list(topics)
     opts = {"kafka.bootstrap.servers": bootstrap, "startingOffsets": starting,
@@ -48,6 +53,9 @@ def kafka_options(topics, bootstrap: str, starting: str = "earliest", group_id:
         opts["kafka.group.id"] = group_id
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_offsets_per_trigger:
+        opts["minOffsetsPerTrigger"] = str(min_offsets_per_trigger)
+        opts["maxTriggerDelay"] = max_trigger_delay or "1s"
     return opts
 
 
@@ -145,6 +153,55 @@ def decode_json(messages: DataFrame, fields=None, mode: str = "PERMISSIVE",
     return out.select(*cols, corrupt.alias(CORRUPT), *meta)
 
 
+def decode_many(messages: DataFrame, sources: dict[str, tuple]) -> DataFrame:
+    """Messages of several topics, each decoded once per source node that
+    reads its topic: ``sources`` is ``{source id: (topic, fields)}``.  One row
+    per message, with a struct ``_m_<n>`` for the n-th source (NULL for other
+    topics' messages); ``source_rows`` takes a source's rows from it."""
+    text = F.col("value").cast("string")
+    parsed = []
+    for n, (topic, fields) in enumerate(sources.values()):
+        schema = to_struct([Field(f.name, f.type) for f in as_fields(fields)])
+        schema = schema.add(T.StructField(CORRUPT, T.StringType()))
+        m = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+        parsed.append(F.when(F.col("topic") == topic, m).alias(f"_m_{n}"))
+    out = messages.select(*_meta(), F.col("timestamp").alias("_at"), F.col("timestampType").alias("_at_type"),
+                          text.alias("_text"), *parsed)
+    # one test per source whether the message can be read
+    bad = [F.when(F.col("_topic") == topic, F.coalesce(
+        F.col(f"_m_{n}")[CORRUPT], F.when(F.col(f"_m_{n}").isNull() & F.col("_text").isNotNull(), F.col("_text")))
+        .isNotNull()).alias(f"_bad_{n}") for n, (topic, _) in enumerate(sources.values())]
+    return out.select("*", *bad)
+
+
+def source_rows(decoded: DataFrame, sources: dict[str, tuple], source_id: str, mode: str) -> DataFrame:
+    """One source's rows of ``decode_many``.  ``mode`` ``fail`` raises at a bad
+    message (S4a); else it is dropped (S4b, S4c)."""
+    n = list(sources).index(source_id)
+    rows = decoded.filter(F.col("_topic") == sources[source_id][0])
+    m, bad = F.col(f"_m_{n}"), F.col(f"_bad_{n}")
+    cols = [m[f.name].alias(f.name) for f in as_fields(sources[source_id][1])]
+    keep = F.when(bad, F.raise_error(F.lit("bad message in the topic of a document sink")).cast("boolean")) \
+        .otherwise(F.lit(True)) if mode == "fail" else ~bad
+    return rows.filter(keep).select(*cols, *META)
+
+
+def decode_counts(sources: dict[str, tuple], now: Column | None = None) -> list[Column]:
+    """Counters over ``decode_many``, for ``observe``: per source the messages
+    read and the parse errors (S4c) and the lag of messages with a create time
+    (T10), in ms."""
+    now = F.current_timestamp() if now is None else now
+    out = []
+    for n, (topic, _) in enumerate(sources.values()):
+        mine = F.col("_topic") == topic
+        lag = F.when(mine & (F.col("_at_type") == 0), lag_seconds(now, F.col("_at")) * 1000)
+        out += [F.count_if(mine & ~F.col(f"_bad_{n}")).alias(f"read_{n}"),
+                F.count_if(mine & F.col(f"_bad_{n}")).alias(f"bad_{n}"),
+                F.count(lag).alias(f"lag_n_{n}"), F.min(lag).alias(f"lag_min_{n}"),
+                F.avg(lag).alias(f"lag_avg_{n}"), F.max(lag).alias(f"lag_max_{n}")]
+    return out
+
+
 def skip_bad(decoded: DataFrame) -> DataFrame:
     """Drop every bad record (Spark has no per-block skip count)."""
     return decoded.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)

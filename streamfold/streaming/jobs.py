@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 
 from streamfold.operators import align, merge
 from streamfold.session import checkpoint_subdir
-from streamfold.sinks.stores import (KeyedFolder, any_null, append_column_store, query_id, start_topic,
-                                     topic_rows)
+from streamfold.sinks.stores import append_batch, append_column_store, query_id, start_topic, topic_rows
 from streamfold.sources.tables import ENVELOPE
 from streamfold.sources.topics import KAFKA_ORDER, decode_json
 
@@ -57,44 +56,29 @@ def _owner(spark: SparkSession, checkpoint: str):
     return get
 
 
-def start_merge(merged: DataFrame, sink: KeyedFolder | None, name: str, trigger: str = CHECKPOINT_INTERVAL,
-                checkpoint: str | None = None, writer=None, reduce_batch=None, mode: str = "update",
-                share_folder: bool = False):
-    """T8 + K1/K2: the changed rows of every micro-batch to a keyed store:
-    ``writer(batch, batch_id)`` if given, else ``sink``.
-
-    ``reduce_batch(batch)`` folds a micro-batch per key before it is written,
-    for rules whose state the store itself holds (A2: no stream state).  A
-    folder that another query has written to is refused unless
-    ``share_folder``; shared, both queries' rows stay."""
+def start_merge(merged: DataFrame, path: str | None, name: str, trigger: str = CHECKPOINT_INTERVAL,
+                checkpoint: str | None = None, writer=None, mode: str = "update"):
+    """T8 + K1: the changed rows of every micro-batch, whose merge the stream's
+    state holds, to ``writer(batch, batch_id)`` or to the folder of their query
+    and batch under ``path``; ``stores.newest_rows`` reads the current table."""
     spark = merged.sparkSession
     ck = checkpoint or checkpoint_subdir(spark, os.path.join("streams", name))
-    if writer is None and sink.commits() and query_id(spark, ck) is None and not share_folder:
-        raise ValueError(f"{sink.path} holds rows of another query; pass share_folder=True to add to them, "
-                         "or start from that query's checkpoint")
     owner = _owner(spark, ck)
-
-    def each(batch: DataFrame, batch_id: int):
-        rows = reduce_batch(batch) if reduce_batch else batch
-        if writer is not None:
-            writer(rows, batch_id)
-        else:
-            sink.write(rows, batch_id, owner())
-
+    each = writer or (lambda b, i: append_batch(b.withColumn("_at", F.current_timestamp()), path, i, owner()))
     return _started(merged, each, name, mode, trigger, ck)
 
 
 def start_append(rows: DataFrame, path: str, key: list[str], name: str,
-                 trigger: str = FLUSH_INTERVAL, checkpoint: str | None = None, writer=None):
-    """K3 + T5: append the aligned rows, sorted by key within files, one
-    folder per query and batch (a replay overwrites its own folder), or hand
-    them to ``writer(batch, batch_id)``.  For the reference's flush at 500
-    rows, read with ``max_offsets_per_trigger``."""
+                 trigger: str = FLUSH_INTERVAL, checkpoint: str | None = None, writer=None, mode: str = "append"):
+    """K3: append the aligned rows, sorted by key within files, one folder per
+    query and batch (a replay overwrites its own folder), or hand them to
+    ``writer(batch, batch_id)``.  T5: read with ``min_offsets_per_trigger`` and
+    ``max_trigger_delay`` for the reference's flush at 500 rows or 1 s."""
     spark = rows.sparkSession
     ck = checkpoint or checkpoint_subdir(spark, os.path.join("streams", name))
     owner = _owner(spark, ck)
     each = writer or (lambda b, i: append_column_store(b, path, key, batch_id=i, owner=owner()))
-    return _started(rows, each, name, "append", trigger, ck)
+    return _started(rows, each, name, mode, trigger, ck)
 
 
 def start_fanout(rows: DataFrame, writers: dict, name: str, trigger: str = FLUSH_INTERVAL,
@@ -134,67 +118,101 @@ def windowed_counts(events: DataFrame, ts_col: str, name_col: str, interval: str
             .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "name", "total"))
 
 
-def start_spec(spark: SparkSession, spec: dict, topic_reader, out_dir: str, name: str = "spec",
+class Started(dict):
+    """The running queries by name, and ``errors``: what could not be started."""
+
+    def __init__(self):
+        super().__init__()
+        self.errors: dict[str, str] = {}
+
+
+def start_spec(spark: SparkSession, spec, topic_reader, out_dir: str, name: str = "spec",
                trigger: str = CHECKPOINT_INTERVAL, checkpoint_root: str | None = None,
-               writers: dict | None = None, share_folder: bool = False, **kw) -> dict:
-    """X2 on streams: one streaming query per sink of the spec.
-
-    ``topic_reader(topic)`` returns a streaming envelope DataFrame (e.g.
-    ``read_topic``).  ``writers[node_type](batch, batch_id, node)`` writes a
-    micro-batch to that kind of store; ``store_options(node)`` gives what the
-    node says about it.  Without a writer the rows go to files under
-    ``out_dir/<sink>``.  A document sink's rows are merged in stream state; a
-    wide-column sink's micro-batch is reduced to the last row of each key and
-    upserted, the store being the state; column-store sinks append.  Returns
-    ``{sink id: StreamingQuery}``.
+               writers: dict | None = None, strict: bool = True, ttl_seconds: int | None = None,
+               messages: DataFrame | None = None, order=KAFKA_ORDER, now=None, on_counters=None) -> Started:
+    """X2 on streams: one query (``fanin.FanIn``) for the sinks of the spec.
+
+    ``spec`` is the graph, or a function that reads it anew for every batch, so
+    routes change without a restart (S6).  ``topic_reader(topic)`` returns a
+    streaming envelope DataFrame (e.g. ``read_topic``); ``messages`` may hold
+    all topics instead (a subscription by pattern, so new topics join).
+    ``writers[node_type](rows, batch_id, node)`` writes what a micro-batch
+    changes (``fanin.sink_increment``) to that kind of store, e.g. the ones of
+    ``sinks.guarded``; without one the rows go to files under
+    ``out_dir/<sink>``, read by ``fanin.stored_result``.  With ``ttl_seconds``
+    a document sink of several sources keeps its merge in stream state, as a
+    query of its own, and so does each ``INSERT INTO <sink>`` of a node's text
+    (X1).  A sink that cannot be built raises before anything starts, or with
+    ``strict=False`` is left out and named in ``errors``.
     """
-    from streamfold.functions.schema import primary_key
     from streamfold.plans import spec as X
+    from streamfold.streaming import fanin
+
+    load = spec if callable(spec) else lambda: spec
+    graph = load()
+    nodes = {n["id"]: n for n in graph["nodes"]}
+    edges = graph.get("edges", [])
+    started = Started()
+
+    def folder(query: str) -> str:
+        return (os.path.join(checkpoint_root, query) if checkpoint_root
+                else checkpoint_subdir(spark, os.path.join("streams", query)))
+
+    # what each query would be, built before any of them starts
+    own, shared, plans = {}, [], {}
+    for sid in X.sink_ids(graph):
+        feeds = X.sink_sources(nodes[sid], nodes, edges)
+        if not feeds:
+            continue
+        try:
+            if nodes[sid]["node_type"] == X.MONGODB and ttl_seconds and len(feeds) > 1:
+                own[sid] = X.build_sink(nodes[sid], nodes, edges, topic_reader, order=order, ttl_seconds=ttl_seconds)
+            else:
+                fields = X.node_fields(nodes[sid])
+                merge.check_key(fields, X.node_key(nodes[sid], fields))
+                for s in feeds:
+                    X.node_fields(nodes[s])
+                shared.append(sid)
+        except Exception as ex:  # noqa: BLE001
+            started.errors[sid] = f"{type(ex).__name__}: {ex}"
+    for job in X.node_inserts(graph, started.errors):
+        try:
+            plans[job.name] = (job, X.insert_rows(spark, job, graph, topic_reader))
+        except Exception as ex:  # noqa: BLE001
+            started.errors[job.name] = f"{type(ex).__name__}: {ex}"
+    if started.errors and strict:
+        raise ValueError(f"sinks failed to build: {started.errors}")
 
-    if kw.get("ttl_seconds"):
+    if own:
         from streamfold.streaming.state import use_rocksdb
         use_rocksdb(spark)          # the TTL merge keeps its state in RocksDB
-    order = kw.get("order", KAFKA_ORDER)
-    sinks = X.build(spec, topic_reader, with_inserted_at=False, strict=False, reduce_wide=False, **kw)
-    nodes = {n["id"]: n for n in spec["nodes"]}
-    queries = {}
-    for sid, df in sinks.items():
-        node = nodes[sid]
-        fields = X.node_fields(node)
-        key = primary_key((node.get("properties") or {}).get("primary_key"), fields)
-        qname = f"{name}_{sid}"
-        path = os.path.join(out_dir, sid)
-        ck = (os.path.join(checkpoint_root, qname) if checkpoint_root
-              else checkpoint_subdir(spark, os.path.join("streams", qname)))
+
+    def writer_of(node):
         store = (writers or {}).get(node["node_type"])
-        writer = (lambda b, i, f=store, n=node: f(b, i, n)) if store else None
-        common = {"trigger": trigger, "checkpoint": ck, "writer": writer}
-        if node["node_type"] == X.CLICKHOUSE:
-            queries[sid] = start_append(df, path, key, qname, **common)
-        elif node["node_type"] == X.SCYLLADB:
-            fold = lambda d, f=fields, k=key: merge.upsert_last_row(d, f, k, order)
-            if writer:
-                queries[sid] = start_merge(df, None, qname, mode="append", reduce_batch=fold, **common)
-            else:       # files have no upsert: keep the last rows with their order, fold on reading
-                sink = KeyedFolder(spark, path, key, fold=fold, reject_null_keys=True)
-                last = lambda d, f=fields, k=key: last_rows(d, f, k, order)
-                queries[sid] = start_merge(df, sink, qname, mode="append", reduce_batch=last,
-                                           share_folder=share_folder, **common)
+        return (lambda b, i: store(b, i, node)) if store else None
+
+    for sid, merged in own.items():
+        started[sid] = start_merge(merged, os.path.join(out_dir, sid), f"{name}_{sid}", trigger,
+                                   folder(f"{name}_{sid}"), writer_of(nodes[sid]))
+    for query, (job, rows) in plans.items():
+        mode = "update" if X.is_aggregated(rows) else "append"
+        path = os.path.join(out_dir, job.sink["id"])
+        common = {"trigger": trigger, "checkpoint": folder(f"{name}_{query}"), "writer": writer_of(job.sink)}
+        if job.sink["node_type"] == X.CLICKHOUSE:
+            key = X.node_key(job.sink, X.node_fields(job.sink))
+            started[query] = start_append(rows, path, key, f"{name}_{query}", mode=mode, **common)
         else:
-            sink = None if writer else KeyedFolder(spark, path, key)
-            queries[sid] = start_merge(df, sink, qname, share_folder=share_folder, **common)
-    return queries
-
-
-def last_rows(batch: DataFrame, fields, key: list[str], order) -> DataFrame:
-    """The last row of each key with its order columns, and every row whose
-    key is NULL (the sink rejects and counts those)."""
-    from streamfold.functions.schema import as_fields
-
-    cols = list(dict.fromkeys([*[f.name for f in as_fields(fields)], *order]))
-    last = (batch.filter(~any_null(key)).groupBy(*key)
-            .agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("_row")).select("_row.*"))
-    return last.unionByName(batch.filter(any_null(key)).select(*cols))
+            started[query] = start_merge(rows, path, f"{name}_{query}", mode=mode, **common)
+    if shared or callable(spec):
+        if messages is None:
+            topics = dict.fromkeys(s for sid in shared for s in X.sink_sources(nodes[sid], nodes, edges))
+            by_topic = {X.node_topic(nodes[s]): nodes[s] for s in topics}       # each topic is read once
+            messages = merge.union_all([X.read_node(topic_reader, n) for n in by_topic.values()])
+        left_out = set(own) | set(started.errors)
+        work = fanin.FanIn(spark, load, out_dir, folder(name), lambda sid: sid not in left_out, writers, order, now,
+                           on_counters)
+        started["fanin"] = fanin.start_fanin(messages, work, name, trigger)
+    return started
 
 
 # Node properties that say where a store is and what to write.

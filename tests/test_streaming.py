@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from streamfold.operators import enrich, merge
 from streamfold.plans import sinks_spec as S
-from streamfold.sinks.stores import KeyedFolder, append_column_store, query_id, topic_rows
+from streamfold.sinks.stores import append_column_store, newest_rows, query_id, topic_rows
 from streamfold.sources import tables as tb
 from streamfold.sources import topics as tp
 from streamfold.streaming import jobs, state
@@ -25,13 +25,13 @@ def test_doc_merge_stream_equals_batch(spark):
     msgs = jobs.envelope_files_stream(spark, f"{d}/in", max_files_per_trigger=2)
     srcs = {t: jobs.decoded_stream(msgs.filter(F.col("topic") == t), f) for t, f in tb.TOPIC_FIELDS.items()}
     merged = jobs.doc_merge_stream(srcs, S.DOC_FIELDS, S.DOC_KEY, S.DOC_MAPPING, tp.KAFKA_ORDER)
-    snap = KeyedFolder(spark, f"{d}/snap", S.DOC_KEY)
-    q = jobs.start_merge(merged, snap, "doc_merge_test", trigger="1 second", checkpoint=f"{d}/ck")
+    q = jobs.start_merge(merged, f"{d}/snap", "doc_merge_test", trigger="1 second", checkpoint=f"{d}/ck")
     try:
         q.processAllAvailable()
     finally:
         q.stop()
-    got = sorted(tuple(r) for r in snap.current().select(*[f.name for f in S.DOC_FIELDS]).collect())
+    snap = newest_rows(spark.read.parquet(f"{d}/snap"), S.DOC_KEY)
+    got = sorted(tuple(r) for r in snap.select(*[f.name for f in S.DOC_FIELDS]).collect())
     bmsgs = spark.read.parquet(f"{d}/in")
     bsrcs = {t: tp.skip_bad(tp.decode_json(bmsgs.filter(F.col("topic") == t), f))
              for t, f in tb.TOPIC_FIELDS.items()}
@@ -40,78 +40,28 @@ def test_doc_merge_stream_equals_batch(spark):
     assert len(got) == 15 and got == exp   # 15 users at sf0.001
 
 
-def test_folder_replays_nulls_and_rejects(spark):
-    d = tempfile.mkdtemp(prefix="sf-snap-")
-    b0 = spark.createDataFrame([("a", 1), ("b", 2), (None, 9)], "k string, v long")
-    for reject in (False, True):
-        snap = KeyedFolder(spark, f"{d}/t{reject}", ["k"], reject_null_keys=reject)
-        snap.write(b0, 0, "q")
-        snap.write(spark.createDataFrame([("a", 5)], "k string, v long"), 1, "q")
-        snap.write(spark.createDataFrame([("a", 99)], "k string, v long"), 1, "q")   # replay: stored already
-        got = sorted((tuple(r) for r in snap.current().collect()), key=str)
-        assert got == sorted([("a", 5), ("b", 2)] + [(None, 9)] * (not reject), key=str)
-        assert (snap.rejects().count() if reject else snap.rejects()) == (1 if reject else None)
-
-
 def test_new_checkpoint_neither_skips_nor_overwrites(spark):
-    """Two queries, two checkpoints, one folder each for K1, K2 and K3: the
-    second one's batches start at 0 again, and every row of both is there."""
-    import pytest
-
+    """Two queries, two checkpoints, one folder each for K1 and K3: the second
+    one's batches start at 0 again, and every row of both is there."""
     d = tempfile.mkdtemp(prefix="sf-own-")
     schema = "k string, v long"
     for n, rows in (("1", [("a", 1), ("b", 2)]), ("2", [("b", 3), ("c", 4)])):
         spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{d}/in{n}")
-
-    def run(n, share):
+    for n in ("1", "2"):
         s = spark.readStream.schema(schema).parquet(f"{d}/in{n}")
-        qs = [jobs.start_merge(s, KeyedFolder(spark, f"{d}/keyed", ["k"]), f"own_m{n}", trigger="1 second",
-                               checkpoint=f"{d}/ckm{n}", mode="append", share_folder=share),
-              jobs.start_append(s, f"{d}/append", ["k"], f"own_a{n}", trigger="1 second", checkpoint=f"{d}/cka{n}")]
-        for q in qs:
+        for q in (jobs.start_merge(s, f"{d}/keyed", f"own_m{n}", trigger="1 second", checkpoint=f"{d}/ckm{n}", mode="append"),
+                  jobs.start_append(s, f"{d}/append", ["k"], f"own_a{n}", trigger="1 second", checkpoint=f"{d}/cka{n}")):
             q.processAllAvailable()
             q.stop()
-
-    run("1", False)
-    with pytest.raises(ValueError, match="another query"):
-        run("2", False)
-    run("2", True)
-    folder = KeyedFolder(spark, f"{d}/keyed", ["k"])
-    assert sorted(tuple(r) for r in folder.current().collect()) == [("a", 1), ("b", 3), ("c", 4)]
-    assert len({o for _, o, _ in folder.commits()}) == 2 and {b for _, _, b in folder.commits()} == {0}
-    assert query_id(spark, f"{d}/ckm1") in {o for _, o, _ in folder.commits()}
+    stored = spark.read.parquet(f"{d}/keyed")
+    assert sorted(tuple(r) for r in newest_rows(stored, ["k"]).collect()) == [("a", 1), ("b", 3), ("c", 4)]
+    assert {r["query"] for r in stored.collect()} == {query_id(spark, f"{d}/ckm{n}") for n in "12"}
     out = spark.read.parquet(f"{d}/append")
     assert sorted((r["k"], r["v"]) for r in out.collect()) == [("a", 1), ("b", 2), ("b", 3), ("c", 4)]
     append_column_store(spark.createDataFrame([("z", 1)], schema), f"{d}/plain", ["k"])
     assert spark.read.parquet(f"{d}/plain").count() == 1
 
 
-def test_spec_writers_get_every_node_type(spark):
-    """A recording writer per node type: what it got, folded, is the batch result."""
-    from streamfold.plans import catalog
-    from streamfold.plans import spec as X
-    d = tempfile.mkdtemp(prefix="sf-writers-")
-    _write_envelopes(spark, tb.topics_union(spark, SF), f"{d}/in", 3)
-    stream = jobs.envelope_files_stream(spark, f"{d}/in", max_files_per_trigger=3)
-    got = {}
-
-    def record(batch, batch_id, node):
-        got.setdefault(node["id"], []).extend(tuple(r) for r in batch.drop("inserted_at").collect())
-
-    qs = jobs.start_spec(spark, catalog.stand_in_spec(), lambda t: stream.filter(F.col("topic") == t), f"{d}/out",
-                         name="spec_w", trigger="1 second", checkpoint_root=f"{d}/ck",
-                         writers={k: record for k in X.SINK_TYPES})
-    for q in qs.values():
-        q.processAllAvailable()
-        q.stop()
-    batch = catalog._spec_sinks(spark, SF, with_inserted_at=False)
-    for sid in ("doc", "wide"):         # one micro-batch holds everything
-        assert sorted(got[sid], key=str) == sorted((tuple(r) for r in batch[sid].collect()), key=str), sid
-    assert len(got["col"]) == batch["col"].count()
-    assert not os.path.exists(f"{d}/out")
-    assert jobs.store_options({"properties": {"uri": "u", "collection": "c", "x": 1}}) == {"uri": "u", "collection": "c"}
-
-
 def test_enrichment_job(spark):
     """S7 + S8 -> J1 -> P4 -> K4 as one streaming query."""
     import json
@@ -259,28 +209,6 @@ def test_idle_merge_stream_merges_latest_nonnull(spark):
     assert got == [("x", 1.0, "b"), ("y", 5.0, None)]
 
 
-def test_spec_as_streams_equals_batch(spark):
-    from streamfold.plans import catalog
-    d = tempfile.mkdtemp(prefix="sf-spec-")
-    _write_envelopes(spark, tb.topics_union(spark, SF), f"{d}/in", 4)
-    stream = jobs.envelope_files_stream(spark, f"{d}/in", max_files_per_trigger=2)
-    qs = jobs.start_spec(spark, catalog.stand_in_spec(), lambda t: stream.filter(F.col("topic") == t),
-                         f"{d}/out", name="spec_test", trigger="1 second", checkpoint_root=f"{d}/ck")
-    try:
-        for q in qs.values():
-            q.processAllAvailable()
-    finally:
-        for q in qs.values():
-            q.stop()
-    batch = catalog._spec_sinks(spark, SF, with_inserted_at=False)
-    for sid in ("doc", "wide"):
-        fold = None if sid == "doc" else lambda x: merge.upsert_last_row(x, S.WIDE_FIELDS, S.WIDE_KEY, tp.KAFKA_ORDER)
-        got = sorted(tuple(r) for r in KeyedFolder(spark, f"{d}/out/{sid}", ["symbol"], fold=fold).current().collect())
-        assert got == sorted(tuple(r) for r in batch[sid].collect()), sid
-    col = spark.read.parquet(f"{d}/out/col")
-    assert col.count() == batch["col"].count()
-
-
 def test_shared_checkpoint_dir_reads_session(spark):
     from streamfold.session import checkpoint_subdir, shared_checkpoint_dir
     d = shared_checkpoint_dir(spark)
@@ -289,19 +217,19 @@ def test_shared_checkpoint_dir_reads_session(spark):
 
 
 def test_increments_equal_full_merge(spark):
+    """Increments in any order, one of them twice, fold to the merge of all rows."""
     from streamfold.plans import catalog
-    d = tempfile.mkdtemp(prefix="sf-msnap-")
     order = ["_ts", "_seq"]
     cuts = ["2024-01-10", "2024-01-20"]
-    parts = [F.col("_ts") < cuts[0], (F.col("_ts") >= cuts[0]) & (F.col("_ts") < cuts[1]), F.col("_ts") >= cuts[1]]
-    for name, rows, fold in (
-            ("a1", catalog._aligned_doc(spark, SF), lambda x: merge.merge_latest_nonnull(x, S.DOC_FIELDS, S.DOC_KEY, order)),
-            ("a2", catalog._aligned_wide(spark, SF), lambda x: merge.upsert_last_row(x, S.WIDE_FIELDS, S.WIDE_KEY, order))):
-        sink = KeyedFolder(spark, f"{d}/{name}", ["symbol"], fold=fold)
-        for i, p in enumerate(parts):
-            sink.write(rows.filter(p), i, "q")
-        sink.write(rows.filter(parts[0]), 0, "q")        # replay of an old increment
-        assert sorted(tuple(r) for r in sink.current().collect()) == sorted(tuple(r) for r in fold(rows).collect())
+    parts = [F.col("_ts") >= cuts[1], F.col("_ts") < cuts[0], (F.col("_ts") >= cuts[0]) & (F.col("_ts") < cuts[1]),
+             F.col("_ts") < cuts[0]]
+    doc, wide = catalog._aligned_doc(spark, SF), catalog._aligned_wide(spark, SF)
+    stored = merge.union_all([merge.partial_nonnull(doc.filter(p), S.DOC_FIELDS, S.DOC_KEY, order) for p in parts])
+    assert sorted(tuple(r) for r in merge.fold_nonnull(stored, S.DOC_FIELDS, S.DOC_KEY).collect()) == \
+        sorted(tuple(r) for r in merge.merge_latest_nonnull(doc, S.DOC_FIELDS, S.DOC_KEY, order).collect())
+    stored = merge.union_all([merge.last_rows(wide.filter(p), S.WIDE_FIELDS, S.WIDE_KEY, order) for p in parts])
+    assert sorted(tuple(r) for r in merge.upsert_last_row(stored, S.WIDE_FIELDS, S.WIDE_KEY, order).collect()) == \
+        sorted(tuple(r) for r in merge.upsert_last_row(wide, S.WIDE_FIELDS, S.WIDE_KEY, order).collect())
 
 
 def test_spec_stream_with_ttl_single_batch(spark):
@@ -315,14 +243,15 @@ def test_spec_stream_with_ttl_single_batch(spark):
     spec["nodes"] = [n for n in spec["nodes"] if n["id"] not in ("col", "wide", "orphan")]
     qs = jobs.start_spec(spark, spec, lambda t: stream.filter(F.col("topic") == t), f"{d}/out",
                          name="spec_ttl", trigger="1 second", checkpoint_root=f"{d}/ck", ttl_seconds=3600)
-    snap = KeyedFolder(spark, f"{d}/out/doc", ["symbol"])
     got = []
     try:
         deadline = time.time() + 150
         while time.time() < deadline:
             time.sleep(3)
-            cur = snap.current()
-            if cur is not None and cur.count() == 15:
+            if not os.path.exists(f"{d}/out/doc"):
+                continue
+            cur = newest_rows(spark.read.parquet(f"{d}/out/doc"), ["symbol"])
+            if cur.count() == 15:
                 got = sorted(tuple(r) for r in cur.collect())
                 break
     finally:
