@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from streamfold.operators import align, merge
 from streamfold.session import checkpoint_subdir
-from streamfold.sinks.stores import append_batch, append_column_store, query_id, start_topic, topic_rows
+from streamfold.sinks.stores import append_batch, append_column_store, query_id, topic_rows
 from streamfold.sources.tables import ENVELOPE
 from streamfold.sources.topics import KAFKA_ORDER, decode_json
 
@@ -229,23 +229,27 @@ def start_enrichment(trades: DataFrame, quotes: DataFrame, name: str, checkpoint
                      trigger: str = FLUSH_INTERVAL, writer=None, bootstrap: str | None = None,
                      topic: str = "enriched"):
     """The enrichment job: trade and quote messages (envelopes) are decoded
-    (S7, S8), each trade takes the latest quote of its symbol (J1) and its
-    percent change (P4), and leaves as a keyed message (K4) for
-    ``writer(messages, batch_id)`` or a Kafka topic."""
+    (S7, S8), each trade takes the latest quote of its symbol (J1, ``asof``)
+    and its percent change (P4), and leaves as a keyed message (K4) for
+    ``writer(messages, batch_id)`` or a Kafka topic (at least once, as Kafka
+    writes are)."""
     from streamfold.functions.scalar import pct_change
     from streamfold.operators.enrich import QUOTE_FIELDS
+    from streamfold.sinks.stores import kafka_sink_options
     from streamfold.sources.topics import decode_quotes, decode_trades
-    from streamfold.streaming.state import enrich_stream, use_rocksdb
+    from streamfold.streaming.asof import start_asof
 
-    spark = trades.sparkSession
-    use_rocksdb(spark)
-    ck = checkpoint or checkpoint_subdir(spark, os.path.join("streams", name))
     seq = (F.col("_offset") * 1000 + F.col("_tick_idx")).alias("seq")
     t = decode_trades(trades).select("symbol", "price", "volume", "timestamp", F.col("_kafka_ts").alias("at"), seq)
     q = decode_quotes(quotes, with_fetched_at=False).select(
         "symbol", *QUOTE_FIELDS, F.col("_kafka_ts").alias("at"), F.col("_offset").alias("seq"))
-    out = (enrich_stream(t, q, "symbol", "at", "seq", QUOTE_FIELDS)
-           .withColumn("pct_change", pct_change("price", "quote_prev_close")).drop("at", "seq"))
-    if writer is None:
-        return start_topic(out, "symbol", bootstrap, topic, ck, name)
-    return _started(out, lambda b, i: writer(topic_rows(b, "symbol"), i), name, "append", trigger, ck)
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows = rows.withColumn("pct_change", pct_change("price", "quote_prev_close")).drop("at", "seq")
+        messages = topic_rows(rows, "symbol")
+        if writer is not None:
+            writer(messages, batch_id)
+        else:
+            messages.write.format("kafka").options(**kafka_sink_options(bootstrap, topic)).save()
+
+    return start_asof(t, q, ["symbol"], "at", "seq", QUOTE_FIELDS, name, write, checkpoint=checkpoint, trigger=trigger)

@@ -1,6 +1,6 @@
-"""Custom stateful stream operators (J1 stream, A4 stream).
+"""Custom stateful stream operator (A4 stream).
 
-Both run as ``transformWithStateInPandas`` processors keyed by the merge
+It runs as a ``transformWithStateInPandas`` processor keyed by the merge
 key; Spark partitions the keys over executors, keeps the state in its
 fault-tolerant state store (RocksDB) and checkpoints it with the query.
 Inside a group the work on one micro-batch is vectorised pandas.  Columns
@@ -25,73 +25,6 @@ def use_rocksdb(spark) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-class LatestQuote(StatefulProcessor):
-    """J1 on a stream: per key, the last quote seen (by arrival across
-    micro-batches, by ``(time, kind, seq)`` inside one) is kept in a value
-    state; every trade leaves with the quote current at its position.
-
-    A key's rows of one micro-batch are sorted together, so the group is
-    bounded by the trigger size (``max_offsets_per_trigger`` of
-    ``read_topic``), not by the stream.  The lookup is vectorised: each
-    trade indexes the quote table by its count of preceding quotes."""
-
-    def __init__(self, quote_schema: T.StructType, left_cols: list[str], key_cols: list[str]):
-        self.quote_schema, self.left_cols, self.key_cols = quote_schema, left_cols, key_cols
-        self.qcols = [f.name for f in quote_schema.fields]
-
-    def init(self, handle) -> None:
-        self.state = handle.getValueState("quote", self.quote_schema)
-
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["o_t", "o_kind", "o_s"], kind="stable")
-        is_q = (pdf["o_kind"] == 0).to_numpy()
-        qnames = [f"q_{c}" for c in self.qcols]
-        # quote table: row 0 = the quote carried from earlier batches (if
-        # any), then this batch's quotes in order; a trade takes row gid,
-        # the number of quotes at or before it
-        prior = self.state.get() if self.state.exists() else None
-        head = pd.DataFrame([list(prior) if prior is not None else [None] * len(qnames)], columns=qnames)
-        table = pd.concat([head, pdf.loc[is_q, qnames]], ignore_index=True)
-        gid = np.cumsum(is_q)[~is_q]
-        keep = gid > 0 if prior is None else np.ones(len(gid), dtype=bool)
-        if is_q.any():
-            last = table.iloc[-1]
-            self.state.update(tuple(v.item() if hasattr(v, "item") else v for v in last))
-        if keep.any():
-            out = pdf.loc[~is_q, [f"l_{c}" for c in self.left_cols]][keep].reset_index(drop=True)
-            out.columns = self.left_cols
-            hit = table.iloc[gid[keep]].reset_index(drop=True)
-            hit.columns = [f"quote_{c}" for c in self.qcols]
-            yield pd.concat([out, hit], axis=1)
-
-    def close(self) -> None:
-        pass
-
-
-def enrich_stream(trades: DataFrame, quotes: DataFrame, key: str, ts_col: str, seq_col: str,
-                  quote_cols: list[str], right_ts_col: str | None = None,
-                  right_seq_col: str | None = None) -> DataFrame:
-    """Streaming J1: trades with the latest quote of their key (inner)."""
-    right_ts_col, right_seq_col = right_ts_col or ts_col, right_seq_col or seq_col
-    left_cols = trades.columns
-    qf = {f.name: f.dataType for f in quotes.schema.fields}
-    lf = {f.name: f.dataType for f in trades.schema.fields}
-    q = quotes.select(F.col(key).alias("k_key"), F.col(right_ts_col).cast("timestamp").alias("o_t"),
-                      F.lit(0).alias("o_kind"), F.col(right_seq_col).cast("long").alias("o_s"),
-                      *[F.col(c).alias(f"q_{c}") for c in quote_cols],
-                      *[F.lit(None).cast(lf[c]).alias(f"l_{c}") for c in left_cols])
-    t = trades.select(F.col(key).alias("k_key"), F.col(ts_col).cast("timestamp").alias("o_t"),
-                      F.lit(1).alias("o_kind"), F.col(seq_col).cast("long").alias("o_s"),
-                      *[F.lit(None).cast(qf[c]).alias(f"q_{c}") for c in quote_cols],
-                      *[F.col(c).alias(f"l_{c}") for c in left_cols])
-    u = q.unionByName(t).filter(F.col("k_key").isNotNull())
-    qschema = T.StructType([T.StructField(c, qf[c]) for c in quote_cols])
-    out_schema = T.StructType([T.StructField(c, lf[c]) for c in left_cols]
-                              + [T.StructField(f"quote_{c}", qf[c]) for c in quote_cols])
-    return u.groupBy("k_key").transformWithStateInPandas(
-        LatestQuote(qschema, left_cols, ["k_key"]), out_schema, "Append", "None")
-
-
 def _rank(order: tuple) -> tuple:
     """Order keys as comparable pairs, NULL before everything."""
     return tuple((v is not None, v if v is not None else 0) for v in order)

@@ -86,39 +86,74 @@ def test_enrichment_job(spark):
     assert json.loads(got[0][1])["pct_change"] == 25.0
 
 
-def test_enrich_stream_equals_batch_across_batches(spark):
-    state.use_rocksdb(spark)
+def _asof_out(spark, d, trades, quotes, parts, name, **kw):
+    """Runs the streaming as-of join over the parts of both sides, one
+    micro-batch a part, and returns the rows it wrote, by batch."""
+    from streamfold.streaming.asof import start_asof
+    got, plans, qs = {}, [], None
+
+    def write(rows, batch_id):
+        got[batch_id] = [tuple(r) for r in rows.drop("_ts").collect()]
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+
+    for t, q in parts(trades, quotes):
+        t.select(F.lit("t").alias("side"), F.struct("*").alias("t"), F.lit(None).cast(_kind(quotes)).alias("q")) \
+            .unionByName(q.select(F.lit("q").alias("side"), F.lit(None).cast(_kind(trades)).alias("t"), F.struct("*").alias("q"))) \
+            .coalesce(1).write.mode("append").parquet(f"{d}/in")
+        if qs is None:
+            s = spark.readStream.schema(spark.read.parquet(f"{d}/in").schema).parquet(f"{d}/in")
+            qs = start_asof(s.filter("side = 't'").select("t.*"), s.filter("side = 'q'").select("q.*"), ["symbol"], "_ts",
+                            "_seq", enrich.QUOTE_FIELDS, name, write, checkpoint=f"{d}/ck", **kw)
+        qs.processAllAvailable()
+    qs.stop()
+    return got, plans
+
+
+def _kind(df):
+    return df.select(F.struct("*").alias("x")).schema["x"].dataType
+
+
+def test_asof_stream_equals_batch_across_batches(spark):
+    """Four micro-batches in time order, a third of the rows on one symbol:
+    the batch result, dealt out by symbol and chunk."""
     d = tempfile.mkdtemp(prefix="sf-enrich-")
-    trades, quotes = tb.trades(spark, SF), tb.quotes(spark, SF)
-    cut = "2024-01-15 00:00:00"
-    env = lambda df, topic: df.select(
-        F.lit(topic).alias("topic"), F.col("symbol").alias("key"), F.to_json(F.struct(*df.columns)).alias("value"),
-        F.lit(0).alias("partition"), F.col("_seq").alias("offset"), F.col("_ts").cast("timestamp").alias("timestamp"),
-        F.lit(0).alias("timestampType"))
-    both = env(trades, "trades").unionByName(env(quotes, "quotes"))
-    both.filter(F.col("timestamp") < cut).coalesce(1).write.parquet(f"{d}/in/part1")
-    tschema = "symbol string, price double, volume double, timestamp long, _ts timestamp, _seq long"
-    qschema = ("symbol string, current double, high double, low double, open double, prev_close double, "
-               "timestamp long, _ts timestamp, _seq long")
-
-    def dec(m, schema):
-        return m.select(F.from_json("value", schema).alias("m")).select("m.*")
-
-    s = spark.readStream.schema(tb.ENVELOPE).option("recursiveFileLookup", "true").parquet(f"{d}/in")
-    out = state.enrich_stream(dec(s.filter("topic = 'trades'"), tschema), dec(s.filter("topic = 'quotes'"), qschema),
-                              "symbol", "_ts", "_seq", enrich.QUOTE_FIELDS)
-    q = (out.writeStream.format("memory").queryName("enrich_mem").outputMode("append")
-         .option("checkpointLocation", f"{d}/ck").start())
-    try:
-        q.processAllAvailable()
-        both.filter(F.col("timestamp") >= cut).coalesce(1).write.parquet(f"{d}/in/part2")
-        q.processAllAvailable()
-    finally:
-        q.stop()
-    got = sorted(tuple(r) for r in spark.sql("SELECT * FROM enrich_mem").drop("_ts").collect())
-    exp_df = enrich.asof_latest(trades, quotes, ["symbol"], "_ts", "_seq", enrich.QUOTE_FIELDS, prefix="quote_")
-    exp = sorted(tuple(r) for r in exp_df.drop("_ts").collect())
-    assert len(got) > 100 and got == exp
+    hot = F.when(F.pmod("_seq", F.lit(3)) == 0, F.lit("hot")).otherwise(F.col("symbol")).alias("symbol")
+    trades = tb.trades(spark, SF).withColumn("symbol", hot)
+    quotes = tb.quotes(spark, SF).withColumn("symbol", hot)
+    cuts = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2025-01-01"]
+
+    def parts(t, q):
+        for a, b in zip(cuts, cuts[1:]):
+            p = (F.col("_ts") >= a) & (F.col("_ts") < b)
+            yield t.filter(p), q.filter(p)
+
+    got, plans = _asof_out(spark, d, trades, quotes, parts, "asof_hot")
+    exp = enrich.asof_latest(trades, quotes, ["symbol"], "_ts", "_seq", enrich.QUOTE_FIELDS, prefix="quote_")
+    assert len(got) == 4
+    assert sorted(r for rows in got.values() for r in rows) == sorted(tuple(r) for r in exp.drop("_ts").collect())
+    assert all("hashpartitioning(symbol" in p and "_chunk" in p for p in plans)
+    assert not any("MapInPandas" in p or "TransformWithState" in p for p in plans)
+
+
+def test_asof_stream_takes_quotes_by_arrival_and_replays_alike(spark):
+    """A quote that arrived in an earlier batch holds for a trade with an older
+    time; a batch that runs again reads the book it read before."""
+    from streamfold.streaming.asof import AsofBatches
+    d = tempfile.mkdtemp(prefix="sf-book-")
+    schema = "left struct<symbol:string,price:double,at:timestamp,seq:long>, right struct<symbol:string,pc:double,at:timestamp,seq:long>"
+    import datetime as dt
+    at = lambda s: dt.datetime(2024, 1, 1, 0, 0, s)
+    b0 = spark.createDataFrame([(None, ("a", 1.0, at(50), 1)), (("a", 9.0, at(40), 1), None), (None, (None, 7.0, at(1), 2))], schema)
+    b1 = spark.createDataFrame([(("a", 8.0, at(10), 2), None), (None, ("a", 2.0, at(20), 3)), (("a", 7.0, at(30), 4), None),
+                                (("b", 6.0, at(30), 5), None)], schema)
+    b2 = spark.createDataFrame([(("a", 5.0, at(1), 6), None)], schema)
+    got = []
+    work = AsofBatches(spark, f"{d}/book", ["symbol"], "at", "seq", ["pc"], "quote_",
+                       lambda rows, i: got.append((i, sorted((r["price"], r["quote_pc"]) for r in rows.collect()))))
+    for i, b in ((0, b0), (1, b1), (2, b2), (1, b1), (2, b2)):
+        work(b, i)
+    assert got == [(0, []), (1, [(7.0, 2.0), (8.0, 1.0)]), (2, [(5.0, 2.0)]), (1, [(7.0, 2.0), (8.0, 1.0)]), (2, [(5.0, 2.0)])]
+    assert work.books() == [0, 1]
 
 
 def test_topic_rows_keep_nulls(spark):
