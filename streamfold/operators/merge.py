@@ -25,6 +25,8 @@ from streamfold.functions.schema import as_fields
 
 # Chunk of the rows without a time: before every real one.
 NO_TIME_CHUNK = -(1 << 62)
+# Chunks whose sessions one window finds.
+SPAN_CHUNKS = 4096
 
 
 def _order(order_cols) -> Column:
@@ -145,9 +147,10 @@ def merge_idle_ttl(df: DataFrame, sink_fields, key: list[str], order_cols, ts_co
        the first row of a chunk.
     2. One partial aggregation per (key, chunk): first/last time stamp and,
        per column, the latest non-null value with its order.
-    3. A window over the chunk rows of a key (at most span/TTL rows, not
-       growing with the row count) marks chunks that open a session and
-       finds the last session's first chunk.
+    3. Which chunks open a session is found at two levels: inside a span of
+       ``SPAN_CHUNKS`` chunks by a window over (key, span), and over the span
+       rows of a key (about 7,700 a year at a TTL of one second).  So is the
+       last session's first chunk.
     4. A second aggregation per key over the chunks of that session.
     """
     check_key(sink_fields, key)
@@ -163,14 +166,21 @@ def merge_idle_ttl(df: DataFrame, sink_fields, key: list[str], order_cols, ts_co
         o = F.when(F.col(c).isNotNull(), order)
         per_chunk.append(F.max_by(F.col(c), o).alias(c))
         per_chunk.append(F.max(o).alias(f"_o_{c}"))
-    chunks = chunked.groupBy(*key, "_chunk").agg(*per_chunk)
-
-    w = Window.partitionBy(*key).orderBy("_chunk")
-    prev_last = F.lag("_last").over(w)
-    starts = chunks.withColumn(
+    # the key as one struct: equal where its columns are, NULLs included
+    chunks = (chunked.groupBy(*key, "_chunk").agg(*per_chunk)
+              .withColumn("_k", F.struct(*key)).withColumn("_span", floor_div(F.col("_chunk"), SPAN_CHUNKS)))
+
+    spans = (chunks.groupBy("_k", "_span").agg(F.max("_last").alias("_span_last"))
+             .withColumn("_before", F.lag("_span_last").over(Window.partitionBy("_k").orderBy("_span")))
+             .select("_k", "_span", "_before"))
+    inside = Window.partitionBy("_k", "_span").orderBy("_chunk")
+    prev_last = F.coalesce(F.lag("_last").over(inside), F.col("_before"))
+    starts = chunks.join(spans, ["_k", "_span"]).withColumn(
         "_start", prev_last.isNull() | ((F.col("_first") - prev_last) > ttl_us))
-    last_start = F.max(F.when(F.col("_start"), F.col("_chunk"))).over(Window.partitionBy(*key))
-    session = starts.withColumn("_last_start", last_start).filter(F.col("_chunk") >= F.col("_last_start"))
+    last_start = F.max("_span_start").over(Window.partitionBy("_k")).alias("_last_start")
+    sessions = (starts.groupBy("_k", "_span").agg(F.max(F.when(F.col("_start"), F.col("_chunk"))).alias("_span_start"))
+                .select("_k", "_span", last_start))
+    session = chunks.join(sessions, ["_k", "_span"]).filter(F.col("_chunk") >= F.col("_last_start"))
 
     aggs = [F.max_by(F.col(c), F.col(f"_o_{c}")).alias(c) for c in vals]
     out = session.groupBy(*key).agg(*aggs) if aggs else session.select(*key).distinct()

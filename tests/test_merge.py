@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from streamfold.functions.schema import Field
 from streamfold.operators import merge
@@ -101,3 +102,24 @@ def test_null_times_null_orders_and_keys_alone(spark):
                 merge.merge_idle_ttl(df, only, ["k"], ["ts"], ts_col="ts")):
         assert sorted(str(r["k"]) for r in out.collect()) == ["None", "a", "b"]
     assert sorted(r["k"] for r in merge.upsert_last_row(df, only, ["k"], ["ts"]).collect()) == ["a", "b"]
+
+
+def test_idle_ttl_of_one_second_over_a_year(spark):
+    """One key, a TTL of a second: sessions across span borders, no window over
+    more than a span's chunks."""
+    import re
+
+    from streamfold.functions.schema import Field
+    fields = [Field("k"), Field("a", "BIGINT"), Field("b", "BIGINT")]
+    t = lambda s: F.timestamp_seconds(F.lit(1_700_000_000) + s)
+    # 20,000 rows half a second apart (the last session), then alone rows a day apart before it
+    last = spark.range(20_000).select(F.lit("x").alias("k"), F.when(F.col("id") < 2, F.col("id")).alias("a"),
+                                      F.when(F.col("id") % 3 == 0, F.col("id")).alias("b"), t(F.col("id") / 2).alias("ts"), "id")
+    old = spark.range(365).select(F.lit("x").alias("k"), F.lit(-1).cast("long").alias("a"), F.lit(-1).cast("long").alias("b"),
+                                  t(-86_400 * (F.col("id") + 1)).alias("ts"), (F.col("id") - 1000).alias("id"))
+    null_key = last.limit(3).withColumn("k", F.lit(None).cast("string"))
+    out = merge.merge_idle_ttl(old.unionByName(last).unionByName(null_key), fields, ["k"], ["ts", "id"], "ts", ttl_seconds=1)
+    assert sorted((tuple(r) for r in out.collect()), key=str) == sorted([("x", 1, 19_998), (None, 1, 0)], key=str)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    by = re.findall(r"windowspecdefinition\(([^)]*)", plan)
+    assert by and all("_chunk" not in w or "_span" in w for w in by)
