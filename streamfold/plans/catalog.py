@@ -7,6 +7,7 @@ DuckDB oracle in ``streamfold.plans.oracle``.
 
 from __future__ import annotations
 
+import functools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +17,10 @@ from streamfold.operators import align, enrich, merge, metrics, routing, runs
 from streamfold.plans import sinks_spec as S
 from streamfold.plans import spec as X
 from streamfold.session import checkpoint_subdir
-from streamfold.sinks import stores
+from streamfold.sinks import guarded, stores
 from streamfold.sources import tables as tb
 from streamfold.sources import topics as tp
-from streamfold.streaming import jobs
+from streamfold.streaming import fanin, jobs
 
 ORDER = tb.ORDER
 
@@ -342,6 +343,46 @@ def q_spec_wide_upsert(spark, sf_dir):
     return _spec_sinks(spark, sf_dir, only=["wide"])["wide"]
 
 
+def text_spec() -> dict:
+    """The stand-in spec with what its nodes hold declared as text."""
+    spec = stand_in_spec()
+    for n in spec["nodes"]:
+        props = n["properties"]
+        columns = [f"  `{name}` {kind}" for name, kind in props.pop("_handles")]
+        if n["node_type"] == X.KAFKA:
+            columns += ["  `at` TIMESTAMP(3) METADATA FROM 'timestamp'", "  WATERMARK FOR `at` AS `at` - INTERVAL '5' SECOND"]
+        elif "primary_key" in props:
+            columns.append(f"  PRIMARY KEY ({', '.join(props.pop('primary_key'))}) NOT ENFORCED")
+        n["sql"] = f"CREATE TABLE `{n['id']}` (\n" + ",\n".join(columns) + "\n) WITH ('format' = 'json', 'x' = 'a(b)');"
+    return spec
+
+
+def q_spec_from_text(spark, sf_dir):
+    """S3 + X2: the document sink, its topics and key declared as node text."""
+    reader = lambda t: tb.topic_messages(spark, sf_dir, t)
+    return X.build(text_spec(), reader, only=["doc"])["doc"]
+
+
+def q_wide_statements(spark, sf_dir):
+    """K2: the values of the wide-column store's guarded inserts, write time
+    included, as one batch binds them."""
+    spec = stand_in_spec()
+    sink = next(n for n in spec["nodes"] if n["id"] == "wide")
+    rows = X.build(spec, lambda t: tb.topic_messages(spark, sf_dir, t), only=["wide"], reduce_wide=False)["wide"]
+    return guarded.insert_values(fanin.sink_increment(sink, rows, 3, tp.KAFKA_ORDER), X.node_fields(sink))
+
+
+def q_sql_insert(spark, sf_dir):
+    """INSERT INTO a document sink by its label, aligned to its fields."""
+    spec = stand_in_spec()
+    spec["nodes"] += [
+        {"id": "totals", "node_type": X.MONGODB, "label": "Symbol Totals", "properties": {
+            "_handles": [["symbol", "STRING"], ["n", "BIGINT"], ["top", "DOUBLE"], ["note", "STRING"]]}},
+        {"id": "q", "node_type": "transform", "sql":
+            "INSERT INTO symbol_totals SELECT symbol, count(*), max(price) FROM trades GROUP BY symbol"}]
+    return X.run_node_sql(spark, spec, lambda t: tb.topic_messages(spark, sf_dir, t))["totals"]
+
+
 def _sample_sources(spark, sf_dir):
     return {"orders": tb.sample_orders(spark, sf_dir), "customers": tb.sample_customers(spark, sf_dir)}
 
@@ -379,6 +420,15 @@ def q_user_sql(spark, sf_dir):
     return X.run_user_sql(spark, USER_SQL, tb.decoded_sources(spark, sf_dir))
 
 
+def _alone(query):
+    """A query that opens each of its tables once."""
+    @functools.wraps(query)
+    def run(spark, sf_dir):
+        tb.close_tables()
+        return query(spark, sf_dir)
+    return run
+
+
 QUERIES = {
     "align_mapped": q_align_mapped,
     "align_null_fill": q_align_null_fill,
@@ -418,7 +468,11 @@ QUERIES = {
     "declarative_spec": q_declarative_spec,
     "spec_column_store": q_spec_column_store,
     "spec_wide_upsert": q_spec_wide_upsert,
+    "spec_from_text": q_spec_from_text,
+    "wide_statements": q_wide_statements,
+    "sql_insert": q_sql_insert,
     "user_sql": q_user_sql,
     "seed_wide_merge": q_seed_wide_merge,
     "seed_column_reports": q_seed_column_reports,
 }
+QUERIES = {name: _alone(query) for name, query in QUERIES.items()}

@@ -18,7 +18,7 @@ QUOTES = f"""SELECT CAST(user_id AS VARCHAR) AS symbol, value AS current, value
        value - 1.0 AS low, value + 0.5 AS open, value AS prev_close, {SECS} AS timestamp, ts, event_id
        FROM events WHERE event_type = 'error'"""
 CLICKS = f"""SELECT CAST(user_id AS VARCHAR) AS symbol, {K} AS k, {MS} AS timestamp, ts, event_id
-       FROM events WHERE event_type = 'click'"""
+       FROM events WHERE event_type IN ('click', 'view', 'signup')"""
 
 # document sink, P1 alignment of the three sources
 ALIGNED_DOC = f"""
@@ -119,7 +119,7 @@ FROM ({QUOTES}) WHERE NOT {BAD}"""
 SQL["src_drop_count_bad"] = f"""
 SELECT CASE event_type WHEN 'purchase' THEN 'trades' WHEN 'error' THEN 'quotes' ELSE 'clicks' END AS topic,
        count(*) FILTER (WHERE NOT {BAD}) AS kafka_read, count(*) FILTER (WHERE {BAD}) AS parse_errors
-FROM events WHERE event_type IN ('purchase', 'error', 'click') GROUP BY 1"""
+FROM events GROUP BY 1"""
 
 SQL["decode_trades"] = f"""
 SELECT CAST(user_id AS VARCHAR) AS symbol, value AS price,
@@ -142,7 +142,7 @@ SELECT symbol, current, high, low, open, prev_close, timestamp, "offset" FROM ({
 
 ROUTES = "(VALUES ('trades', 'ticks_wide'), ('quotes', 'ticks_wide'), ('trades', 'ticks_col'), " \
          "('clicks', 'clicks_col')) AS r(topic, target_table)"
-TOPIC_OF = "CASE event_type WHEN 'purchase' THEN 'trades' WHEN 'error' THEN 'quotes' WHEN 'click' THEN 'clicks' END"
+TOPIC_OF = "CASE event_type WHEN 'purchase' THEN 'trades' WHEN 'error' THEN 'quotes' ELSE 'clicks' END"
 ROUTED = f"""
 SELECT r.target_table, e.topic, e.event_id AS offset, CAST(e.user_id AS VARCHAR) AS key
 FROM (SELECT *, {TOPIC_OF} AS topic FROM events) e JOIN {ROUTES} ON e.topic = r.topic"""
@@ -261,13 +261,13 @@ SQL["consumer_lag_at"] = f"""
 SELECT topic, count(*) AS n, min(ms) AS min_ms, round(avg(ms), 1) AS avg_ms, max(ms) AS max_ms FROM (
   SELECT 'trades' AS topic, {_LAG_MS} AS ms FROM events WHERE event_type = 'purchase' AND event_id % 7 <> 0
   UNION ALL SELECT 'quotes', {_LAG_MS} FROM events WHERE event_type = 'error' AND event_id % 7 <> 0
-  UNION ALL SELECT 'clicks', {_LAG_MS} FROM events WHERE event_type = 'click' AND event_id % 7 <> 0)
+  UNION ALL SELECT 'clicks', {_LAG_MS} FROM events WHERE event_type IN ('click', 'view', 'signup') AND event_id % 7 <> 0)
 GROUP BY topic"""
 
 SQL["consumer_lag"] = """
 SELECT CASE event_type WHEN 'purchase' THEN 'trades' WHEN 'error' THEN 'quotes' ELSE 'clicks' END AS topic,
        count(*) AS n, true AS never_negative, true AS in_order
-FROM events WHERE event_type IN ('purchase', 'error', 'click') AND event_id % 7 <> 0 GROUP BY 1"""
+FROM events WHERE event_id % 7 <> 0 GROUP BY 1"""
 
 SQL["windowed_counts"] = """
 SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
@@ -281,7 +281,7 @@ SQL["topic_output"] = """
 SELECT CAST(user_id AS VARCHAR) AS key,
        '{"symbol":"' || user_id || '","k":' || coalesce(json_extract_string(props, '$.k'), 'null')
        || ',"timestamp":' || (epoch_us(ts) // 1000) || '}' AS value
-FROM events WHERE event_type = 'click'"""
+FROM events WHERE event_type IN ('click', 'view', 'signup')"""
 
 SQL["route_projected"] = f"""
 SELECT symbol, price, volume, CAST(NULL AS DOUBLE) AS current, CAST(NULL AS DOUBLE) AS prev_close,
@@ -334,6 +334,19 @@ FROM (SELECT *, row_number() OVER (PARTITION BY symbol
       FROM ({WIDE_TOPICS}) WHERE symbol IS NOT NULL)
 WHERE rn = 1"""
 
+SQL["spec_from_text"] = SQL["declarative_spec"]
+
+SQL["wide_statements"] = f"""
+SELECT symbol, price, volume, current, prev_close, k, timestamp,
+       (epoch_us(ts) // 1000) * 4194304 + event_id % 4194304 AS write_time
+FROM (SELECT *, row_number() OVER (PARTITION BY symbol
+             ORDER BY epoch_us(ts) // 1000 DESC, topic DESC, event_id DESC) AS rn
+      FROM ({WIDE_TOPICS}) WHERE symbol IS NOT NULL)
+WHERE rn = 1"""
+
+SQL["sql_insert"] = f"""
+SELECT symbol, count(*) AS n, max(price) AS top, CAST(NULL AS VARCHAR) AS note FROM ({TRADES}) GROUP BY symbol"""
+
 SQL["user_sql"] = f"""
 SELECT symbol, count(*) AS n_trades, max(price) AS max_price, min(timestamp) AS first_ts
 FROM ({TRADES}) GROUP BY symbol"""

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 ORDER = ("_ts", "_seq")
 
 # The event types standing in for each topic.
-TOPIC_EVENT_TYPE = {"trades": "purchase", "quotes": "error", "clicks": "click"}
+TOPIC_EVENT_TYPE = {"trades": ["purchase"], "quotes": ["error"], "clicks": ["click", "view", "signup"]}
 
 # Declared topic schemas (handles) of the stand-in topics.
 TRADES_FIELDS = [["symbol", "STRING"], ["price", "DOUBLE"], ["volume", "DOUBLE"], ["timestamp", "BIGINT"]]
@@ -43,14 +43,26 @@ BAD_EVERY = 50
 APPEND_TIME_EVERY = 7
 
 
+# The tables a query has opened, so that it lists and reads the schema of each
+# once; ``close_tables`` before the next one.
+_OPEN: dict[tuple, DataFrame] = {}
+
+
+def close_tables() -> None:
+    _OPEN.clear()
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A lazy DataFrame over one driver table, listed anew each time."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A lazy DataFrame over one driver table."""
+    at = (id(spark), f"{sf_dir}/{name}.parquet")
+    if at not in _OPEN:
+        _OPEN[at] = spark.read.parquet(at[1])
+    return _OPEN[at]
 
 
-def _events(spark, sf_dir, event_type: str | None = None) -> DataFrame:
+def _events(spark, sf_dir, event_type: str | list[str] | None = None) -> DataFrame:
     e = read_table(spark, sf_dir, "events")
-    return e if event_type is None else e.filter(F.col("event_type") == event_type)
+    return e if event_type is None else e.filter(F.col("event_type").isin(event_type))
 
 
 def _k():
