@@ -75,11 +75,13 @@ def main(argv=None) -> None:
         if queries.errors:
             raise SystemExit(f"sinks failed: {queries.errors}")
         return
+    from streamfold.sinks.stores import table_schema
     spec = read_spec()
 
     envelopes = spark.read.parquet(a.topics)
     reader = lambda t, **kw: envelopes.filter(F.col("topic") == t)
-    sinks, errors = X.build_with_errors(spec, reader, ttl_seconds=a.ttl or None)
+    sinks, errors = X.build_with_errors(spec, reader, ttl_seconds=a.ttl or None,
+                                         table_schema=lambda sink: table_schema(spark, os.path.join(a.out, sink["id"])))
     try:
         for sid, df in X.run_node_sql(spark, spec, reader).items():
             if sid in sinks:

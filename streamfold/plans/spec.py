@@ -161,12 +161,13 @@ def run_node_sql(spark: SparkSession, spec: dict, topic_reader: Callable[[str],
     return results
 
 
-def dest_schema(sink: dict, fields) -> T.StructType:
+def dest_schema(sink: dict, fields, existing: T.StructType | None = None) -> T.StructType:
     """A column-store sink's table: the schema its node carries (Spark's own
-    or its JSON form), else the one the sink would create."""
+    or its JSON form), else that of the ``existing`` table if the declared
+    columns fit it, else the one the sink would create."""
     given = (sink.get("properties") or {}).get("dest_schema")
     if given is None:
-        return align.column_store_schema(fields, node_key(sink, fields))
+        return align.fitted_schema(align.column_store_schema(fields, node_key(sink, fields)), existing)
     return given if isinstance(given, T.StructType) else T.StructType.fromJson(given)
 
 
@@ -235,8 +236,10 @@ def sink_sources(sink: dict, nodes: dict, edges: list[dict]) -> list[str]:
 
 def build_sink(sink: dict, nodes: dict, edges: list[dict], topic_reader: Callable[[str], DataFrame],
                order=tp.KAFKA_ORDER, ttl_seconds: int | None = None,
-               with_inserted_at: bool = True, reduce_wide: bool = True) -> DataFrame | None:
-    """One sink node's result, or None when no source feeds it.  With
+               with_inserted_at: bool = True, reduce_wide: bool = True,
+               table_schema: Callable[[dict], T.StructType | None] = lambda sink: None) -> DataFrame | None:
+    """One sink node's result, or None when no source feeds it.
+    ``table_schema(sink)`` gives the schema of a column store's existing table.  With
     ``reduce_wide=False`` a wide-column sink's aligned rows are returned
     unfolded, with their order columns (streams fold them per micro-batch)."""
     src_ids = sink_sources(sink, nodes, edges)
@@ -272,7 +275,7 @@ def build_sink(sink: dict, nodes: dict, edges: list[dict], topic_reader: Callabl
         return merge.upsert_last_row(u, fields, key, order) if reduce_wide else u
 
     if kind == CLICKHOUSE:
-        dest = dest_schema(sink, fields)
+        dest = dest_schema(sink, fields, table_schema(sink))
         frames = [align.align_default_fill(decode_source(read_node(topic_reader, nodes[s]), nodes[s], "skip"),
                                            dest, passthrough=("_topic", "_offset")) for s in src_ids]
         out = merge.append_fanin(frames)

@@ -25,6 +25,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from streamfold.functions.scalar import to_json_all
 
@@ -47,7 +48,11 @@ def read_text(spark: SparkSession, path: str) -> str | None:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return None
-    return spark.read.text(path, wholetext=True).first()["value"]
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
@@ -70,6 +75,30 @@ def any_null(key: list[str]):
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
 
 
+# Columns that a sink adds to what its sources bring.
+ADDED = ("inserted_at", "_topic", "_offset", "query", "batch")
+
+
+def table_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns of the column-store table under ``path`` with their
+    nullability, as kept beside its files; without such a note the files'
+    columns; None where there is no table."""
+    path = path.rstrip("/")
+    note = read_text(spark, f"{path}/_schema.json")
+    if note is not None:
+        return T.StructType.fromJson(json.loads(note))
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    return T.StructType([f for f in spark.read.parquet(path).schema.fields if f.name not in ADDED])
+
+
+def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Keep a table's schema beside its files, if it is new."""
+    if read_text(spark, f"{path.rstrip('/')}/_schema.json") is None:
+        write_text(spark, f"{path.rstrip('/')}/_schema.json", json.dumps(schema.jsonValue()))
+
+
 def append_batch(df: DataFrame, path: str, batch_id: int, owner: str) -> None:
     """One micro-batch to the folder of its query and batch."""
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/query={owner}/batch={batch_id}")

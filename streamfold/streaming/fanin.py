@@ -72,9 +72,10 @@ class BatchNotes:
         return held
 
 
-def sink_rows(sink: dict, decoded: dict[str, DataFrame], order) -> DataFrame:
+def sink_rows(sink: dict, decoded: dict[str, DataFrame], order, table=None) -> DataFrame:
     """A sink's aligned rows with their order columns, from its sources' rows
-    (``{source id: rows}``)."""
+    (``{source id: rows}``).  ``table`` is the schema of a column store's
+    existing table."""
     fields = X.node_fields(sink)
     props = sink.get("properties") or {}
     keep = tuple(dict.fromkeys([*order, "_topic"]))
@@ -83,7 +84,7 @@ def sink_rows(sink: dict, decoded: dict[str, DataFrame], order) -> DataFrame:
         return merge.union_all([align.align_mapped(d, s, fields, mapping, passthrough=keep) for s, d in decoded.items()])
     if sink["node_type"] == X.SCYLLADB:
         return merge.union_all([align.align_null_fill(d, fields, passthrough=keep) for d in decoded.values()])
-    return merge.append_fanin([align.align_default_fill(d, X.dest_schema(sink, fields), passthrough=("_topic", "_offset"))
+    return merge.append_fanin([align.align_default_fill(d, X.dest_schema(sink, fields, table), passthrough=("_topic", "_offset"))
                                for d in decoded.values()])
 
 
@@ -168,14 +169,19 @@ class FanIn:
         key = X.node_key(sink, X.node_fields(sink))
         seen = Observation()
         null_key = F.count_if(stores.any_null(key)).alias("null_key")
-        aligned = sink_rows(sink, rows, self.order).observe(seen, F.count(F.lit(1)).alias("written"), null_key)
+        path, table = f"{self.out}/{sink['id']}", None
+        store = self.writers.get(sink["node_type"])
+        if sink["node_type"] == X.CLICKHOUSE and not store:
+            table = X.dest_schema(sink, X.node_fields(sink), stores.table_schema(self.spark, path))
+            stores.create_table(self.spark, path, table)
+        aligned = sink_rows(sink, rows, self.order, table).observe(seen, F.count(F.lit(1)).alias("written"), null_key)
         out = sink_increment(sink, aligned, len(source_ids), self.order)
-        if store := self.writers.get(sink["node_type"]):
+        if store:
             store(out, batch_id, sink)
         elif sink["node_type"] == X.CLICKHOUSE:
-            stores.append_column_store(out, f"{self.out}/{sink['id']}", key, batch_id=batch_id, owner=self.owner)
+            stores.append_column_store(out, path, key, batch_id=batch_id, owner=self.owner)
         else:
-            stores.append_batch(out, f"{self.out}/{sink['id']}", batch_id, self.owner)
+            stores.append_batch(out, path, batch_id, self.owner)
         got = seen.get
         turned_away = got["null_key"] if sink["node_type"] == X.SCYLLADB else 0
         if turned_away:         # the store takes no NULL key: kept apart, and counted

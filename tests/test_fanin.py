@@ -351,3 +351,35 @@ def test_insert_positions_and_unknown_columns(spark):
     with pytest.raises(ValueError, match="nope"):
         X.insert_rows(spark, job, _sql_spec(), lambda t: msgs)
     assert merge.check_key(X.node_fields(job.sink), ["symbol"]) is None
+
+
+# ------------------------------------------------------------ K3 existing tables
+def test_column_store_aligns_to_the_table_that_is_there(spark):
+    """A table with a NOT NULL column of its own and another numeric type: the
+    second run writes its columns; one that cannot hold the rows is refused."""
+    from pyspark.sql import types as T
+
+    from streamfold.operators import align
+    from streamfold.sinks import stores
+    d = tempfile.mkdtemp(prefix="sf-table-")
+    spec = _small_spec()
+    spec["nodes"] = [n for n in spec["nodes"] if n["id"] in ("s1", "s2", "c")]
+    table = T.StructType([T.StructField("v", T.DoubleType()), T.StructField("k", T.StringType(), False),
+                          T.StructField("grade", T.IntegerType(), False), T.StructField("note", T.StringType())])
+    stores.create_table(spark, f"{d}/out/c", table)
+    _send(spark, _env(spark, ("a", '{"k":"x","v":1}', 1, 1)), f"{d}/in")
+    _drain(_run(spark, spec, d, _stream(spark, f"{d}/in"), "table"))
+    assert stores.table_schema(spark, f"{d}/out/c") == table
+    r = spark.read.parquet(f"{d}/out/c").select("k", "v", "grade", "note").first()
+    assert tuple(r) == ("x", 1.0, 0, None) and isinstance(r["v"], float)
+    # the first run made this one
+    _drain(_run(spark, {**spec, "nodes": spec["nodes"][:2] + [{**spec["nodes"][2], "id": "new"}],
+                        "edges": [{"source_id": "s1", "target_id": "new"}]}, d, _stream(spark, f"{d}/in"), "table2"))
+    made = stores.table_schema(spark, f"{d}/out/new")
+    assert [(f.name, f.nullable) for f in made.fields] == [("k", False), ("v", True)]
+    declared = align.column_store_schema(X.node_fields(spec["nodes"][2]), ["k"])
+    for bad in (T.StructType([T.StructField("k", T.StringType())]),
+                T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.BooleanType())])):
+        with pytest.raises(ValueError, match="does not fit"):
+            align.fitted_schema(declared, bad)
+    assert stores.table_schema(spark, f"{d}/nowhere") is None
