@@ -2,7 +2,9 @@
 
 Every round is a few joins and grouped minima over the edges, written to the
 shared checkpoint folder; nothing is collected.  A hub with many edges is
-pre-aggregated in the grouped minima and split by Spark's skew join.
+pre-aggregated in the grouped minima, and the minima are written before they
+are joined: both sides of a join are then plain exchanges, which Spark's skew
+join can split.
 """
 
 from __future__ import annotations
@@ -13,16 +15,24 @@ from pyspark.sql import functions as F
 from streamfold.llm.common import scratch
 
 
+def _lowest(edges: DataFrame) -> DataFrame:
+    return scratch(edges.groupBy("x").agg(F.min("y").alias("m")), "lowest")
+
+
+def _to_lowest(edges: DataFrame, low: DataFrame) -> DataFrame:
+    return edges.join(low, "x")
+
+
 def _round(edges: DataFrame) -> DataFrame:
     """One large-star and one small-star step over edges (x, y), y < x."""
     both = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
-    low = both.groupBy("x").agg(F.min("y").alias("m")).withColumn("m", F.least("x", "m"))
+    low = _lowest(both)
     # large star: each larger neighbour of x goes to the smallest node near x
-    large = (both.filter(F.col("y") > F.col("x")).join(low, "x")
-             .select(F.col("y").alias("x"), F.col("m").alias("y")).distinct())
+    large = scratch(_to_lowest(both.filter(F.col("y") > F.col("x")), low)
+                    .select(F.col("y").alias("x"), F.least("x", "m").alias("y")).distinct(), "edges")
     # small star: x and its smaller neighbours go to the smallest of them
-    low = large.groupBy("x").agg(F.min("y").alias("m"))
-    small = large.join(low, "x").filter(F.col("y") != F.col("m")).select(F.col("y").alias("x"), F.col("m").alias("y"))
+    low = _lowest(large)
+    small = _to_lowest(large, low).filter(F.col("y") != F.col("m")).select(F.col("y").alias("x"), F.col("m").alias("y"))
     return small.unionByName(low.select("x", F.col("m").alias("y"))).distinct()
 
 

@@ -19,9 +19,10 @@ cut.
 A plan is a list of runs: the rests of one length with ranks a..b go to
 sequences s, s+1, ... at one offset.  Its size depends on the number of
 combinations, not on the number of documents.  Each rest gets its rank within
-its length from a window over (length, salt), so a length that a third of all
-documents share is dealt to ``SALTS`` tasks; then tasks look their rows up in
-the runs.
+its length from a window over (length, salt); then tasks look their rows up in
+the runs.  The number of salts of a length follows its count, so that all groups
+are of about the same size and at most ``WINDOW + GROUPS`` in number; salts are
+hashes of the written row's own number, so equal rows spread as well.
 
 Defined results: a null text counts as empty and is one piece, the end id; a
 null id keeps its tokens; repeated rows are packed each; an empty table gives
@@ -43,7 +44,8 @@ from streamfold.llm.token_count import VOCAB, chunks, load, memory
 
 WINDOW = 4096
 END_ID = 2
-SALTS = 32
+GROUPS = 1 << 18         # (length, salt) groups beside one for each length, at most
+GROUP_ROWS = 256         # rows of a group, at least, before a length is divided
 COMBINATIONS = 12        # kept for each length
 PARTNERS = 24            # lengths tried as the second of three
 TIMES = 8                # copies of the first and the second length, at most
@@ -285,40 +287,48 @@ def look_up(tables, length: np.ndarray, rank: np.ndarray):
 
 # ---------------------------------------------------------------- operator
 def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-         vocab: str = VOCAB, folder: str | None = None, salts: int = SALTS) -> DataFrame:
+         vocab: str = VOCAB, folder: str | None = None, groups: int = GROUPS) -> DataFrame:
     """Per piece: ``doc_id``, ``start``, ``length``, ``ids`` (little-endian
     32-bit), ``doc_tokens``, ``sequence_id`` and ``offset``."""
     sc = df.sparkSession.sparkContext
-    d = (tokenized(df, id_col, text_col, tokenizer_path(vocab, folder))
-         .withColumn("rest", (F.col("n") % window).cast("int"))
-         .withColumn("full", F.floor(F.col("n") / window))
-         .withColumn("salt", F.pmod(F.xxhash64("doc_id", "n"), F.lit(salts)).cast("int")))
-    order = Window.partitionBy("rest", "salt").orderBy("doc_id", "n")
-    ranked = scratch(
-        d.withColumn("rank", F.row_number().over(order) - 1)
-        .withColumn("full_before", F.coalesce(
-            F.sum("full").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))), "ranked")
-    # at most window x salts rows
-    counts = np.array([tuple(r) for r in ranked.groupBy("rest", "salt").agg(
+    d = scratch(tokenized(df, id_col, text_col, tokenizer_path(vocab, folder))
+                .withColumn("rest", (F.col("n") % window).cast("int"))
+                .withColumn("full", F.floor(F.col("n") / window))
+                .withColumn("row", F.monotonically_increasing_id()), "tokenized")
+    # at most window rows
+    of_rest = np.zeros(window, dtype=np.int64)
+    for rest, count in d.groupBy("rest").count().collect():
+        of_rest[rest] = count
+    salts = np.maximum(1, -(-of_rest // max(GROUP_ROWS, -(-int(of_rest.sum()) // groups))))
+    d = d.withColumn("salt", F.pmod(F.xxhash64("row"), F.element_at(F.lit(salts.tolist()), F.col("rest") + 1)))
+    # at most window + groups rows
+    counts = np.array([tuple(r) for r in d.groupBy("rest", "salt").agg(
         F.count(F.lit(1)), F.sum("full")).collect()], dtype=np.int64).reshape(-1, 4)
-    rows, full = np.zeros((window, salts), np.int64), np.zeros((window, salts), np.int64)
-    rows[counts[:, 0], counts[:, 1]] = counts[:, 2]
-    full[counts[:, 0], counts[:, 1]] = counts[:, 3]
-    hist = rows.sum(axis=1)
+    first = np.cumsum(salts) - salts                  # group (rest, salt) is number first[rest] + salt
+    rows, full = np.zeros(salts.sum(), np.int64), np.zeros(salts.sum(), np.int64)
+    rows[first[counts[:, 0]] + counts[:, 1]] = counts[:, 2]
+    full[first[counts[:, 0]] + counts[:, 1]] = counts[:, 3]
+    upto = np.cumsum(rows) - rows
+    hist = of_rest.copy()
     hist[0] = 0
     plan = Plan(hist, window)
-    rank_from = np.cumsum(rows, axis=1) - rows
-    full_from = plan.sequences + (np.cumsum(full) - full.ravel()).reshape(full.shape)
-    shared = sc.broadcast((plan.tables(), rank_from, full_from))
+    rank_from = upto - np.repeat(upto[first], salts)
+    full_from = plan.sequences + np.cumsum(full) - full
+    shared = sc.broadcast((plan.tables(), first, rank_from, full_from))
+    order = Window.partitionBy("rest", "salt").orderBy("row")
+    ranked = (d.withColumn("rank", F.row_number().over(order) - 1)
+              .withColumn("full_before", F.coalesce(
+                  F.sum("full").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))))
 
     def assigned(batches):
-        tables, rank_from, full_from = shared.value
+        tables, first, rank_from, full_from = shared.value
         for batch in batches:
             if not batch.num_rows:
                 continue
             col = {c: batch.column(c).to_numpy() for c in ("n", "rest", "full", "salt", "rank", "full_before")}
-            rest, salt = col["rest"].astype(np.int64), col["salt"]
-            row, start, size, seq, offset = look_up(tables, rest, col["rank"] + rank_from[rest, salt])
+            rest = col["rest"].astype(np.int64)
+            group = first[rest] + col["salt"]
+            row, start, size, seq, offset = look_up(tables, rest, col["rank"] + rank_from[group])
             start = start + col["full"][row] * window
             # whole windows
             whole = np.repeat(np.arange(batch.num_rows), col["full"])
@@ -326,7 +336,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window:
             row = np.concatenate([row, whole])
             start = np.concatenate([start, nth * window])
             size = np.concatenate([size, np.full(len(whole), window)])
-            seq = np.concatenate([seq, (full_from[rest, salt] + col["full_before"])[whole] + nth])
+            seq = np.concatenate([seq, (full_from[group] + col["full_before"])[whole] + nth])
             offset = np.concatenate([offset, np.zeros(len(whole), np.int64)])
             ids = batch.column("ids")
             for a in range(0, len(row), 2000):

@@ -45,6 +45,31 @@ def test_no_edges(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_join_with_a_hub_is_split(spark):
+    """A hub with half of all edges: the join to the minima is dealt anew."""
+    from streamfold.llm.components import _lowest, _to_lowest
+    from streamfold.llm.common import scratch
+    limits = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+              "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+              "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k, None) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        edges = spark.range(40_000).selectExpr("if(id % 2 = 0, 0, id) as x", "id + 1000000 as y").repartition(8)
+        edges = scratch(edges, "edges")
+        joined = _to_lowest(edges, _lowest(edges))
+        assert joined.count() == 40_000
+        joined.write.format("noop").mode("overwrite").save()
+        q = joined.selectExpr("x", "least(y, m) as y")
+        q.collect()
+        assert "skew=true" in q._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 # ----------------------------------------------------------------- SimHash
 def slow_fingerprint(text):
     words, word = [], ""

@@ -326,3 +326,19 @@ def test_simhash_stage_keeps_one_row_of_each_group_for_odd_ids(spark):
         (simhash.fingerprint(x) + 2**63) % 2**64, hashlib.sha256(x.encode()).digest()))
     assert got == sorted([(1, base), (5, rows[2][1]), (None, by_hash(other)), (7, by_hash(third)), rows[7], rows[9], (9, None)],
                          key=repr)
+
+
+def test_one_length_with_null_ids_is_dealt_to_many_tasks(spark):
+    """30,000 equal rows without an id: as many groups as the count asks for,
+    alike in size, and a whole packing."""
+    df = spark.createDataFrame([(None, "same text here")], "doc_id long, text string").crossJoin(spark.range(30_000)).drop("id")
+    out = packing.pack(df, window=64)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "salt" in plan
+    n = out.select("doc_tokens").first()[0]
+    got = out.selectExpr("sum(length)", "count(distinct sequence_id, offset)", "count(*)").first()
+    assert got[0] == 30_000 * n and got[1] == got[2]
+    size = packing.GROUP_ROWS
+    groups = spark.range(30_000).selectExpr(f"pmod(xxhash64(id), {-(-30_000 // size)}) as g").groupBy("g").count()
+    top = groups.selectExpr("count(*)", "max(count)").first()
+    assert top[0] == -(-30_000 // size) and top[1] < 2 * size
