@@ -60,6 +60,8 @@ BRUTE_LOG10 = 1.0            # a brute-force character, if nothing is said of it
 CLASSES = ((re.compile("[a-z]"), 26), (re.compile("[A-Z]"), 26), (re.compile("[0-9]"), 10),
            (re.compile(r"[ -/:-@\[-`{-~]"), 32), (re.compile(r"[^ -~]"), 100))
 MAX_WORD = 24
+LONGEST_PART = 32            # of words, dates and walks, and of a repeat's first two copies
+FIRST_TRIED = 256            # characters of a long value that are tried first
 # The rows of a keyboard, walked in either direction.
 KEYBOARD = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "abcdefghijklmnopqrstuvwxyz")
 LEET = str.maketrans("4301$5@7", "aeolssat")
@@ -109,11 +111,38 @@ def alphabet_log10(value: str) -> float:
 def guess_cost(value: str, ranks: dict[str, int], brute: float = BRUTE_LOG10,
                limit: float = math.inf) -> tuple[float, list[tuple[str, int, int]]]:
     """log10 of the guesses for a value, and the cheapest segmentation as
-    (kind, start, end); a brute-force character costs ``brute``.  A new part
-    costs its place in the order of parts, so best[j] keeps, for the first j
-    characters, every state (parts, whether the last is brute force) that no
-    other is sure to beat.  If no segmentation costs less than ``limit``, the
-    result is infinity and no parts, and long values are soon given up."""
+    (kind, start, end); a brute-force character costs ``brute``.  If no
+    segmentation costs less than ``limit``, the result is infinity and no
+    parts; a long value is tried on its beginning first, and given up where
+    every state of that has reached the limit."""
+    size = FIRST_TRIED
+    while limit < math.inf and size < len(value):
+        if not _segment(value[:size], ranks, brute, limit)[2]:
+            return math.inf, []
+        size *= 8
+    return _segment(value, ranks, brute, limit)[:2]
+
+
+def costs(value: str, ranks: dict[str, int], limit: float) -> bool:
+    """Whether a value costs ``limit`` or more, with the brute-force cost of
+    its own alphabet.  A value that repeats one short period as a whole costs
+    no more than that period, its copies and what is left over."""
+    brute = alphabet_log10(value)
+    if len(value) > FIRST_TRIED:
+        for size in range(1, 17):
+            if value.startswith(value[size:]):
+                copies, over = divmod(len(value), size)
+                if size * brute + math.log10(copies) + over * brute + math.log10(2) < limit:
+                    return False
+                break
+    return guess_cost(value, ranks, brute, limit)[0] >= limit
+
+
+def _segment(value: str, ranks: dict[str, int], brute: float, limit: float):
+    """The least cost, its segmentation, and whether a longer value that begins
+    so could cost less than the limit.  A new part costs its place in the order
+    of parts, so best[j] keeps, for the first j characters, every state (parts,
+    whether the last is brute force) that no other is sure to beat."""
     n = len(value)
     # a lower-case letter for each character, so that spans keep their places
     low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
@@ -194,13 +223,17 @@ def guess_cost(value: str, ranks: dict[str, int], brute: float = BRUTE_LOG10,
                     else:
                         low_brute = min(low_brute, state[0])
             best.append(kept)
+        if j == n:
+            reaches = any(any(r[3]) for r in active)
         active = [r for r in active if r[2] > j] + [(*r, [[] for _ in range(r[0])]) for r in opened.get(j, ())]
         for size, a, _, starts in active:
             # after a repeat that is one of this run too, the two are one
             starts[j % size] += [(j, s) for s in best[j]
                                  if s[2] != "repeat" or s[3] < a or (j - s[3]) % size or (j - s[3]) // size < 3]
+    # a part that goes on past the end starts at a state near it, or is a repeat that has reached it
+    open_end = reaches or any(best[-LONGEST_PART - 1:])
     if not best[n]:
-        return math.inf, []
+        return math.inf, [], open_end
     state = last = min(best[n], key=lambda s: s[0])
     out, j = [], n
     while j:
@@ -210,7 +243,7 @@ def guess_cost(value: str, ranks: dict[str, int], brute: float = BRUTE_LOG10,
         else:
             out.append((kind, i, j))
         state, j = before, i
-    return last[0], out[::-1]
+    return last[0], out[::-1], open_end
 
 
 def scan(text: str, ranks: dict[str, int], min_cost: float = MIN_GUESSES_LOG10) -> list[tuple[int, int, int, int]]:
@@ -225,7 +258,7 @@ def scan(text: str, ranks: dict[str, int], min_cost: float = MIN_GUESSES_LOG10)
         for m in CONTEXT.finditer(text):
             name = "plain" if m["quoted"] is None else "quoted"
             value, start = m[name].rstrip(".!?:") if name == "plain" else m[name], m.start(name)
-            if len(value) >= 4 and guess_cost(value, ranks, alphabet_log10(value), min_cost)[0] >= min_cost:
+            if len(value) >= 4 and costs(value, ranks, min_cost):
                 spans.append((start, 3, start + len(value), start))
     if "AKIA" in text:
         spans += [(m.start(), 1, m.end(), m.start()) for m in ACCESS.finditer(text)]
