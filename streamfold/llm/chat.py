@@ -1,46 +1,62 @@
 """Chat formatting: roles from raw transcripts by a hidden Markov model.
 
 A transcript is a sequence of text blocks (conversation id, position, text)
-without role labels; some lines carry a speaker marker (``User:``,
-``### Assistant``, ``Q:`` ...), many do not, and markers can mislead.  The
-hidden states are role x (first line of a turn, later line).  A line emits one
-feature code made of its marker class, its length class, a question mark at
-its end and whether it opens a block or the transcript.  Parameters are counts from
-labelled conversations, smoothed by one.  Viterbi finds the likeliest states;
-lines become turns, markers are removed and turns are rendered canonically.
-
-Viterbi is associative: a stretch of lines is a matrix of best scores from its
-entry state to its exit state, and stretches combine by a max-plus product.
-Transcripts are cut into stretches of at most ``SPAN`` blocks, joined up level
-by level (each level divides the number of stretches by ``SPAN``) and decided
-back down.  So no task holds a whole conversation, however long it is.
-
-Defined results: blocks of one conversation are ordered by position, then
-text; exact repeats of a block count once; a null text counts as empty (one
-empty line); a null conversation id is a conversation of its own; a null
-position is the first; an empty table gives an empty result; other columns
-are not read.
+without role labels.  A block holds one turn or many; some turns open with a
+speaker marker (``User:``, ``### Assistant``, ``Q:``, ``<|user|>``), some have
+none, and a line of a turn may look like a marker.  The hidden states are role
+x (first line of a turn, later line); a transcript also has one hidden marker
+style, which all its lines share.  A line emits its marker (of the transcript's
+style or of another, with its role), its place (opens a block, after a blank
+line, other), its length class and whether it ends with a question mark.
+Viterbi finds the likeliest style and states; lines become turns, markers are
+removed and turns are rendered canonically.
+
+Parameters are frequencies in labelled turns, mixed with ``BACKGROUND`` parts
+of the frequency in all states, so that what no state has shown favours none.
+The labelled sample is bounded: about ``FIT_CONVERSATIONS`` conversations
+chosen by hash, the first ``FIT_TURNS`` turns of each.
+
+Features are Spark expressions.  One exchange sorts the blocks over ranges of
+(id, position, text hash), so a long conversation lies in several partitions
+one after another.  Viterbi is associative: a run of lines is a matrix of best
+scores from its entry state to its exit state.  Each partition gives the
+matrices of its first and its last conversation only; one small task joins
+them up, two a partition whatever the input, and tells each partition the
+states at its ends.  Partitions are then decided on their own, from the same
+exchange.  Repeats of a block that has very many are grouped before, with
+map-side aggregation.  A task holds one conversation's share of one partition (partitions
+have about ``PART_CHARS`` characters).
+
+Defined results: blocks of one conversation are ordered by position (null
+first), then by the XXH64 of the text; exact repeats of a block in a
+conversation count once; a null text counts as empty (one empty line); every
+row with a null conversation id is a conversation of its own, repeats
+included; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
-import re
+import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from streamfold.llm.common import scratch, shuffle_partitions, sorted_groups, text_or_empty
+from streamfold.llm.common import ship, shuffle_partitions, sorted_groups, text_or_empty
 
 ROLES = ("system", "user", "assistant")
 STATES = [(r, first) for r in ROLES for first in (True, False)]
-SPAN = 64
-BLOCK_LINES = 512           # lines of a block that make one stretch of their own
+N = len(STATES)
 HELD_OUT = (3, 1)           # crc32(id as text) mod 3 = 1
+FIT_CONVERSATIONS = 2000
+FIT_TURNS = 64
+BACKGROUND = 0.01
+PART_CHARS = 128 << 20
+HOT_ROWS = 100              # copies of one row from which it may be hot
+HOT_SHARE = 1000
 
 # Words that mark a speaker at the start of a line.
 MARKERS = {
@@ -48,321 +64,429 @@ MARKERS = {
     "user": ("user", "human", "question", "q", "me", "customer"),
     "assistant": ("assistant", "ai", "bot", "answer", "a", "agent", "model"),
 }
-_CLASS = {w: i for i, r in enumerate(ROLES) for w in MARKERS[r]}
-MARKER = re.compile(r"\s*(?:#{1,4}\s*|<\|?|\[|\*\*)?(" + "|".join(sorted(_CLASS, key=len, reverse=True))
-                    + r")(?:\|?>|\]|\*\*:?|:\*\*|\s*:)\s?|\s*#{1,4}\s*("
-                    + "|".join(sorted(_CLASS, key=len, reverse=True)) + r")\s*$", re.IGNORECASE | re.ASCII)
-LENGTHS = (0, 20, 60, 120, 200)          # characters: bounds of the length classes
-N_CODES = 4 * (len(LENGTHS) + 1) * 2 * 3
-
-
-def marker_of(line: str) -> tuple[int, int]:
-    """(role number or 3 for none, characters of the marker)."""
-    m = MARKER.match(line)
-    return (_CLASS[(m[1] or m[2]).lower()], m.end()) if m else (3, 0)
-
-
-def feature(line: str, place: int) -> int:
-    """The feature code of a line; ``place`` is 2 for the first line of a
-    transcript, 1 for that of another block, else 0."""
-    marker, skip = marker_of(line)
-    size = int(np.searchsorted(LENGTHS, len(line) - skip, side="left"))
-    return ((marker * (len(LENGTHS) + 1) + size) * 2 + line.rstrip().endswith("?")) * 3 + place
+STYLES = ("word", "heading", "letter", "tag")
+_WORDS = "(?:" + "|".join(sorted((w for ws in MARKERS.values() for w in ws), key=len, reverse=True)) + ")"
+MARKER = (rf"(?i)\A[ \t]*(?:#{{1,6}}[ \t]*{_WORDS}[ \t]*(?::|\z)|<\|?{_WORDS}\|?>:?|\[{_WORDS}\]:?"
+          rf"|\*\*{_WORDS}(?::\*\*|\*\*[ \t]*:?)|{_WORDS}[ \t]*:)[ \t]?")
+BLANKS = " \t\r\x0b\x0c"
+LENGTHS = (0, 20, 60, 120, 200)          # characters without the marker: bounds of the length classes
+N_LENGTHS = len(LENGTHS) + 1
+N_MARKS = 1 + len(STYLES) * len(ROLES)   # none, then style x role
+BLOCK, AFTER_BLANK, OTHER = range(3)     # places
+N_CODES = N_MARKS * N_LENGTHS * 2 * 3
+NEVER = -np.inf
+
+
+# --------------------------------------------------------------- features
+def features(text):
+    """Array of (``e``, ``skip``) per line of a text: the feature code without
+    its place, and the characters of the marker."""
+    lines = F.transform(F.split(text, "\n"), lambda x: F.struct(
+        F.rtrim(x, F.lit(BLANKS)).alias("l"), F.regexp_extract(x, MARKER, 0).alias("m")))
+
+    def code(s):
+        m = s["m"]
+        word = F.lower(F.regexp_replace(m, "[^A-Za-z]", ""))
+        style = (F.when(m.contains("#"), STYLES.index("heading"))
+                 .when(m.contains("<") | m.contains("["), STYLES.index("tag"))
+                 .when(F.length(word) == 1, STYLES.index("letter")).otherwise(STYLES.index("word")))
+        role = (F.when(word.isin(*MARKERS["system"]), 0).when(word.isin(*MARKERS["user"]), 1).otherwise(2))
+        mark = F.when(m == "", 0).otherwise(1 + style * len(ROLES) + role)
+        bare = F.length(s["l"]) - F.length(m)
+        size = sum(((bare > b).cast("int") for b in LENGTHS), F.lit(0))
+        return (mark * N_LENGTHS + size) * 2 + s["l"].endswith("?").cast("int")
+
+    return F.transform(lines, lambda s: F.struct(code(s).cast("int").alias("e"), F.length(s["m"]).alias("skip")))
+
+
+def placed(codes: np.ndarray) -> np.ndarray:
+    """Codes of one block's lines with their places."""
+    place = np.full(len(codes), OTHER)
+    place[1:][codes[:-1] < 2] = AFTER_BLANK         # no marker, length class 0
+    place[:1] = BLOCK
+    return codes.astype(np.int64) * 3 + place
 
 
+# ------------------------------------------------------------------ model
 @dataclass
 class Model:
-    """Log probabilities: start (states), steps (states x states), emission
-    (states x feature codes)."""
+    """Log probabilities: start (states), step (states x states), emit
+    (styles x states x feature codes)."""
 
     start: np.ndarray
     step: np.ndarray
     emit: np.ndarray
 
 
-def _ends(lines: np.ndarray, m: Model):
-    """Best score from entry state to exit state over lines of codes; the
-    entry state's emission is counted."""
-    score = np.full((len(STATES), len(STATES)), -np.inf)
-    np.fill_diagonal(score, m.emit[:, lines[0]])
-    for e in lines[1:]:
-        score = (score[:, :, None] + m.step[None]).max(axis=1) + m.emit[:, e]
-    return score
-
-
-def join_up(parts: list[np.ndarray], m: Model) -> np.ndarray:
-    """Max-plus product of consecutive stretches."""
-    total = parts[0]
-    for p in parts[1:]:
-        bridge = (m.step[:, :, None] + p[None]).max(axis=1)
-        total = (total[:, :, None] + bridge[None]).max(axis=1)
-    return total
-
-
-def decide(parts: list[np.ndarray], entry: int, leave: int, m: Model) -> list[tuple[int, int]]:
-    """Entry and exit state of each stretch on the best path from ``entry`` to
-    ``leave``; ties go to the smaller state."""
-    score = [parts[0][entry]]                       # per exit state of the first
-    via = []
-    for p in parts[1:]:
-        through = score[-1][:, None] + m.step       # exit of the last, entry of this
-        best_exit = through.argmax(axis=0)
-        total = through.max(axis=0)[:, None] + p    # entry, exit
-        best_entry = total.argmax(axis=0)
-        via.append((best_exit, best_entry))
-        score.append(total.max(axis=0))
-    out, at = [], leave
-    for best_exit, best_entry in reversed(via):
-        out.append((int(best_entry[at]), at))
-        at = int(best_exit[best_entry[at]])
-    return [(entry, at), *reversed(out)]
-
-
-def viterbi(codes: np.ndarray, entry: int | None, leave: int | None, m: Model) -> np.ndarray:
-    """States of the lines; ``entry`` and ``leave`` fix the ends."""
-    n = len(STATES)
-    score = m.emit[:, codes[0]] + (m.start if entry is None else np.where(np.arange(n) == entry, 0.0, -np.inf))
-    back = np.zeros((len(codes), n), dtype=np.int8)
-    for i, e in enumerate(codes[1:], 1):
-        through = score[:, None] + m.step
-        back[i] = through.argmax(axis=0)
-        score = through.max(axis=0) + m.emit[:, e]
-    states = np.zeros(len(codes), dtype=np.int8)
-    states[-1] = int(score.argmax()) if leave is None else leave
-    for i in range(len(codes) - 1, 0, -1):
-        states[i - 1] = back[i, states[i]]
-    return states
-
-
-# ------------------------------------------------------------------ lines
-def lines_of(blocks: DataFrame, id_col: str = "conv_id", pos_col: str = "turn", text_col: str = "text",
-             also: tuple[str, ...] = ()) -> DataFrame:
-    """Blocks to lines: ``conv``, ``pos``, ``part`` (stretch of a long block),
-    ``line_no``, ``line``; exact repeats of a block count once."""
-    b = (blocks.select(F.col(id_col).alias("conv"), F.coalesce(F.col(pos_col).cast("long"), F.lit(0)).alias("pos"),
-                       text_or_empty(text_col).alias("text"), *also).distinct())
-    b = b.withColumn("tie", F.xxhash64("text"))
-    return (b.select("conv", "pos", "tie", *also, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-            .withColumn("part", F.floor(F.col("line_no") / BLOCK_LINES)))
-
-
-def _feature(line, place):
-    def codes(line: pd.Series, place: pd.Series) -> pd.Series:
-        return pd.Series([feature(x, int(p)) for x, p in zip(line, place)], dtype="int32")
-
-    return F.pandas_udf(codes, "int")(line, place)
-
-
-def _coded(lines: DataFrame, first_pos: DataFrame) -> DataFrame:
-    """Lines with their feature code ``e``; the blocks at the smallest
-    position open the transcript."""
-    place = F.when(F.col("line_no") > 0, 0).when(F.col("pos") > F.col("first"), 1).otherwise(2)
-    return (lines.join(first_pos, lines["conv"].eqNullSafe(first_pos["conv0"]))
-            .withColumn("e", _feature("line", place)).drop("conv0", "first"))
-
+def _mixed(seen: np.ndarray) -> np.ndarray:
+    """Log frequencies along the last axis, mixed with those of all rows."""
+    rest = seen.sum(axis=0) + 1
+    total = np.maximum(seen.sum(axis=-1, keepdims=True), 1)
+    own = np.where(seen.sum(axis=-1, keepdims=True) > 0, seen / total, rest / rest.sum())
+    return np.log((1 - BACKGROUND) * own + BACKGROUND * rest / rest.sum())
 
-def _first(lines: DataFrame) -> DataFrame:
-    return lines.groupBy(F.col("conv").alias("conv0")).agg(F.min("pos").alias("first"))
 
-
-# ------------------------------------------------------------------ model
 def held_out(id_col: str = "conv_id"):
     mod, left = HELD_OUT
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % mod == left, F.lit(False))
 
 
-def fit(blocks: DataFrame, id_col: str = "conv_id", pos_col: str = "turn", text_col: str = "text",
-        role_col: str = "role") -> Model:
-    """Counts over labelled blocks whose conversation is not held out; one
-    block is one turn.  Blocks with another role are left out."""
-    known = blocks.filter(F.col(role_col).isin(*ROLES) & ~held_out(id_col))
-    lines = lines_of(known.withColumn("_role", F.col(role_col)), id_col, pos_col, text_col, also=("_role",))
-    lines = _coded(lines, _first(lines))
-    number = {r: i for i, r in enumerate(ROLES)}
-    n = len(STATES)
-    seen = np.zeros((n, N_CODES))
-    for r in lines.groupBy("_role", (F.col("line_no") == 0).alias("first"), "e").count().collect():  # bounded codes
-        seen[2 * number[r["_role"]] + (not r["first"]), r["e"]] += r["count"]
-    # turn ends and line ends per role
-    step, start = np.ones((n, n)), np.ones(n)
-    turns = lines.groupBy("conv", "pos", "tie", "_role").agg(F.count(F.lit(1)).alias("lines"))
-    for r in turns.groupBy("_role").agg(F.count_if(F.col("lines") > 1).alias("two"),
-                                        F.sum(F.greatest(F.col("lines") - 2, F.lit(0))).alias("more"),
-                                        F.count_if(F.col("lines") == 1).alias("one")).collect():
-        k = 2 * number[r["_role"]]
-        step[k, k + 1] += r["two"]
-        step[k + 1, k + 1] += r["more"]
-    here = turns.select("conv", "pos", F.col("_role").alias("a"), (F.col("lines") > 1).alias("long"))
-    after = turns.select(F.col("conv"), (F.col("pos") - 1).alias("pos"), F.col("_role").alias("b"))
-    for r in here.join(after, ["conv", "pos"]).groupBy("a", "b", "long").count().collect():
-        step[2 * number[r["a"]] + bool(r["long"]), 2 * number[r["b"]]] += r["count"]
-    # a turn starts with a first line, and a first line is not followed by a later line of another role
-    for i, (a, _) in enumerate(STATES):
-        for j, (b, first) in enumerate(STATES):
-            if not first and a != b:
-                step[i, j] = 0
-    opening = turns.join(_first(lines), F.col("conv") == F.col("conv0")).filter(F.col("pos") == F.col("first"))
-    for r in opening.groupBy("_role").count().collect():
-        start[2 * number[r["_role"]]] += r["count"]
-    start[1::2] = 0
-    # marker and place together, length and question mark on their own
-    seen = seen.reshape(n, 4, len(LENGTHS) + 1, 2, 3)
-    emit = 0.0
-    for others in ((2, 3), (1, 3, 4), (1, 2, 4)):
-        part = seen.sum(axis=others, keepdims=True) + 1
-        emit = emit + np.log(part / part.sum(axis=(1, 2, 3, 4), keepdims=True))
-    with np.errstate(divide="ignore"):
-        return Model(np.log(start / start.sum()), np.log(step / step.sum(axis=1, keepdims=True)),
-                     emit.reshape(n, N_CODES))
-
-
-# ---------------------------------------------------------------- decoding
-def _dealt(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    return (df.withColumn("deal", F.xxhash64(*keys))
-            .repartition(shuffle_partitions(df.sparkSession), "deal").sortWithinPartitions("deal", *keys, *order))
-
-
-def _per_group(df: DataFrame, keys: list[str], order: list[str], fn, schema: str) -> DataFrame:
-    """fn(table) -> record batch for each group of ``keys``, rows in ``order``."""
+def _count(t: pa.Table) -> np.ndarray:
+    """Counts over one conversation's turns in order: starts, steps, and
+    emissions (states x marker relative to the style x place, length, mark)."""
+    start, step = np.zeros(N), np.zeros((N, N))
+    turns = [np.array(x, dtype=np.int64) for x in t["e"].to_pylist()]
+    roles, pos = t["role"].to_pylist(), t["pos"].to_pylist()
+    marks = [int(x[0]) // (2 * N_LENGTHS) for x in turns]
+    style = np.bincount([(m - 1) // len(ROLES) for m in marks if m], minlength=len(STYLES)).argmax()
+    marker, size, question = np.zeros((N, 7 * 3)), np.zeros((N, N_LENGTHS)), np.zeros((N, 2))
+    start[2 * roles[0]] = 1
+    at, block = [], []
+    for i, (codes, role) in enumerate(zip(turns, roles)):
+        at += [2 * role] + [2 * role + 1] * (len(codes) - 1)
+        block.append(codes)
+        if i + 1 < len(turns) and pos[i + 1] == pos[i]:
+            continue
+        e = placed(np.concatenate(block))
+        s = np.array(at[-len(e):])
+        np.add.at(marker, (s, _relative(e // (6 * N_LENGTHS), style) * 3 + e % 3), 1)
+        np.add.at(size, (s, e // 6 % N_LENGTHS), 1)
+        np.add.at(question, (s, e // 3 % 2), 1)
+        block = []
+    np.add.at(step, (at[:-1], at[1:]), 1)
+    return np.concatenate([x.ravel() for x in (start, step, marker, size, question)])
+
+
+def _relative(mark, style: int):
+    """0 for no marker, 1 + role for the style's own, 4 + role for another."""
+    role = (mark - 1) % len(ROLES)
+    return np.where(mark == 0, 0, np.where((mark - 1) // len(ROLES) == style, 1 + role, 4 + role))
+
+
+def fit(turns: DataFrame, id_col: str = "conv_id", block_col: str = "block", pos_col: str = "turn",
+        text_col: str = "text", role_col: str = "role") -> Model:
+    """The model of labelled turns: raw text, role, order and the block each
+    is in.  Turns with another role, without an id or of held-out conversations
+    are left out."""
+    ship(turns.sparkSession)
+    number = F.array_position(F.array(*map(F.lit, ROLES)), F.col(role_col)).cast("int") - 1
+    known = (turns.filter(F.col(role_col).isin(*ROLES) & F.col(id_col).isNotNull() & ~held_out(id_col))
+             .select(F.col(id_col).alias("conv"), F.col(block_col).alias("pos"), F.col(pos_col).alias("turn"),
+                     number.alias("role"), text_or_empty(text_col).alias("text")))
+    n = known.agg(F.approx_count_distinct("conv").alias("n")).first()["n"]
+    share = min(1.0, FIT_CONVERSATIONS / max(n, 1))
+    order = Window.partitionBy("conv").orderBy("turn", "tie", "role")
+    sample = (known.filter(F.pmod(F.xxhash64("conv", F.lit("fit")), F.lit(1 << 20)) < int(share * (1 << 20)))
+              .select("conv", "pos", "turn", "role", F.xxhash64("text").alias("tie"),
+                      features(F.col("text"))["e"].alias("e"))
+              .withColumn("no", F.row_number().over(order)).filter(F.col("no") <= FIT_TURNS)
+              .select("conv", "no", "pos", "role", "e").withColumn("deal", F.xxhash64("conv"))
+              .repartition(shuffle_partitions(turns.sparkSession), "deal")
+              .sortWithinPartitions("deal", "conv", "no"))
 
     def run(batches):
-        for t in sorted_groups(batches, ["deal", *keys]):
-            yield fn(t)
-
-    return _dealt(df, keys, order).mapInArrow(run, schema)
-
-
-def decode_states(coded: DataFrame, model: Model, span: int = SPAN) -> DataFrame:
-    """Coded lines to (conv, pos, tie, line_no, state).  ``conv`` must not be
-    null here."""
-    spark = coded.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    kind = dict(coded.dtypes)["conv"]
-    parts = coded.agg(F.max("part").alias("parts"), F.min("pos").alias("lo"), F.max("pos").alias("hi")).first()
-    if parts["parts"] is None:
-        return coded.select("conv", "pos", "tie", "line_no", F.lit(0).cast("int").alias("state"))
-    # stretches in order: k at level 0 holds `span` consecutive (position, part) places
-    width = int(parts["parts"]) + 1
-    place = (F.col("pos") - F.lit(parts["lo"])) * width + F.col("part")
-    lines = coded.select("conv", F.floor(place / span).alias("k"), "pos", "tie", "line_no", "e")
-    order = ["pos", "tie", "line_no"]
-    last = ((parts["hi"] - parts["lo"] + 1) * width - 1) // span
-    cells = f"conv {kind}, k long, m array<double>"
-    levels = []
-
-    def matrix(t, fn):
-        return pa.RecordBatch.from_arrays(
-            [t["conv"].slice(0, 1).combine_chunks(), t["k"].slice(0, 1).combine_chunks(),
-             pa.array([fn.ravel().tolist()], pa.list_(pa.float64()))], names=["conv", "k", "m"])
-
-    def stack(t):
-        n = len(STATES)
-        return list(t["m"].combine_chunks().flatten().to_numpy().reshape(-1, n, n))
-
-    if last > 0:
-        # up: matrices of the stretches, then of `span` stretches together, until one a conversation is left
-        lines = scratch(lines, "chat-lines")
-        up = scratch(_per_group(lines, ["conv", "k"], order,
-                                lambda t: matrix(t, _ends(t["e"].to_numpy(), shared.value)), cells), "chat-up")
-        levels.append(up)
-        while last > 0:
-            last //= span
-            above = levels[-1].select("conv", F.floor(F.col("k") / span).alias("k"), F.col("k").alias("child"), "m")
-            levels.append(scratch(_per_group(above, ["conv", "k"], ["child"],
-                                             lambda t: matrix(t, join_up(stack(t), shared.value)), cells), "chat-up"))
-
-        # down: the best ends of a whole conversation, then of the stretches inside
-        def ends(t):
-            total = stack(t)[0] + shared.value.start[:, None]
-            a, b = np.unravel_index(int(total.argmax()), total.shape)
-            return pa.RecordBatch.from_arrays(
-                [t["conv"].combine_chunks(), t["k"].combine_chunks(), pa.array([a], pa.int32()),
-                 pa.array([b], pa.int32())], names=["conv", "k", "a", "b"])
-
-        fixed = _per_group(levels[-1], ["conv", "k"], [], ends, f"conv {kind}, k long, a int, b int")
-        for level in reversed(levels[:-1]):
-            inside = (level.withColumn("above", F.floor(F.col("k") / span))
-                      .join(fixed.select("conv", F.col("k").alias("above"), "a", "b"), ["conv", "above"]))
-
-            def inner(t):
-                ab = decide(stack(t), t["a"][0].as_py(), t["b"][0].as_py(), shared.value)
-                return pa.RecordBatch.from_arrays(
-                    [t["conv"].combine_chunks(), t["k"].combine_chunks(), pa.array([a for a, _ in ab], pa.int32()),
-                     pa.array([b for _, b in ab], pa.int32())], names=["conv", "k", "a", "b"])
-
-            fixed = scratch(_per_group(inside, ["conv", "above"], ["k"], inner,
-                                       f"conv {kind}, k long, a int, b int"), "chat-ends")
-        lines = lines.join(fixed, ["conv", "k"])
-    else:
-        lines = lines.withColumn("a", F.lit(None).cast("int")).withColumn("b", F.lit(None).cast("int"))
-
-    def states(t):
-        s = viterbi(t["e"].to_numpy(), t["a"][0].as_py(), t["b"][0].as_py(), shared.value)
-        cols = [t[c].combine_chunks() for c in ("conv", "pos", "tie", "line_no")]
-        return pa.RecordBatch.from_arrays([*cols, pa.array(s.astype(np.int32))],
-                                          names=["conv", "pos", "tie", "line_no", "state"])
+        total = None
+        for t in sorted_groups(batches, ["deal", "conv"]):
+            c = _count(t)
+            total = c if total is None else total + c
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["c"])
+
+    sizes = (N, N * N, N * 21, N * N_LENGTHS, N * 2)
+    total = np.zeros(sum(sizes))
+    for r in sample.mapInArrow(run, "c array<double>").collect():       # one row of fixed length a partition
+        total += np.array(r["c"])
+    start, step, marker, size, question = np.split(total, np.cumsum(sizes)[:-1])
+    return model_of(start, step.reshape(N, N), marker.reshape(N, 21), size.reshape(N, N_LENGTHS),
+                    question.reshape(N, 2))
+
+
+def model_of(start, step, marker, size, question) -> Model:
+    # a transcript starts with a first line, and a later line has the role of the line before it
+    may = np.array([[first or a == b for b, first in STATES] for a, _ in STATES])
+    opens = np.array([first for _, first in STATES])
+    with np.errstate(divide="ignore"):
+        log_start = np.log((start + 1) * opens / ((start + 1) * opens).sum())
+        step = (step + 1) * may
+        log_step = np.log(step / step.sum(axis=1, keepdims=True))
+    marker, size, question = _mixed(marker), _mixed(size), _mixed(question)
+    e = np.arange(N_CODES)
+    own = [marker[:, _relative(e // (6 * N_LENGTHS), s) * 3 + e % 3] for s in range(len(STYLES))]
+    return Model(log_start, log_step, np.stack(own) + size[:, e // 6 % N_LENGTHS] + question[:, e // 3 % 2])
+
+
+# ---------------------------------------------------------------- viterbi
+def matrix_of(codes: np.ndarray, m: Model) -> np.ndarray:
+    """Per style, the best score from entry state to exit state over lines;
+    the entry state's emission is counted."""
+    score = np.full((len(STYLES), N, N), NEVER)
+    k = np.arange(N)
+    score[:, k, k] = m.emit[:, :, codes[0]]
+    for e in codes[1:]:
+        score = (score[:, :, :, None] + m.step).max(axis=2) + m.emit[:, None, :, e]
+    return score
 
-    return _per_group(lines, ["conv", "k"], order, states,
-                      f"conv {kind}, pos long, tie long, line_no int, state int")
 
+def ends_of(parts: list[np.ndarray], m: Model) -> list[tuple[int, int, int]]:
+    """Style, entry and exit state of consecutive runs on the best path of the
+    whole conversation; ties go to the smaller style, then state."""
+    score = [(m.start[None, :, None] + parts[0])]           # style, entry, exit
+    via = []
+    for p in parts[1:]:
+        through = score[-1].max(axis=1)[:, :, None] + m.step
+        via.append(through.argmax(axis=1))                  # the exit before, by entry
+        score.append(through.max(axis=1)[:, :, None] + p)
+    style, a, b = np.unravel_index(int(score[-1].argmax()), score[-1].shape)
+    out = [(int(style), int(a), int(b))]
+    for i in range(len(parts) - 1, 0, -1):
+        b = via[i - 1][style, a]
+        a = score[i - 1][style, :, b].argmax()
+        out.append((int(style), int(a), int(b)))
+    return out[::-1]
+
+
+def viterbi(codes: np.ndarray, m: Model, ends: tuple[int, int, int] | None = None) -> np.ndarray:
+    """States of the lines; ``ends`` fixes the style and both ends."""
+    style, entry, leave = ends or (None, None, None)
+    emit = m.emit if style is None else m.emit[style:style + 1]
+    score = emit[:, :, codes[0]] + (m.start if entry is None else np.where(np.arange(N) == entry, 0.0, NEVER))
+    back = np.zeros((len(codes), len(emit), N), dtype=np.int8)
+    for i, e in enumerate(codes[1:], 1):
+        through = score[:, :, None] + m.step
+        back[i] = through.argmax(axis=1)
+        score = through.max(axis=1) + emit[:, :, e]
+    if leave is None:
+        style, at = np.unravel_index(int(score.argmax()), score.shape)
+    else:
+        style, at = 0, leave
+    states = np.zeros(len(codes), dtype=np.int8)
+    states[-1] = at
+    for i in range(len(codes) - 1, 0, -1):
+        states[i - 1] = at = back[i, style, at]
+    return states
 
-def _bare(line):
-    def bare(line: pd.Series) -> pd.Series:
-        return pd.Series([x[marker_of(x)[1]:] for x in line], dtype=object)
 
-    return F.pandas_udf(bare, "string")(line)
+# --------------------------------------------------------------- decoding
+def _ready(df: DataFrame) -> tuple[DataFrame, int]:
+    """Rows without the repeats of the hottest ones, so that no group of copies
+    is more than a ``HOT_SHARE``-th of a range exchange, and its partitions."""
+    size = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.length("text").cast("long")).alias("chars")).first()
+    parts = max(shuffle_partitions(df.sparkSession), math.ceil((size["chars"] or 0) / PART_CHARS))
+    key = F.xxhash64(*df.columns)
+    many = (df.groupBy(key.alias("h")).agg(F.count(F.lit(1)).alias("n"))
+            .filter(F.col("n") > max(HOT_ROWS, size["rows"] // HOT_SHARE)))
+    hot = [r["h"] for r in many.select("h").collect()]         # fewer than HOT_SHARE
+    if hot:
+        df = df.filter(~key.isin(hot)).unionByName(df.filter(key.isin(hot)).distinct())
+    return df, parts
+
+
+def _codes(t: pa.Table) -> list[np.ndarray]:
+    """Placed codes of each block of a table."""
+    col = t["e"].combine_chunks()
+    ends = np.cumsum(col.value_lengths().to_numpy())
+    return [placed(x) for x in np.split(col.flatten().to_numpy(), ends[:-1])]
+
+
+def _runs(t: pa.Table, codes: list[np.ndarray], states: np.ndarray, names: list[str]) -> pa.RecordBatch:
+    """One row per block and run of lines of one turn."""
+    block, line, role, opens, text = [], [], [], [], []
+    at = 0
+    skips = t["skip"].combine_chunks()
+    for i, (raw, c) in enumerate(zip(t["text"].to_pylist(), codes)):
+        lines, s = raw.split("\n"), states[at:at + len(c)]
+        at += len(c)
+        starts = np.union1d([0], np.flatnonzero(s % 2 == 0)).tolist()
+        for a, b in zip(starts, [*starts[1:], len(lines)]):
+            part = lines[a:b]
+            mark = int(c[a]) // (6 * N_LENGTHS)
+            if s[a] % 2 == 0 and mark and (mark - 1) % len(ROLES) == s[a] // 2:
+                part[0] = part[0][skips[i][a].as_py():]
+                if not part[0].strip() and len(part) > 1:
+                    part = part[1:]                     # the marker had a line of its own
+            while len(part) > 1 and not part[-1].strip():
+                part.pop()
+            block.append(i)
+            line.append(a)
+            role.append(ROLES[s[a] // 2])
+            opens.append(bool(s[a] % 2 == 0))
+            text.append("\n".join(part))
+    cols = [t[c].combine_chunks().take(pa.array(block, pa.int64())) for c in ("conv", "pos", "tie")]
+    return pa.RecordBatch.from_arrays(
+        [*cols, pa.array(line, pa.int32()), pa.array(role, pa.string()), pa.array(opens, pa.bool_()),
+         pa.array(text, pa.string())], names=names)
+
+
+def decode(dealt: DataFrame, alone: DataFrame, model: Model) -> DataFrame:
+    """Blocks (``conv``, ``pos``, ``tie``, ``text``) to runs.  ``dealt`` lies in
+    ranges of (conv, pos, tie) and is sorted within them; the rows of ``alone``
+    are conversations of their own."""
+    ship(dealt.sparkSession)
+    shared = dealt.sparkSession.sparkContext.broadcast(model)       # fixed size
+    f = features(F.col("text"))
+    dealt = dealt.withColumn("pid", F.spark_partition_id()).withColumn("f", f) \
+        .select("pid", "conv", "pos", "tie", "text", F.col("f")["e"].alias("e"), F.col("f")["skip"].alias("skip"))
+    kind = dict(dealt.dtypes)
+
+    def summaries(batches):
+        """The matrices of the first and the last conversation."""
+        m, pid, conv, held, done = shared.value, None, None, [], 0
+
+        def row(part):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([pid], pa.int32()), pa.array([part], pa.int32()), conv,
+                 pa.array([matrix_of(np.concatenate(held), m).ravel().tolist()], pa.list_(pa.float64()))],
+                names=["pid", "part", "conv", "m"])
+
+        for t in batches:
+            if t.num_rows == 0:
+                continue
+            t = pa.Table.from_batches([t])
+            pid = t["pid"][0].as_py()
+            ids = t["conv"].combine_chunks()
+            named = ids.to_numpy(zero_copy_only=False)
+            cuts = [0, *(np.flatnonzero(named[1:] != named[:-1]) + 1).tolist(), t.num_rows]
+            for a, b in zip(cuts[:-1], cuts[1:]):
+                if conv is not None and conv[0].as_py() != ids[a].as_py():
+                    if done == 0:
+                        yield row(0)
+                    done, held = done + 1, []
+                conv = ids.slice(a, 1)
+                held += _codes(t.slice(a, b - a))
+        if held:
+            yield row(1)            # 0 rows of part 0: the whole partition is one conversation
+
+    def joined(batches):
+        """Per partition, style and end states of its first and last
+        conversation; two matrices a partition come in, in order."""
+        m, rows = shared.value, [r for b in batches for r in b.to_pylist()]
+        out: dict[int, dict[int, tuple]] = {}
+        a = 0
+        while a < len(rows):
+            b = a + 1
+            while b < len(rows) and rows[b]["conv"] == rows[a]["conv"]:
+                b += 1
+            parts = [np.array(r["m"]).reshape(len(STYLES), N, N) for r in rows[a:b]]
+            for r, ends in zip(rows[a:b], ends_of(parts, m)):
+                out.setdefault(r["pid"], {})[r["part"]] = ends
+            a = b
+        if out:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(out), pa.int32()),
+                 pa.array([[*(p.get(0) or p[1]), *p[1]] for p in out.values()], pa.list_(pa.int32()))],
+                names=["of", "ends"])
+
+    cells = f"pid int, part int, conv {kind['conv']}, m array<double>"
+    ends = (dealt.select("pid", "conv", "e").mapInArrow(summaries, cells)
+            .repartition(1).sortWithinPartitions("pid", "part")           # two rows a partition
+            .mapInArrow(joined, "of int, ends array<int>"))
+    names = ["conv", "pos", "tie", "line", "role", "opens", "text"]
+    schema = f"conv {kind['conv']}, pos {kind['pos']}, tie long, line int, role string, opens boolean, text string"
+
+    def decided(batches):
+        m = shared.value
+        before = None
+
+        def solve(t, first, last):
+            given = t["ends"][0].as_py()
+            codes = _codes(t)
+            s = viterbi(np.concatenate(codes), m, tuple(given[3:] if last else given[:3]) if first or last else None)
+            return _runs(t, codes, s, names)
+
+        for i, t in enumerate(sorted_groups(batches, ["conv"])):
+            if before is not None:
+                yield solve(before, i == 1, False)
+            before, only = t, i == 0
+        if before is not None:
+            yield solve(before, only, True)
+
+    def each(batches):
+        m = shared.value
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            codes = _codes(t) if t.num_rows else []
+            if codes:
+                yield _runs(t, codes, np.concatenate([viterbi(c, m) for c in codes]), names)
+
+    many = dealt.join(F.broadcast(ends), F.col("pid") == F.col("of")).mapInArrow(decided, schema)
+    single = (alone.withColumn("f", f).select("conv", "pos", "tie", "text", F.col("f")["e"].alias("e"),
+                                              F.col("f")["skip"].alias("skip")).mapInArrow(each, schema))
+    return (many.unionByName(single).withColumnRenamed("conv", "conv_id")
+            .withColumn("rendered", F.when(F.col("opens"), F.concat(F.lit("<|turn|>"), "role", F.lit("\n"), "text"))
+                        .otherwise(F.concat(F.lit("\n"), "text"))))
 
 
 def format_chat(blocks: DataFrame, model: Model, id_col: str = "conv_id", pos_col: str = "turn",
-                text_col: str = "text", span: int = SPAN) -> DataFrame:
-    """Per block and run of lines of one turn: ``conv_id``, ``pos``, ``line``
-    (number of the run's first line), ``role``, ``opens`` (false: goes on with
-    the turn before it), ``text`` and ``rendered``.  The rows of a conversation
-    in the order of (pos, line), put together, are its canonical form."""
-    lines = lines_of(blocks, id_col, pos_col, text_col)
-    # a null id becomes a conversation of its own that no other id equals
-    lines = lines.withColumn("cid", F.col("conv")).withColumn(
-        "conv", F.coalesce(F.concat(F.lit("i"), F.col("conv").cast("string")), F.lit("null")))
-    coded = scratch(_coded(lines, _first(lines)), "chat-coded")
-    states = decode_states(coded, model, span)
-    d = coded.join(states, ["conv", "pos", "tie", "line_no"])
-    # runs inside a block: a first line opens one; the block's first line always does
-    block = Window.partitionBy("conv", "pos", "tie", "part").orderBy("line_no")
-    opens = F.col("state") % 2 == 0
-    starts = F.when(opens | (F.col("line_no") % BLOCK_LINES == 0), F.col("line_no"))
-    d = d.withColumn("line0", F.last(starts, ignorenulls=True).over(block))
-    runs = (d.withColumn("bare", F.when(opens, _bare("line")).otherwise(F.col("line")))
-            .groupBy("cid", "conv", "pos", "tie", "line0")
-            .agg(F.min_by("state", "line_no").alias("state"),
-                 F.sort_array(F.collect_list(F.struct("line_no", "bare"))).alias("ls")))
-    role = F.element_at(F.array(*[F.lit(r) for r in ROLES]), (F.floor(F.col("state") / 2) + 1).cast("int"))
-    opened = F.col("state") % 2 == 0
-    text = F.array_join(F.transform("ls", lambda x: x["bare"]), "\n")
-    # a marker may have had a line of its own
-    text = F.when(opened, F.regexp_replace(text, r"^\n", "")).otherwise(text)
-    return (runs.select(F.col("cid").alias("conv_id"), "pos", F.col("line0").alias("line"), role.alias("role"),
-                        opened.alias("opens"), text.alias("text"))
-            .withColumn("rendered", F.when(F.col("opens"), F.concat(F.lit("<|turn|>"), "role", F.lit("\n"), "text"))
-                        .otherwise(F.concat(F.lit("\n"), "text"))))
+                text_col: str = "text", parts: int | None = None) -> DataFrame:
+    """Per block and run of lines of one turn: ``conv_id``, ``pos``, ``tie``
+    (XXH64 of the block), ``line`` (number of the run's first line), ``role``,
+    ``opens`` (false: goes on with the turn before it), ``text`` and
+    ``rendered``.  The rows of a conversation in the order of (pos, tie, line),
+    put together, are its canonical form; blank lines at the end of a run go."""
+    b = blocks.select(F.col(id_col).alias("conv"), F.col(pos_col).cast("long").alias("pos"),
+                      text_or_empty(text_col).alias("text"))
+    key = F.xxhash64("text").alias("tie")
+    known, n = _ready(b.filter("conv is not null"))
+    dealt = (known.select("conv", "pos", key, "text").repartitionByRange(parts or n, "conv", "pos", "tie")
+             .groupBy("conv", "pos", "tie", "text").agg(F.lit(1))           # no exchange: each group is in one range
+             .select("conv", "pos", "tie", "text").sortWithinPartitions("conv", "pos", "tie", "text"))
+    return decode(dealt, b.filter("conv is null").select("conv", "pos", key, "text"), model)
 
 
 # ------------------------------------- stand-in over `conversations`
-def transcripts(conversations: DataFrame, id_col: str = "conv_id", pos_col: str = "turn", role_col: str = "role",
-                text_col: str = "text") -> DataFrame:
-    """The conversations as raw transcripts: all columns kept, the texts with
-    a marker before them in one of four styles by conversation; in two styles
-    every third turn has none."""
-    style = F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(4))
+def raw_turns(conversations: DataFrame, id_col: str = "conv_id", pos_col: str = "turn", role_col: str = "role",
+              text_col: str = "text") -> DataFrame:
+    """The turns of ``conversations`` as they stand in raw transcripts:
+    ``conv_id``, ``block`` (its first turn's number), ``turn``, ``role``,
+    ``text``.  By conversation, one of four marker styles, one to eight turns a block, and in every other one a
+    blank line after each turn.  One turn in six has no marker, where a block
+    or a blank line shows its start; one in eight has a last line that looks
+    like a marker of another style.  A turn without a position is a block of
+    its own."""
+    def pick(salt: str, n: int, *cols):
+        return F.pmod(F.crc32(F.concat_ws(":", F.lit(salt), *[F.col(c).cast("string") for c in cols])), F.lit(n))
+
+    style, spaced = pick("style", 4, id_col), pick("blank", 2, id_col) == 0
+    size = 1 + pick("size", 8, id_col)
     user = F.col(role_col) == "user"
     role = F.coalesce(F.col(role_col), F.lit(""))
     marks = (F.when(style == 0, F.concat(F.initcap(role), F.lit(": ")))
              .when(style == 1, F.concat(F.lit("### "), F.when(user, "Human").otherwise(F.initcap(role)), F.lit(":\n")))
              .when(style == 2, F.when(user, "Q: ").when(F.col(role_col) == "assistant", "A: ").otherwise("Context: "))
              .otherwise(F.concat(F.lit("<|"), role, F.lit("|> "))))
-    bare = (style >= 2) & (F.pmod(F.col(pos_col), F.lit(3)) == 2)
-    return conversations.withColumn(text_col, F.concat(F.when(bare, "").otherwise(marks), text_or_empty(text_col)))
+    opens = F.col(pos_col) % size == 0
+    bare = (F.col(pos_col) > 0) & (spaced | opens) & (pick("bare", 6, id_col, pos_col) == 0)
+    odd = F.when(style == 2, "\nUser: a name in the second table").otherwise("\nA: the first of three answers")
+    text = F.concat(F.when(bare, "").otherwise(marks), text_or_empty(text_col),
+                    F.when(pick("odd", 8, id_col, pos_col) == 0, odd).otherwise(""), F.when(spaced, "\n").otherwise(""))
+    return conversations.select(F.col(id_col).alias("conv_id"),
+                                F.try_subtract(F.col(pos_col).cast("long"), F.pmod(F.col(pos_col), size)).alias("block"),
+                                F.col(pos_col).cast("long").alias("turn"), F.col(role_col).alias("role"),
+                                text.alias("text"))
+
+
+def _transcripts(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Raw turns joined to blocks, dealt as ``decode`` takes them: those of
+    known conversations, and the others, one turn each."""
+    known, n = _ready(turns.filter("conv_id is not null")
+                      .select(F.col("conv_id").alias("conv"), F.col("block").alias("pos"), "turn", "text"))
+    own = F.when(F.col("pos").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
+    dealt = (known.withColumn("tie", own).repartitionByRange(n, "conv", "pos", "tie")
+             .groupBy("conv", "pos", "tie").agg(F.sort_array(F.collect_set(F.struct("turn", "text"))).alias("t"))
+             .select("conv", "pos", "tie", F.array_join(F.transform("t", lambda x: x["text"]), "\n").alias("text"))
+             .sortWithinPartitions("conv", "pos", "tie"))
+    alone = turns.filter("conv_id is null").select(F.col("conv_id").alias("conv"), F.col("block").alias("pos"),
+                                                   F.xxhash64("text").alias("tie"), "text")
+    return dealt, alone
+
+
+def transcripts(turns: DataFrame) -> DataFrame:
+    """Raw turns joined to blocks: ``conv_id``, ``turn`` (the block's number)
+    and ``text``."""
+    dealt, alone = _transcripts(turns)
+    return dealt.unionByName(alone).select(F.col("conv").alias("conv_id"), F.col("pos").alias("turn"), "text")
 
 
 def over_conversations(conversations: DataFrame) -> DataFrame:
-    raw = transcripts(conversations)
-    return format_chat(raw.drop("role"), fit(raw))
+    turns = raw_turns(conversations)
+    return decode(*_transcripts(turns), fit(turns))

@@ -1,4 +1,4 @@
-"""Packing, chat formatting, URL filters and the pipeline."""
+"""Packing, URL filters and the pipeline."""
 import hashlib
 import struct
 import zlib
@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from streamfold.llm import catalog, chat, language_id, packing, simhash, url_filter
+from streamfold.llm import catalog, language_id, packing, simhash, url_filter
 from streamfold.llm.common import tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -114,97 +114,6 @@ def test_most_rests_are_packed_by_combinations():
     assert plan.by_combination >= 0.8 * hist.sum()
 
 
-# -------------------------------------------------------------------- chat
-def blocks_of(spark, rows):
-    return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-
-
-@pytest.fixture(scope="module")
-def talks(spark):
-    return chat.transcripts(spark.read.parquet("/root/testdata/sf0.01/conversations.parquet"))
-
-
-@pytest.fixture(scope="module")
-def model(talks):
-    return chat.fit(talks)
-
-
-def slow_viterbi(codes, m):
-    score, back = m.start + m.emit[:, codes[0]], []
-    for e in codes[1:]:
-        through = score[:, None] + m.step
-        back.append(through.argmax(axis=0))
-        score = through.max(axis=0) + m.emit[:, e]
-    at = int(score.argmax())
-    total = score.max()
-    path = [at]
-    for b in reversed(back):
-        at = int(b[at])
-        path.append(at)
-    return path[::-1], total
-
-
-def path_score(path, codes, m):
-    return m.start[path[0]] + sum(m.emit[s, e] for s, e in zip(path, codes)) \
-        + sum(m.step[a, b] for a, b in zip(path, path[1:]))
-
-
-@pytest.mark.parametrize("span", [2, 3, 64])
-def test_stretched_viterbi_is_viterbi(spark, talks, model, span):
-    """Long conversations, many levels: the best score of the whole."""
-    rng = np.random.default_rng(span)
-    rows = [(c, t * 2, 0, i, int(rng.integers(0, chat.N_CODES))) for c, n in ((1, 40), (2, 7), (3, 1))
-            for t in range(n) for i in range(int(rng.integers(1, 4)))]
-    df = spark.createDataFrame([(str(c), t, x, i, e, 0) for c, t, x, i, e in rows],
-                               "conv string, pos long, tie long, line_no int, e int, part long")
-    got = defaultdict(list)
-    for r in table(chat.decode_states(df, model, span)):
-        got[r["conv"]].append((r["pos"], r["line_no"], r["state"]))
-    for c in {r[0] for r in rows}:
-        codes = [e for cc, t, _, i, e in rows if cc == c]
-        path = [s for _, _, s in sorted(got[str(c)])]
-        assert len(path) == len(codes)
-        assert np.isclose(path_score(path, codes, model), slow_viterbi(codes, model)[1])
-
-
-def test_roles_of_held_out_conversations(spark, talks, model):
-    truth = {(r["conv_id"], r["turn"]): r["role"] for r in table(talks)}
-    got = table(chat.format_chat(talks.drop("role"), model))
-    held = {r["conv_id"] for r in table(talks.select("conv_id", chat.held_out().alias("h")).filter("h"))}
-    first = {(r["conv_id"], r["pos"]): r["role"] for r in got if r["line"] == 0}
-    assert first.keys() == truth.keys()
-    right = [first[k] == truth[k] for k in truth if k[0] in held]
-    assert sum(right) >= 0.95 * len(right)
-
-
-def test_rendering_takes_markers_away(spark, model):
-    df = blocks_of(spark, [(1, 0, None, "### System:\nBe brief."), (1, 1, None, "User: What is it?\nTell me."),
-                           (1, 2, None, "Assistant: A thing.\nTruly."), (2, 0, None, "Q: hello?"), (2, 1, None, "A: hi")])
-    rows = sorted(table(chat.format_chat(df.drop("role"), model)), key=lambda r: (r["conv_id"], r["pos"], r["line"]))
-    one = "".join(r["rendered"] for r in rows if r["conv_id"] == 1)
-    assert one.startswith("<|turn|>system\nBe brief.<|turn|>user\nWhat is it?\nTell me.<|turn|>assistant\nA thing.")
-    assert [r["role"] for r in rows if r["conv_id"] == 2] == ["user", "assistant"]
-
-
-def test_odd_conversations(spark, model):
-    long = "\n".join(f"line {i}" for i in range(1500))
-    df = blocks_of(spark, [(None, None, None, None), (None, 1, None, "User: x"), (1, 5, None, ""), (1, 5, None, ""),
-                           (1, 5, None, "other"), (2, 10 ** 12, None, "User: far"), (2, 0, None, long)]) \
-        .withColumns({c: F.lit(1) for c in ("conv", "pos", "state", "k", "line", "e")}).drop("role")
-    rows = table(chat.format_chat(df, model))
-    assert {r["conv_id"] for r in rows} == {None, 1, 2}
-    body = "".join("\n" * (r["line"] > 0 and not r["opens"]) + r["text"] for r in
-                   sorted((r for r in rows if r["conv_id"] == 2 and r["pos"] == 0), key=lambda r: r["line"]))
-    assert body.replace("\n", "") == long.replace("\n", "")
-    assert sum(r["conv_id"] == 1 and r["line"] == 0 for r in rows) == 2
-    assert chat.format_chat(df.limit(0), model).count() == 0
-
-
-def test_fit_on_nothing(spark, talks):
-    m = chat.fit(talks.limit(0))
-    assert chat.format_chat(talks.limit(5).drop("role"), m).count() >= 5
-
-
 # -------------------------------------------------------------------- URLs
 def day(n):
     return url_filter.START + n * 86_400
