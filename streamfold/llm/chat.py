@@ -41,6 +41,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -281,6 +282,33 @@ def _ready(df: DataFrame) -> tuple[DataFrame, int]:
     return df, parts
 
 
+def _changes(t: pa.Table, names: list[str]) -> np.ndarray:
+    """Whether a row differs from the row before it; nulls are equal."""
+    change = np.zeros(t.num_rows - 1, dtype=bool)
+    for c in names:
+        col = t[c].combine_chunks()
+        a, b = col.slice(0, len(col) - 1), col.slice(1)
+        same = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+        change |= ~same.to_numpy(zero_copy_only=False)
+    return change
+
+
+def _distinct(rows: DataFrame) -> DataFrame:
+    """Sorted rows without repeats."""
+
+    def run(batches):
+        last = None
+        for b in batches:
+            if b.num_rows == 0:
+                continue
+            t = pa.Table.from_batches([b])
+            change = _changes(t if last is None else pa.concat_tables([last, t]), t.column_names)
+            last = t.slice(t.num_rows - 1)
+            yield from t.filter(pa.array(np.append(True, change)[-t.num_rows:])).to_batches()
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def _codes(t: pa.Table) -> list[np.ndarray]:
     """Placed codes of each block of a table."""
     col = t["e"].combine_chunks()
@@ -320,7 +348,8 @@ def _runs(t: pa.Table, codes: list[np.ndarray], states: np.ndarray, names: list[
 def decode(dealt: DataFrame, alone: DataFrame, model: Model) -> DataFrame:
     """Blocks (``conv``, ``pos``, ``tie``, ``text``) to runs.  ``dealt`` lies in
     ranges of (conv, pos, tie) and is sorted within them; the rows of ``alone``
-    are conversations of their own."""
+    are conversations of their own.  Sorting and repeats are kept inside tasks
+    after the exchange, so no later exchange can deal the ranges anew."""
     ship(dealt.sparkSession)
     shared = dealt.sparkSession.sparkContext.broadcast(model)       # fixed size
     f = features(F.col("text"))
@@ -393,7 +422,9 @@ def decode(dealt: DataFrame, alone: DataFrame, model: Model) -> DataFrame:
             s = viterbi(np.concatenate(codes), m, tuple(given[3:] if last else given[:3]) if first or last else None)
             return _runs(t, codes, s, names)
 
-        for i, t in enumerate(sorted_groups(batches, ["conv"])):
+        for i, t in enumerate(sorted_groups(batches, ["pid", "conv"])):
+            if before is not None and before["pid"][0] != t["pid"][0]:
+                raise RuntimeError("a task holds rows of two ranges")
             if before is not None:
                 yield solve(before, i == 1, False)
             before, only = t, i == 0
@@ -428,9 +459,8 @@ def format_chat(blocks: DataFrame, model: Model, id_col: str = "conv_id", pos_co
     key = F.xxhash64("text").alias("tie")
     known, n = _ready(b.filter("conv is not null"))
     dealt = (known.select("conv", "pos", key, "text").repartitionByRange(parts or n, "conv", "pos", "tie")
-             .groupBy("conv", "pos", "tie", "text").agg(F.lit(1))           # no exchange: each group is in one range
-             .select("conv", "pos", "tie", "text").sortWithinPartitions("conv", "pos", "tie", "text"))
-    return decode(dealt, b.filter("conv is null").select("conv", "pos", key, "text"), model)
+             .sortWithinPartitions("conv", "pos", "tie", "text"))
+    return decode(_distinct(dealt), b.filter("conv is null").select("conv", "pos", key, "text"), model)
 
 
 # ------------------------------------- stand-in over `conversations`
@@ -472,9 +502,19 @@ def _transcripts(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
                       .select(F.col("conv_id").alias("conv"), F.col("block").alias("pos"), "turn", "text"))
     own = F.when(F.col("pos").isNull(), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
     dealt = (known.withColumn("tie", own).repartitionByRange(n, "conv", "pos", "tie")
-             .groupBy("conv", "pos", "tie").agg(F.sort_array(F.collect_set(F.struct("turn", "text"))).alias("t"))
-             .select("conv", "pos", "tie", F.array_join(F.transform("t", lambda x: x["text"]), "\n").alias("text"))
-             .sortWithinPartitions("conv", "pos", "tie"))
+             .sortWithinPartitions("conv", "pos", "tie", "turn", "text"))
+
+    def joined(batches):
+        for t in sorted_groups(batches, ["conv"]):
+            cuts = [0, *(np.flatnonzero(_changes(t, ["pos", "tie"])) + 1).tolist(), t.num_rows]
+            lines = t["text"].to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [*(t[c].combine_chunks().take(pa.array(cuts[:-1])) for c in ("conv", "pos", "tie")),
+                 pa.array(["\n".join(lines[a:b]) for a, b in zip(cuts[:-1], cuts[1:])], pa.string())],
+                names=["conv", "pos", "tie", "text"])
+
+    kind = dict(dealt.dtypes)
+    dealt = _distinct(dealt).mapInArrow(joined, f"conv {kind['conv']}, pos long, tie long, text string")
     alone = turns.filter("conv_id is null").select(F.col("conv_id").alias("conv"), F.col("block").alias("pos"),
                                                    F.xxhash64("text").alias("tie"), "text")
     return dealt, alone
