@@ -7,9 +7,12 @@ without a pair left leave the recursion.  Decoding joins token rows with the
 vocabulary and puts the bytes together with an ordered aggregation.
 
 A pre-token that is itself in the vocabulary is one token (as in the tiktoken
-library).  The recursion repeats once per merge, so its work grows with the
-square of a pre-token's length; pre-tokens over ``MAX_SQL_BYTES`` bytes are
-merged with a heap instead, by the same rule (leftmost minimum rank first).
+library).  Of the ways to cut a token in two, plain merging can only meet one,
+so the merge table holds that one.  A recursion step costs the live rows: short
+pre-tokens contract one pair a step; those over ``SHORT_BYTES`` contract every
+occurrence of their least pair in a step, from the left, which is the same where
+no merge makes a pair of lower rank (``orderly``, checked on the table; without
+it they too contract one at a time).
 
 Defined results: a null text counts as empty (no ids, empty bytes); null ids
 decode to empty bytes; a null row id is kept; an unknown or null token id raises;
@@ -19,7 +22,6 @@ repeated rows give repeated results; other columns are not read.
 from __future__ import annotations
 
 import base64
-import heapq
 import re
 import unicodedata
 from itertools import islice
@@ -33,7 +35,8 @@ from pyspark.sql import functions as F
 from streamfold.llm.common import text_or_empty, tokenizer_path
 
 RANKS = "byte_bpe_50k.tiktoken"
-MAX_SQL_BYTES = 255          # the position takes the low 8 bits of a row's key, the last one stays free
+SHORT_BYTES = 255            # the position takes the low 8 bits of a row's key, the last one stays free
+LONG_PER_QUERY = 500_000     # bytes of long pre-tokens in one recursion
 WORK_PER_QUERY = 2_000_000   # sum of squared pre-token lengths: bounds the rows of one recursion
 CHUNK_BYTES = 4_000_000
 CHUNK_TOKENS = 200_000
@@ -63,6 +66,34 @@ WITH RECURSIVE cur(k, t, n, r, fin) AS (
 SELECT (k // 256)::INT AS w, t FROM cur WHERE fin ORDER BY k
 """
 
+# A row: key (word * 2^32 + position), x the key of the next row.  ``hit`` holds
+# the pairs to contract: every occurrence of the word's least rank, of a chain
+# of overlapping ones the 1st, 3rd, ...; if merges are not orderly, the first.
+LONG_SQL = """
+WITH RECURSIVE cur(k, x, t, n, r, fin) AS (
+    SELECT k, x, t, n, m.rank, false FROM start_rows LEFT JOIN merges m ON m.pair = t::BIGINT * 65536 + n
+  UNION ALL
+    (WITH live AS (SELECT k, x, t, n, r FROM cur WHERE NOT fin),
+          least AS (SELECT k >> 32 AS w, min(r) AS m FROM live WHERE r IS NOT NULL GROUP BY 1),
+          found AS (SELECT k, x, m, (lag(x) OVER (ORDER BY k) IS DISTINCT FROM k)::INT AS head
+                    FROM live JOIN least ON w = k >> 32 AND r = m),
+          chain AS (SELECT k, x, m, sum(head) OVER (ORDER BY k) AS c FROM found),
+          hit AS (SELECT k, x, m FROM chain QUALIFY row_number() OVER (PARTITION BY {part} ORDER BY k) {pick}),
+          pair AS (SELECT h.k, h.m, l.x, l.n FROM hit h JOIN live l ON l.k = h.x),
+          moved AS (SELECT l.k, CASE WHEN p.k IS NULL THEN l.x ELSE p.x END AS x, coalesce(p.m, l.t) AS t,
+                           CASE WHEN p.k IS NULL THEN l.n ELSE p.n END AS n, l.r, p.k IS NOT NULL AS changed, w IS NULL AS fin
+                    FROM live l LEFT JOIN least ON w = l.k >> 32 LEFT JOIN pair p ON p.k = l.k
+                    WHERE l.k NOT IN (SELECT x FROM hit)),
+          linked AS (SELECT a.k, a.x, a.t, coalesce(g.m, a.n) AS n, r, changed OR g.k IS NOT NULL AS changed, fin
+                     FROM moved a LEFT JOIN hit g ON g.k = a.x)
+     SELECT k, x, t, n, CASE WHEN changed THEN m.rank ELSE r END, fin
+     FROM linked LEFT JOIN merges m ON m.pair = CASE WHEN changed THEN t::BIGINT * 65536 + n END)
+)
+SELECT (k >> 32)::INT AS w, t FROM cur WHERE fin ORDER BY k
+"""
+EVERY = {"part": "c", "pick": "% 2 = 1"}
+FIRST = {"part": "k >> 32", "pick": "= 1"}
+
 DECODE_SQL = """
 SELECT d, unhex(string_agg(h, '' ORDER BY p)) AS bytes, count(*) AS n
 FROM token_rows JOIN vocab USING (t) GROUP BY d ORDER BY d
@@ -110,12 +141,12 @@ class Bpe:
         self.beyond = re.compile(f"[^\0-{chr(LATIN - 1)}]").search
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
         pairs, merged = [], []
+        self.orderly = True
         for token, rank in self.ranks.items():
-            for i in range(1, len(token)):
-                a, b = self.ranks.get(token[:i]), self.ranks.get(token[i:])
-                if a is not None and b is not None:
-                    pairs.append(a * 65536 + b)
-                    merged.append(rank)
+            if (last := self._last_pair(token, rank)) is not None:
+                pairs.append(last[0] * 65536 + last[1])
+                merged.append(rank)
+                self.orderly &= all(i < rank or i < 256 for i in last)
         self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "300MB"})
         self.con.execute("SET temp_directory = ''")
         self._table("merges", pair=pa.array(pairs, pa.int64()), rank=pa.array(merged, pa.int32()))
@@ -145,36 +176,39 @@ class Bpe:
         finally:
             self.con.unregister(name)
 
-    def merge_long(self, word: bytes) -> np.ndarray:
-        """The same contraction with a heap of (rank, position)."""
-        parts = [word[i:i + 1] for i in range(len(word))]
-        after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
-        heap = [(r, i) for i in range(len(parts) - 1) if (r := self.ranks.get(parts[i] + parts[i + 1])) is not None]
-        heapq.heapify(heap)
-        while heap:
-            rank, i = heapq.heappop(heap)
-            j = after[i]
-            if not parts[i] or j >= len(parts) or self.ranks.get(parts[i] + parts[j]) != rank:
-                continue                    # stale: one of the two has changed since
-            parts[i], parts[j] = parts[i] + parts[j], b""
-            after[i] = after[j]
-            if after[i] < len(parts):
-                before[after[i]] = i
-            for a, b in ((before[i], i), (i, after[i])):
-                if a >= 0 and b < len(parts) and (r := self.ranks.get(parts[a] + parts[b])) is not None:
-                    heapq.heappush(heap, (r, a))
-        return np.array([self.ranks[p] for p in parts if p], dtype=np.int32)
-
-    def merge_words(self, words: list[bytes]) -> list[np.ndarray]:
-        """Token ids of pre-tokens of at most ``MAX_SQL_BYTES`` bytes."""
+    def _last_pair(self, token: bytes, rank: int) -> tuple[int, int] | None:
+        """The two tokens that merging makes of a token before it is whole."""
+        parts = [self.ranks[token[i:i + 1]] for i in range(len(token))]
+        ends = list(range(1, len(token) + 1))
+        while len(parts) > 2:
+            starts = [0, *ends]
+            least = min((r, i) for i in range(len(parts) - 1)
+                        if (r := self.ranks.get(token[starts[i]:ends[i + 1]], 1 << 30)) is not None)
+            if least[0] == 1 << 30:
+                return None                 # never met: pre-tokens that are tokens are not merged
+            parts[least[1]:least[1] + 2] = [least[0]]
+            del ends[least[1]]
+        return tuple(parts) if len(parts) == 2 else None
+
+    def merge_words(self, words: list[bytes], long: bool = False) -> list[np.ndarray]:
+        """Token ids of pre-tokens, of at most ``SHORT_BYTES`` bytes unless
+        ``long``."""
         size = np.array([len(w) for w in words], dtype=np.int64)
         raw = np.frombuffer(b"".join(words), dtype=np.uint8)
         word = np.repeat(np.arange(len(words)), size)
         pos = np.arange(len(raw)) - np.repeat(np.cumsum(size) - size, size)
         t = self.byte_ids[raw]
         after = np.append(t[1:], -1).astype(np.int32)
-        after[np.cumsum(size) - 1] = -1
-        out = self._query("start_rows", {"k": word * 256 + pos, "t": t, "n": after}, ENCODE_SQL)
+        last = np.cumsum(size) - 1
+        after[last] = -1
+        if long:
+            key = (word << 32) + pos
+            x = key + 1
+            x[last] = -1
+            out = self._query("start_rows", {"k": key, "x": x, "t": t, "n": after},
+                              LONG_SQL.format(**(EVERY if self.orderly else FIRST)))
+        else:
+            out = self._query("start_rows", {"k": word * 256 + pos, "t": t, "n": after}, ENCODE_SQL)
         ids = out["t"].to_numpy().astype(np.int32)
         ends = np.searchsorted(out["w"].to_numpy(), np.arange(1, len(words)), side="left")
         return np.split(ids, ends)
@@ -182,19 +216,19 @@ class Bpe:
     def _learn(self, words: list[str]) -> None:
         """Add the ids of the next pre-tokens by number."""
         ids: list = [None] * len(words)
-        short = []
+        short, long = [], []
         for i, w in enumerate(words):
             b = w.encode()
             if b in self.ranks:
                 ids[i] = np.array([self.ranks[b]], dtype=np.int32)
-            elif len(b) > MAX_SQL_BYTES:
-                ids[i] = self.merge_long(b)
             else:
-                short.append((i, b))
-        for i, j in _runs([len(b) ** 2 for _, b in short], WORK_PER_QUERY):
-            part = short[i:j]
-            for (at, _), merged in zip(part, self.merge_words([b for _, b in part])):
-                ids[at] = merged
+                (long if len(b) > SHORT_BYTES else short).append((i, b))
+        for group, sizes, limit in ((short, [len(b) ** 2 for _, b in short], WORK_PER_QUERY),
+                                    (long, [len(b) for _, b in long], LONG_PER_QUERY)):
+            for i, j in _runs(sizes, limit):
+                part = group[i:j]
+                for (at, _), merged in zip(part, self.merge_words([b for _, b in part], group is long)):
+                    ids[at] = merged
         if ids:
             size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
             self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(size)])

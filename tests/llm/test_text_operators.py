@@ -135,18 +135,22 @@ def test_round_trip_is_tiktokens(given, tiktok):
 
 
 def test_long_and_short_words_merge_alike(tiktok):
-    """Random words around the limit, both ways against the library."""
+    """Random words around the limit, by both recursions against the library."""
     bpe = byte_bpe.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     rng = np.random.default_rng(1)
     words = ["".join(rng.choice(list("abcdeinorstéß"), size=n)) for n in [2, 3, 9, 30, 60, 120, 150, 1000, 5000]] \
-        + ["a" * 255, "ab" * 100, "aab" * 80]
-    for w in words:
-        expected = tiktok.encode_ordinary(w)
-        b = w.encode()
-        if b not in bpe.ranks:
-            assert bpe.merge_long(b).tolist() == expected
-            if len(b) <= byte_bpe.MAX_SQL_BYTES:
-                assert bpe.merge_words([b, b])[1].tolist() == expected
+        + ["a" * 255, "a" * 256, "ab" * 200, "aab" * 80, "日本語の長い文章" * 60, "x" * 3001]
+    long = [w.encode() for w in words if w.encode() not in bpe.ranks]
+    expected = [tiktok.encode_ordinary(w.decode()) for w in long]
+    assert bpe.orderly
+    for orderly in (True, False):
+        bpe.orderly = orderly
+        few = [i for i, w in enumerate(long) if orderly or len(w) < 500]
+        assert [x.tolist() for x in bpe.merge_words([long[i] for i in few], long=True)] == [expected[i] for i in few]
+    bpe.orderly = True
+    short = [i for i, w in enumerate(long) if len(w) <= byte_bpe.SHORT_BYTES]
+    assert [x.tolist() for x in bpe.merge_words([long[i] for i in short])] == [expected[i] for i in short]
+    assert [x.tolist() for x in bpe.encode(words)] == [tiktok.encode_ordinary(w) for w in words]
 
 
 def test_encode_then_decode_frames(odd):
