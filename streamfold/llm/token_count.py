@@ -7,8 +7,11 @@ are merged, by the library, each distinct one once per worker.
 
 Splitting is done by a pattern that equals the tokenizer's own normalizer and
 pre-tokenizer on Latin text (code points below U+0180 but U+0130, shown by
-test for every code point).  Any other text goes to the library whole, so a
-count never rests on the pattern outside the range it is proved for.
+test for every code point).  Texts are divided at white space first, which no
+pre-token goes over; a part with any other character is encoded by the library,
+each distinct one once a worker, so a count never rests on the pattern outside
+the range it is proved for.  Only a text in which a special-token string occurs
+goes to the library whole.
 
 Defined results: a null text counts as empty (0 tokens, 0 bytes); a null id is
 kept; repeated rows give repeated results; special-token strings inside a text
@@ -167,12 +170,12 @@ class Memory:
 
     def _learn(self, parts: list[str]) -> None:
         """Add the ids of the next parts by number."""
-        split = [PRETOKEN.findall(p) for p in parts]
+        split = [[p] if UNPROVED.search(p) else PRETOKEN.findall(p) for p in parts]
         at = Numbers()
         word = np.fromiter((at[w] for ws in split for w in ws), dtype=np.int64)
         # where each pre-token's ids are: known as a part, a whole token, or merged now
         old, known = len(self.first) - 1, len(self.flat)
-        first, size, single, rest = np.zeros(len(at), np.int64), np.ones(len(at), np.int64), [], []
+        first, size, single, rest, odd = np.zeros(len(at), np.int64), np.ones(len(at), np.int64), [], [], []
         for w, k in at.items():
             if w in self.whole:
                 first[k] = known + len(single)
@@ -180,9 +183,12 @@ class Memory:
             elif (i := self.numbers.get(w, old)) < old:
                 first[k], size[k] = self.first[i], self.first[i + 1] - self.first[i]
             else:
-                rest.append(w)
+                (odd if UNPROVED.search(w) else rest).append(w)
         merged, n = self.tok.encode_words(rest)
-        k = np.fromiter((at[w] for w in rest), dtype=np.int64, count=len(rest))
+        by_library = self.tok.encode_many(odd)
+        merged = np.concatenate([merged, *(np.array(x, dtype=np.uint32) for x in by_library)])
+        n = np.concatenate([n, np.fromiter(map(len, by_library), dtype=np.int64, count=len(odd))])
+        k = np.fromiter((at[w] for w in (*rest, *odd)), dtype=np.int64, count=len(rest) + len(odd))
         first[k], size[k] = known + len(single) + np.cumsum(n) - n, n
         pool = np.concatenate([self.flat, np.array(single, dtype=np.uint32), merged])
         new = pool[_spans(first[word], size[word])]
@@ -191,48 +197,66 @@ class Memory:
         self.first = np.concatenate([self.first, self.first[-1] + ends])
         self.flat = np.concatenate([self.flat, new])
 
-    def numbered(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
-        """The numbers of the parts of texts that ``parts`` can take, end to
-        end, and how many each text has.  Arrow makes the same parts here (an
-        empty one at white space on an end, which has no token) and each
-        distinct one is looked up once a call."""
+    def numbered(self, texts: pa.StringArray, odd: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the white-space parts of texts, end to end, and how
+        many each text has.  For texts that ``parts`` can take, Arrow makes the
+        same parts here (an empty one at white space on an end, which has no
+        token); ``odd`` texts are cut at ASCII white space, and a part with an
+        unproved character stays as it is.  Each distinct part is looked up
+        once a call."""
         if len(self.numbers) > CACHE_PARTS:
             self._forget()
             pa.default_memory_pool().release_unused()
         known = len(self.numbers)
-        split = pc.utf8_split_whitespace(pc.utf8_lower(texts))
+        split = pc.ascii_split_whitespace(texts) if odd else pc.utf8_split_whitespace(pc.utf8_lower(texts))
         coded = split.flatten().dictionary_encode()
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if odd:
+            distinct = [p if UNPROVED.search(p) else p.lower() for p in distinct]
         number = np.fromiter(map(self.numbers.__getitem__, distinct), dtype=np.int64, count=len(distinct))
         self._learn(list(islice(self.numbers, known, None)))
         return number[coded.indices.to_numpy()], pc.list_value_length(split).to_numpy().astype(np.int64)
 
-    def _by_library(self, texts: pa.StringArray) -> np.ndarray:
-        return pc.or_(pc.match_substring_regex(texts, UNPROVED_RE2),
-                      pc.match_substring_regex(texts, self.tok.special.pattern)).to_numpy(zero_copy_only=False)
+    def _unproved(self, texts: pa.StringArray) -> np.ndarray:
+        return pc.match_substring_regex(texts, UNPROVED_RE2).to_numpy(zero_copy_only=False)
+
+    def _special(self, texts: pa.StringArray) -> np.ndarray:
+        return pc.match_substring_regex(texts, self.tok.special.pattern).to_numpy(zero_copy_only=False)
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, end to end, and how many each text has."""
-        odd = self._by_library(texts)
-        part, n_parts = self.numbered(texts.filter(pa.array(~odd)))
-        per_part = self.first[part + 1] - self.first[part]
-        ids = self.flat[_spans(self.first[part], per_part)]
+        whole, odd = self._special(texts), self._unproved(texts)
         size = np.zeros(len(texts), dtype=np.int64)
-        size[~odd] = _sums(per_part, n_parts)
-        if not odd.any():
-            return ids, size
-        pieces = iter(np.split(ids, np.cumsum(size[~odd])[:-1]))
-        lists = [np.array(self.tok.encode(texts[i].as_py()), dtype=np.uint32) if odd[i] else next(pieces)
-                 for i in range(len(texts))]
-        return np.concatenate(lists), np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+        found = []
+        for which in (~whole & ~odd, ~whole & odd):
+            if not which.any():
+                continue
+            part, n_parts = self.numbered(texts.filter(pa.array(which)), odd=bool((which & odd).any()))
+            per_part = self.first[part + 1] - self.first[part]
+            size[which] = _sums(per_part, n_parts)
+            found.append((which, self.flat[_spans(self.first[part], per_part)]))
+        at = np.flatnonzero(whole).tolist()
+        if at:
+            lists = [np.array(x, dtype=np.uint32) for x in self.tok.encode_many(texts.take(pa.array(at)).to_pylist())]
+            size[whole] = list(map(len, lists))
+            found.append((whole, np.concatenate(lists)))
+        if len(found) == 1:
+            return found[0][1], size
+        ids = np.zeros(size.sum(), dtype=np.uint32)
+        first = np.cumsum(size) - size
+        for which, part in found:
+            ids[_spans(first[which], size[which])] = part
+        return ids, size
 
     def counts(self, texts: pa.StringArray) -> np.ndarray:
         """Tokens of each text."""
-        odd = self._by_library(texts)
-        part, n_parts = self.numbered(texts.filter(pa.array(~odd)))
+        whole, odd = self._special(texts), self._unproved(texts)
         size = np.zeros(len(texts), dtype=np.int64)
-        size[~odd] = _sums(self.first[part + 1] - self.first[part], n_parts)
-        for i in np.flatnonzero(odd):
+        for which in (~whole & ~odd, ~whole & odd):
+            if which.any():
+                part, n_parts = self.numbered(texts.filter(pa.array(which)), odd=bool((which & odd).any()))
+                size[which] = _sums(self.first[part + 1] - self.first[part], n_parts)
+        for i in np.flatnonzero(whole):
             size[i] = len(self.tok.encode(texts[int(i)].as_py()))
         return size
 

@@ -68,7 +68,7 @@ def test_arrow_divides_every_proved_code_point_as_python():
     tok = token_count.load(tokenizer_path("word_bpe_49k.json"))
     mem = token_count.Memory(tok, {})
     every = list(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    odd = mem._by_library(pa.array(every))
+    odd = mem._unproved(pa.array(every))
     assert odd.tolist() == [bool(token_count.UNPROVED.search(c)) for c in every]
     texts = [t for c, o in zip(every, odd) if not o for t in (c, f"A{c}B", f" {c} {c}", f"{c}\n")]
     mem.numbered(pa.array(texts))
@@ -88,6 +88,32 @@ def test_counts_and_ids_of_mixed_texts(library):
         assert size.tolist() == list(map(len, expected)) == mem.counts(pa.array(part, pa.string())).tolist()
 
 
+def test_parts_with_other_characters_are_parts(library):
+    """Curly quotes, dashes, euro signs, other scripts, combining marks and
+    odd white space beside Latin words: ids as of the whole text, and only the
+    parts that hold such a character go to the library."""
+    import pyarrow as pa
+
+    tok = token_count.load(tokenizer_path("word_bpe_49k.json"))
+    mem = token_count.Memory(tok, tok.whole_tokens())
+    rng = np.random.default_rng(4)
+    pool = ["plain", "Words,", "don’t", "“quoted”", "a—b", "5€", "Größe", "ΣΑΣ", "Привет", "日本語", "한국어", "🙂", "e\u0301",
+            "\u0301x", "İ", "x\u2003y", "\u2028", "\u3000", "\xa0z", "q\x85r", "\x1cs", "ﬁ", "\u200b", "ſ", "K", "\u0345", "α\u0345"]
+    seps = [" ", "  ", "\n", "\t ", "\r\n", "\x0b", "\xa0", "\u2003", ""]
+    texts = ["".join(w + s for w, s in zip(rng.choice(pool, n), rng.choice(seps, n))) for n in rng.integers(1, 40, 1500)]
+    sent, many = [], tok.encode_many
+    tok.encode_many = lambda parts: (sent.extend(parts), many(parts))[1]
+    try:
+        ids, size = mem.encode(pa.array(texts))
+        counts = mem.counts(pa.array(texts))
+    finally:
+        del tok.encode_many
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids.tolist() == [i for e in expected for i in e]
+    assert size.tolist() == list(map(len, expected)) == counts.tolist()
+    assert sent and all(token_count.UNPROVED.search(p) and not set(p) & set(" \n\t\r\x0b") for p in sent)
+
+
 def test_a_full_memory_goes_back_to_its_first_parts(library, monkeypatch):
     import pyarrow as pa
 
