@@ -6,11 +6,18 @@ entry holds until the domain's next one, so entries become validity intervals.
 A capture is judged by the entries active when it was fetched: of all active
 ones for the host and the domains above it, the most specific decides.
 
-Both steps work per time bucket: interval ends come from the next entry in the
-bucket, or else from the first entry of the domain's next bucket, and the join
-is on (domain, bucket).  So neither a domain with a long list history nor a
-host with a third of all captures ends up in one task (Spark splits the join's
-hot keys; no window holds more than a domain's bucket).
+Both steps work per time bucket.  Interval ends come from the next entry in the
+bucket, or else from the first entry of the domain's next bucket.  A capture
+meets, by a join on (domain, bucket), the intervals that start in its bucket and
+the one that was open before it, which a window over a domain's buckets carries
+to those that hold captures.  So an interval costs nothing in the buckets
+between, however long it stays open, and neither a domain with a long list
+history nor a host with a third of all captures ends up in one task (Spark
+splits the join's hot keys; no window holds more than a domain's bucket, or one
+row for each of its buckets).
+
+Times count to the microsecond.  Of a host, letter case and one dot at the end
+do not matter; an IPv6 address in brackets is a host without domains above it.
 
 Defined results: a null or unreadable URL, a host of over 253 characters (no
 host name can be) or a null fetch time gives ``none``; entries with a null
@@ -26,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BUCKET_SECONDS = 30 * 86_400
+BUCKET_MICROS = 30 * 86_400 * 1_000_000
 MAX_HOST = 253
 # Actions, the strongest last.
 ACTIONS = ("allow", "remove", "block")
@@ -34,29 +41,36 @@ ACTIONS = ("allow", "remove", "block")
 
 def host_of(url):
     """Lower-case host of an absolute URL, null if there is none."""
-    h = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1))
+    h = _domain(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/:?#]+)", 1))
     return F.when((F.length(h) > 0) & (F.length(h) <= MAX_HOST), h)
 
 
+def _domain(name):
+    return F.regexp_replace(F.lower(name), r"\.\z", "")
+
+
 def domains_of(host):
     """The host and every domain above it."""
-    labels = F.split(host, r"\.")
+    labels = F.when(host.startswith("["), F.array(host)).otherwise(F.split(host, r"\."))
     return F.transform(F.sequence(F.lit(1), F.size(labels)),
                        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
 
 
-def _bucket(seconds):
-    return F.floor(seconds / BUCKET_SECONDS)
+def _bucket(micros):
+    return F.floor(micros / BUCKET_MICROS)
+
+
+def _micros(col):
+    return F.unix_micros(F.col(col).cast("timestamp"))
 
 
 def intervals(entries: DataFrame, domain_col: str = "domain", action_col: str = "action",
               time_col: str = "listed_at") -> DataFrame:
-    """Entries to (domain, action, since, until) in epoch seconds; ``until`` is
+    """Entries to (domain, action, since, until) in epoch microseconds; ``until`` is
     null for a domain's last entry.  ``remove`` ends an interval and starts
     none."""
     strength = F.array_position(F.array(*[F.lit(a) for a in ACTIONS]), F.col(action_col))
-    e = (entries.select(F.lower(F.col(domain_col)).alias("domain"), strength.alias("s"),
-                        F.unix_seconds(F.col(time_col).cast("timestamp")).alias("since"))
+    e = (entries.select(_domain(F.col(domain_col)).alias("domain"), strength.alias("s"), _micros(time_col).alias("since"))
          .filter("domain is not null and since is not null and s > 0")
          .groupBy("domain", "since").agg(F.max("s").alias("s"))
          .withColumn("bucket", _bucket(F.col("since"))))
@@ -75,37 +89,41 @@ def judge(captures: DataFrame, entries: DataFrame, id_col: str = "page_id", url_
     """Per capture: ``page_id``, ``host``, ``decision`` (block, allow, none),
     ``rule`` (the deciding domain) and ``rule_since`` (epoch seconds)."""
     c = captures.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"),
-                        F.unix_seconds(F.col(time_col).cast("timestamp")).alias("at"))
+                        _micros(time_col).alias("at"))
     # captures of one host at one time are judged once
     asked = c.filter("host is not null and at is not null").select("host", "at").distinct()
-    span = asked.agg(F.min("at").alias("lo"), F.max("at").alias("hi")).first()
-    lo, hi = (span["lo"], span["hi"]) if span["lo"] is not None else (0, -1)
-    # each interval in every bucket of the captures' time that it reaches
-    held = (intervals(entries).filter((F.col("since") <= F.lit(hi)) & (F.coalesce("until", F.lit(hi + 1)) > F.lit(lo)))
-            .withColumn("bucket", F.explode(F.sequence(
-                _bucket(F.greatest("since", F.lit(lo))),
-                _bucket(F.least(F.coalesce(F.col("until") - 1, F.lit(hi)), F.lit(hi)))))))
     seen = (asked.withColumn("domain", F.explode(domains_of(F.col("host"))))
             .withColumn("bucket", _bucket(F.col("at"))))
+    held = intervals(entries).withColumn("bucket", _bucket(F.col("since")))
+    lasts = held.groupBy("domain", "bucket").agg(F.max(F.struct("since", "until", "action")).alias("i"))
+    buckets = (lasts.unionByName(seen.select("domain", "bucket").distinct(), allowMissingColumns=True)
+               .groupBy("domain", "bucket").agg(F.max("i").alias("i")))
+    before = Window.partitionBy("domain").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (buckets.withColumn("i", F.last("i", ignorenulls=True).over(before)).filter("i is not null")
+               .select("domain", "bucket", "i.since", "i.until", "i.action")
+               .filter(F.col("until").isNull() | (F.col("until") > F.col("bucket") * BUCKET_MICROS)))
+    held = held.unionByName(carried)
     active = seen.join(held, ["domain", "bucket"]).filter("since <= at and (until is null or at < until)")
     best = (active.groupBy("host", "at")
             .agg(F.max(F.struct(F.length("domain").alias("n"), "domain", "action", "since")).alias("r")))
     return (c.join(best, ["host", "at"], "left")
             .select("page_id", "host", F.coalesce("r.action", F.lit("none")).alias("decision"),
-                    F.col("r.domain").alias("rule"), F.col("r.since").alias("rule_since")))
+                    F.col("r.domain").alias("rule"),
+                    F.floor(F.col("r.since") / 1_000_000).alias("rule_since")))
 
 
 # ------------------------------------------------- stand-in over `pages`
 # `pages` has no fetch time and no list, so both are derived from it: a page
-# was fetched on day 37 * page_id mod 365 of 2024, and every host got a list
-# history from the ids of its first and last page.
+# was fetched on day 37 * page_id mod 365 of 2024, on a quarter of a second,
+# and every host got a list history from the ids of its first and last page,
+# half a second after midnight.
 START = 1_704_067_200
 
 
 def captures_of(pages: DataFrame) -> DataFrame:
     day = F.pmod(F.col("page_id") * 37, F.lit(365))
-    return pages.select("page_id", "url", F.timestamp_seconds(F.lit(START) + day * 86_400
-                                                              + F.pmod("page_id", F.lit(24)) * 3600)
+    seconds = F.lit(START) + day * 86_400 + F.pmod("page_id", F.lit(24)) * 3600
+    return pages.select("page_id", "url", F.timestamp_micros(seconds * 1_000_000 + F.pmod("page_id", F.lit(4)) * 250_000)
                         .alias("fetched_at"))
 
 
@@ -116,7 +134,7 @@ def entries_of(pages: DataFrame) -> DataFrame:
     h = (pages.select("page_id", host_of(F.col("url")).alias("host")).filter("host is not null")
          .groupBy("host").agg(F.min("page_id").alias("lo"), F.max("page_id").alias("hi")))
     day = F.pmod(F.col("lo") * 53, F.lit(300))
-    dated = lambda d: F.timestamp_seconds(F.lit(START) + d * 86_400)
+    dated = lambda d: F.timestamp_micros((F.lit(START) + d * 86_400) * 1_000_000 + 500_000)
     rows = F.array(
         F.struct(F.col("host").alias("domain"), F.lit("block").alias("action"), dated(day).alias("listed_at")),
         F.struct(F.col("host").alias("domain"), F.lit("remove").alias("action"),
@@ -135,17 +153,18 @@ def over_pages(pages: DataFrame) -> DataFrame:
 
 SQL = rf"""
 WITH p AS (
-  SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)) AS h,
-         {START} + (page_id * 37 % 365) * 86400 + page_id % 24 * 3600 AS ts
+  SELECT page_id, regexp_replace(lower(regexp_extract(url,
+           '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/:?#]+)', 1)), '\.$', '') AS h,
+         ({START} + (page_id * 37 % 365) * 86400 + page_id % 24 * 3600) * 1000000 + page_id % 4 * 250000 AS ts
   FROM pages),
 c AS (SELECT page_id, CASE WHEN length(h) BETWEEN 1 AND 253 THEN h END AS host, ts FROM p),
 hosts AS (SELECT host, min(page_id) AS lo, max(page_id) AS hi FROM c WHERE host IS NOT NULL GROUP BY host),
-e AS (
-  SELECT host AS domain, 3 AS s, {START} + (lo * 53 % 300) * 86400 AS since FROM hosts
-  UNION ALL SELECT host, 2, {START} + (lo * 53 % 300 + 20 + hi % 40) * 86400 FROM hosts
-  UNION ALL SELECT host, CASE WHEN hi % 2 = 0 THEN 1 ELSE 3 END, {START} + (lo * 53 % 300 + 90) * 86400 FROM hosts
-  UNION ALL SELECT regexp_replace(host, '^[^.]*\.', ''), CASE WHEN lo % 2 = 0 THEN 3 ELSE 2 END,
-                   {START} + (lo * 53 % 300) * 86400 FROM hosts),
+d AS (
+  SELECT host AS domain, 3 AS s, lo * 53 % 300 AS day FROM hosts
+  UNION ALL SELECT host, 2, lo * 53 % 300 + 20 + hi % 40 FROM hosts
+  UNION ALL SELECT host, CASE WHEN hi % 2 = 0 THEN 1 ELSE 3 END, lo * 53 % 300 + 90 FROM hosts
+  UNION ALL SELECT regexp_replace(host, '^[^.]*\.', ''), CASE WHEN lo % 2 = 0 THEN 3 ELSE 2 END, lo * 53 % 300 FROM hosts),
+e AS (SELECT domain, s, ({START} + day * 86400) * 1000000 + 500000 AS since FROM d),
 one AS (SELECT domain, since, max(s) AS s FROM e GROUP BY domain, since),
 iv AS (SELECT domain, s, since, lead(since) OVER (PARTITION BY domain ORDER BY since) AS until FROM one),
 m AS (
@@ -154,6 +173,6 @@ m AS (
    AND iv.since <= c.ts AND (iv.until IS NULL OR c.ts < iv.until)
   WHERE iv.s <> 2 GROUP BY c.page_id)
 SELECT c.page_id, c.host, CASE r.s WHEN 3 THEN 'block' WHEN 1 THEN 'allow' ELSE 'none' END AS decision,
-       r.d AS rule, r.f::BIGINT AS rule_since
+       r.d AS rule, (r.f // 1000000)::BIGINT AS rule_since
 FROM c LEFT JOIN m USING (page_id)
 """

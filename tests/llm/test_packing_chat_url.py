@@ -144,6 +144,61 @@ def test_most_specific_active_entry_decides(spark):
     assert url_filter.judge(c.union(c), e).count() == 2 * len(asked)
 
 
+def at_micros(spark, rows, names):
+    return spark.createDataFrame(rows, names).withColumn(names.split()[-2], F.timestamp_micros(names.split()[-2]))
+
+
+def test_times_inside_one_second(spark):
+    t = day(3) * 1_000_000
+    e = at_micros(spark, [("a.com", "block", t + 100_000), ("a.com", "allow", t + 700_000), ("b.com", "block", t + 700_000)],
+                  "domain string, action string, listed_at long")
+    c = at_micros(spark, [(1, "http://a.com/", t + 99_999), (2, "http://a.com/", t + 100_000), (3, "http://a.com/", t + 699_999),
+                          (4, "http://a.com/", t + 700_000), (5, "http://b.com/", t + 200_000), (6, "http://b.com/", t + 700_001)],
+                  "page_id long, url string, fetched_at long")
+    got = {r["page_id"]: r["decision"] for r in table(url_filter.judge(c, e))}
+    assert got == {1: "none", 2: "block", 3: "block", 4: "allow", 5: "none", 6: "block"}
+
+
+def test_open_intervals_cost_nothing_between_captures(spark):
+    """Thousands of intervals that stay open, and captures in years 1 to 9999."""
+    n = 2000
+    e = at_micros(spark, [(f"h{i}.com", "block", day(i % 300) * 1_000_000) for i in range(n)],
+                  "domain string, action string, listed_at long")
+    c = at_micros(spark, [(1, "http://x.h7.com/", 253_370_764_800_000_000), (2, "http://h7.com/", day(6) * 1_000_000),
+                          (3, "http://h8.com", -62_135_596_800_000_000), (4, "http://h8.com", day(900) * 1_000_000)],
+                  "page_id long, url string, fetched_at long")
+    df = url_filter.judge(c, e)
+    assert {r["page_id"]: r["decision"] for r in table(df)} == {1: "block", 2: "none", 3: "none", 4: "block"}
+    assert "sequence(" not in df._jdf.queryExecution().optimizedPlan().toString().split("explode")[0]
+
+
+def test_buckets_against_a_plain_search(spark):
+    rng = np.random.default_rng(8)
+    step = url_filter.BUCKET_MICROS // 7
+    acts = ["block", "allow", "remove"]
+    es = [(f"d{rng.integers(4)}.com", acts[rng.integers(3)], int(rng.integers(200)) * step) for _ in range(120)]
+    cs = [(i, f"http://w.d{rng.integers(5)}.com/", int(rng.integers(-20, 400)) * step) for i in range(300)]
+    got = {r["page_id"]: (r["decision"], r["rule_since"]) for r in table(url_filter.judge(
+        at_micros(spark, cs, "page_id long, url string, fetched_at long"),
+        at_micros(spark, es, "domain string, action string, listed_at long")))}
+    for i, url, t in cs:
+        best = max(((s, url_filter.ACTIONS.index(a)) for d, a, s in es if d == url[9:-1] and s <= t), default=None)
+        want = ("none", None) if best is None or best[1] == 1 else (url_filter.ACTIONS[best[1]], best[0] // 1_000_000)
+        assert got[i] == want
+
+
+def test_hosts(spark):
+    urls = {"http://[2001:db8::1]:80/x": "[2001:db8::1]", "http://u@[::1]/": "[::1]", "http://A.com./": "a.com",
+            "http://a.com": "a.com", "http://a.com:8080?x": "a.com", "http://./": None, "http:///x": None, "http://[::1": "[",
+            "mailto:x@y.z": None}
+    df = spark.createDataFrame([(u,) for u in urls], "url string").select("url", url_filter.host_of(F.col("url")).alias("h"))
+    assert {r["url"]: r["h"] for r in table(df)} == urls
+    e = at_micros(spark, [("A.com.", "block", 0), ("[::1]", "block", 0)], "domain string, action string, listed_at long")
+    c = at_micros(spark, [(1, "http://x.a.com/", 9), (2, "http://[::1]:9/", 9), (3, "http://[2001:db8::1]/", 9)],
+                  "page_id long, url string, fetched_at long")
+    assert {r["page_id"]: r["decision"] for r in table(url_filter.judge(c, e))} == {1: "block", 2: "block", 3: "none"}
+
+
 def test_url_query_matches_sql(spark):
     con = duckdb.connect()
     con.execute(f"create view pages as select * from '{SF}/pages.parquet'")
