@@ -56,6 +56,8 @@ FIT_CONVERSATIONS = 2000
 FIT_TURNS = 64
 BACKGROUND = 0.01
 PART_CHARS = 128 << 20
+LINES_AT_ONCE = 20_000
+ROWS_AT_ONCE = 2_000
 HOT_ROWS = 100              # copies of one row from which it may be hot
 HOT_SHARE = 1000
 
@@ -267,6 +269,44 @@ def viterbi(codes: np.ndarray, m: Model, ends: tuple[int, int, int] | None = Non
     return states
 
 
+def viterbi_many(codes: list[np.ndarray], m: Model) -> list[np.ndarray]:
+    """``viterbi`` of many conversations, line by line for all at once, those
+    of like length together."""
+    size = np.array([len(c) for c in codes])
+    order = np.argsort(size, kind="stable")
+    out: list = [None] * len(codes)
+    a = 0
+    while a < len(order):
+        # as many as fit a table of LINES_AT_ONCE cells, the longest last
+        b = a + 1
+        while b < len(order) and (b + 1 - a) * size[order[b]] <= LINES_AT_ONCE:
+            b += 1
+        which = order[a:b]
+        n, longest = size[which], size[which[-1]]
+        table = np.zeros((len(which), longest), dtype=np.int64)
+        table[np.arange(longest) < n[:, None]] = np.concatenate([codes[k] for k in which])
+        emit = m.emit.transpose(2, 0, 1)                            # code, style, state
+        score = emit[table[:, 0]] + m.start
+        back = np.zeros((longest, *score.shape), dtype=np.int8)
+        lives = np.searchsorted(n, np.arange(longest), side="right")   # the first with more lines
+        for i in range(1, longest):
+            k = lives[i]
+            through = score[k:, :, :, None] + m.step
+            back[i, k:] = through.argmax(axis=2)
+            score[k:] = through.max(axis=2) + emit[table[k:, i]]
+        style, at = np.divmod(score.reshape(len(which), -1).argmax(axis=1), N)
+        states = np.zeros((len(which), longest), dtype=np.int8)
+        states[np.arange(len(which)), n - 1] = at
+        for i in range(longest - 1, 0, -1):
+            k = np.arange(lives[i], len(which))
+            at[k] = back[i, k, style[k], at[k]]
+            states[k, i - 1] = at[k]
+        for k, row, x in zip(which, states, n):
+            out[k] = row[:x]
+        a = b
+    return out
+
+
 # --------------------------------------------------------------- decoding
 def _ready(df: DataFrame) -> tuple[DataFrame, int]:
     """Rows without the repeats of the hottest ones, so that no group of copies
@@ -412,32 +452,36 @@ def decode(dealt: DataFrame, alone: DataFrame, model: Model) -> DataFrame:
     names = ["conv", "pos", "tie", "line", "role", "opens", "text"]
     schema = f"conv {kind['conv']}, pos {kind['pos']}, tie long, line int, role string, opens boolean, text string"
 
+    def solved(groups: list):
+        """(table, end states or None) of conversations to rows."""
+        codes = [_codes(t) for t, _ in groups]
+        inner = [i for i, (_, ends) in enumerate(groups) if ends is None]
+        found = dict(zip(inner, viterbi_many([np.concatenate(codes[i]) for i in inner], shared.value)))
+        states = [found[i] if ends is None else viterbi(np.concatenate(c), shared.value, ends)
+                  for i, ((_, ends), c) in enumerate(zip(groups, codes))]
+        if groups:
+            yield _runs(pa.concat_tables([t for t, _ in groups]).combine_chunks(), [x for c in codes for x in c],
+                        np.concatenate(states), names)
+
     def decided(batches):
-        m = shared.value
-        before = None
-
-        def solve(t, first, last):
-            given = t["ends"][0].as_py()
-            codes = _codes(t)
-            s = viterbi(np.concatenate(codes), m, tuple(given[3:] if last else given[:3]) if first or last else None)
-            return _runs(t, codes, s, names)
-
-        for i, t in enumerate(sorted_groups(batches, ["pid", "conv"])):
-            if before is not None and before["pid"][0] != t["pid"][0]:
-                raise RuntimeError("a task holds rows of two ranges")
+        before, held, lines, first = None, [], 0, True
+        for t in sorted_groups(batches, ["pid", "conv"]):
             if before is not None:
-                yield solve(before, i == 1, False)
-            before, only = t, i == 0
+                if before["pid"][0] != t["pid"][0]:
+                    raise RuntimeError("a task holds rows of two ranges")
+                held.append((before, tuple(before["ends"][0].as_py()[:3]) if first else None))
+                first, lines = False, lines + before.num_rows
+                if lines > ROWS_AT_ONCE:
+                    yield from solved(held)
+                    held, lines = [], 0
+            before = t
         if before is not None:
-            yield solve(before, only, True)
+            yield from solved([*held, (before, tuple(before["ends"][0].as_py()[3:]))])
 
     def each(batches):
-        m = shared.value
         for b in batches:
             t = pa.Table.from_batches([b])
-            codes = _codes(t) if t.num_rows else []
-            if codes:
-                yield _runs(t, codes, np.concatenate([viterbi(c, m) for c in codes]), names)
+            yield from solved([(t.slice(i, 1), None) for i in range(t.num_rows)])
 
     many = dealt.join(F.broadcast(ends), F.col("pid") == F.col("of")).mapInArrow(decided, schema)
     single = (alone.withColumn("f", f).select("conv", "pos", "tie", "text", F.col("f")["e"].alias("e"),
