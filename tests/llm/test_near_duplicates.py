@@ -208,6 +208,35 @@ def test_repeated_null_and_empty_vectors(spark):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], VEC)).count() == 0
 
 
+def test_chance_meetings_stay_few_and_pairs_at_the_limit_meet():
+    """Random vectors of one label meet less than once each, at sixteen times
+    the size about twice as often; pairs just over the limit share a code."""
+    rng = np.random.default_rng(3)
+    met = []
+    for n in (4_000, 64_000):
+        bits = embedding_dedup.bits_for(n)
+        tables = embedding_dedup.tables_for(bits, 0.98)
+        x = rng.standard_normal((n, 64))
+        x /= np.abs(x).max(axis=1, keepdims=True)
+        codes = embedding_dedup.codes_of(x, tables, bits, 1)
+        pairs = sum(int((c * (c - 1) // 2).sum()) for t in codes.T for c in [np.unique(t, return_counts=True)[1]])
+        met.append(pairs / n)
+        a = x[:3000] / np.linalg.norm(x[:3000], axis=1, keepdims=True)
+        side = rng.standard_normal(a.shape)
+        side -= (side * a).sum(axis=1, keepdims=True) * a
+        b = 0.9801 * a + np.sqrt(1 - 0.9801 ** 2) * side / np.linalg.norm(side, axis=1, keepdims=True)
+        share = (embedding_dedup.codes_of(a, tables, bits, 1) == embedding_dedup.codes_of(b, tables, bits, 1)).any(axis=1)
+        assert share.mean() > 0.998
+    assert max(met) < 1 and met[1] < 2.5 * met[0]
+
+
+def test_codes_do_not_depend_on_the_batch():
+    x = np.float32(np.random.default_rng(2).uniform(-2, 2, (300, 77))).astype(np.float64)
+    whole = embedding_dedup.codes_of(x, 20, 17, 5)
+    assert (whole == np.vstack([embedding_dedup.codes_of(x[i:i + 1], 20, 17, 5) for i in range(300)])).all()
+    assert (whole[::-1] == embedding_dedup.codes_of(x[::-1], 20, 17, 5)).all()
+
+
 def test_embedding_query_recall(spark):
     rows = sorted(table(spark.read.parquet(f"{SF}/embeddings.parquet")), key=lambda r: r["vec_id"])
     got = {r["vec_id"]: r for r in table(catalog.op4_embedding_dedup(spark, SF))}
