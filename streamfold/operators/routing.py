@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
 
 def dedupe_first_seen(items) -> list:
     """Drop repeats, keep first-seen order (driver-side spec step)."""
@@ -20,6 +22,16 @@ def dedupe_first_seen(items) -> list:
     return out
 
 
+def first_seen(rows: DataFrame, group, item: str, order) -> DataFrame:
+    """U2 over rows: the distinct items of each group with their place in
+    first-seen order (``order`` columns, ties by item).  One row per group,
+    item and map task is shuffled."""
+    group = [group] if isinstance(group, str) else list(group)
+    firsts = rows.groupBy(*group, item).agg(F.min(F.struct(*order)).alias("_first"))
+    return firsts.select(*group, item, F.row_number().over(
+        Window.partitionBy(*group).orderBy("_first", item)).alias("place"))
+
+
 def route_table(spark: SparkSession, routes: dict[str, list[str]]) -> DataFrame:
     """``{target_table: [topic, ...]}`` -> DataFrame(topic, target_table)."""
     rows = []

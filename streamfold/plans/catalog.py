@@ -273,6 +273,20 @@ def q_route_projected(spark, sf_dir):
     return _seq_out(routing.project_target(tb.trades(spark, sf_dir), S.WIDE_FIELDS, passthrough=ORDER))
 
 
+def q_dedupe_first_seen(spark, sf_dir):
+    """Each user's event types in the order they were first seen."""
+    e = tb.read_table(spark, sf_dir, "events")
+    return routing.first_seen(e, "user_id", "event_type", ["ts", "event_id"])
+
+
+def q_message_bytes(spark, sf_dir):
+    """texts as UTF-8 bytes, as a topic carries them, and read back."""
+    from streamfold.functions.scalar import from_bytes, to_bytes
+    d = tb.read_table(spark, sf_dir, "documents").select("doc_id", "text", to_bytes("text").alias("raw"))
+    return d.select("doc_id", F.octet_length("raw").cast("long").alias("n_bytes"), F.sha2("raw", 256).alias("raw_sha256"),
+                    (from_bytes("raw") == F.col("text")).alias("same"))
+
+
 def q_store_increments(spark, sf_dir):
     """K1: what micro-batches of a document sink leave in files (two of one
     query, one of a query with a new checkpoint, whose numbers start again at
@@ -463,6 +477,8 @@ QUERIES = {
     "src_failfast": q_src_failfast,
     "topic_output": q_topic_output,
     "route_projected": q_route_projected,
+    "dedupe_first_seen": q_dedupe_first_seen,
+    "message_bytes": q_message_bytes,
     "store_increments": q_store_increments,
     "consumer_lag_at": q_consumer_lag_at,
     "declarative_spec": q_declarative_spec,

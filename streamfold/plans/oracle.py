@@ -288,6 +288,14 @@ SELECT symbol, price, volume, CAST(NULL AS DOUBLE) AS current, CAST(NULL AS DOUB
        CAST(NULL AS BIGINT) AS k, timestamp, event_id AS seq
 FROM ({TRADES})"""
 
+SQL["dedupe_first_seen"] = """
+SELECT user_id, event_type, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id, event_type) AS INTEGER) AS place
+FROM (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1)"""
+
+SQL["message_bytes"] = """
+SELECT doc_id, octet_length(encode(text)) AS n_bytes, sha256(text) AS raw_sha256, decode(encode(text)) = text AS same
+FROM documents"""
+
 SQL["store_increments"] = SQL["merge_latest_nonnull"]
 
 # ---------------------------------------------------------------- X1 / X2

@@ -1,6 +1,6 @@
 import pytest
 
-from streamfold.operators.routing import dedupe_first_seen
+from streamfold.operators.routing import dedupe_first_seen, first_seen
 from streamfold.plans import spec as X
 
 K = X.KAFKA
@@ -27,6 +27,14 @@ def test_dedupe_first_seen():
     assert dedupe_first_seen(["b", "a", "b", "c", "a"]) == ["b", "a", "c"]
 
 
+def test_first_seen_over_rows(spark):
+    df = spark.createDataFrame([(1, "b", 1), (1, "a", 2), (1, "b", 3), (1, None, 4), (1, "a", 0), (2, "c", 9), (2, "c", 9),
+                                (2, "b", 9), (None, "x", 1)], "g int, item string, at int")
+    got = {(r.g, r.item): r.place for r in first_seen(df, "g", "item", ["at"]).collect()}
+    assert got == {(1, "a"): 1, (1, "b"): 2, (1, None): 3, (2, "b"): 1, (2, "c"): 2, (None, "x"): 1}
+    assert first_seen(df.limit(0), "g", "item", ["at"]).count() == 0
+
+
 def test_user_sql(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "s string, n long")
     assert X.run_user_sql(spark, "CREATE TABLE x (a INT)", {"t": df}) is None
