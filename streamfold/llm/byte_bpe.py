@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamfold.llm.common import text_or_empty, tokenizer_path
+from streamfold.llm.common import ship, text_or_empty, tokenizer_path
 
 RANKS = "byte_bpe_50k.tiktoken"
 SHORT_BYTES = 255            # the position takes the low 8 bits of a row's key, the last one stays free
@@ -304,6 +304,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks:
            folder: str | None = None, pattern: str | None = None, and_decode: bool = False) -> DataFrame:
     """Per row: ``doc_id`` and ``ids`` (array<int>); with ``and_decode`` also
     ``bytes``, decoded from the ids in the same task."""
+    ship(df.sparkSession)
     path, pat = tokenizer_path(ranks, folder), pattern or _pattern()
     d = df.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text"))
     schema = f"doc_id {d.schema['doc_id'].dataType.simpleString()}, ids array<int>" + ", bytes binary" * and_decode
@@ -326,6 +327,7 @@ def encode(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks:
 def decode(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", ranks: str = RANKS,
            folder: str | None = None, pattern: str | None = None) -> DataFrame:
     """Per row: ``doc_id``, ``ids`` and ``bytes`` (binary)."""
+    ship(df.sparkSession)
     path, pat = tokenizer_path(ranks, folder), pattern or _pattern()
     d = df.select(F.col(id_col).alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
     schema = f"doc_id {d.schema['doc_id'].dataType.simpleString()}, ids array<int>, bytes binary"

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from streamfold.llm.common import text_or_empty
+from streamfold.llm.common import ship, text_or_empty
 
 PROFILE = 300
 TRAIN_PER_LANG = 3000
@@ -136,6 +136,7 @@ def held_out(id_col: str = "doc_id"):
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         profile: int = PROFILE, per_lang: int = TRAIN_PER_LANG) -> Model:
     """Learn the profiles from rows that are not held out."""
+    ship(df.sparkSession)
     labelled = (df.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull()
                           & ~held_out(id_col))
                 .select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"),
@@ -181,10 +182,12 @@ def predictor(model: Model):
 
 def identify(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id``, ``held_out``, ``lang_pred`` and ``score``."""
+    ship(df.sparkSession)
     d = df.select(F.col(id_col).alias("doc_id"), predictor(model)(F.col(text_col).cast("string")).alias("p"))
     return d.select("doc_id", held_out("doc_id").alias("held_out"), "p.lang_pred", "p.score")
 
 
 def with_language(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows whose language was found, all their columns kept."""
+    ship(df.sparkSession)
     return df.filter(predictor(model)(F.col(text_col).cast("string"))["lang_pred"] != UNDETERMINED)

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamfold.llm.common import text_or_empty, tokenizer_path
+from streamfold.llm.common import ship, text_or_empty, tokenizer_path
 
 # The base patterns.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -269,6 +269,7 @@ def scan(text: str, ranks: dict[str, int], min_cost: float = MIN_GUESSES_LOG10)
 def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_cost: float = MIN_GUESSES_LOG10,
          vocab: str = "word_bpe_49k.json", folder: str | None = None) -> DataFrame:
     """Per row: ``doc_id`` and ``found``, an array of (kind, start, end)."""
+    ship(df.sparkSession)
     path = tokenizer_path(vocab, folder)
 
     @F.pandas_udf("array<struct<kind: string, start: long, end: long>>")
@@ -295,6 +296,7 @@ def redact(df: DataFrame, text_col: str = "text", length_col: str | None = "n_ch
            folder: str | None = None) -> DataFrame:
     """All rows and columns, the secrets in their texts masked; a column with
     the number of characters follows the text.  A null text stays null."""
+    ship(df.sparkSession)
     path = tokenizer_path(vocab, folder)
 
     @F.pandas_udf("string")

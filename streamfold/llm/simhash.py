@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamfold.llm.common import scratch, shuffle_partitions, text_or_empty
+from streamfold.llm.common import scratch, ship, shuffle_partitions, text_or_empty
 from streamfold.llm.components import components, local_stars
 
 SHINGLE_WORDS = 3
@@ -70,6 +70,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle_words: int = SHINGLE_WORDS, hashed: bool = False) -> DataFrame:
     """Per row: ``doc_id`` and ``fp`` (the fingerprint as a signed long), with
     ``hashed`` between them ``h``, the hash of the text."""
+    ship(df.sparkSession)
     more = [text_hash(text_col).alias("h")] if hashed else []
     d = df.select(F.col(id_col).alias("doc_id"), *more, text_or_empty(text_col).alias("text"))
     names = [c for c in d.columns if c != "text"]
@@ -150,6 +151,7 @@ def links_between(a: np.ndarray, b: np.ndarray | None, radius: int = RADIUS):
 def links(distinct: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """Distinct fingerprints (column ``fp``) to star edges (a, b)."""
     spark = distinct.sparkSession
+    ship(spark)
     hi, lo = F.bit_count(F.shiftrightunsigned("fp", 32)), F.bit_count(F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF)))
     d = distinct.select("fp", (hi * 64 + lo).cast("int").alias("cell"))
     # at most 33 x 33 cells

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamfold.llm.common import text_or_empty, tokenizer_path
+from streamfold.llm.common import ship, text_or_empty, tokenizer_path
 
 VOCAB = "word_bpe_49k.json"
 # Distinct parts of texts a worker remembers; beyond, it goes back to the ones
@@ -274,6 +274,7 @@ def memory(path: str, whole: dict[str, int]) -> Memory:
 def count_tokens(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  vocab: str = VOCAB, folder: str | None = None) -> DataFrame:
     """Per row: ``doc_id``, ``n_bytes`` (UTF-8) and ``n_tokens``."""
+    ship(df.sparkSession)
     path = tokenizer_path(vocab, folder)
     # bounded by the vocabulary
     whole = df.sparkSession.sparkContext.broadcast(load(path).whole_tokens())

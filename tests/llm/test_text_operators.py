@@ -1,6 +1,7 @@
 """Token counts, byte BPE, secret spans, language ID and exact dedup against
 plain per-row versions."""
 import hashlib
+import math
 import re
 import zlib
 
@@ -255,7 +256,6 @@ def test_guess_cost_orders_passwords():
 def test_guess_cost_is_the_least_over_all_segmentations():
     """Exhaustive search over all splits of short values into spans."""
     ranks = {"cat": 3, "dog": 10, "catalog": 50}
-    import math
 
     def exhaustive(v):
         singles = {}
@@ -332,6 +332,62 @@ def test_out_of_place_distance_by_hand():
     assert model.ranks[:4].tolist() == [[0, 3], [1, 3], [2, 0], [3, 1]]
 
 
+def plain_grams(text):
+    """n-grams of the words of a text, as the packed code points that order them."""
+    from collections import Counter
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    out = Counter()
+    for w in words:
+        out.update(w)
+    line = " " + " ".join(words) + " " if words else ""
+    out.update(line[i:i + 2] for i in range(len(line) - 1))
+    out.update(line[i:i + 3] for i in range(len(line) - 2) if line[i + 1] != " ")
+    return out
+
+
+def plain_profile(grams):
+    def packed(g):
+        n = 0
+        for c in g:
+            n = n << 21 | ord(c)
+        return n
+    return sorted(grams, key=lambda g: (-grams[g], packed(g)))[:language_id.PROFILE]
+
+
+def plain_languages(train, texts):
+    """Language and score of every text, n-gram by n-gram."""
+    from collections import Counter
+    total = {}
+    for text, lang in train:
+        total.setdefault(lang, Counter()).update(plain_grams(text))
+    ranks = {lang: {g: i for i, g in enumerate(plain_profile(c))} for lang, c in total.items()}
+    size, out = language_id.PROFILE, []
+    for text in texts:
+        mine = plain_profile(plain_grams(text or ""))
+        if not mine:
+            out.append(("und", 0.0))
+            continue
+        far = {lang: sum(min(abs(r[g] - i), size) if g in r else size for i, g in enumerate(mine)) for lang, r in ranks.items()}
+        best = min(far, key=lambda lang: (far[lang], lang))
+        out.append((best, 1 - far[best] / (size * len(mine))))
+    return out
+
+
+def test_every_prediction_equals_a_plain_computation(spark, docs, odd):
+    rows = table(docs.select("doc_id", "text", "lang"))
+    train = [(r["text"], r["lang"]) for r in rows if r["lang"] is not None and r["text"] is not None
+             and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1]
+    model = language_id.fit(docs)
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in table(language_id.identify(docs, model))}
+    expected = plain_languages(train, [r["text"] for r in rows])
+    for r, (lang, score) in zip(rows, expected):
+        assert got[r["doc_id"]][0] == lang and math.isclose(got[r["doc_id"]][1], score, abs_tol=1e-12), r["doc_id"]
+    texts = [r["text"] for r in table(odd.select("text"))]
+    mine = [model.predict(t) for t in texts]
+    for a, b in zip(mine, plain_languages(train, texts)):
+        assert a[0] == b[0] and math.isclose(a[1], b[1], abs_tol=1e-12)
+
+
 def test_language_accuracy_and_contract(spark, docs):
     rows = table(catalog.op1_language_id(spark, SF))
     truth = {r["doc_id"]: r for r in table(docs)}
@@ -462,7 +518,6 @@ def test_alphabet_of_a_value():
 
 def test_guess_cost_equals_the_exhaustive_search():
     """The least over all splits, each single part by its own definition."""
-    import math
     ranks = {"cat": 3, "dog": 10, "catalog": 50, "log": 900, "gdo": 40_000, "ogc": 25_000, "ats": 7000, "aaa": 20}
 
     def exhaustive(v, brute):
