@@ -2,10 +2,13 @@
 
 Every micro-batch is joined by the batch plan (``enrich.asof_latest``), whose
 rows are dealt out by key and time chunk, so a key that holds a third of a
-batch is shared by many tasks.  What earlier batches leave behind is one quote
-a key: the *book*, a table beside the checkpoint, written anew by each batch
-that brings quotes and numbered by it.  A batch reads the newest book before
-its own number, so a batch that runs again finds the same quotes.
+batch is shared by many tasks. What earlier batches leave behind is one quote
+a key: the *book*, tables beside the checkpoint.  A batch that brings quotes
+adds the newest of each of its keys, under its own number; every
+``FOLD_EVERY`` such additions the book is folded into one table.  A batch reads
+the newest fold before its own number and the additions since, so a batch that
+runs again finds the same quotes, and of these only the keys of its own left
+rows: what it shuffles follows the batch, not the book.
 
 Across batches the quote that arrived last is the current one, inside a batch
 the one last by (time, sequence).  The book has one row per key that ever had
@@ -23,8 +26,9 @@ from streamfold.operators.enrich import asof_latest
 from streamfold.session import checkpoint_subdir
 from streamfold.sinks import stores
 
-# Books that are kept: the one a running batch reads, and those of replays.
-KEPT_BOOKS = 3
+# Additions that make a fold, and folds that are kept for replays.
+FOLD_EVERY = 16
+KEPT_FOLDS = 2
 # The time of the book's quotes: before every message of the batch.
 EARLIEST = "0001-01-01 00:00:00"
 
@@ -39,17 +43,37 @@ class AsofBatches:
         self.key, self.ts, self.seq = list(key), ts_col, seq_col
         self.right_cols, self.prefix, self.write, self.options = right_cols, prefix, write, options
 
-    def books(self) -> list[int]:
-        """Numbers of the books that are complete."""
-        fs, p = stores._fs(self.spark, f"{self.folder}/batch=*/_SUCCESS")
+    def _done(self, kind: str) -> list[int]:
+        """Numbers of the tables ``kind=<n>`` that are complete."""
+        fs, p = stores._fs(self.spark, f"{self.folder}/{kind}=*/_SUCCESS")
         return sorted(int(st.getPath().getParent().getName().split("=")[1]) for st in fs.globStatus(p) or [])
 
-    def book_before(self, batch_id: int, schema) -> DataFrame:
-        """The quotes current when a batch begins."""
-        older = [n for n in self.books() if n < batch_id]
-        if not older:
+    def additions(self) -> list[int]:
+        return self._done("batch")
+
+    def folds(self) -> list[int]:
+        return self._done("fold")
+
+    def _tables_before(self, batch_id: int) -> list[tuple[str, int]]:
+        fold = max((n for n in self.folds() if n < batch_id), default=-1)
+        return [("fold", fold)] * (fold >= 0) + [("batch", n) for n in self.additions() if fold < n < batch_id]
+
+    def book_before(self, batch_id: int, schema, keys: DataFrame | None = None) -> DataFrame:
+        """The quotes current when a batch begins, of ``keys`` if given."""
+        held = None
+        for kind, n in self._tables_before(batch_id):
+            t = self.spark.read.schema(schema).parquet(f"{self.folder}/{kind}={n}").withColumn("_n", F.lit(n))
+            held = t if held is None else held.unionByName(t)
+        if held is None:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.folder}/batch={older[-1]}")
+        if keys is not None:
+            held = held.join(keys, self.key, "left_semi")
+        return self._newest(held, schema)
+
+    def _newest(self, rows: DataFrame, schema) -> DataFrame:
+        """One row a key: of the last number, then by (time, sequence)."""
+        row = F.max_by(F.struct(*[c for c in schema.names if c not in self.key]), F.struct("_n", "_qt", "_qs"))
+        return rows.groupBy(*self.key).agg(row.alias("_row")).select(*self.key, "_row.*").select(*schema.names)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -58,28 +82,31 @@ class AsofBatches:
             right = batch.filter("right is not null").select("right.*")
             quotes = right.select(*self.key, F.col(self.ts).cast("timestamp").alias("_qt"),
                                   F.col(self.seq).cast("long").alias("_qs"), *self.right_cols)
-            held = self.book_before(batch_id, quotes.schema)
+            held = self.book_before(batch_id, quotes.schema, left.select(*self.key).distinct())
             known = held.withColumn("_qt", F.lit(EARLIEST).cast("timestamp")).unionByName(quotes)
             self.write(asof_latest(left, known, self.key, self.ts, self.seq, self.right_cols, prefix=self.prefix,
                                    right_ts_col="_qt", right_seq_col="_qs", **self.options), batch_id)
-            self._write_book(held, quotes, batch_id)
+            self._add(quotes, batch_id)
         finally:
             batch.unpersist()
 
-    def _write_book(self, held: DataFrame, quotes: DataFrame, batch_id: int) -> None:
-        some = [F.col(k).isNotNull() for k in self.key]
+    def _add(self, quotes: DataFrame, batch_id: int) -> None:
         new = quotes.filter(F.col("_qt").isNotNull())
-        for c in some:
-            new = new.filter(c)
+        for k in self.key:
+            new = new.filter(F.col(k).isNotNull())
         if new.isEmpty():
-            return              # the older book stays the newest
-        every = held.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
-        row = F.max_by(F.struct(*[c for c in held.columns if c not in self.key]), F.struct("_new", "_qt", "_qs"))
-        (every.groupBy(*self.key).agg(row.alias("_row")).select(*self.key, "_row.*")
+            return              # the book stays as it is
+        (self._newest(new.withColumn("_n", F.lit(batch_id)), quotes.schema)
          .write.mode("overwrite").parquet(f"{self.folder}/batch={batch_id}"))
-        for n in [n for n in self.books() if n < batch_id][:-KEPT_BOOKS]:
-            fs, p = stores._fs(self.spark, f"{self.folder}/batch={n}")
-            fs.delete(p, True)
+        if len(self._tables_before(batch_id + 1)) > FOLD_EVERY:
+            (self.book_before(batch_id + 1, quotes.schema).write.mode("overwrite")
+             .parquet(f"{self.folder}/fold={batch_id}"))
+            folds = self.folds()
+            if len(folds) >= KEPT_FOLDS:        # a replay reads the fold before its batch and what came after
+                oldest = folds[-KEPT_FOLDS]
+                for kind, n in [("fold", n) for n in folds if n < oldest] + [("batch", n) for n in self.additions() if n <= oldest]:
+                    fs, p = stores._fs(self.spark, f"{self.folder}/{kind}={n}")
+                    fs.delete(p, True)
 
 
 def start_asof(left: DataFrame, right: DataFrame, key: list[str], ts_col: str, seq_col: str, right_cols: list[str],

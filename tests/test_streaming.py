@@ -153,7 +153,31 @@ def test_asof_stream_takes_quotes_by_arrival_and_replays_alike(spark):
     for i, b in ((0, b0), (1, b1), (2, b2), (1, b1), (2, b2)):
         work(b, i)
     assert got == [(0, []), (1, [(7.0, 2.0), (8.0, 1.0)]), (2, [(5.0, 2.0)]), (1, [(7.0, 2.0), (8.0, 1.0)]), (2, [(5.0, 2.0)])]
-    assert work.books() == [0, 1]
+    assert work.additions() == [0, 1] and work.folds() == []
+
+
+def test_quote_book_is_folded_and_batches_replay_alike(spark, monkeypatch):
+    """Many small batches: few tables are kept, and every batch that runs again
+    gives what it gave, also the one that folded."""
+    from streamfold.streaming import asof
+    monkeypatch.setattr(asof, "FOLD_EVERY", 2)
+    d = tempfile.mkdtemp(prefix="sf-book-")
+    schema = "left struct<symbol:string,price:double,at:timestamp,seq:long>, right struct<symbol:string,pc:double,at:timestamp,seq:long>"
+    import datetime as dt
+    at = lambda s: dt.datetime(2024, 1, 1, 0, 0, s)
+    got = {}
+    work = asof.AsofBatches(spark, f"{d}/book", ["symbol"], "at", "seq", ["pc"], "quote_",
+                            lambda rows, i: got.setdefault(i, []).append(sorted((r["symbol"], r["quote_pc"]) for r in rows.collect())))
+    current, want = {}, {}
+    for i in range(9):
+        rows = [((s, 1.0, at(i), 10 * i), None) for s in "abc"] + [(None, ("abc"[i % 3], float(i), at(30 + i), i))]
+        want[i] = sorted(current.items())
+        work(spark.createDataFrame(rows, schema), i)
+        work(spark.createDataFrame(rows, schema), i)
+        current["abc"[i % 3]] = float(i)
+    assert got == {i: [w, w] for i, w in want.items()}
+    assert len(work.folds()) == asof.KEPT_FOLDS and len(work.additions()) <= 6
+    assert len(work._tables_before(9)) <= asof.FOLD_EVERY + 1
 
 
 def test_topic_rows_keep_nulls(spark):
