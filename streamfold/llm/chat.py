@@ -404,8 +404,8 @@ def decode(dealt: DataFrame, alone: DataFrame, model: Model) -> DataFrame:
         def row(part):
             return pa.RecordBatch.from_arrays(
                 [pa.array([pid], pa.int32()), pa.array([part], pa.int32()), conv,
-                 pa.array([matrix_of(np.concatenate(held), m).ravel().tolist()], pa.list_(pa.float64()))],
-                names=["pid", "part", "conv", "m"])
+                 pa.array([matrix_of(np.concatenate([c for x in held for c in _codes(x)]), m).ravel().tolist()],
+                          pa.list_(pa.float64()))], names=["pid", "part", "conv", "m"])
 
         for t in batches:
             if t.num_rows == 0:
@@ -415,13 +415,14 @@ def decode(dealt: DataFrame, alone: DataFrame, model: Model) -> DataFrame:
             ids = t["conv"].combine_chunks()
             named = ids.to_numpy(zero_copy_only=False)
             cuts = [0, *(np.flatnonzero(named[1:] != named[:-1]) + 1).tolist(), t.num_rows]
-            for a, b in zip(cuts[:-1], cuts[1:]):
+            # the second shows that the first has ended; those between it and the batch's last are not needed
+            for a, b in [(cuts[i], cuts[i + 1]) for i in sorted({0, min(1, len(cuts) - 2), len(cuts) - 2})]:
                 if conv is not None and conv[0].as_py() != ids[a].as_py():
                     if done == 0:
                         yield row(0)
                     done, held = done + 1, []
                 conv = ids.slice(a, 1)
-                held += _codes(t.slice(a, b - a))
+                held.append(t.select(["e"]).slice(a, b - a))
         if held:
             yield row(1)            # 0 rows of part 0: the whole partition is one conversation
 
